@@ -28,13 +28,13 @@ _FOLD[65:91] += 32
 class Params:
     """similarity: least 1 - distance / words of the item, distances counted in words.
     walks: embeddings with random bits of their own. scales: for each table the number of steps
-    that it samples from; an item is looked up from each of its words on, so a short scale needs
-    a few words without edits, a long one bridges edits. sampled: steps in a key."""
+    that it samples from, one in each of ``sampled`` equal parts; an item is looked up from each of
+    its words on, so a short scale needs a few words without edits, a long one bridges edits."""
 
     similarity: float = 0.8
     walks: int = 2
-    scales: tuple[int, ...] = (10, 10, 16, 16, 28, 28, 48)
-    sampled: int = 5
+    scales: tuple[int, ...] = (12, 14, 18, 32)
+    sampled: int = 6
     seed: int = 11
 
 
@@ -45,39 +45,38 @@ def words_of(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return span_hashes(data, starts, ends), first
 
 
-def _steps(p: Params) -> list[list[np.ndarray]]:
+def _steps(p: Params) -> list[list[set[int]]]:
     """By walk and table: the sampled steps."""
     rng = np.random.default_rng(p.seed)
-    return [[np.sort(rng.choice(scale, min(p.sampled, scale), replace=False)) for scale in p.scales] for _ in range(p.walks)]
+    cuts = [np.linspace(0, scale, p.sampled + 1).round().astype(int) for scale in p.scales]
+    return [[{int(rng.integers(lo, hi)) for lo, hi in zip(c[:-1], c[1:])} for c in cuts] for _ in range(p.walks)]
 
 
-def window_keys(words: np.ndarray, ends: np.ndarray, p: Params):
+def window_keys(words: np.ndarray, first: np.ndarray, p: Params):
     """For each walk and table, the key of the window that starts at each word.
 
-    ends: for each word, the end of its row; a walk that gets there writes a fixed sign, as if the
-    row were padded.
+    first: the first word of each row (n + 1). Rows are padded with a sign on which a walk stays.
     """
-    padded = np.append(words, np.uint64(0))
+    n_rows, row_of = len(first) - 1, np.repeat(np.arange(len(first) - 1), np.diff(first))
+    places = np.arange(len(words)) + row_of  # one sign after each row
+    padded = np.zeros(len(words) + n_rows, np.uint64)
+    padded[places] = words
+    is_word = np.zeros(len(padded), bool)
+    is_word[places] = True
     for walk, tables in enumerate(_steps(p)):
         bits = mix64(padded + np.uint64((walk + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
-        if len(padded):
-            bits[-1] = 0
-        at = np.arange(len(words), dtype=np.int64)
-        keys = [np.full(len(words), np.uint64(walk * 64 + t + 1)) for t in range(len(tables))]
+        bits[~is_word] = 0
+        at = places.copy()
+        keys = [np.full(len(words), walk * 64 + t + 1, np.uint64) for t in range(len(tables))]
         for j in range(max(p.scales)):
-            over = at >= ends
             used = [t for t, steps in enumerate(tables) if j in steps]
             if used:
-                wrote = padded[at]
-                wrote[over] = 0
+                wrote = padded.take(at, mode="clip")
+                factor = np.uint64(pow(0xD6E8FEB86659FD93, j + 1, 1 << 64))
+                wrote *= factor
                 for t in used:
-                    keys[t] = (keys[t] ^ wrote) * np.uint64(0xD6E8FEB86659FD93)
-                    keys[t] ^= keys[t] >> np.uint64(32)
-            if j % 64 == 63:
-                bits = mix64(bits)
-            move = (bits[at] >> np.uint64(j % 64)).astype(np.int64) & 1
-            move[over] = 0
-            at += move
+                    keys[t] += wrote
+            at += ((bits >> np.uint64(j)).astype(np.uint8) & np.uint8(1)).take(at, mode="clip")
         for t, key in enumerate(keys):
             yield walk, t, key
 
@@ -94,7 +93,7 @@ class Index:
             words, _ = words_of(data, np.array([0, len(data)]))
             self.words.append(words)
             n = len(words)
-            for _, t, key in window_keys(words, np.full(n, n), p):
+            for _, t, key in window_keys(words, np.array([0, n]), p):
                 # a window needs about half of the table's steps in words, or to start the item
                 whole = np.arange(n) + p.scales[t] * 3 // 4 <= n
                 whole[:1] = True
@@ -112,7 +111,7 @@ class Index:
         words, first = words_of(data, off)
         rows = np.repeat(np.arange(len(off) - 1), np.diff(first))
         found = []
-        for _, _, key in window_keys(words, first[1:][rows], self.p):
+        for _, _, key in window_keys(words, first, self.p):
             at = np.flatnonzero(self.sieve[key >> np.uint64(42)])
             low, high = np.searchsorted(self.keys, key[at]), np.searchsorted(self.keys, key[at], side="right")
             n = high - low
@@ -157,7 +156,10 @@ def substring_distance(pattern: np.ndarray, text: np.ndarray) -> int:
         score += bool(ph & top) - bool(mh & top)
         ph, mh = ph << 1, mh << 1
         up, down = (mh | ~(xv | ph)) & full, ph & xv & full
-        best = min(best, score)
+        if score < best:
+            best = score
+            if not best:
+                break
     return best
 
 
