@@ -7,7 +7,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import materialize
 
@@ -80,9 +79,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     alone = tested.where("not maybe").select("id", "h", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
     again = tested.where("maybe").select("id", "h")
     groups = again.groupBy("h").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
-    joined = again.join(groups, "h").withColumn("top", F.col("id").eqNullSafe(F.col("keep_id")))
-    # only rows with the largest id can tie, and only with rows of the same id
-    nth = F.row_number().over(Window.partitionBy("h").orderBy("id"))
-    top = joined.where("top").select("id", "h", "keep_id", "group_size", (nth == 1).alias("kept"))
-    rest = joined.where("not top").select("id", "h", "keep_id", "group_size", F.lit(False).alias("kept"))
-    return alone.unionAll(rest).unionAll(top).select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", F.lower(F.hex("h")).alias("text_sha256"))
+    # rows of one id and text are one row until the end, so that of several one stays
+    own = again.groupBy("h", "id").agg(F.count("*").alias("rows"))
+    nth = F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("nth")
+    joined = own.join(groups, "h").select("id", "h", "keep_id", "group_size", nth)
+    rest = joined.select("id", "h", "keep_id", "group_size", (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"))
+    return alone.unionAll(rest).select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", F.lower(F.hex("h")).alias("text_sha256"))
