@@ -60,21 +60,30 @@ def weekday_pool(first: Column, last: Column) -> Column:
     return F.transform(F.filter(F.sequence(first, last), lambda d: ~F.dayofweek(d).isin(1, 7)), lambda d: F.unix_date(d))
 
 
+def _spread(rows: DataFrame, n_perm: int) -> DataFrame:
+    return rows.withColumn("perm", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))))
+
+
+def _drawn_day(pool: str) -> Column:
+    """Place in the pool that a row's draw falls on."""
+    return F.floor(draw(F.col("seed"), F.col("perm") * F.col("n_trades") + F.col("slot")) * F.size(pool)).cast("int")
+
+
 def calendar_null(trades: DataFrame, votes: DataFrame, n_perm: int, seed: str, window: int = NEXUS_DAYS) -> DataFrame:
     """(member_id, perm, drawn): each trade moved to a random weekday between the member's first and last date.
 
-    Trade i of permutation p takes draw p * T + i of the member's sequence. Trades with their day
-    arrays are spread to permutations in the task that holds them and counted there.
+    Trade i of permutation p takes draw p * T + i of the member's sequence. Which days of the pool
+    would be hits is found once for each trade, so a draw is a look into an array; trades are spread
+    to permutations in the task that holds them and counted there.
     """
     dates = trades.select("member_id", F.col("tx_date").alias("d")).unionAll(votes.select("member_id", F.col("vote_date").alias("d")))
     pools = dates.groupBy("member_id").agg(weekday_pool(F.min("d"), F.max("d")).alias("pool"))
     sizes = trades.groupBy("member_id").agg(F.count("*").alias("n_trades"))
     per_member = pools.join(sizes, "member_id").join(_vote_days(votes), "member_id", "left").where(F.size("pool") > 0)
     rows = trades.select("member_id", "slot", "instrument").join(per_member.withColumn("seed", seed_from(F.concat(F.lit(f"{seed}:"), F.col("member_id").cast("string")))), "member_id")
-    spread = rows.withColumn("perm", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))))
-    at = F.floor(draw(F.col("seed"), F.col("perm") * F.col("n_trades") + F.col("slot")) * F.size("pool")).cast("int")
-    moved = spread.withColumn("day", F.get("pool", at))
-    return moved.groupBy("member_id", "perm").agg(F.count_if(_is_nexus(F.col("day"), window)).alias("drawn"))
+    hits = rows.select("member_id", "slot", "n_trades", "seed", F.transform("pool", lambda d: _is_nexus(d, window)).alias("hit_on"))
+    counted = _spread(hits, n_perm).groupBy("member_id", "perm").agg(F.count_if(F.get("hit_on", _drawn_day("hit_on"))).alias("drawn"))
+    return counted
 
 
 def shuffled_dates(trades: DataFrame, n_perm: int, seed: str, block: int = 50) -> DataFrame:
@@ -150,10 +159,9 @@ def pair_lower_tail(trades: DataFrame, theme_votes: DataFrame, n_perm: int, seed
         .where("observed_gap is not null")
         .join(pools.join(sizes, "member_id").where(F.size("pool") > 0).withColumn("seed", seeded), "member_id")
     )
-    spread = rows.withColumn("perm", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))))
-    at = F.floor(draw(F.col("seed"), F.col("perm") * F.col("n_trades") + F.col("slot")) * F.size("pool")).cast("int")
-    hit = F.coalesce(_gap(F.col("days"), F.get("pool", at), window) <= F.col("observed_gap"), F.lit(False))
-    counted = spread.groupBy("member_id", "slot", "observed_gap").agg(F.count_if(hit).alias("hits"))
+    near = lambda d: F.exists("days", lambda v: v.between(d, d + F.col("observed_gap")))
+    hits = rows.select("member_id", "slot", "observed_gap", "n_trades", "seed", F.transform("pool", near).alias("hit_on"))
+    counted = _spread(hits, n_perm).groupBy("member_id", "slot", "observed_gap").agg(F.count_if(F.get("hit_on", _drawn_day("hit_on"))).alias("hits"))
     return counted.select("member_id", "slot", "observed_gap", ((F.col("hits") + 1) / F.lit(n_perm + 1)).alias("p_pair"))
 
 

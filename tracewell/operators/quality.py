@@ -85,9 +85,9 @@ def shape_profile(docs: DataFrame, key: str, json_col: str) -> DataFrame:
 
 
 def banned_terms(texts: DataFrame, key: str, text: str, terms: list[str]) -> DataFrame:
-    """(key, term): single words between word boundaries, phrases anywhere, in any case."""
+    """(key, term): single words between boundaries of ASCII words, phrases anywhere, in any case."""
     low = F.lower(text)
-    hit = lambda t: low.rlike(rf"\b{t.lower()}\b") if " " not in t else F.contains(low, F.lit(t.lower()))
+    hit = lambda t: low.rlike(rf"(?<![a-z0-9_]){t.lower()}(?![a-z0-9_])") if " " not in t else F.contains(low, F.lit(t.lower()))
     return texts.select(key, F.explode(F.array_compact(F.array(*(F.when(hit(t), F.lit(t)) for t in terms)))).alias("term"))
 
 

@@ -22,8 +22,8 @@ def resolve_filers(filers: DataFrame, members: DataFrame) -> DataFrame:
     best = found.groupBy("filer", "state", "district").agg(
         F.count("*").alias("n"), F.min("_member").alias("first"), F.count_if(same).alias("n_same"), F.min(F.when(same, F.col("_member"))).alias("same")
     )
-    keys = [f[c].eqNullSafe(best[c]) for c in ("filer", "state", "district")]
-    joined = f.join(best, keys, "left").select(f["filer"], f["state"], f["district"], "n", "first", "n_same", "same")
+    best = best.toDF("_f", "_s", "_d", "n", "first", "n_same", "same")
+    joined = f.join(best, F.expr("filer <=> _f and state <=> _s and district <=> _d"), "left")
     by_district = (F.col("n") > 1) & (F.col("n_same") == 1)
     return joined.select(
         "filer",

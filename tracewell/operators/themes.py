@@ -33,7 +33,7 @@ def bill_themes(subjects: DataFrame, rules: DataFrame) -> DataFrame:
     few = subjects.groupBy("bill_id").count().where(F.col("count") <= MOST_SUBJECTS).select("bill_id")
     patterns = rules.select("theme", "subject_pattern").where(F.col("subject_pattern").isNotNull())
     words = subjects.select("subject").distinct()
-    fits = words.join(patterns, F.col("subject").ilike(F.col("subject_pattern"))).select("subject", "theme")
+    fits = words.join(patterns, F.ilike("subject", "subject_pattern")).select("subject", "theme")
     by_pattern = subjects.join(few, "bill_id", "left_semi").join(fits, "subject").select("bill_id", "theme")
     return area.unionAll(by_pattern).distinct()
 
@@ -64,7 +64,7 @@ def eligible_votes(votes: DataFrame, bills: DataFrame, themes_of_bills: DataFram
 
 def industry_themes(industries: DataFrame, patterns: DataFrame) -> DataFrame:
     """Distinct (industry, theme): patterns are held against distinct industries only."""
-    return industries.select("industry").distinct().join(patterns, F.col("industry").ilike(F.col("industry_pattern"))).select("industry", "theme").distinct()
+    return industries.select("industry").distinct().join(patterns, F.ilike("industry", "industry_pattern")).select("industry", "theme").distinct()
 
 
 def longest_prefix(codes: DataFrame, code: str, prefixes: DataFrame, prefix: str, value: str, shortest: int = 1) -> DataFrame:
