@@ -1,9 +1,10 @@
 """Token ids in raw binary shards, with a minimal perfect hash index for keyed access.
 
 A written folder holds
-  shard-NNNNN.bin   ids of its documents, end id included, little-endian unsigned 32 bits, one after another
+  shard-NNNNN.bin   ids of its documents, end id included, one after another: little-endian unsigned 16 bits
+                    if the vocabulary and the end id fit, else 32
   index-NNNNN.npz   a part of the index: the keys whose hash falls into it
-  MANIFEST.json     shards with their ids and documents, and the number of index parts
+  MANIFEST.json     bytes of an id, shards with their ids and documents, the number of index parts
 Shards follow each other in ascending order of document ids.
 
 The index finds a key in constant time: its hash names the part; within it, levels of bit arrays
@@ -16,21 +17,25 @@ from __future__ import annotations
 
 import io
 import json
+import re
+import struct
 import zlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from tokenizers import Tokenizer
 
 from .common import mix64
 from .stores import Staged, open_store, write_file
 
-#: Chunks of text whose ids a worker keeps, and pieces of chunks.
-CACHE = 250_000
+#: Chunks of text whose ids a worker keeps, and pieces of chunks: of each up to twice as many.
+CACHE = 300_000
 #: Keys in a part of the index, about.
 PART_KEYS = 1 << 16
 #: Fixed value: the places at which the tokenizer cuts a text before it merges bytes.
@@ -41,51 +46,73 @@ class _Encoder:
     """Ids of texts by the tokenizers library; ids of chunks that came before are looked up.
 
     The tokenizer never joins what a space followed by other than white space begins with what
-    stands before it, so a text may be cut there and its chunks encoded each for itself.
+    stands before it, so a text may be cut there and its chunks encoded each for itself. Texts with
+    control characters that libraries class differently go to the tokenizer as they are.
     """
 
     def __init__(self, file: str):
-        import regex
-        from tokenizers import Tokenizer
-
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.model = self.tokenizer.model
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.type = "H" if self.width == 2 else "I"
+        self.tokenize = self.tokenizer.model.tokenize
         own = json.loads(self.tokenizer.to_str())
-        cuts = own["pre_tokenizer"]
-        self.plain = own["normalizer"] is None and cuts == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        self.plain = own["normalizer"] is None and own["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
         self.pieces_of = regex.compile(_PIECES).findall
-        self.byte_chars = str.maketrans({b: c for b, c in enumerate(_byte_chars())})
-        self.space_before = regex.compile(r"(?= \S)")
+        chars = _byte_chars()
+        self.byte_chars, self.space = str.maketrans(dict(enumerate(chars))), chars[32]
+        self.odd, self.loose_space = re.compile("[\x1c-\x1f\x85]").search, re.compile(r" (?=\s|$)").search
         self.first, self.after, self.pieces = _Memo(self._chunk), _Memo(lambda c: self._chunk(" " + c)), _Memo(self._piece)
 
+    def packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.type}", *ids)
+
     def _piece(self, piece: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.byte_chars))], "<u4").tobytes()
+        if piece.isascii() and piece.isprintable() and " " not in piece[1:]:
+            shown = self.space + piece[1:] if piece[0] == " " else piece
+        else:
+            shown = piece.encode().decode("latin-1").translate(self.byte_chars)
+        return self.packed([t.id for t in self.tokenize(shown)])
 
     def _chunk(self, chunk: str) -> bytes:
+        word = chunk[1:]
+        if chunk.startswith(" ") and word.isalpha():
+            return self._piece(chunk)
+        if chunk.startswith(" ") and word[-1:] in (",", ".") and word[:-1].isalpha():
+            return self.pieces[chunk[:-1]] + self.pieces[word[-1]]
         return b"".join([self.pieces[p] for p in self.pieces_of(chunk)])
 
     def encode(self, text: str) -> bytes:
-        """Little-endian 32-bit ids."""
-        if not self.plain:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        for memo in (self.first, self.after, self.pieces):
-            if len(memo) > CACHE:
-                memo.clear()
-        chunks = text.split(" ")
-        if "" in chunks or any(c[0].isspace() for c in chunks[1:]):
-            first, *rest = self.space_before.split(text)
-            return self.first[first] + b"".join(map(self.after.__getitem__, [c[1:] for c in rest]))
-        return self.first[chunks[0]] + b"".join(map(self.after.__getitem__, chunks[1:]))
+        """Little-endian ids of ``width`` bytes each."""
+        if not self.plain or self.odd(text):
+            return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if self.loose_space(text):
+            first, *rest = _BEFORE_CHUNK.split(text)
+            rest = [c[1:] for c in rest]
+        else:
+            first, *rest = text.split(" ")
+        return self.first[first] + b"".join(map(self.after.__getitem__, rest))
+
+
+#: Empty places before a space that other than white space follows.
+_BEFORE_CHUNK = re.compile(r"(?= \S)")
 
 
 class _Memo(dict):
+    """Values by key; of those that have not been asked for lately about half go when CACHE is reached."""
+
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, key):
-        value = self[key] = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= CACHE:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -187,6 +214,8 @@ def write_tokens(
     by repetition 0, 1, ... in order of their texts. Null and empty texts have the end id alone. A
     row's text shuffles once. An empty table gives no shard and one empty part of the index.
     """
+    if not 0 <= end_id < 1 << 8 * encoder(tokenizer_file).width:
+        raise ValueError("the end id doesn't fit")
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     shards = shards or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -196,7 +225,7 @@ def write_tokens(
 
         store, at = open_store(path)
         own, number = encoder(tokenizer_file), TaskContext.get().partitionId()
-        end, offset, n, before, repetition = np.array([end_id], "<u4").tobytes(), 0, 0, object(), 0
+        end, offset, before, repetition = own.packed([end_id]), 0, object(), 0
         with Staged(store, f"{at}/shard-{number:05d}.bin") as out:
             for batch in batches:
                 ids, counts, offsets, repetitions = batch.column(0), [], [], []
@@ -206,10 +235,9 @@ def write_tokens(
                     repetition = repetition + 1 if i == before else 0
                     before = i
                     offsets.append(offset)
-                    counts.append(len(data) // 4)
+                    counts.append(len(data) // own.width)
                     repetitions.append(repetition)
                     offset += len(data)
-                    n += 1
                 yield pa.record_batch(
                     [ids, pa.array(repetitions, pa.int64()), pa.array([number] * len(ids), pa.int32()), pa.array(offsets, pa.int64()), pa.array(counts, pa.int64())],
                     ["id", "repetition", "shard", "offset", "count"],
@@ -233,7 +261,7 @@ def write_tokens(
 
     hashed = _hashed(placed).withColumn("part", F.pmod("hash", F.lit(parts)).cast("int"))
     done = {r["part"]: r["keys"] for r in hashed.groupBy("part").applyInPandas(index, "part int, keys long").collect()}
-    manifest = {"end_id": end_id, "shards": [r.asDict() for r in totals], "parts": parts, "keys": {str(k): v for k, v in sorted(done.items())}}
+    manifest = {"end_id": end_id, "id_bytes": encoder(tokenizer_file).width, "shards": [r.asDict() for r in totals], "parts": parts, "keys": {str(k): v for k, v in sorted(done.items())}}
     write_file(store, f"{at}/MANIFEST.json", json.dumps(manifest).encode())
     return manifest
 
@@ -283,9 +311,9 @@ def read_tokens(places: DataFrame, path: str, digest_only: bool = True) -> DataF
     start is the number of ids of all documents before. Places of a shard are read in the order
     of their offsets; a shard's reads may spread over several tasks.
     """
-    spark: SparkSession = places.sparkSession
-    before, starts = 0, {}
-    for s in read_manifest(path)["shards"]:
+    manifest, before, starts = read_manifest(path), 0, {}
+    width = manifest["id_bytes"]
+    for s in manifest["shards"]:
         starts[s["shard"]] = before
         before += s["ids"]
 
@@ -298,8 +326,8 @@ def read_tokens(places: DataFrame, path: str, digest_only: bool = True) -> DataF
                 if shard != opened:
                     opened, file = shard, store.open_input_file(f"{at}/shard-{shard:05d}.bin")
                 file.seek(offset)
-                data = file.read(4 * count)
-                starts_.append(starts[shard] + offset // 4)
+                data = np.frombuffer(file.read(width * count), f"<u{width}").astype("<u4").tobytes()
+                starts_.append(starts[shard] + offset // width)
                 crcs.append(zlib.crc32(data))
                 if not digest_only:
                     payloads.append(data)
