@@ -95,9 +95,11 @@ def dedup_lines(
     for b in range(batches):
         one = hashed.where(F.col("batch") == b).select(F.inline("hashes"))
         runs.add(one.groupBy("h1", "h2").agg(F.count("*").alias("n")))
+    # a table of its own, so that adaptive execution can split the join where a line is in a great many documents
+    frequent, _ = materialize(runs.frequent(), "frequent-lines")
     drops = (
         hashed.select("id", F.inline("hashes"))
-        .join(runs.frequent(), ["h1", "h2"])
+        .join(frequent, ["h1", "h2"])
         .groupBy(F.col("id").alias("of"))
         .agg(F.collect_set(F.struct("h1", "h2")).alias("drop"))
     )
