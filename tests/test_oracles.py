@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from tracewell.plans.detection import queries_and_oracles
+from tracewell.plans.registry import queries_and_oracles
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = queries_and_oracles()

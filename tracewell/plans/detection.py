@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from tracewell.functions import rng, text
 from tracewell.operators import calibration, detectors, flatten, nullmodel, ordering, quality, resolve, rollups, themes
 
-from .queries import ORACLES, QUERIES, _MEDIANS, _TOTALS, before, donor_theme, eligible, instruments, nexus, query, sponsored_theme
+from .queries import _MEDIANS, _TOTALS, before, donor_theme, eligible, instruments, nexus, query, sponsored_theme
 
 _FUNDS = ", ".join(f"'{x}'" for x in detectors.MARKET_FUNDS)
 _WORDS = ", ".join(f"'{x}'" for x in detectors.WORD_TICKERS)
@@ -463,8 +463,3 @@ def a22_evidence_groups(t):
 def w11_strongest_flags(t):
     found = detectors.trade_vote_alignment(before(t)).select("member_id", "intensity", detectors.row_tier(F.round(F.col("intensity") * 100)).alias("tier"))
     return ordering.first_rows(found, [F.col("intensity").desc_nulls_last(), F.col("member_id")], 12)
-
-
-def queries_and_oracles():
-    """All queries of this package by name, and the SQL of those that have one."""
-    return QUERIES, ORACLES
