@@ -24,6 +24,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
@@ -35,7 +36,7 @@ from .common import mix64
 from .stores import Staged, open_store, write_file
 
 #: Chunks of text whose ids a worker keeps, and pieces of chunks: of each up to twice as many.
-CACHE = 300_000
+CACHE = 500_000
 #: Keys in a part of the index, about.
 PART_KEYS = 1 << 16
 #: Fixed value: the places at which the tokenizer cuts a text before it merges bytes.
@@ -61,7 +62,6 @@ class _Encoder:
         self.pieces_of = regex.compile(_PIECES).findall
         chars = _byte_chars()
         self.byte_chars, self.space = str.maketrans(dict(enumerate(chars))), chars[32]
-        self.odd, self.loose_space = re.compile("[\x1c-\x1f\x85]").search, re.compile(r" (?=\s|$)").search
         self.first, self.after, self.pieces = _Memo(self._chunk), _Memo(lambda c: self._chunk(" " + c)), _Memo(self._piece)
 
     def packed(self, ids: list[int]) -> bytes:
@@ -82,11 +82,16 @@ class _Encoder:
             return self.pieces[chunk[:-1]] + self.pieces[word[-1]]
         return b"".join([self.pieces[p] for p in self.pieces_of(chunk)])
 
-    def encode(self, text: str) -> bytes:
-        """Little-endian ids of ``width`` bytes each."""
-        if not self.plain or self.odd(text):
+    def encode_all(self, texts: pa.Array):
+        """Little-endian ids of ``width`` bytes each, text by text."""
+        odd, loose = pc.match_substring_regex(texts, _ODD).to_pylist(), pc.match_substring_regex(texts, _LOOSE_SPACE).to_pylist()
+        for text, is_odd, is_loose in zip(texts, odd, loose):
+            yield self._encode(text.as_py(), is_odd, is_loose)
+
+    def _encode(self, text: str, odd: bool, loose: bool) -> bytes:
+        if not self.plain or odd:
             return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        if self.loose_space(text):
+        if loose:
             first, *rest = _BEFORE_CHUNK.split(text)
             rest = [c[1:] for c in rest]
         else:
@@ -94,6 +99,9 @@ class _Encoder:
         return self.first[first] + b"".join(map(self.after.__getitem__, rest))
 
 
+#: Control characters that libraries class differently, and a space before white space or the end.
+_ODD = "[\x1c-\x1f\x85]"
+_LOOSE_SPACE = " ([\t-\r \xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|$)"
 #: Empty places before a space that other than white space follows.
 _BEFORE_CHUNK = re.compile(r"(?= \S)")
 
@@ -229,8 +237,8 @@ def write_tokens(
         with Staged(store, f"{at}/shard-{number:05d}.bin") as out:
             for batch in batches:
                 ids, counts, offsets, repetitions = batch.column(0), [], [], []
-                for i, text in zip(ids.to_pylist(), batch.column(1)):
-                    data = own.encode(text.as_py()) + end
+                for i, coded in zip(ids.to_pylist(), own.encode_all(batch.column(1))):
+                    data = coded + end
                     out.write(data)
                     repetition = repetition + 1 if i == before else 0
                     before = i
