@@ -130,7 +130,7 @@ def n06_pair_lower_tail(t):
     return nullmodel.pair_lower_tail(_theme_trades(t), eligible(t), 100, "receipts")
 
 
-@query("""SELECT member_id, vote_id, vote_date, bool_or(member_on_bill_committee) AS committee FROM before GROUP BY 1, 2, 3""")
+@query("""SELECT member_id, vote_id, vote_date, bool_or(member_on_bill_committee) AS committee FROM before GROUP BY 1, 2, 3""", dates=("vote_date",))
 def n01_substrate_votes(t):
     _, votes = nullmodel.substrate(before(t))
     return votes.select("member_id", "vote_id", "vote_date", "committee")

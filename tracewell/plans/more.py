@@ -44,7 +44,7 @@ def l11_usable_positions(t):
 
 
 @query("""SELECT bill_id, committee, name, date FROM (SELECT *, row_number() OVER (PARTITION BY bill_id, committee ORDER BY name IS NOT NULL DESC, date DESC NULLS LAST, name NULLS LAST) AS rn FROM (
-    SELECT DISTINCT user_id AS bill_id, event_type AS committee, CASE WHEN event_id % 3 = 0 THEN 'Act ' || (event_id % 5) END AS name, CAST(ts AS DATE) AS date FROM events) e) r WHERE rn = 1""")
+    SELECT DISTINCT user_id AS bill_id, event_type AS committee, CASE WHEN event_id % 3 = 0 THEN 'Act ' || (event_id % 5) END AS name, CAST(ts AS DATE) AS date FROM events) e) r WHERE rn = 1""", dates=("date",))
 def l12_latest_activity(t):
     rows = t.events.select(F.col("user_id").alias("bill_id"), F.col("event_type").alias("committee"), F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("Act "), F.col("event_id") % 5)).alias("name"), F.col("ts").cast("date").alias("date"))
     return flatten.latest_activity(rows.distinct())
@@ -161,7 +161,7 @@ def s02_distinct_themes(t):
 
 
 @query("SELECT filing_id, tx_index, filer, tx_date, filing_status FROM (SELECT o_orderkey AS filing_id, 0 AS tx_index, 'House ' || o_custkey AS filer, CAST(o_orderdate AS DATE) AS tx_date, NULL AS filing_status FROM orders WHERE o_orderkey % 2 = 0"
-       " UNION ALL SELECT o_orderkey, 0, 'Senate ' || o_custkey, CAST(o_orderdate AS DATE), 'New' FROM orders WHERE o_orderkey % 2 = 1) x")
+       " UNION ALL SELECT o_orderkey, 0, 'Senate ' || o_custkey, CAST(o_orderdate AS DATE), 'New' FROM orders WHERE o_orderkey % 2 = 1) x", dates=("tx_date",))
 def s03_both_chambers(t):
     """Orders written as nested filings of either chamber's shape and read as one table."""
     day, key = F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderkey")
@@ -229,7 +229,7 @@ def dq11_gates(t):
 
 
 @query("""SELECT m.member_id, coalesce(a.n, 0) AS trades, coalesce(b.n, 0) AS votes, greatest(a.d, b.d) AS data_through FROM members m LEFT JOIN (SELECT member_id, count(*) AS n, max(tx_date) AS d FROM trades GROUP BY 1) a USING (member_id)
-    LEFT JOIN (SELECT member_id, count(*) AS n, max(vote_date) AS d FROM votes GROUP BY 1) b USING (member_id)""")
+    LEFT JOIN (SELECT member_id, count(*) AS n, max(vote_date) AS d FROM votes GROUP BY 1) b USING (member_id)""", dates=("data_through",))
 def snk3_manifest(t):
     counts = rollups.counts_per_key(t.members, "member_id", trades=t.trades, votes=t.votes)
     return sinks.manifest(counts, rollups.data_through("member_id", trades=(t.trades, "tx_date"), votes=(t.votes, "vote_date")))

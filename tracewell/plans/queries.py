@@ -48,13 +48,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    """Register a function of the tables under its name, and the SQL over the bindings for the same rows."""
+def _dates_as_text(df: DataFrame) -> DataFrame:
+    """Engines hand dates over as different types; their text is the same."""
+    return df.select(*(F.col(n).cast("string").alias(n) if kind == "date" else F.col(n) for n, kind in df.dtypes))
+
+
+def query(sql: str | None = None, dates: tuple[str, ...] = ()):
+    """Register a function of the tables under its name, and the SQL over the bindings for the same rows. dates: its columns of dates."""
 
     def take(f: Callable[[Tables], DataFrame]):
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
+        QUERIES[f.__name__] = lambda spark, sf_dir: _dates_as_text(f(Tables(spark, sf_dir)))
         if sql:
-            ORACLES[f.__name__] = with_clause(SHARED) + sql
+            text = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in dates)
+            ORACLES[f.__name__] = with_clause(SHARED) + (f"SELECT * REPLACE ({text}) FROM ({sql}) result" if dates else sql)
         return f
 
     return take
@@ -96,7 +102,7 @@ def sponsored_theme(t: Tables) -> DataFrame:
 
 @query("""SELECT filing_id, vote_id, member_id, tx_date, vote_date, ticker, gap AS days_from_trade_to_vote, days_abs, days_before_vote, greatest(0, -gap) AS days_after_vote,
     bill_title, (SELECT string_agg(bc.committee_name, ' · ' ORDER BY bc.committee_name) FROM bill_committees bc WHERE bc.bill_id = near.bill_id) AS bill_committees,
-    member_on_bill_committee, member_committee_role FROM near""")
+    member_on_bill_committee, member_committee_role FROM near""", dates=("tx_date", "vote_date"))
 def j01_trades_near_votes(t):
     return near(t).select(
         "filing_id", "vote_id", "member_id", "tx_date", "vote_date", "ticker", "days_from_trade_to_vote", "days_abs", "days_before_vote", "days_after_vote",
@@ -119,7 +125,7 @@ def j02_trades_before_votes(t):
     return before(t).select("filing_id", "vote_id", "member_id", "ticker", "asset_type", "days_before_vote", "member_on_bill_committee", "bill_mentions_ticker")
 
 
-@query("SELECT * FROM nexus")
+@query("SELECT * FROM nexus", dates=("tx_date", "vote_date"))
 def j03_theme_nexus(t):
     return nexus(t)
 
@@ -129,7 +135,7 @@ def j04_bill_themes(t):
     return bill_theme(t)
 
 
-@query("SELECT member_id, vote_id, vote_date, theme, bill_id FROM eligible")
+@query("SELECT member_id, vote_id, vote_date, theme, bill_id FROM eligible", dates=("vote_date",))
 def j05_eligible_votes(t):
     return eligible(t)
 
@@ -218,7 +224,7 @@ def j20_next_theme_vote(t):
 
 
 @query("""SELECT member_id, count(*) AS total_trades, count(DISTINCT coalesce(ticker, asset)) AS distinct_assets, count(*) FILTER (tx_type = 'purchase') AS purchase_count,
-    count(*) FILTER (tx_type LIKE 'sale%') AS sale_count, min(tx_date) AS first_trade_date, max(tx_date) AS last_trade_date, round(avg(match_confidence), 3)::DOUBLE AS avg_match_confidence FROM trades GROUP BY 1""")
+    count(*) FILTER (tx_type LIKE 'sale%') AS sale_count, min(tx_date) AS first_trade_date, max(tx_date) AS last_trade_date, round(avg(match_confidence), 3)::DOUBLE AS avg_match_confidence FROM trades GROUP BY 1""", dates=("first_trade_date", "last_trade_date"))
 def a02_trade_summary(t):
     return rollups.member_trade_summary(t.trades).withColumn("avg_match_confidence", F.col("avg_match_confidence").cast("double"))
 
@@ -290,7 +296,7 @@ def a11_member_overview(t):
     return rollups.counts_per_key(t.members, "member_id", trades=t.trades, votes=t.votes, committees=t.memberships)
 
 
-@query("SELECT member_id, max(d) AS data_through FROM (SELECT member_id, tx_date AS d FROM trades UNION ALL SELECT member_id, vote_date FROM votes) x GROUP BY 1")
+@query("SELECT member_id, max(d) AS data_through FROM (SELECT member_id, tx_date AS d FROM trades UNION ALL SELECT member_id, vote_date FROM votes) x GROUP BY 1", dates=("data_through",))
 def a12_data_through(t):
     return rollups.data_through("member_id", trades=(t.trades, "tx_date"), votes=(t.votes, "vote_date"))
 
@@ -313,7 +319,7 @@ def a14_vote_positions(t):
 
 @query("""SELECT member_id, instrument, n, first_date, last_date, types FROM (SELECT *, row_number() OVER (PARTITION BY member_id ORDER BY n DESC, last_date DESC, instrument) AS rn FROM (
     SELECT member_id, coalesce(ticker, asset) AS instrument, count(*) AS n, min(tx_date) AS first_date, max(tx_date) AS last_date, string_agg(DISTINCT tx_type, '/' ORDER BY tx_type) AS types
-    FROM trades GROUP BY 1, 2) g) r WHERE rn <= 40""")
+    FROM trades GROUP BY 1, 2) g) r WHERE rn <= 40""", dates=("first_date", "last_date"))
 def a15_portfolio(t):
     return rollups.portfolio(t.trades)
 
@@ -418,19 +424,19 @@ def w13_top_donors_per_member(t):
     return ordering.top_rows(t.donors, ["member_id"], [F.col("amount").desc(), F.col("donor")], 15).select("member_id", "donor", "amount")
 
 
-@query("SELECT member_id, vote_date AS event_date, 'vote' AS kind, vote_id AS event_id, position AS label FROM votes UNION ALL SELECT member_id, tx_date, 'trade', filing_id::VARCHAR, tx_type FROM trades")
+@query("SELECT member_id, vote_date AS event_date, 'vote' AS kind, vote_id AS event_id, position AS label FROM votes UNION ALL SELECT member_id, tx_date, 'trade', filing_id::VARCHAR, tx_type FROM trades", dates=("event_date",))
 def w15_timeline(t):
     return rollups.timeline(t.votes, t.trades)
 
 
 @query("""SELECT member_id, vote_id, vote_date, position, party_position FROM (SELECT *, row_number() OVER (PARTITION BY member_id ORDER BY vote_date DESC, vote_id) AS rn FROM votes
-    WHERE position IN ('yea', 'nay') AND party_position IN ('yea', 'nay') AND position <> party_position) r WHERE rn <= 8""")
+    WHERE position IN ('yea', 'nay') AND party_position IN ('yea', 'nay') AND position <> party_position) r WHERE rn <= 8""", dates=("vote_date",))
 def p10_broke_with_party(t):
     broke = t.votes.where("position in ('yea', 'nay') and party_position in ('yea', 'nay') and position <> party_position")
     return ordering.top_rows(broke, ["member_id"], [F.col("vote_date").desc(), F.col("vote_id")], 8).select("member_id", "vote_id", "vote_date", "position", "party_position")
 
 
-@query("SELECT filing_id, tx_date FROM trades WHERE tx_date >= DATE '1997-01-01' AND tx_date < DATE '1999-01-01'")
+@query("SELECT filing_id, tx_date FROM trades WHERE tx_date >= DATE '1997-01-01' AND tx_date < DATE '1999-01-01'", dates=("tx_date",))
 def p09_period(t):
     return t.trades.where("tx_date >= date '1997-01-01' and tx_date < date '1999-01-01'").select("filing_id", "tx_date")
 
