@@ -258,3 +258,38 @@ def test_toxicity_held_out(spark):
     # about 270 toxic rows to learn from; with the larger tables' 1,400 the recall is 0.99
     assert len(got) > 500 and bad.predicted.mean() >= 0.75 and clean.predicted.mean() <= 0.01
     assert np.mean(bad.score.to_numpy()[:, None] > clean.score.to_numpy()[None, :]) >= 0.95
+
+
+def test_sketches_estimate_similarity():
+    rng = random.Random(8)
+    for share, size in ((0.8, 400), (0.9, 40), (0.5, 2000), (1.0, 3), (0.0, 50)):
+        gaps = []
+        for _ in range(40):
+            common = int(size * 2 * share / (1 + share))
+            draw = lambda k: [rng.getrandbits(64) for _ in range(k)]
+            both = draw(common)
+            a, b = np.array(both + draw(size - common), np.uint64), np.array(both + draw(size - common), np.uint64)
+            true = common / (2 * size - common)
+            gaps.append(simhash.sketch_similarity(simhash.sketch(a)[None], simhash.sketch(b)[None])[0] - true)
+        assert abs(np.mean(gaps)) < 0.03 and np.std(gaps) < 0.06
+    same = np.stack([simhash.sketch(np.array([5, 1 << 40], np.uint64))] * 2)
+    assert (simhash.band_keys(same)[0] == simhash.band_keys(same)[1]).all() and len(set(simhash.band_keys(same)[0])) == simhash.BANDS
+
+
+def test_edited_copies_of_a_family_link(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    rows = []
+    for family in range(30):
+        base = [word() for _ in range(rng.choice((80, 150, 600)))]
+        rows.append((len(rows), family, " ".join(base)))
+        for _ in range(rng.choice((1, 3, 25))):
+            copy = list(base)
+            for _ in range(max(1, len(copy) // 60)):  # shares 5-word shingles to 0.84 or more
+                copy[rng.randrange(len(copy))] = word()
+            rows.append((len(rows), family, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id int, family int, text string")
+    got = simhash.near_duplicates(docs, n=5, similarity=0.8).join(docs.select("doc_id", "family"), "doc_id")
+    by = {r["family"]: set(r["c"]) for r in got.groupBy("family").agg(F.collect_set("component_id").alias("c")).collect()}
+    assert sum(len(c) - 1 for c in by.values()) <= 0.03 * len(rows)
+    assert len(set().union(*by.values())) == sum(map(len, by.values()))
