@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,7 +107,7 @@ def train(
     text_col: str = "text",
     label_col: str = "toxic",
     max_per_class: int = 8_000,
-    max_features: int = 8_192,
+    max_features: int = 8_192,  # 65,536 at most
     min_rows: int = 3,
     smooth: float = 0.5,
     l2: float = 1.0,
@@ -137,10 +138,9 @@ def train(
         .select("feature", ratio.alias("ratio"), F.abs(ratio / error).alias("sure"))
         .orderBy(F.desc("sure"), "feature")
         .limit(max_features)
-        .collect()
+        .toArrow()
     )
-    ratios = np.array([r["ratio"] for r in best])
-    features = np.array([r["feature"] for r in best], np.int64)
+    ratios, features = best["ratio"].to_numpy(), best["feature"].to_numpy()
     chosen = np.full(DIMS, -1, np.int32)
     chosen[features] = np.arange(len(features), dtype=np.int32)
     shared = spark.sparkContext.broadcast(chosen)
@@ -153,28 +153,45 @@ def train(
                 lists = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(found, pa.int32()))
                 yield pa.record_batch([lists, part.column(1)], ["found", "label"])
 
-    got = sample.select("text", "label").mapInArrow(pairs, "found array<int>, label boolean").toPandas()
+    got = sample.select("text", "label").mapInArrow(pairs, "found array<int>, label boolean").toArrow()
     sample.unpersist()
-    weights, bias = _logistic(got["found"].tolist(), got["label"].to_numpy(float), ratios, l2, rounds)
+    cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(got["found"]).to_numpy())])
+    cols = pc.list_flatten(got["found"]).to_numpy().astype(np.uint16)
+    labels_ = got["label"].to_numpy().astype(float)
+    del got
+    weights, bias = _logistic(cuts, cols, labels_, ratios, l2, rounds)
     out = np.zeros(DIMS, np.float32)
     out[features] = weights * ratios
     return Model(out, bias)
 
 
-def _logistic(found: list[np.ndarray], y: np.ndarray, scale: np.ndarray, l2: float, rounds: int) -> tuple[np.ndarray, float]:
-    """Weights of scaled presence features, by gradient steps with momentum; classes count alike."""
-    cols = np.concatenate([np.asarray(f, np.int64) for f in found]) if found else np.zeros(0, np.int64)
-    rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    own = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
-    w, bias, v, vb = np.zeros(len(scale)), 0.0, np.zeros(len(scale)), 0.0
+def _logistic(cuts: np.ndarray, cols: np.ndarray, y: np.ndarray, scale: np.ndarray, l2: float, rounds: int, block: int = 1 << 18) -> tuple[np.ndarray, float]:
+    """Weights of scaled presence features, by gradient steps with momentum; classes count alike.
+
+    Row i holds the features cols[cuts[i] : cuts[i + 1]]. Rows are taken in blocks of about
+    ``block`` pairs, so that little more than the pairs themselves is in memory.
+    """
     n = len(y)
+    own = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * n
+    ends = np.unique(np.append(np.searchsorted(cuts, np.arange(block, cuts[-1], block)), n))
+    parts = [(i, j) for i, j in zip(np.append(0, ends[:-1]), ends) if i < j]
+
+    def sums(i: int, j: int, values: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0.0], np.cumsum(values[cols[cuts[i] : cuts[j]]])])
+        return np.diff(total[cuts[i : j + 1] - cuts[i]])
+
     # the curvature is at most a quarter of the mean squared length of a row
-    step = 1.0 / (0.25 * max(1.0, np.bincount(rows, scale[cols] ** 2, minlength=n).mean()) + l2 / n)
+    length = sum(sums(i, j, scale**2).sum() for i, j in parts) / n
+    step = 1.0 / (0.25 * max(1.0, length) + l2 / n)
+    w, bias, v, vb = np.zeros(len(scale)), 0.0, np.zeros(len(scale)), 0.0
     for _ in range(rounds):
-        z = np.bincount(rows, (w * scale)[cols], minlength=n) + bias
-        g = own * (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y) / n
-        gw = np.bincount(cols, g[rows], minlength=len(scale)) * scale + l2 / n * w
-        v, vb = 0.9 * v - step * 0.5 * gw, 0.9 * vb - step * 0.5 * g.sum()
+        gw, gb, scaled = l2 / n * w, 0.0, w * scale
+        for i, j in parts:
+            z = sums(i, j, scaled) + bias
+            g = own[i:j] * (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y[i:j]) / n
+            gw = gw + np.bincount(cols[cuts[i] : cuts[j]], np.repeat(g, np.diff(cuts[i : j + 1])), minlength=len(scale)) * scale
+            gb += g.sum()
+        v, vb = 0.9 * v - step * 0.5 * gw, 0.9 * vb - step * 0.5 * gb
         w, bias = w + v, bias + vb
     return w, float(bias)
 
