@@ -35,8 +35,9 @@ from tokenizers import Tokenizer
 from .common import mix64
 from .stores import Staged, open_store, write_file
 
-#: Chunks of text whose ids a worker keeps, and pieces of chunks: of each up to twice as many.
-CACHE = 500_000
+#: Chunks of text whose ids a worker keeps, and pieces of chunks: of each up to twice as many. Workers live on
+#: after their tasks, so this memory, about 150 MB, stays taken in later stages.
+CHUNKS, PIECES = 250_000, 80_000
 #: Keys in a part of the index, about.
 PART_KEYS = 1 << 16
 #: Fixed value: the places at which the tokenizer cuts a text before it merges bytes.
@@ -62,7 +63,8 @@ class _Encoder:
         self.pieces_of = regex.compile(_PIECES).findall
         chars = _byte_chars()
         self.byte_chars, self.space = str.maketrans(dict(enumerate(chars))), chars[32]
-        self.first, self.after, self.pieces = _Memo(self._chunk), _Memo(lambda c: self._chunk(" " + c)), _Memo(self._piece)
+        self.first, self.after = _Memo(self._chunk, PIECES), _Memo(lambda c: self._chunk(" " + c), CHUNKS)
+        self.pieces = _Memo(self._piece, PIECES)
 
     def packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self.type}", *ids)
@@ -107,17 +109,17 @@ _BEFORE_CHUNK = re.compile(r"(?= \S)")
 
 
 class _Memo(dict):
-    """Values by key; of those that have not been asked for lately about half go when CACHE is reached."""
+    """Values by key, up to twice ``most``; those that have not been asked for lately go first."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= CACHE:
+        if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
         self[key] = value
