@@ -36,8 +36,8 @@ from .common import mix64
 from .stores import Staged, open_store, write_file
 
 #: Chunks of text whose ids a worker keeps, and pieces of chunks: of each up to twice as many. Workers live on
-#: after their tasks, so this memory, about 150 MB, stays taken in later stages.
-CHUNKS, PIECES = 250_000, 80_000
+#: after their tasks, so this memory, about 160 MB, stays taken in later stages.
+CHUNKS, PIECES = 350_000, 80_000
 #: Keys in a part of the index, about.
 PART_KEYS = 1 << 16
 #: Fixed value: the places at which the tokenizer cuts a text before it merges bytes.
