@@ -14,38 +14,54 @@ from tracewell.llm.common import materialize, scratch_path
 from tracewell.llm.queries import END_ID, TOXIC, held_out, table, tokenizer_file
 
 
-def _keep(docs: DataFrame, drop: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id drop has; drop may hold ids more than once."""
-    return docs.join(drop.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+#: Name of the key that tells a stage's rows apart; ids may be null or repeated.
+ROW = "_row"
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """docs with a key of each row, written once, so that every later read sees the same keys."""
+    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")[0]
+
+
+def _keep(rows: DataFrame, drop: DataFrame) -> DataFrame:
+    """rows without those whose key drop has, and without the key; drop may hold keys more than once."""
+    return rows.join(drop.select(ROW).distinct(), ROW, "left_anti").select([c for c in rows.columns if c != ROW])
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below the threshold."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels").where(~held_out()))
-    bad, _ = materialize(toxicity.score(docs, model).where(F.col("score") >= TOXIC), "toxic")
-    return _keep(docs, bad)
+    rows = _rows(docs)
+    bad, _ = materialize(toxicity.score(rows, model, id_col=ROW).where(F.col("score") >= TOXIC), "toxic")
+    return _keep(rows, bad)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest id.
+    """One document of each group of near duplicates: that with the smallest id, null ids being the last.
 
     Shingles take five words. Links are those of fingerprints at 3 or fewer differing bits, and of
-    sketches with a similarity of 0.8 or more.
+    sketches with a similarity of 0.8 or more. Of rows with one id one stays.
     """
-    found, _ = materialize(simhash.near_duplicates(docs, n=5, most_bits=3, similarity=0.8), "groups")
-    return _keep(docs, found.where("doc_id != component_id"))
+    rows = _rows(docs)
+    found, _ = materialize(simhash.near_duplicates(rows, id_col=ROW, n=5, most_bits=3, similarity=0.8), "groups")
+    known = found.join(rows.select(ROW, "doc_id"), ROW)
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(ROW)))[ROW]
+    kept, _ = materialize(known.groupBy("component_id").agg(first.alias(ROW)).select(ROW), "kept")
+    return rows.join(kept, ROW, "left_semi").select(docs.columns)
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
-    found, _ = materialize(decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")), "leaks")
-    return _keep(docs, found)
+    rows = _rows(docs)
+    found, _ = materialize(decontaminate.contaminated(rows, table(spark, sf_dir, "benchmark"), id_col=ROW), "leaks")
+    return _keep(rows, found)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: repeated for repeated epochs, gone if not taken."""
-    took, _ = materialize(mixing.mix(docs).where("copies > 0").select("doc_id", "copies"), "mix")
-    often = docs.join(took, "doc_id")
+    rows = _rows(docs)
+    took, _ = materialize(mixing.mix(rows, row_col=ROW).where("copies > 0").select(ROW, "copies"), "mix")
+    often = rows.join(took, ROW)
     return often.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy")).select(docs.columns)
 
 

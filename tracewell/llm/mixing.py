@@ -69,8 +69,9 @@ def mix(
     most_epochs: int = 3,
     seed: int = 17,
     bins: int = 1024,
+    row_col: str | None = None,
 ) -> DataFrame:
-    """One row per input row: id, source, size, source_size, target, taken, copies.
+    """One row per input row: id, source, size, source_size, target, taken, copies[, row].
 
     A source's target first takes complete epochs of all its documents. What is left is a budget
     for a part of one more epoch: each document draws an exponential key, divided by its quality
@@ -78,30 +79,34 @@ def mix(
     if at least half of it fits. So a source's words differ from its target by half a document at
     most. ``copies`` is how often a document is taken and ``taken`` its words times that.
 
-    Draws depend on id and seed alone: reruns agree, and ties (repeated ids) are broken by size.
+    Draws depend on id and seed alone: reruns agree, and ties (repeated ids) are broken by size,
+    then by ``row_col`` if it is given: a column that tells rows apart, which is returned too.
     Null texts have size 0; a null source is a source, the last; a null id draws like the text
     "null". A source with no words has target 0. Running sums over a large source are taken in
     two levels: over ``bins`` ranges of the keys, then within each, so no source meets in one task.
     """
     text, size = F.col("text"), word_count(F.col("text"))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).cast("string").alias("text"))
+    row = [] if row_col is None else ["_row_key"]
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).cast("string").alias("text"), *(F.col(row_col).alias(c) for c in row)
+    )
     u = unit_draw(F.col("id"), seed)
-    sized = rows.withColumn("size", size).select("id", "source", "size", (-F.log(u) / quality_weight(text, F.col("size"))).alias("key"))
+    sized = rows.withColumn("size", size).select(*row, "id", "source", "size", (-F.log(u) / quality_weight(text, F.col("size"))).alias("key"))
     keyed, _ = materialize(sized.withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * bins).cast("int")), "mix-keys")
     by_bin = keyed.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
     upto = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     starts = by_bin.select("source", "bin", F.coalesce(F.sum("bin_size").over(upto), F.lit(0)).alias("bin_start"))
     targets = source_targets(by_bin.groupBy("source").agg(F.sum("bin_size").alias("source_size")), weights, share, float(most_epochs))
     plan = starts.alias("s").join(targets.alias("t"), F.expr("s.source <=> t.source")).select("s.source", "s.bin", "bin_start", "source_size", "target")
-    within = Window.partitionBy("k.source", "k.bin").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("k.source", "k.bin").orderBy("key", "id", "size", *row).rowsBetween(Window.unboundedPreceding, -1)
     spent = F.col("bin_start") + F.coalesce(F.sum("size").over(within), F.lit(0))
     joined = keyed.alias("k").join(plan.alias("p"), F.expr("k.source <=> p.source and k.bin = p.bin"))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(1))
     budget = F.col("target") - F.col("epochs") * F.col("source_size")
     fits = (F.col("spent") + F.col("size") / 2 <= budget) & (F.col("epochs") < most_epochs) & (F.col("source_size") > 0)
     return (
-        joined.select("id", F.col("k.source").alias("source"), "size", "source_size", "target", spent.alias("spent"))
+        joined.select(*row, "id", F.col("k.source").alias("source"), "size", "source_size", "target", spent.alias("spent"))
         .withColumn("epochs", epochs)
         .withColumn("copies", F.col("epochs") + fits.cast("long"))
-        .select(F.col("id").alias(id_col), "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+        .select(F.col("id").alias(id_col), "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", *(F.col(c).alias(row_col) for c in row))
     )
