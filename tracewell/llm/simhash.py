@@ -257,14 +257,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots, _ = link_components(distinct)
     if similarity is not None:
         # fingerprints are the nodes of all links; texts of one fingerprint link as they are
-        nodes, nodes_path = materialize(prints.where("sketch is not null").groupBy(F.xxhash64("sketch").alias("node")).agg(F.first("sketch").alias("sketch"), F.min("fp").alias("fp")), "sketches")
-        known = nodes.select("node", "fp").join(roots, "fp").select("node", "root")
+        nodes, nodes_path = materialize(prints.where("sketch is not null").groupBy(F.xxhash64("sketch").alias("node")).agg(F.first("sketch").alias("sketch")), "sketches")
+        # one set of shingles may have several fingerprints, as these count repeats: all of them link to one
+        held = prints.where("sketch is not null").select(F.xxhash64("sketch").alias("node"), "fp").distinct()
+        rooted, rooted_path = materialize(held.join(roots, "fp").select("node", "root").distinct(), "node-roots")
+        known = rooted.groupBy("node").agg(F.min("root").alias("root"))
+        own = rooted.join(known.toDF("node", "rb"), "node").where("root <> rb").select(F.col("root").alias("ra"), "rb")
         ends = similar_links(nodes.select("node", "sketch"), similarity)
-        ends = ends.join(known.toDF("a", "ra"), "a").join(known.toDF("b", "rb"), "b").select("ra", "rb")
+        ends = ends.join(known.toDF("a", "ra"), "a").join(known.toDF("b", "rb"), "b").select("ra", "rb").unionAll(own)
         more, _ = components(ends, "ra", "rb")
         roots, _ = materialize(roots.join(more.toDF("root", "top"), "root", "left").select("fp", F.coalesce("top", "root").alias("root")), "roots")
         slim, _ = materialize(prints.select(id_col, "fp"), "fingerprints")
-        discard(docs.sparkSession, prints_path, nodes_path)
+        discard(docs.sparkSession, prints_path, nodes_path, rooted_path)
         prints = slim
     of_root = distinct.join(roots, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
     by_print, _ = materialize(roots.join(of_root, "root").select("fp", "component_id"), "components")
