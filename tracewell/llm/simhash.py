@@ -114,11 +114,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def similar_links(nodes: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) for nodes (node, sketch), sketches being distinct: links of each node to a representative of each of its buckets.
+    """(a, b) for nodes (node, sketch), sketches being distinct: links that join what all links within buckets join.
 
-    A bucket's representatives are the node that meets most others over all its buckets, which in a
-    family of edited copies is the one that they were made from, and the smallest. So a node gives
-    as many candidates as it has keys, twice, however large its buckets are.
+    First every node is held against a representative of each of its buckets: the node that meets
+    most others over all its buckets, which in a family of edited copies is the one that they were
+    made from, and the smallest. Then all pairs of a bucket whose ends these links haven't joined
+    are held against each other, so that no pair is left out but those that are joined already. In
+    a bucket, members of its largest component never meet among themselves.
     """
 
     def keys(batches):
@@ -134,6 +136,11 @@ def similar_links(nodes: DataFrame, similarity: float) -> DataFrame:
                 a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, SKETCH) for i in (2, 3))
                 yield batch.select([0, 1]).filter(pa.array(sketch_similarity(a, b) >= similarity))
 
+    def verified(pairs):
+        a, b = nodes.toDF("node", "_sa"), nodes.toDF("other", "_sb")
+        both = pairs.join(a, "node").join(b, "other").select("node", "other", "_sa", "_sb")
+        return materialize(both.mapInArrow(verify, "a long, b long"), "similar-links")[0]
+
     keyed_nodes, path = materialize(nodes.select("node", "sketch").mapInArrow(keys, "key long, node long"), "sketch-keys")
     shared = keyed_nodes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared, shared_path = materialize(keyed_nodes.join(shared, "key"), "shared-keys")
@@ -141,10 +148,17 @@ def similar_links(nodes: DataFrame, similarity: float) -> DataFrame:
     ranked = shared.join(degree, "node").select("key", "node", F.struct(F.col("degree"), F.col("node")).alias("rank"))
     heads = ranked.groupBy("key").agg(F.max("rank")["node"].alias("hub"), F.min("node").alias("low"))
     pairs = shared.join(heads, "key").select("node", F.explode(F.array("hub", "low")).alias("other")).where("node <> other").distinct()
-    a, b = nodes.toDF("node", "_sa"), nodes.toDF("other", "_sb")
-    both = pairs.join(a, "node").join(b, "other").select("node", "other", "_sa", "_sb")
-    found, _ = materialize(both.mapInArrow(verify, "a long, b long"), "similar-links")
-    discard(nodes.sparkSession, path, shared_path)
+    star = verified(pairs)
+    first, first_path = components(star)
+    roots = shared.join(first, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    labelled, labelled_path = materialize(roots, "sketch-labels")
+    of_key = labelled.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("most"), F.count("*").alias("roots"))
+    open_, open_path = materialize(labelled.join(of_key.where("roots > 1"), "key").select("key", "node", "root", "most"), "open-keys")
+    x, y = open_.where("root <> most").toDF("key", "node", "ra", "most"), open_.select("key", F.col("node").alias("other"), F.col("root").alias("rb"))
+    unlike = (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("most")) | (F.col("node") < F.col("other")))
+    rest = x.join(y, "key").where(unlike).select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other")).distinct()
+    found = star.unionAll(verified(rest))
+    discard(nodes.sparkSession, path, shared_path, first_path, labelled_path, open_path)
     return found
 
 
