@@ -40,7 +40,7 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """One document of each group of near duplicates: that with the smallest id, null ids being the last.
 
     Shingles take five words. Links are those of fingerprints at 3 or fewer differing bits, and of
-    sketches with a similarity of 0.8 or more. Of rows with one id one stays.
+    sets of shingles with a similarity of 0.8 or more. Of rows with one id one stays.
     """
     rows = _rows(docs)
     found, _ = materialize(simhash.near_duplicates(rows, id_col=ROW, n=5, most_bits=3, similarity=0.8), "groups")
