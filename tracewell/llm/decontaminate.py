@@ -4,11 +4,17 @@ The embedding walks over a word sequence: at step j it writes the word at its pl
 if a random bit of (word, j) says so. Two sequences at a small edit distance fall into step again
 after each edit, so that their walks agree at most steps (Chakraborty, Goldenberg, Koucky 2016).
 A table samples some steps and hashes what the walk wrote there.
+
+An item shorter than the longest scale leaves a walk too few words: it would go on into what follows
+in a document and into padding in the item. Such an item is cut into one segment more than it may have
+edits, so that one segment at least stands unedited wherever the item does (pigeonhole), and is
+looked up by these segments: nothing is missed.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -81,18 +87,43 @@ def window_keys(words: np.ndarray, first: np.ndarray, p: Params):
             yield walk, t, key
 
 
+def segments(n: int, p: Params) -> list[tuple[int, int]]:
+    """(start, length) of the segments of an item of n words, one more than the edits it may have."""
+    cuts = np.linspace(0, n, min(n, _most(n, p) + 1) + 1).round().astype(int).tolist()
+    return [(a, b - a) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def _most(n: int, p: Params) -> int:
+    return int(n * (1 - p.similarity) + 1e-9)
+
+
+def run_keys(words: np.ndarray, longest: int):
+    """For each length up to the longest, the key of the run of so many words that starts at each word, as long as there are words."""
+    key = np.zeros(len(words), np.uint64)
+    for length in range(1, longest + 1):
+        key = key[: max(0, len(words) - length + 1)] * np.uint64(0x9E3779B97F4A7C15) + words[length - 1 :]
+        yield length, mix64(key ^ np.uint64(length))
+
+
 class Index:
     """The items' word sequences and, by table, the keys of their windows. Small: it grows with the benchmark alone."""
 
     def __init__(self, items: list[tuple[int, str]], p: Params):
         self.p, self.ids = p, [i for i, _ in items]
         self.words: list[np.ndarray] = []
-        keys, places = [], []
+        keys, places, self.lengths = [], [], set()
         for k, (_, text) in enumerate(items):
             data = np.frombuffer((text or "").encode(), np.uint8)
             words, _ = words_of(data, np.array([0, len(data)]))
             self.words.append(words)
             n = len(words)
+            if n < max(p.scales):
+                of_length = dict(run_keys(words, n))
+                for start, length in segments(n, p):
+                    self.lengths.add(length)
+                    keys.append(of_length[length][start : start + 1])
+                    places.append(np.array([[k, start]]))
+                continue
             for _, t, key in window_keys(words, np.array([0, n]), p):
                 # a window needs about half of the table's steps in words, or to start the item
                 whole = np.arange(n) + p.scales[t] * 3 // 4 <= n
@@ -111,10 +142,14 @@ class Index:
         words, first = words_of(data, off)
         rows = np.repeat(np.arange(len(off) - 1), np.diff(first))
         found = []
-        for _, _, key in window_keys(words, first, self.p):
+        left = np.repeat(first[1:], np.diff(first)) - np.arange(len(words))  # words to the row's end
+        walks = (key for _, _, key in window_keys(words, first, self.p))
+        runs = ((length, key) for length, key in run_keys(words, max(self.lengths, default=0)) if length in self.lengths)
+        for length, key in chain(((0, key) for key in walks), runs):
             at = np.flatnonzero(self.sieve[key >> np.uint64(42)])
             low, high = np.searchsorted(self.keys, key[at]), np.searchsorted(self.keys, key[at], side="right")
             n = high - low
+            n[left[at] < length] = 0  # a run ends within its row
             at, low = np.repeat(at, n), np.repeat(low, n)
             nth = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
             place = self.places[low + nth]
@@ -126,7 +161,7 @@ class Index:
         checked: dict[tuple[int, int], int] = {}
         for row, item, start in np.unique(np.concatenate(found), axis=0).tolist():
             pattern = self.words[item]
-            most = int(len(pattern) * (1 - self.p.similarity) + 1e-9)
+            most = _most(len(pattern), self.p)
             if out.get((row, item)) == 0 or start <= checked.get((row, item), start - 1):
                 continue
             lo, hi = max(first[row], start - 2 * most), min(first[row + 1], start + len(pattern) + 3 * most + 1)
@@ -179,7 +214,7 @@ def contaminated(
     its words is within ``1 - similarity`` of the item's words in edit distance. The benchmark is
     read by every task; a benchmark of more than ``max_items`` items must be passed in parts, and
     is refused. Items without a word, null ones too, match nothing; null and empty texts hold
-    nothing; items shorter than the walks' scales are padded. Each row of a repeated document
+    nothing; items shorter than the walks' scales are found by exact segments. Each row of a repeated document
     yields its own matches. Works row by row on whole texts: nothing shuffles.
     """
     spark = docs.sparkSession
