@@ -49,17 +49,19 @@ class _Encoder:
 
     The tokenizer never joins what a space followed by other than white space begins with what
     stands before it, so a text may be cut there and its chunks encoded each for itself. Texts with
-    control characters that libraries class differently go to the tokenizer as they are.
+    control characters that libraries class differently, or with the string of an added token, go to
+    the tokenizer as they are.
     """
 
     def __init__(self, file: str):
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.type = "H" if self.width == 2 else "I"
         self.tokenize = self.tokenizer.model.tokenize
         own = json.loads(self.tokenizer.to_str())
         self.plain = own["normalizer"] is None and own["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        # in a text, the string of an added token is that token
+        self.odd = "|".join([_ODD, *(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())])
         self.pieces_of = regex.compile(_PIECES).findall
         chars = _byte_chars()
         self.byte_chars, self.space = str.maketrans(dict(enumerate(chars))), chars[32]
@@ -86,7 +88,7 @@ class _Encoder:
 
     def encode_all(self, texts: pa.Array):
         """Little-endian ids of ``width`` bytes each, text by text."""
-        odd, loose = pc.match_substring_regex(texts, _ODD).to_pylist(), pc.match_substring_regex(texts, _LOOSE_SPACE).to_pylist()
+        odd, loose = pc.match_substring_regex(texts, self.odd).to_pylist(), pc.match_substring_regex(texts, _LOOSE_SPACE).to_pylist()
         for text, is_odd, is_loose in zip(texts, odd, loose):
             yield self._encode(text.as_py(), is_odd, is_loose)
 
