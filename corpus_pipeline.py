@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.llm import decontaminate, mixing, simhash, tokens, toxicity
-from tracewell.llm.common import materialize, scratch_path
+from tracewell.llm.common import discard, materialize, scratch_path
 from tracewell.llm.queries import END_ID, TOXIC, held_out, table, tokenizer_file
 
 
@@ -18,9 +18,19 @@ from tracewell.llm.queries import END_ID, TOXIC, held_out, table, tokenizer_file
 ROW = "_row"
 
 
+#: Where the keyed rows of the stage before lie.
+_SPENT: list[str] = []
+
+
 def _rows(docs: DataFrame) -> DataFrame:
-    """docs with a key of each row, written once, so that every later read sees the same keys."""
-    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")[0]
+    """docs with a key of each row, written once, so that every later read sees the same keys.
+
+    The stage before is written, or read here for the last time: its own keyed rows are deleted.
+    """
+    rows, path = materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    discard(docs.sparkSession, *_SPENT)
+    _SPENT[:] = [path]
+    return rows
 
 
 def _keep(rows: DataFrame, drop: DataFrame) -> DataFrame:
@@ -30,8 +40,8 @@ def _keep(rows: DataFrame, drop: DataFrame) -> DataFrame:
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below the threshold."""
-    model = toxicity.train(docs, table(spark, sf_dir, "labels").where(~held_out()))
     rows = _rows(docs)
+    model = toxicity.train(rows, table(spark, sf_dir, "labels").where(~held_out()))
     bad, _ = materialize(toxicity.score(rows, model, id_col=ROW).where(F.col("score") >= TOXIC), "toxic")
     return _keep(rows, bad)
 
