@@ -32,25 +32,66 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from .common import mix64
+from .common import mix64, text_slices, utf8_parts
 from .stores import Staged, open_store, write_file
 
-#: Chunks of text whose ids a worker keeps, and pieces of chunks: of each up to twice as many. Workers live on
-#: after their tasks, so this memory, about 160 MB, stays taken in later stages.
-CHUNKS, PIECES = 350_000, 80_000
+#: Places of a worker's table of chunks, ids that it holds at most, and other chunks and pieces remembered beside it (of each
+#: up to twice as many): about 70 MB, which a worker keeps after its tasks.
+SLOTS, POOL, CHUNKS, PIECES = 1 << 20, 1 << 23, 30_000, 30_000
 #: Keys in a part of the index, about.
 PART_KEYS = 1 << 16
 #: Fixed value: the places at which the tokenizer cuts a text before it merges bytes.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Control characters that libraries class differently.
+_ODD = "[\x1c-\x1f\x85]"
+#: Bytes that begin no white space after a space; of C2, E1, E2 and E3 some characters do.
+_SOLID = np.zeros(256, bool)
+_SOLID[0x21:0x7F] = _SOLID[0xC3:0xF5] = True
+_SOLID[[0xE1, 0xE2, 0xE3]] = False
+_PERHAPS = np.zeros(256, bool)
+_PERHAPS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+_LETTER = np.array([chr(c).isalpha() and c < 128 for c in range(256)])
+_NO_LETTER = ~_LETTER & (np.arange(256) < 128)
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def chunk_starts(data: np.ndarray, off: np.ndarray, whole: list[int]) -> np.ndarray:
+    """First bytes of the chunks of all rows; rows in whole are one chunk.
+
+    A chunk begins where a row does, at a space that other than white space follows, and at an ASCII
+    character after an ASCII letter that is none itself.
+    """
+    cut = np.zeros(len(data), bool)
+    if len(data) > 1:
+        after = data[1:]
+        space = data[:-1] == 32
+        cut[:-1] = space & _SOLID[after]
+        at = np.flatnonzero(space & _PERHAPS[after])
+        if len(at):
+            lead, second, third = (data.take(at + k, mode="clip") for k in (1, 2, 3))
+            white = (lead == 0xC2) & ((second == 0x85) | (second == 0xA0))
+            white |= (lead == 0xE1) & ((second == 0x9A) | (second == 0xA0))
+            white |= (lead == 0xE2) & (((second == 0x80) & ((third < 0x90) | (third > 0xA7))) | (second == 0x81))
+            white |= (lead == 0xE3) & (second == 0x80) & (third == 0x80)
+            cut[at] = ~white
+        cut[1:] |= _LETTER[data[:-1]] & _NO_LETTER[after]
+    held = np.diff(off) > 0
+    last = off[1:][held] - 1  # what follows a row's last space is another row's
+    cut[last] = (data[last] == 32) & _LETTER[data[np.maximum(last - 1, 0)]] | (data[last] != 32) & cut[last]
+    for row in whole:
+        cut[off[row] : off[row + 1]] = False
+    cut[off[:-1][held]] = True
+    return np.flatnonzero(cut)
 
 
 class _Encoder:
     """Ids of texts by the tokenizers library; ids of chunks that came before are looked up.
 
     The tokenizer never joins what a space followed by other than white space begins with what
-    stands before it, so a text may be cut there and its chunks encoded each for itself. Texts with
-    control characters that libraries class differently, or with the string of an added token, go to
-    the tokenizer as they are.
+    stands before it, nor letters with what isn't one, so a text may be cut there and its chunks
+    encoded each for itself. Chunks of 16 bytes or fewer, nearly all, lie in a table with one place for each hash, and are told by
+    all their bytes; a slice's chunks are looked up there at once. Texts with control characters that
+    libraries class differently, or with the string of an added token, go to the tokenizer whole.
     """
 
     def __init__(self, file: str):
@@ -65,49 +106,95 @@ class _Encoder:
         self.pieces_of = regex.compile(_PIECES).findall
         chars = _byte_chars()
         self.byte_chars, self.space = str.maketrans(dict(enumerate(chars))), chars[32]
-        self.first, self.after = _Memo(self._chunk, PIECES), _Memo(lambda c: self._chunk(" " + c), CHUNKS)
-        self.pieces = _Memo(self._piece, PIECES)
+        self.chunks, self.pieces = _Memo(self._long, CHUNKS), _Memo(self._piece, PIECES)
+        self.head, self.tail = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.uint64)
+        self.size, self.count, self.at = np.zeros(SLOTS, np.uint8), np.zeros(SLOTS, np.uint8), np.zeros(SLOTS, np.int64)
+        self.pool, self.used = np.zeros(POOL, f"<u{self.width}"), 0
 
     def packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self.type}", *ids)
 
-    def _piece(self, piece: str) -> bytes:
-        if piece.isascii() and piece.isprintable() and " " not in piece[1:]:
-            shown = self.space + piece[1:] if piece[0] == " " else piece
-        else:
-            shown = piece.encode().decode("latin-1").translate(self.byte_chars)
-        return self.packed([t.id for t in self.tokenize(shown)])
-
-    def _chunk(self, chunk: str) -> bytes:
-        word = chunk[1:]
-        if chunk.startswith(" ") and word.isalpha():
-            return self._piece(chunk)
-        if chunk.startswith(" ") and word[-1:] in (",", ".") and word[:-1].isalpha():
-            return self.pieces[chunk[:-1]] + self.pieces[word[-1]]
-        return b"".join([self.pieces[p] for p in self.pieces_of(chunk)])
+    def _piece(self, piece: str) -> list[int]:
+        shown = piece.encode().decode("latin-1").translate(self.byte_chars)
+        return [t.id for t in self.tokenize(shown)]
+
+    def _chunk(self, chunk: bytes) -> list[int]:
+        text = chunk.decode()
+        if text.isascii():
+            word = text[1:] if text[0] == " " else text
+            if word.isalpha():
+                return [t.id for t in self.tokenize(self.space + word if word is not text else text)]
+        return [i for p in self.pieces_of(text) for i in self.pieces[p]]
+
+    def _long(self, chunk: bytes) -> tuple[int, ...]:
+        return tuple(self._chunk(chunk))
+
+    def _make_room(self, most: int) -> None:
+        """Once the pool is full, move what the table still points to together."""
+        if self.used + most <= POOL:
+            return
+        held = np.flatnonzero(self.size)
+        count = self.count[held].astype(np.int64)
+        before = np.cumsum(count) - count
+        ids = self.pool[np.repeat(self.at[held] - before, count) + np.arange(count.sum())]
+        self.at[held], self.used = before, len(ids)
+        self.pool = np.zeros(max(POOL, self.used + most), self.pool.dtype)
+        self.pool[: self.used] = ids
+
+    def encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, one after another, and where each text's begin (n + 1)."""
+        data, off = utf8_parts(texts)
+        self._make_room(len(data))  # a byte gives one id at most
+        whole = np.flatnonzero(pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)) if self.plain else np.arange(len(off) - 1)
+        start = chunk_starts(data, off, whole.tolist())
+        first = np.searchsorted(start, off)
+        n = np.diff(np.append(start, len(data)))
+        padded = np.zeros(len(data) + 16, np.uint8)
+        padded[8:-8] = data
+        eight = np.ndarray((len(data) + 9,), "<u8", padded, strides=(1,))  # the eight bytes from each byte on
+        head = eight[start + 8] & _LOW_BYTES[np.minimum(n, 8)]
+        tail = np.where(n > 8, eight[start + n], np.uint64(0))
+        slot = (mix64(head ^ mix64(tail + n.astype(np.uint64))) >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+        short = n <= 16
+        short[first[whole][off[whole] < off[whole + 1]]] = False
+        hit = short & (self.size[slot] == n) & (self.head[slot] == head) & (self.tail[slot] == tail)
+        at, count = self.at[slot], self.count[slot].astype(np.int64)
+        missed, known, raw, fresh, base = np.flatnonzero(~hit), {}, data.tobytes(), [], self.used
+        odd = set(start[first[whole]].tolist()) if len(start) and len(whole) else ()
+        places, counts = [], []
+        for i, size in zip(start[missed].tolist(), n[missed].tolist()):
+            chunk = raw[i : i + size]
+            place = known.get(chunk)
+            if place is None or i in odd:
+                if i in odd:
+                    ids = self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
+                else:
+                    ids = self._chunk(chunk) if size <= 16 or size > 64 else self.chunks[chunk]
+                place = base + len(fresh), len(ids)
+                fresh.extend(ids)
+                if i not in odd:
+                    known[chunk] = place
+            places.append(place[0])
+            counts.append(place[1])
+        at[missed], count[missed] = places, counts
+        self.used += len(fresh)
+        self.pool[base : self.used] = fresh
+        new = missed[short[missed]]
+        to = slot[new]
+        self.head[to], self.tail[to], self.size[to], self.at[to], self.count[to] = head[new], tail[new], n[new], at[new], count[new]
+        before = np.concatenate([[0], np.cumsum(count)])
+        ids = self.pool[np.repeat(at - before[:-1], count) + np.arange(before[-1])]
+        return ids, before[first]
 
     def encode_all(self, texts: pa.Array):
-        """Little-endian ids of ``width`` bytes each, text by text."""
-        odd, loose = pc.match_substring_regex(texts, self.odd).to_pylist(), pc.match_substring_regex(texts, _LOOSE_SPACE).to_pylist()
-        for text, is_odd, is_loose in zip(texts, odd, loose):
-            yield self._encode(text.as_py(), is_odd, is_loose)
-
-    def _encode(self, text: str, odd: bool, loose: bool) -> bytes:
-        if not self.plain or odd:
-            return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        if loose:
-            first, *rest = _BEFORE_CHUNK.split(text)
-            rest = [c[1:] for c in rest]
-        else:
-            first, *rest = text.split(" ")
-        return self.first[first] + b"".join(map(self.after.__getitem__, rest))
-
-
-#: Control characters that libraries class differently, and a space before white space or the end.
-_ODD = "[\x1c-\x1f\x85]"
-_LOOSE_SPACE = " ([\t-\r \xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|$)"
-#: Empty places before a space that other than white space follows.
-_BEFORE_CHUNK = re.compile(r"(?= \S)")
+        """Little-endian ids of ``width`` bytes each, text by text; null counts as empty."""
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
+        texts = pc.fill_null(texts, "")
+        for part in text_slices(pa.record_batch([texts], ["text"]), "text", 1 << 20):
+            ids, begin = self.encode_slice(part.column(0))
+            for i, j in zip(begin[:-1].tolist(), begin[1:].tolist()):
+                yield ids[i:j].tobytes()
 
 
 class _Memo(dict):
@@ -149,11 +236,12 @@ def key_bytes(doc_id, repetition: int) -> bytes:
 
 
 def key_hashes(ids, repetitions) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(key_bytes(i, r), 1) for i, r in zip(ids, repetitions)), np.uint64, len(ids))
+    """128 bits of each key, as two numbers of 64: no two keys of a corpus share them."""
+    return np.frombuffer(b"".join(xxhash.xxh128_digest(key_bytes(i, r), 1) for i, r in zip(ids, repetitions)), ">u8").reshape(-1, 2).astype(np.uint64)
 
 
 class PerfectHash:
-    """A minimal perfect hash of distinct 64-bit hashes: levels of bits, each key alone at one place."""
+    """A minimal perfect hash of distinct 128-bit hashes (n, 2): levels of bits, each key alone at one place."""
 
     def __init__(self, levels: list[np.ndarray]):
         self.levels = levels
@@ -164,14 +252,18 @@ class PerfectHash:
             total += int(bits.sum())
         self.size = total
 
+    @staticmethod
+    def _at(hashes: np.ndarray, level: int, size: int) -> np.ndarray:
+        return (mix64(hashes[:, 0] + mix64(hashes[:, 1] + np.uint64(level + 1))) % np.uint64(size)).astype(np.int64)
+
     @classmethod
     def build(cls, hashes: np.ndarray) -> PerfectHash:
-        left, levels = np.unique(hashes), []
+        left, levels = np.unique(hashes, axis=0), []
         if len(left) != len(hashes):
-            raise ValueError("two keys with one hash")
+            raise ValueError("a key stands twice")
         while len(left):
             size = max(8, 2 * len(left))
-            at = (mix64(left + np.uint64(len(levels) + 1)) % np.uint64(size)).astype(np.int64)
+            at = cls._at(left, len(levels), size)
             alone = np.bincount(at, minlength=size) == 1
             levels.append(alone)
             left = left[~alone[at]]
@@ -181,12 +273,16 @@ class PerfectHash:
         """The slot of each key; -1 for those that are surely foreign."""
         out = np.full(len(hashes), -1, np.int64)
         for k, bits in enumerate(self.levels):
-            at = (mix64(hashes + np.uint64(k + 1)) % np.uint64(len(bits))).astype(np.int64)
+            at = self._at(hashes, k, len(bits))
             hit = (out < 0) & bits[at]
             out[hit] = self.before[k][at[hit]]
         return out
 
 
+def _fingerprints(hashes: np.ndarray) -> np.ndarray:
+    return mix64(hashes[:, 1] ^ np.uint64(0x5BD1E995)) >> np.uint64(32)
+
+
 _ROW = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("count", "<u8")])
 
 
@@ -194,7 +290,7 @@ def _save_part(hashes: np.ndarray, shard, offset, count) -> bytes:
     index = PerfectHash.build(hashes)
     rows = np.zeros(len(hashes), _ROW)
     at = index.slots(hashes)
-    rows["fingerprint"][at] = mix64(hashes ^ np.uint64(0x5BD1E995)) >> np.uint64(32)
+    rows["fingerprint"][at] = _fingerprints(hashes)
     rows["shard"][at], rows["offset"][at], rows["count"][at] = shard, offset, count
     out = io.BytesIO()
     sizes = np.array([len(b) for b in index.levels], np.int64)
@@ -213,7 +309,7 @@ def _find(part: tuple[PerfectHash, np.ndarray], hashes: np.ndarray) -> tuple[np.
     index, rows = part
     slots = index.slots(hashes)
     known = slots >= 0
-    known[known] = rows["fingerprint"][slots[known]] == mix64(hashes[known] ^ np.uint64(0x5BD1E995)) >> np.uint64(32)
+    known[known] = rows["fingerprint"][slots[known]] == _fingerprints(hashes[known])
     return known, rows[slots[known]]
 
 
@@ -267,7 +363,7 @@ def write_tokens(
 
     def index(key, pdf):
         store, at = open_store(path)
-        hashes = pdf["hash"].to_numpy().view(np.uint64)
+        hashes = _hashes_of(pdf)
         write_file(store, f"{at}/index-{key[0]:05d}.npz", _save_part(hashes, pdf["shard"].to_numpy(), pdf["offset"].to_numpy(), pdf["count"].to_numpy()))
         return pd.DataFrame({"part": [key[0]], "keys": [len(pdf)]})
 
@@ -279,15 +375,20 @@ def write_tokens(
 
 
 def _hashed(keys: DataFrame) -> DataFrame:
-    """keys (id, repetition, ...) with the 64-bit hash of each."""
+    """keys (id, repetition, ...) with the 128-bit hash of each, as hash and hash2."""
 
     def run(batches):
         for batch in batches:
             h = key_hashes(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            yield pa.record_batch([*batch.columns, pa.array(h.view(np.int64))], [*batch.schema.names, "hash"])
+            both = [pa.array(np.ascontiguousarray(h[:, k]).view(np.int64)) for k in (0, 1)]
+            yield pa.record_batch([*batch.columns, *both], [*batch.schema.names, "hash", "hash2"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema)
-    return keys.mapInArrow(run, f"{schema}, hash long")
+    return keys.mapInArrow(run, f"{schema}, hash long, hash2 long")
+
+
+def _hashes_of(pdf: pd.DataFrame) -> np.ndarray:
+    return np.ascontiguousarray(pdf[["hash", "hash2"]].to_numpy(np.int64)).view(np.uint64)
 
 
 def read_manifest(path: str) -> dict:
@@ -306,7 +407,7 @@ def locate(keys: DataFrame, path: str) -> DataFrame:
         name = f"{at}/index-{key[0]:05d}.npz"
         if store.get_file_info(name).is_file:
             with store.open_input_stream(name) as f:
-                known, rows = _find(_load_part(f.read()), pdf["hash"].to_numpy().view(np.uint64))
+                known, rows = _find(_load_part(f.read()), _hashes_of(pdf))
         else:
             known, rows = np.zeros(len(pdf), bool), np.zeros(0, _ROW)
         found = pdf.loc[known, ["id", "repetition"]].reset_index(drop=True)
