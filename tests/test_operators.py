@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracewell.functions import rng, text
-from tracewell.operators import calibration, detectors, flatten, merge, nullmodel, proximity, quality, resolve, rollups, themes
+from tracewell.operators import calibration, detectors, flatten, merge, nullmodel, ordering, proximity, quality, resolve, rollups, themes
 from tracewell.sources import readers, sinks
 from tracewell.streaming.proximity import near_votes_stream, write_near_votes
 
@@ -49,7 +49,7 @@ def test_next_same_kind_edges(spark):
 
 def test_draws_are_the_sequence(spark):
     got = [r[0] for r in spark.range(5).select(rng.draw(F.lit(12345), F.col("id"))).collect()]
-    assert got == rng.draws(12345, 5)
+    assert got == rng.draws(12345, 5).tolist()
     assert value(spark, rng.seed_from(F.col("s")), s="") == 0x811C9DC5
     h = 0x811C9DC5
     for c in "member-7":
@@ -99,7 +99,7 @@ def test_summary_of_a_constant_null(spark):
 
 def test_scramble_keeps_marginals(spark):
     confirms = spark.createDataFrame([(f"r{i}", f"T{i % 5}") for i in range(40)], "recipient_key string, ticker string")
-    control = nullmodel.scrambled(confirms, [], ["ticker"], ["recipient_key"], 3, 1)
+    control = nullmodel.scrambled(confirms, [], ["ticker"], ["recipient_key"], 3, "s")
     for k in range(3):
         one = control.where(F.col("replicate") == k)
         assert sorted(r["ticker"] for r in one.collect()) == sorted(r["ticker"] for r in confirms.collect())
@@ -164,7 +164,7 @@ def test_replace_scope_twice_is_once_and_clears(spark):
 
 
 def test_bands_tiers_and_statements(spark):
-    assert [value(spark, detectors.power_band(F.col("n")), n=n) for n in (4, 5, 9, 10)] == ["insufficient", "exploratory", "exploratory", "ranked"]
+    assert [value(spark, detectors.power_band(F.col("n")), n=n) for n in (4, 5, 9, 10)] == ["insufficient-data", "low-power", "low-power", "ranked"]
     assert value(spark, detectors.pattern_tier(F.col("i"), F.col("p")), i=0.9, p=0.2) == "low" and value(spark, detectors.pattern_tier(F.col("i"), F.col("p")), i=0.9, p=0.01) == "high"
     assert value(spark, detectors.confidence_statement(F.col("o"), F.col("e"), F.col("p")), o=4.0, e=2.0, p=0.01).startswith("2.0 times")
 
@@ -235,10 +235,136 @@ def test_sources_and_sinks(spark, tmp_path):
     level = spark.createDataFrame([("awards", "d", 2024, [("1", "n", 5.0)])], "spending_level string, district string, cy int, rows array<struct<code string, name string, amount double>>")
     with pytest.raises(Exception, match="spending_level"):
         readers.contract_rows(level).collect()
-    hits = spark.createDataFrame([("p1", 1), ("p2", 2)], "pattern string, member_id int")
-    sinks.write_hits(hits, str(tmp_path / "hits"))
-    sinks.write_hits(spark.createDataFrame([("p1", 9)], "pattern string, member_id int"), str(tmp_path / "hits"))
-    assert rows(spark.read.parquet(str(tmp_path / "hits")).select("member_id", "pattern")) == [(2, "p2"), (9, "p1")]
+    hits = "pattern string, member_id int, finding string"
+    write = lambda found, ran: sinks.write_hits(spark.createDataFrame(found, hits), spark.createDataFrame(ran, "pattern string, member_id int"), str(tmp_path / "hits"))
+    stored = lambda: rows(sinks.read_hits(spark, str(tmp_path / "hits"), hits).select("pattern", "member_id", "finding"))
+    write([("p1", 1, "a"), ("p1", 2, "b"), ("p2", 2, "c")], [("p1", 1), ("p1", 2), ("p2", 2)])
+    write([("p1", 1, "z")], [("p1", 1)])  # other members' hits stay
+    assert stored() == [("p1", 1, "z"), ("p1", 2, "b"), ("p2", 2, "c")]
+    write([], [("p2", 2), ("p1", 2)])  # a scope that found nothing is cleared
+    assert stored() == [("p1", 1, "z")]
+    write([("p1", 1, "z")], [("p1", 1)])  # twice is once
+    assert stored() == [("p1", 1, "z")]
+    scored = spark.createDataFrame([("p1", 1, "m", 3, 1.5, 0.01, 2.0, 100)], "pattern string, member_id int, null_model string, observed int, expected double, p_value double, z_score double, n_perm int")
+    full = sinks.with_statistics(sinks.with_statistics(spark.createDataFrame([("p1", 1, "z"), ("p9", 1, "y")], hits).withColumns({c: F.lit(None) for c in sinks.STATISTICS}), scored), scored)
+    assert rows(full.select("pattern", "p_value")) == [("p1", 0.01), ("p9", None)]
+    receipts = spark.createDataFrame([(1, 12, "ranked", 2, "t2", 0.5), (1, 12, "ranked", 1, "t1", 0.1), (2, 3, "insufficient-data", 1, "t3", None)], "member_id int, trade_count int, band string, place int, trade_id string, p_pair double")
+    sinks.write_receipts(receipts, str(tmp_path / "receipts"), 1)
+    docs = sorted((json.loads(line) for f in (tmp_path / "receipts").glob("part*") for line in f.read_text().splitlines()), key=lambda d: d["member_id"])
+    assert [[r["trade_id"] for r in d["receipts"]] for d in docs] == [["t1", "t2"], ["t3"]] and docs[0]["band"] == "ranked"
+
+
+def test_lobbying_recipients_and_seeds(spark, tmp_path):
+    person = lambda i, position: {"lobbyist": {"id": i, "first_name": "Ann", "middle_name": None, "last_name": "Lee"}, "covered_position": position, "new": True}
+    filing = {"filing_uuid": "f", "filing_year": 2024, "registrant": {"name": "R"}, "client": {"name": "C"}, "income": "10.5", "expenses": None, "dt_posted": "2024-01-02",
+              "lobbying_activities": [{"general_issue_code_display": "Taxes", "government_entities": [{"name": "SENATE"}], "lobbyists": [person(7, "N/A"), {"lobbyist": None}]},
+                                      {"general_issue_code_display": "Trade", "government_entities": [{"name": "HOUSE"}, {"name": None}], "lobbyists": [person(7, " Aide ")]}]}
+    (tmp_path / "lda.json").write_text(json.dumps(filing))
+    (tmp_path / "empty.json").write_text(json.dumps({"filing_uuid": "g"}))
+    saved, bad = readers.read_json(spark, str(tmp_path / "*.json"), readers.LOBBYING_FILING)
+    flat = readers.lobbying_filings(saved)
+    assert rows(flat.select("filing_id", "registrant_name", "income", F.size("activities"))) == [("f", "R", 10.5, 2), ("g", None, None, 0)] and bad.count() == 0
+    assert rows(flatten.lobbyists(flat)) == [("f", "7", "Ann Lee", "Taxes / Trade", "Aide", "HOUSE; SENATE")]
+    assert rows(flatten.with_usable_position(flat).select("filing_id")) == [("f",)]
+    (tmp_path / "rec").mkdir()
+    (tmp_path / "rec/a.json").write_text(json.dumps({"district": "d", "cy": 2024, "rows": [{"recipient_id": None, "name": "Solo", "amount": 1.5}, {"recipient_id": "r1", "name": "Named", "amount": 2.0}]}))
+    rollup, _ = readers.read_json(spark, str(tmp_path / "rec"), readers.RECIPIENT_ROLLUP)
+    assert rows(readers.recipient_rows(rollup).select("recipient_key", "amount")) == [("Solo", 1.5), ("r1", 2.0)]
+    (tmp_path / "seed.csv").write_text("sic,theme\n1311,Energy\n")
+    assert rows(readers.read_seed(spark, str(tmp_path / "seed.csv"), "sic string, theme string")) == [("1311", "Energy")]
+    (tmp_path / "broken.csv").write_text("sic,theme\n1311,Energy,more\n")
+    with pytest.raises(Exception):
+        readers.read_seed(spark, str(tmp_path / "broken.csv"), "sic int, theme string").collect()
+
+
+def plain_hits(days, first, last, window):
+    return [any(d <= v <= d + window for v in days) for d in range(first, last + 1)]
+
+
+@pytest.mark.parametrize("days,window", [([], 3), ([5], 0), ([5], 3), ([1, 2, 9, 30], 4), ([1, 30], 90), ([30], 100)])
+def test_hit_days(spark, days, window):
+    df = spark.createDataFrame([(days, 1, 30)], "days array<int>, first int, last int")
+    got = df.select(nullmodel.hit_days(F.col("days"), F.col("first"), F.col("last"), window).alias("x")).first()["x"]
+    assert got == plain_hits(days, 1, 30, window)
+
+
+def one_by_one(days, line):
+    out = list(days)
+    for n, i in enumerate(range(len(out) - 1, 0, -1)):
+        j = int(line[n] * (i + 1))
+        out[i], out[j] = out[j], out[i]
+    return out
+
+
+def test_shuffle_null_is_a_shuffle_at_a_time(spark):
+    trades = spark.createDataFrame([(1, i, D(2024, 1, 1) + dt.timedelta(days=7 * i), f"T{i % 3}") for i in range(15)], "member_id int, slot int, tx_date date, instrument string")
+    votes = spark.createDataFrame([(1, f"v{i}", D(2024, 1, 10) + dt.timedelta(days=31 * i), i % 2 == 0, ["T1"] if i % 2 else []) for i in range(5)], "member_id int, vote_id string, vote_date date, committee boolean, named array<string>")
+    got = {p: n for _, p, n in rows(nullmodel.shuffle_null(trades, votes, 30, "a", block=8))}
+    seed = value(spark, rng.seed_from(F.col("s")), s="a:1")
+    line, known = rng.draws(seed, 30 * 14), votes.collect()
+    own = sorted(trades.collect(), key=lambda r: r["slot"])
+    for perm in range(30):
+        moved = one_by_one([t["tx_date"] for t in own], line[perm * 14 : perm * 14 + 14])
+        assert got[perm] == sum(any(0 <= (v["vote_date"] - d).days <= 14 and (v["committee"] or t["instrument"] in v["named"]) for v in known) for t, d in zip(own, moved))
+
+
+@pytest.mark.parametrize("mode", ["calendar", "shuffle"])
+def test_pair_lower_tail_is_a_draw_at_a_time(spark, mode):
+    schema = "member_id int, slot int, trade_id string, tx_date date, theme string"
+    own = [(1, i, f"t{i if i < 10 else 9}", D(2024, 1, 1) + dt.timedelta(days=9 * i), "AB"[i % 2] if i < 10 else "B") for i in range(12)]
+    trades = spark.createDataFrame(own, schema)
+    known = [(1, f"v{i}", D(2024, 1, 20) + dt.timedelta(days=23 * i), "AB"[i % 2]) for i in range(6)]
+    votes = spark.createDataFrame(known, "member_id int, vote_id string, vote_date date, theme string")
+    gaps = nullmodel.observed_gaps(trades, votes)
+    observed = {r["trade_id"]: r["observed_gap"] for r in gaps.collect()}
+    next_gap = lambda day, theme: min(((v[2] - day).days for v in known if v[3] == theme and 0 <= (v[2] - day).days <= 90), default=None)
+    assert observed == {i: g for i in {t[2] for t in own} if (g := min((x for t in own if t[2] == i and (x := next_gap(t[3], t[4])) is not None), default=None)) is not None}
+    got = {r["trade_id"]: r["p_pair"] for r in nullmodel.pair_lower_tail(trades, votes, 40, "a", gaps, mode, block=7).collect()}
+    seed, n = value(spark, rng.seed_from(F.col("s")), s="a:1"), len(own)
+    dates = [t[3] for t in own] + [v[2] for v in known]
+    pool = [d for k in range((max(dates) - min(dates)).days + 1) if (d := min(dates) + dt.timedelta(days=k)).weekday() < 5]
+    hits = dict.fromkeys(observed, 0)
+    line = rng.draws(seed, 40 * n)
+    for perm in range(40):
+        if mode == "calendar":
+            moved = [pool[int(line[perm * n + i] * len(pool))] for i in range(n)]
+        else:
+            moved = one_by_one([t[3] for t in own], line[perm * (n - 1) : (perm + 1) * (n - 1)])
+        for i in {t[2] for t, d in zip(own, moved) if t[2] in observed and (g := next_gap(d, t[4])) is not None and g <= observed[t[2]]}:
+            hits[i] += 1
+    assert got == {i: pytest.approx((h + 1) / 41) for i, h in hits.items()}
+
+
+def test_vote_attributes_travel_together(spark):
+    votes = spark.createDataFrame([(m, f"v{i}", D(2024, 1, 1) + dt.timedelta(days=i), i % 3 == 0, [f"T{i}"]) for m in (1, 2) for i in range(9)], "member_id int, vote_id string, vote_date date, committee boolean, named array<string>")
+    control = nullmodel.scrambled(votes, ["member_id"], ["committee", "named"], ["vote_id"], 4, "s")
+    tuples = lambda df: sorted((r["member_id"], r["committee"], r["named"][0]) for r in df.collect())
+    for k in range(4):
+        one = control.where(F.col("replicate") == k)
+        assert tuples(one) == tuples(votes) and rows(one.select("member_id", "vote_id", "vote_date")) == rows(votes.select("member_id", "vote_id", "vote_date"))
+    assert len({tuple(r["named"][0] for r in sorted(control.where(F.col("replicate") == k).collect(), key=lambda r: (r["member_id"], r["vote_id"]))) for k in range(4)}) == 4
+
+
+def test_receipts_by_band(spark):
+    pairs = spark.createDataFrame([(m, f"t{i}", D(2024, 1, 1 + i), "X", f"v{i}", "Tech", 3) for m in (1, 2) for i in range(3)], "member_id int, trade_id string, tx_date date, ticker string, vote_id string, theme string, days_before_vote int")
+    trades = spark.createDataFrame([(1,)] * 4 + [(2,)] * 10, "member_id int")
+    p = spark.createDataFrame([(m, f"t{i}", 0.3 - i / 10) for m in (1, 2) for i in range(2)], "member_id int, trade_id string, p_pair double")
+    got = rows(detectors.theme_gap_receipts(pairs, trades, p).select("member_id", "place", "trade_id", "band", F.round("p_pair", 2)))
+    assert got == [(1, 1, "t0", "insufficient-data", None), (1, 2, "t1", "insufficient-data", None), (1, 3, "t2", "insufficient-data", None), (2, 1, "t1", "ranked", 0.2), (2, 2, "t0", "ranked", 0.3), (2, 3, "t2", "ranked", None)]
+
+
+def test_numbering_in_two_levels(spark):
+    df = spark.createDataFrame([(g, (i * 7919) % 1000 / 1000, i) for g in ("a", None) for i in range(500)], "g string, u double, i int")
+    for unit in (None, "u"):
+        got = ordering.numbered(df, ["g"], [F.col("u"), F.col("i")], "n", unit).collect()
+        for g in ("a", None):
+            assert [r["n"] for r in sorted((r for r in got if r["g"] == g), key=lambda r: (r["u"], r["i"]))] == list(range(500))
+
+
+def test_names_that_contain_short_and_long_parts(spark):
+    members = spark.createDataFrame([(1, "Ann Le", "CA", None), (2, "Bob Leeson", "CA", None), (3, "Cy Ng", "CA", None)], "member_id int, name string, state string, district string")
+    filers = spark.createDataFrame([("X Lee", "CA", None), ("X Ng", "CA", None), ("X Le", "CA", None), ("X Leeson", "NY", None)], "filer string, state string, district string")
+    assert rows(resolve.resolve_filers(filers, members).select("filer", "member_id", "confidence")) == [("X Le", 1, 0.7), ("X Lee", 2, 1.0), ("X Leeson", None, None), ("X Ng", 3, 1.0)]
 
 
 def test_identity_sources(spark):

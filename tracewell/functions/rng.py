@@ -7,6 +7,7 @@ the 64 bits of a long.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,8 +22,7 @@ def _low(c: Column) -> Column:
 
 def _times(a: Column, b: Column) -> Column:
     """Low 32 bits of a product of two unsigned 32-bit numbers held as longs."""
-    high = F.shiftright(a, 16) * b.bitwiseAND(F.lit(0xFFFF)) + a.bitwiseAND(F.lit(0xFFFF)) * F.shiftright(b, 16)
-    return _low(F.shiftleft(high.bitwiseAND(F.lit(0xFFFF)), 16) + a.bitwiseAND(F.lit(0xFFFF)) * b.bitwiseAND(F.lit(0xFFFF)))
+    return _low(a * b.bitwiseAND(F.lit(0xFFFF)) + F.shiftleft((a * F.shiftright(b, 16)).bitwiseAND(F.lit(0xFFFF)), 16))
 
 
 def draw(seed: Column, k: Column) -> Column:
@@ -41,12 +41,9 @@ def seed_from(text: Column) -> Column:
     return F.aggregate(codes, start, lambda h, c: _times(h.bitwiseXOR(c), F.lit(HASH_FACTOR).cast("long")))
 
 
-def draws(seed: int, n: int) -> list[float]:
-    """The same sequence one after another, for tasks that shuffle in place and for tests."""
-    out, a = [], seed & MASK
-    for _ in range(n):
-        a = (a + STEP) & MASK
-        t = (a ^ a >> 15) * (a | 1) & MASK
-        t = (t + (t ^ t >> 7) * (t | 61) & MASK) ^ t
-        out.append((t ^ t >> 14) / 4294967296)
-    return out
+def draws(seed: int, n: int) -> np.ndarray:
+    """The first n draws of a sequence at once, for tasks that shuffle arrays and for tests."""
+    a = (np.uint64(seed & MASK) + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(STEP)).astype(np.uint32)
+    t = (a ^ a >> np.uint32(15)) * (a | np.uint32(1))
+    t = (t + (t ^ t >> np.uint32(7)) * (t | np.uint32(61))) ^ t
+    return (t ^ t >> np.uint32(14)) / 4294967296

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,12 +29,33 @@ BILL_KINDS = {
     "hr": ("H", "R"),
     "s": ("S",),
 }
-#: Upper bounds of the first two digits of an industry code, and the group's name.
+#: First and last of the first two digits of an industry code, and the group's name.
 SIC_GROUPS = (
-    (9, "Agriculture, Forestry, Fishing"), (14, "Mining"), (17, "Construction"), (39, "Manufacturing"),
-    (49, "Transportation & Utilities"), (51, "Wholesale Trade"), (59, "Retail Trade"),
-    (67, "Finance, Insurance, Real Estate"), (89, "Services"), (99, "Public Administration"),
-)
+    (1, 9, "Agriculture, Forestry & Fishing"),
+    (10, 14, "Mining & Extraction"),
+    (15, 17, "Construction"),
+    (20, 39, "Manufacturing"),
+    (40, 49, "Transportation & Utilities"),
+    (50, 51, "Wholesale Trade"),
+    (52, 59, "Retail Trade"),
+    (60, 67, "Finance, Insurance & Real Estate"),
+    (70, 89, "Services"),
+    (91, 99, "Public Administration"),
+)
+#: How the public site's addresses write the kinds of bills.
+BILL_URL_KINDS = {
+    "hr": "house-bill",
+    "s": "senate-bill",
+    "hres": "house-resolution",
+    "sres": "senate-resolution",
+    "hjres": "house-joint-resolution",
+    "sjres": "senate-joint-resolution",
+    "hconres": "house-concurrent-resolution",
+    "sconres": "senate-concurrent-resolution",
+}
+#: Codes of the House's filings for holders and kinds of transactions.
+HOLDER_CODES = {"SP": "spouse", "JT": "joint", "DC": "dependent-child", "": "self"}
+TRANSACTION_CODES = {"P": "purchase", "S": "sale", "S (partial)": "sale-partial", "E": "exchange", "X": "exchange"}
 
 
 def _squeeze(c: Column) -> Column:
@@ -134,50 +157,68 @@ def iso_date(raw: Column) -> Column:
     return F.coalesce(F.try_to_date(F.nullif(F.regexp_extract(raw, r"^(\d{4}-\d{2}-\d{2})", 1), F.lit(""))), F.try_to_date(F.nullif(us, F.lit("")), "M/d/yyyy"))
 
 
+def bill_source_url(congress: Column, kind: Column, number: Column) -> Column:
+    """The public address of a bill; a kind that isn't known stands as it is."""
+    known = F.create_map(*(F.lit(x) for pair in BILL_URL_KINDS.items() for x in pair))
+    low = F.lower(kind)
+    return F.concat(F.lit("https://www.congress.gov/bill/"), congress.cast("string"), F.lit("th-congress/"), F.coalesce(F.try_element_at(known, low), low), F.lit("/"), number.cast("string"))
+
+
 def normalise_vote(raw: Column) -> Column:
-    """yea, nay, abstain, absent; null for null, other words in lower case."""
-    v = F.lower(F.trim(raw))
-    return (
-        F.when(v.isin("yea", "yes", "aye"), "yea")
-        .when(v.isin("nay", "no"), "nay")
-        .when(v.isin("present", "abstain"), "abstain")
-        .when(v.isin("not voting", "absent"), "absent")
-        .otherwise(v)
-    )
+    """yea, nay, abstain; all else is absent."""
+    v = F.lower(raw)
+    return F.when(v.isin("yea", "yes", "aye"), "yea").when(v.isin("nay", "no"), "nay").when(v == "present", "abstain").otherwise("absent")
+
+
+def _says(text: Column, *words: str) -> Column:
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return reduce(lambda a, b: a | b, (F.contains(low, F.lit(w)) for w in words))
 
 
 def bill_status(action: Column) -> Column:
-    """Status from the text of the latest action; the first that fits."""
-    a = F.lower(F.coalesce(action, F.lit("")))
+    """introduced, passed, failed or signed, from the text of a sponsored bill's latest action; the first that fits."""
+    return F.when(_says(action, "became public law", "signed by president"), "signed").when(_says(action, "passed"), "passed").when(_says(action, "failed", "rejected"), "failed").otherwise("introduced")
+
+
+def researched_bill_status(action: Column) -> Column:
+    """The same of a researched bill, whose texts are looser: any signing, agreement or veto counts."""
     return (
-        F.when(a.contains("became public law") | a.contains("signed by president"), "enacted")
-        .when(a.contains("veto"), "vetoed")
-        .when(a.contains("passed"), "passed")
-        .when(a.contains("failed"), "failed")
-        .when(a.contains("committee"), "in committee")
+        F.when(_says(action, "became public law", "signed"), "signed")
+        .when(_says(action, "passed", "agreed to"), "passed")
+        .when(_says(action, "failed", "vetoed", "rejected"), "failed")
         .otherwise("introduced")
     )
 
 
-def transaction_type(code: Column) -> Column:
-    """purchase, sale, sale_partial, exchange from a letter or a word."""
-    c = F.lower(F.trim(code))
-    return (
-        F.when(c.startswith("p"), "purchase")
-        .when(c.contains("partial"), "sale_partial")
-        .when(c.startswith("s"), "sale")
-        .when(c.startswith("e"), "exchange")
-        .otherwise(c)
-    )
+def _of(table: dict[str, str], code: Column) -> Column:
+    return F.try_element_at(F.create_map(*(F.lit(x) for pair in table.items() for x in pair)), code)
+
+
+def holder_code(code: Column) -> Column:
+    """Whose asset, from a House filing's code; no code is the member; null for a code that isn't known."""
+    return _of(HOLDER_CODES, F.coalesce(F.trim(code), F.lit("")))
+
+
+def transaction_code(code: Column) -> Column:
+    """Kind of transaction, from a House filing's code; null for a code that isn't known."""
+    return _of(TRANSACTION_CODES, F.trim(code))
+
+
+def owner(raw: Column) -> Column:
+    """Whose asset, from a Senate filing's words."""
+    return F.when(_says(raw, "spouse"), "spouse").when(_says(raw, "dependent"), "dependent-child").when(_says(raw, "joint"), "joint").otherwise("self")
+
+
+def transaction_type(raw: Column) -> Column:
+    """Kind of transaction, from a Senate filing's words; other words stay, in lower case."""
+    known = F.when(_says(raw, "partial"), "sale-partial").when(_says(raw, "sale"), "sale").when(_says(raw, "purchase"), "purchase").when(_says(raw, "exchange"), "exchange")
+    return known.otherwise(F.lower(F.trim(raw)))
 
 
 def sic_group(sic: Column) -> Column:
-    """Major group of a four-digit industry code."""
-    two = F.floor(sic / 100)
-    out = F.lit(None).cast("string")
-    for most, name in reversed(SIC_GROUPS):
-        out = F.when(two <= most, name).otherwise(out)
-    return F.when(sic.isNotNull() & (two >= 1), out)
+    """Major group of an industry code, given as text, from its first two digits; null for digits of no group."""
+    two = F.nullif(F.regexp_extract(sic, r"^\s*(\d{1,2})", 1), F.lit("")).cast("int")
+    return F.coalesce(*(F.when(two.between(low, high), name) for low, high, name in SIC_GROUPS))
 
 
 def role_rank(role: Column) -> Column:

@@ -27,12 +27,9 @@ def predictions(votes: DataFrame, members: DataFrame) -> DataFrame:
     each = members.select("member_id", "party", "chamber").join(
         binary.groupBy("member_id").agg(F.count_if(F.col("position") == "yea").alias("y"), F.count("*").alias("t")), "member_id", "left"
     )
-    peers = Window.partitionBy("party", "chamber")
-    with_peers = each.select(
-        "member_id",
-        (F.sum(F.coalesce("y", F.lit(0))).over(peers) - F.coalesce("y", F.lit(0))).alias("peer_y"),
-        (F.sum(F.coalesce("t", F.lit(0))).over(peers) - F.coalesce("t", F.lit(0))).alias("peer_t"),
-        (F.count("*").over(peers) - 1).alias("n_peers"),
+    groups = each.groupBy(F.col("party").alias("_party"), F.col("chamber").alias("_chamber")).agg(F.sum(F.coalesce("y", F.lit(0))).alias("_y"), F.sum(F.coalesce("t", F.lit(0))).alias("_t"), F.count("*").alias("_n"))
+    with_peers = each.join(groups, F.expr("party <=> _party and chamber <=> _chamber")).select(
+        "member_id", (F.col("_y") - F.coalesce("y", F.lit(0))).alias("peer_y"), (F.col("_t") - F.coalesce("t", F.lit(0))).alias("peer_t"), (F.col("_n") - 1).alias("n_peers")
     )
     rows = own.join(with_peers, "member_id")
     own_rate = F.col("yeas") / F.col("total")

@@ -166,14 +166,15 @@ def best_findings(before: DataFrame, window: int = 30, k: int = 5) -> DataFrame:
     return top_rows(second, ["member_id"], [F.col("score").desc(), F.col("days_before_vote"), F.col("tx_date").desc(), F.col("ticker").asc_nulls_last(), F.col("asset")], k)
 
 
-def finding_level(findings: DataFrame) -> DataFrame:
-    """(member_id, n, level): high, medium or low; members without findings have none."""
+def finding_level(findings: DataFrame, members: DataFrame) -> DataFrame:
+    """(member_id, n, level) of every member: none, low, medium or high."""
     days, on = F.col("days_before_vote"), F.col("member_on_bill_committee")
     found = findings.groupBy("member_id").agg(
         F.count("*").alias("n"), F.count_if(days == 0).alias("same_day"), F.max((days <= 3) & on).alias("close_on"), F.max(days <= 3).alias("close"), F.max(on).alias("on")
     )
     high = F.col("close_on") | (F.col("same_day") >= 3)
-    return found.select("member_id", "n", F.when(high, "high").when(F.col("close") | F.col("on"), "medium").otherwise("low").alias("level"))
+    level = F.when(F.col("n").isNull(), "none").when(high, "high").when(F.col("close") | F.col("on"), "medium").otherwise("low")
+    return members.select("member_id").join(found, "member_id", "left").select("member_id", F.coalesce("n", F.lit(0)).alias("n"), level.alias("level"))
 
 
 def named_in_roles(roles: DataFrame, members: DataFrame) -> DataFrame:
@@ -205,7 +206,23 @@ def revolving_door(roles: DataFrame, members: DataFrame, keywords: DataFrame, as
 
 
 def power_band(n_trades: Column) -> Column:
-    return F.when(n_trades < 5, "insufficient").when(n_trades < 10, "exploratory").otherwise("ranked")
+    """How much a member's number of trades that map to a theme lets one say."""
+    return F.when(n_trades < 5, "insufficient-data").when(n_trades < 10, "low-power").otherwise("ranked")
+
+
+def theme_gap_receipts(nexus: DataFrame, trades: DataFrame, p_values: DataFrame) -> DataFrame:
+    """One row for each nexus row (member_id, trade_id, tx_date, ticker, vote_id, ...) with the member's trade_count and band, p_pair and its place.
+
+    trades: all of a member's trades that map to a theme. Receipts stand in the order of time; in
+    the band "ranked" in that of p_pair, missing ones counting as 1. With insufficient data p_pair is null.
+    """
+    counts = trades.groupBy("member_id").agg(F.count("*").alias("trade_count"))
+    rows = nexus.join(counts, "member_id", "left").withColumn("trade_count", F.coalesce("trade_count", F.lit(0))).withColumn("band", power_band(F.col("trade_count")))
+    p = F.when(F.col("band") != "insufficient-data", F.col("_p"))
+    known = rows.join(p_values.select("member_id", "trade_id", F.col("p_pair").alias("_p")), ["member_id", "trade_id"], "left").withColumn("p_pair", p).drop("_p")
+    first = F.when(F.col("band") == "ranked", F.coalesce("p_pair", F.lit(1.0)))
+    order = Window.partitionBy("member_id").orderBy(first, "tx_date", "trade_id", "ticker", "vote_id", "theme")
+    return known.withColumn("place", F.row_number().over(order))
 
 
 def row_tier(score: Column) -> Column:

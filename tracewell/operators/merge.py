@@ -50,9 +50,13 @@ def keep_linkage(new: DataFrame, old: DataFrame, keys: list[str], column: str) -
     return new.join(known, keys, "left").select(*(F.coalesce(c, "_known").alias(c) if c == column else F.col(c) for c in new.columns))
 
 
-def delete_where_not(df: DataFrame, column: str, value) -> DataFrame:
-    """Rows whose column equals the value stay; all others go, nulls too."""
-    return df.where(F.col(column).eqNullSafe(F.lit(value)))
+def delete_where_not(df: DataFrame, column: str, value, scopes: DataFrame | None = None, key: str = "member_id") -> DataFrame:
+    """Of the scopes' rows (all rows without scopes) those whose column equals the value stay; all others go, nulls too. Rows of other scopes stay."""
+    keep = F.col(column).eqNullSafe(F.lit(value))
+    if scopes is None:
+        return df.where(keep)
+    inside = scopes.select(F.col(key).alias("_scope")).distinct()
+    return df.join(inside, F.col(key) == F.col("_scope"), "left").where(F.col("_scope").isNull() | keep).select(df.columns)
 
 
 def work_list(wanted: DataFrame, done: DataFrame, key: str) -> DataFrame:

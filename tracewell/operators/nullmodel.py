@@ -6,7 +6,8 @@ slot), so no state passes from one to the next, and counts are summed before any
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,6 +15,7 @@ from pyspark.sql.window import Window
 from tracewell.functions.rng import draw, draws, seed_from
 
 from .detectors import no_market_fund, no_word
+from .ordering import numbered
 
 NEXUS_DAYS, GAP_DAYS, SHUFFLE_FROM = 14, 90, 50
 
@@ -26,97 +28,158 @@ def substrate(before: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     instrument = F.upper(F.coalesce("ticker", "asset")).alias("instrument")
     trades = before.where(no_market_fund()).select("member_id", "filing_id", "tx_date", "tx_type", instrument).distinct()
-    slot = F.row_number().over(Window.partitionBy("member_id").orderBy("filing_id", "tx_date", "tx_type", "instrument")) - 1
+    slot = F.row_number().over(Window.partitionBy("member_id").orderBy("filing_id", "tx_date", "tx_type", "instrument")) - 1  # a person's trades
     named = F.when(F.col("bill_mentions_ticker") & no_word(), F.upper("ticker"))
     votes = before.groupBy("member_id", "vote_id", "vote_date").agg(F.max("member_on_bill_committee").alias("committee"), F.array_sort(F.collect_set(named)).alias("named"))
     return trades.withColumn("slot", slot), votes
 
 
-def _vote_days(votes: DataFrame) -> DataFrame:
-    """One row per member: sorted days of committee votes, sorted days by named ticker."""
-    day = F.unix_date("vote_date")
-    committee = votes.groupBy("member_id").agg(F.array_sort(F.collect_set(F.when(F.col("committee"), day))).alias("committee_days"))
-    by_ticker = votes.select("member_id", day.alias("day"), F.explode("named").alias("t")).groupBy("member_id", "t").agg(F.array_sort(F.collect_set("day")).alias("days"))
-    named = by_ticker.groupBy("member_id").agg(F.map_from_entries(F.collect_list(F.struct("t", "days"))).alias("named_days"))
-    return committee.join(named, "member_id", "left")
+def hit_days(days: Column, first: Column, last: Column, window: Column | int) -> Column:
+    """For each day from first to last whether one of the sorted days comes on it or up to ``window`` days later.
 
+    Built in one pass: between two of the days the last ``window`` + 1 hit and those before don't.
+    """
+    whole = lambda c: c.cast("int")
+    window = F.lit(window) if isinstance(window, int) else window
+    lead = lambda before, day: F.concat(
+        F.array_repeat(F.lit(False), whole(F.greatest(day - before - window - 1, F.lit(0)))), F.array_repeat(F.lit(True), whole(F.least(day - before, window + 1)))
+    )
+    before = F.concat(F.array(whole(first - 1)), F.slice(days, 1, F.greatest(F.size(days) - 1, F.lit(0))))
+    some = F.concat(F.flatten(F.zip_with(before, days, lead)), F.array_repeat(F.lit(False), whole(last - F.try_element_at(days, F.lit(-1)))))
+    return F.when(F.coalesce(F.size(days), F.lit(0)) > 0, some).otherwise(F.array_repeat(F.lit(False), whole(last - first + 1)))
+
+
+def _spans(trades: DataFrame, votes: DataFrame) -> DataFrame:
+    """(member_id, first, last): day numbers of each member's first and last trade or vote."""
+    dates = trades.select("member_id", F.unix_date("tx_date").alias("d")).unionAll(votes.select("member_id", F.unix_date("vote_date").alias("d")))
+    return dates.groupBy("member_id").agg(F.min("d").alias("first"), F.max("d").alias("last"))
 
-def _within(days: Column, day: Column, window: int) -> Column:
-    return F.coalesce(F.exists(days, lambda d: d.between(day, day + window)), F.lit(False))
+
+def _member_hits(trades: DataFrame, votes: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """(member_id, first, last, committee_on) and (member_id, instrument, named_on): the days that committee votes, and votes that name the ticker, make hits.
+
+    Found once for a member, and once for a ticker that a bill names, not for each trade. An
+    array is as long as the member's span of days.
+    """
+    day, spans = F.unix_date("vote_date"), _spans(trades, votes)
+    committee = votes.where("committee").groupBy("member_id").agg(F.array_sort(F.collect_set(day)).alias("days"))
+    by_member = spans.join(committee, "member_id", "left").select("member_id", "first", "last", hit_days(F.col("days"), F.col("first"), F.col("last"), window).alias("committee_on"))
+    by_ticker = votes.select("member_id", day.alias("day"), F.explode("named").alias("instrument")).groupBy("member_id", "instrument").agg(F.array_sort(F.collect_set("day")).alias("days"))
+    named = by_ticker.join(spans, "member_id").select("member_id", "instrument", hit_days(F.col("days"), F.col("first"), F.col("last"), window).alias("named_on"))
+    return by_member, named
 
 
-def _is_nexus(day: Column, window: int) -> Column:
-    return _within(F.col("committee_days"), day, window) | _within(F.try_element_at("named_days", F.col("instrument")), day, window)
+def _is_nexus(day: Column) -> Column:
+    """Whether a day is a hit, by the arrays of the trade's member and ticker."""
+    at = (day - F.col("first")).cast("int")
+    return F.coalesce(F.get("committee_on", at), F.lit(False)) | F.coalesce(F.get("named_on", at), F.lit(False))
 
 
 def observed_nexus(trades: DataFrame, votes: DataFrame, window: int = NEXUS_DAYS) -> DataFrame:
     """(member_id, n_trades, observed): trades that a committee vote or a vote naming their ticker follows within the window, each once."""
-    rows = trades.join(_vote_days(votes), "member_id", "left")
-    return rows.groupBy("member_id").agg(F.count("*").alias("n_trades"), F.count_if(_is_nexus(F.unix_date("tx_date"), window)).alias("observed"))
+    by_member, named = _member_hits(trades, votes, window)
+    rows = trades.select("member_id", "instrument", "tx_date").join(by_member, "member_id").join(named, ["member_id", "instrument"], "left")
+    return rows.groupBy("member_id").agg(F.count("*").alias("n_trades"), F.count_if(_is_nexus(F.unix_date("tx_date"))).alias("observed"))
 
 
 def weekday_pool(first: Column, last: Column) -> Column:
-    """Days from Monday to Friday, as day numbers."""
-    return F.transform(F.filter(F.sequence(first, last), lambda d: ~F.dayofweek(d).isin(1, 7)), lambda d: F.unix_date(d))
+    """Days from Monday to Friday, as day numbers. Day 0 was a Thursday."""
+    return F.filter(F.sequence(first, last), lambda d: F.pmod(d + 3, F.lit(7)) < 5)
 
 
 def _spread(rows: DataFrame, n_perm: int) -> DataFrame:
     return rows.withColumn("perm", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))))
 
 
-def _drawn_day(pool: str) -> Column:
-    """Place in the pool that a row's draw falls on."""
-    return F.floor(draw(F.col("seed"), F.col("perm") * F.col("n_trades") + F.col("slot")) * F.size(pool)).cast("int")
+def _drawn_day(slot: Column) -> Column:
+    """The day of the pool that the draw of a row's slot falls on."""
+    return F.get("pool", F.floor(draw(F.col("seed"), F.col("perm") * F.col("n_trades") + slot) * F.size("pool")).cast("int"))
+
+
+def _seeds(seed: str) -> Column:
+    return seed_from(F.concat(F.lit(f"{seed}:"), F.col("member_id").cast("string"))).alias("seed")
+
+
+def _pools(trades: DataFrame, spans: DataFrame, seed: str) -> DataFrame:
+    """(member_id, pool, n_trades, seed) of members whose span holds a weekday."""
+    pools = spans.select("member_id", weekday_pool(F.col("first"), F.col("last")).alias("pool"), _seeds(seed)).where(F.size("pool") > 0)
+    return pools.join(trades.groupBy("member_id").agg(F.count("*").alias("n_trades")), "member_id")
 
 
 def calendar_null(trades: DataFrame, votes: DataFrame, n_perm: int, seed: str, window: int = NEXUS_DAYS) -> DataFrame:
     """(member_id, perm, drawn): each trade moved to a random weekday between the member's first and last date.
 
-    Trade i of permutation p takes draw p * T + i of the member's sequence. Which days of the pool
-    would be hits is found once for each trade, so a draw is a look into an array; trades are spread
-    to permutations in the task that holds them and counted there.
+    Trade i of permutation p takes draw p * T + i of the member's sequence. Which days are hits
+    is found before any draw, so a draw is a look into an array; trades are spread to permutations
+    in the task that holds them and counted there.
     """
-    dates = trades.select("member_id", F.col("tx_date").alias("d")).unionAll(votes.select("member_id", F.col("vote_date").alias("d")))
-    pools = dates.groupBy("member_id").agg(weekday_pool(F.min("d"), F.max("d")).alias("pool"))
-    sizes = trades.groupBy("member_id").agg(F.count("*").alias("n_trades"))
-    per_member = pools.join(sizes, "member_id").join(_vote_days(votes), "member_id", "left").where(F.size("pool") > 0)
-    rows = trades.select("member_id", "slot", "instrument").join(per_member.withColumn("seed", seed_from(F.concat(F.lit(f"{seed}:"), F.col("member_id").cast("string")))), "member_id")
-    hits = rows.select("member_id", "slot", "n_trades", "seed", F.transform("pool", lambda d: _is_nexus(d, window)).alias("hit_on"))
-    counted = _spread(hits, n_perm).groupBy("member_id", "perm").agg(F.count_if(F.get("hit_on", _drawn_day("hit_on"))).alias("drawn"))
-    return counted
+    by_member, named = _member_hits(trades, votes, window)
+    rows = trades.select("member_id", "slot", "instrument").join(by_member.join(_pools(trades, by_member, seed), "member_id"), "member_id")
+    hits = rows.join(named, ["member_id", "instrument"], "left")
+    return _spread(hits, n_perm).groupBy("member_id", "perm").agg(F.count_if(_is_nexus(_drawn_day(F.col("slot")))).alias("drawn"))
 
 
-def shuffled_dates(trades: DataFrame, n_perm: int, seed: str, block: int = 50) -> DataFrame:
-    """(member_id, perm, slot, day): the member's own trade dates in random order, permutations in blocks.
+def _shuffles(days: np.ndarray, seed: int, first: int, last: int) -> np.ndarray:
+    """Rows: permutations first to last of the days. Each takes T - 1 draws, from the last place down; a step swaps in all of them at once."""
+    n, count = len(days), last - first
+    out = np.tile(days, (count, 1))
+    if n > 1:
+        line = draws(seed + 0x6D2B79F5 * (n - 1) * first, (n - 1) * count).reshape(count, n - 1)
+        rows = np.arange(count)
+        for i in range(n - 1, 0, -1):
+            j = (line[:, n - 1 - i] * (i + 1)).astype(np.int64)
+            out[rows, j], out[:, i] = out[:, i].copy(), out[rows, j]
+    return out
 
-    A group is one member's slots for one block; a permutation takes T - 1 draws, from the last slot down.
-    """
-    one = trades.groupBy("member_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("slot", F.unix_date("tx_date").alias("day")))), lambda x: x["day"]).alias("days"))
-    blocks = one.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit((n_perm - 1) // block)))).withColumn(
-        "seed", seed_from(F.concat(F.lit(f"{seed}:"), F.col("member_id").cast("string")))
-    )
 
-    def shuffle(batches):
-        for pdf in batches:
-            for member, days, k, start in zip(pdf["member_id"], pdf["days"], pdf["block"], pdf["seed"]):
+def _shuffled(trades: DataFrame, others: DataFrame, columns: dict[str, Column], n_perm: int, seed: str, block: int, count, schema: str) -> DataFrame:
+    """For each member (its row of others, arrays in the order of its slots) and block of permutations what ``count`` makes of the shuffled days.
+
+    A member's trades are one row, as a shuffle of them is one sequence of swaps; permutations are dealt to tasks in blocks.
+    """
+    listed = F.array_sort(F.collect_list(F.struct("slot", F.unix_date("tx_date").alias("day"), *(c.alias(k) for k, c in columns.items()))))
+    one = trades.groupBy("member_id").agg(listed.alias("t"), F.first(_seeds(seed)).alias("seed")).join(others, "member_id")
+    blocks = one.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit((n_perm - 1) // block)))).repartition("member_id", "block")
+    flat = blocks.select("member_id", "seed", "block", F.col("t.slot").alias("slot"), F.col("t.day").alias("day"), *(F.col(f"t.{k}").alias(k) for k in columns), *(c for c in others.columns if c != "member_id"))
+
+    def run(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                one = {name: batch.column(i)[row] for i, name in enumerate(batch.schema.names)}
+                k = one["block"].as_py()
                 perms = range(k * block, min(n_perm, (k + 1) * block))
-                take = len(days) - 1
-                sequence = draws(int(start) + 0x6D2B79F5 * take * perms[0], take * len(perms))
-                for n, perm in enumerate(perms):
-                    d = list(days)
-                    for i in range(take, 0, -1):
-                        j = int(sequence[n * take + take - i] * (i + 1))
-                        d[i], d[j] = d[j], d[i]
-                    yield pd.DataFrame({"member_id": member, "perm": perm, "slot": range(len(d)), "day": d})
+                moved = _shuffles(one["day"].values.to_numpy(), one["seed"].as_py(), perms[0], perms[-1] + 1)
+                yield count(one, batch.column(0).slice(row, 1), perms, moved)
 
     kind = trades.schema["member_id"].dataType.simpleString()
-    return blocks.select("member_id", "days", "block", "seed").mapInPandas(shuffle, f"member_id {kind}, perm int, slot int, day int")
+    return flat.mapInArrow(run, f"member_id {kind}, {schema}")
+
+
+def shuffled_dates(trades: DataFrame, n_perm: int, seed: str, block: int = 200) -> DataFrame:
+    """(member_id, perm, slot, day): the member's own trade dates in random order."""
+
+    def count(one, member, perms, moved):
+        n = moved.shape[1]
+        slots = pa.array(np.tile(one["slot"].values.to_numpy(), len(perms)), pa.int32())
+        return pa.record_batch([member.take(pa.array(np.zeros(moved.size, np.int64))), pa.array(np.repeat(np.array(perms), n), pa.int32()), slots, pa.array(moved.ravel(), pa.int32())], ["member_id", "perm", "slot", "day"])
+
+    return _shuffled(trades, trades.select("member_id").distinct(), {}, n_perm, seed, block, count, "perm int, slot int, day int")
 
 
-def shuffle_null(trades: DataFrame, votes: DataFrame, n_perm: int, seed: str, window: int = NEXUS_DAYS) -> DataFrame:
-    """(member_id, perm, drawn) with the member's own dates shuffled among its trades."""
-    moved = shuffled_dates(trades, n_perm, seed).join(trades.select("member_id", "slot", "instrument"), ["member_id", "slot"]).join(_vote_days(votes), "member_id", "left")
-    return moved.groupBy("member_id", "perm").agg(F.count_if(_is_nexus(F.col("day"), window)).alias("drawn"))
+def shuffle_null(trades: DataFrame, votes: DataFrame, n_perm: int, seed: str, window: int = NEXUS_DAYS, block: int = 200) -> DataFrame:
+    """(member_id, perm, drawn) with the member's own dates shuffled among its trades; counted where they are shuffled."""
+    by_member, named = _member_hits(trades, votes, window)
+    marked = trades.join(named, ["member_id", "instrument"], "left")
+
+    def count(one, member, perms, moved):
+        at = moved - one["first"].as_py()
+        hit = one["committee_on"].values.to_numpy(zero_copy_only=False)[at]
+        for slot, on in enumerate(one["named_on"].values):
+            if on.is_valid:
+                hit[:, slot] |= on.values.to_numpy(zero_copy_only=False)[at[:, slot]]
+        return pa.record_batch([member.take(pa.array(np.zeros(len(perms), np.int64))), pa.array(perms, pa.int32()), pa.array(hit.sum(1), pa.int64())], ["member_id", "perm", "drawn"])
+
+    return _shuffled(marked, by_member, {"named_on": F.col("named_on")}, n_perm, seed, block, count, "perm int, drawn long")
 
 
 def summary(observed: DataFrame, drawn: DataFrame, by: list[str]) -> DataFrame:
@@ -130,11 +193,11 @@ def summary(observed: DataFrame, drawn: DataFrame, by: list[str]) -> DataFrame:
 
 
 def nexus_test(trades: DataFrame, votes: DataFrame, n_perm: int, seed: str) -> DataFrame:
-    """The test for each member: dates shuffled from 50 trades on, calendar draws below."""
+    """The test for each member: dates shuffled from 50 trades on, calendar draws below. Both tables are read several times: pass them staged."""
     observed = observed_nexus(trades, votes)
-    many = observed.where(F.col("n_trades") >= SHUFFLE_FROM).select("member_id")
-    low = calendar_null(trades.join(many, "member_id", "left_anti"), votes, n_perm, seed)
-    high = shuffle_null(trades.join(many, "member_id", "left_semi"), votes, n_perm, seed)
+    many = trades.groupBy("member_id").count().where(F.col("count") >= SHUFFLE_FROM).select("member_id")
+    low = calendar_null(trades.join(many, "member_id", "left_anti"), votes.join(many, "member_id", "left_anti"), n_perm, seed)
+    high = shuffle_null(trades.join(many, "member_id", "left_semi"), votes.join(many, "member_id", "left_semi"), n_perm, seed)
     return summary(observed, low.unionByName(high), ["member_id"])
 
 
@@ -143,55 +206,86 @@ def _gap(days: Column, day: Column, window: int) -> Column:
     return F.array_min(F.transform(F.filter(days, lambda d: d.between(day, day + window)), lambda d: d - day))
 
 
-def pair_lower_tail(trades: DataFrame, theme_votes: DataFrame, n_perm: int, seed: str, window: int = GAP_DAYS) -> DataFrame:
-    """(member_id, slot, observed_gap, p_pair) for trades (member_id, slot, tx_date, theme) with a vote of their theme in the window.
+def observed_gaps(trades: DataFrame, theme_votes: DataFrame, window: int = GAP_DAYS) -> DataFrame:
+    """(member_id, trade_id, observed_gap): days to the next vote of the trade's theme, of trades that have one within the window."""
+    days = theme_votes.groupBy("member_id", "theme").agg(F.array_sort(F.collect_set(F.unix_date("vote_date"))).alias("days"))
+    gap = _gap(F.col("days"), F.unix_date("tx_date"), window)
+    found = trades.join(days, ["member_id", "theme"]).select("member_id", "trade_id", gap.alias("observed_gap")).where("observed_gap is not null")
+    return found.groupBy("member_id", "trade_id").agg(F.min("observed_gap").alias("observed_gap"))
+
+
+def pair_lower_tail(trades: DataFrame, theme_votes: DataFrame, n_perm: int, seed: str, observed: DataFrame, mode: str = "calendar", block: int = 200) -> DataFrame:
+    """(member_id, trade_id, observed_gap, p_pair) for those trades (member_id, slot, trade_id, tx_date, theme) that observed (member_id, trade_id, observed_gap) has.
 
-    p is (1 + permutations with a gap not above the observed one) / (n_perm + 1), calendar draws.
+    p is (1 + permutations with a gap not above the observed one) / (n_perm + 1); of several slots
+    with one trade_id any may come near. mode: calendar draws, or shuffle of the member's own trade
+    dates. Which days come near enough to a vote of the theme is found once for each trade. Trades
+    that observed doesn't have still take their draws.
     """
     days = theme_votes.groupBy("member_id", "theme").agg(F.array_sort(F.collect_set(F.unix_date("vote_date"))).alias("days"))
-    span = trades.select("member_id", F.col("tx_date").alias("d")).unionAll(theme_votes.select("member_id", F.col("vote_date").alias("d")))
-    pools = span.groupBy("member_id").agg(weekday_pool(F.min("d"), F.max("d")).alias("pool"))
-    sizes = trades.groupBy("member_id").agg(F.count("*").alias("n_trades"))
-    seeded = seed_from(F.concat(F.lit(f"{seed}:"), F.col("member_id").cast("string")))
-    rows = (
-        trades.join(days, ["member_id", "theme"])
-        .withColumn("observed_gap", _gap(F.col("days"), F.unix_date("tx_date"), window))
-        .where("observed_gap is not null")
-        .join(pools.join(sizes, "member_id").where(F.size("pool") > 0).withColumn("seed", seeded), "member_id")
-    )
-    near = lambda d: F.exists("days", lambda v: v.between(d, d + F.col("observed_gap")))
-    hits = rows.select("member_id", "slot", "observed_gap", "n_trades", "seed", F.transform("pool", near).alias("hit_on"))
-    counted = _spread(hits, n_perm).groupBy("member_id", "slot", "observed_gap").agg(F.count_if(F.get("hit_on", _drawn_day("hit_on"))).alias("hits"))
-    return counted.select("member_id", "slot", "observed_gap", ((F.col("hits") + 1) / F.lit(n_perm + 1)).alias("p_pair"))
+    spans = _spans(trades, theme_votes)
+    known = trades.join(observed, ["member_id", "trade_id"]).groupBy("member_id", "trade_id", "theme", "observed_gap").agg(F.array_sort(F.collect_list("slot")).alias("slots"))
+    on = hit_days(F.col("days"), F.col("first"), F.col("last"), F.col("observed_gap"))
+    rows = known.join(days, ["member_id", "theme"]).join(spans, "member_id").select("member_id", "trade_id", "slots", "observed_gap", "first", on.alias("hit_on"))
+    if mode == "calendar":
+        hit = lambda slot: F.get("hit_on", (_drawn_day(slot) - F.col("first")).cast("int"))
+        once = F.when(F.size("slots") == 1, hit(F.col("slots")[0])).otherwise(F.exists("slots", hit))
+        counted = _spread(rows.join(_pools(trades, spans, seed), "member_id"), n_perm).groupBy("member_id", "trade_id", "observed_gap").agg(F.count_if(once).alias("hits"))
+    else:
+        held = rows.groupBy("member_id", "first").agg(F.collect_list(F.struct("trade_id", "observed_gap", "slots", "hit_on")).alias("held"))
+
+        def count(one, member, perms, moved):
+            at, sums = moved - one["first"].as_py(), []
+            asked = one["held"].values
+            for slots, on in zip(asked.field("slots").to_pylist(), asked.field("hit_on")):
+                sums.append(int(on.values.to_numpy(zero_copy_only=False)[at[:, slots]].any(1).sum()))
+            return pa.record_batch(
+                [member.take(pa.array(np.zeros(len(sums), np.int64))), asked.field("trade_id"), asked.field("observed_gap").cast(pa.int32()), pa.array(sums, pa.int64())], ["member_id", "trade_id", "observed_gap", "hits"]
+            )
+
+        parts = _shuffled(trades, held, {}, n_perm, seed, block, count, "trade_id string, observed_gap int, hits long")
+        counted = parts.groupBy("member_id", "trade_id", "observed_gap").agg(F.sum("hits").alias("hits"))
+    return counted.select("member_id", "trade_id", F.col("observed_gap").cast("int").alias("observed_gap"), ((F.col("hits") + 1) / F.lit(n_perm + 1)).alias("p_pair"))
+
+
+def receipt_p_values(trades: DataFrame, theme_votes: DataFrame, observed: DataFrame, n_perm: int, seed: str) -> DataFrame:
+    """p of each observed pair: dates shuffled for members with 50 trades or more, calendar draws for the others."""
+    many = trades.groupBy("member_id").count().where(F.col("count") >= SHUFFLE_FROM).select("member_id")
+    part = lambda how: (df.join(many, "member_id", how) for df in (trades, theme_votes, observed))
+    (t, v, o), (ts, vs, os_) = part("left_anti"), part("left_semi")
+    return pair_lower_tail(t, v, n_perm, seed, o).unionByName(pair_lower_tail(ts, vs, n_perm, seed, os_, "shuffle"))
 
 
 def pairing_null(scores: DataFrame, entities: DataFrame, n_perm: int, seed: int) -> DataFrame:
     """(perm, s1, s2): members paired with districts at random; scores (member_id, district, hits, amount) of all pairs that score.
 
     Scores are computed once. A permutation orders the entities by a draw of their own; the one at
-    place i is paired with the district of entity i, so it is a join of two small numberings.
+    place i is paired with the district of entity i, so it is a join of two numberings.
     """
-    plain = Window.orderBy("entity")
-    numbered = entities.select(F.col("entity"), (F.row_number().over(plain) - 1).alias("i"))
-    n = F.count("*").over(Window.partitionBy(F.lit(1)))
-    rows = numbered.withColumn("n", n).withColumn("perm", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))))
-    order = Window.partitionBy("perm").orderBy(draw(F.lit(seed), F.col("perm") * F.col("n") + F.col("i")), "i")
-    dealt = rows.withColumn("place", F.row_number().over(order) - 1)
-    pairs = dealt.select("perm", F.col("entity").alias("member_id"), "place").join(numbered.select(F.col("i").alias("place"), F.col("entity").alias("district")), "place")
+    plain = numbered(entities.select("entity"), [], [F.col("entity")], "i")
+    rows = _spread(plain.join(plain.agg(F.count("*").alias("n")), F.lit(True)), n_perm)
+    key = draw(F.lit(seed), F.col("perm") * F.col("n") + F.col("i"))
+    dealt = numbered(rows.select("perm", "entity", "i", key.alias("_key")), ["perm"], [F.col("_key"), F.col("i")], "place", "_key")
+    pairs = dealt.select("perm", F.col("entity").alias("member_id"), "place").join(plain.select(F.col("i").alias("place"), F.col("entity").alias("district")), "place")
     found = pairs.join(scores, ["member_id", "district"], "left")
     return found.groupBy("perm").agg(F.coalesce(F.sum("hits"), F.lit(0)).alias("s1"), F.coalesce(F.sum("amount"), F.lit(0.0)).alias("s2"))
 
 
-def scrambled(rows: DataFrame, by: list[str], columns: list[str], order: list[str], replicates: int, seed: int) -> DataFrame:
+def scrambled(rows: DataFrame, by: list[str], columns: list[str], order: list[str], replicates: int, seed: str) -> DataFrame:
     """Replicates of rows with the named columns, as one tuple, permuted within each group; all else stays.
 
-    A negative control: what fires on it reads marginals, not pairings.
+    A negative control: what fires on it reads marginals, not pairings. Row i of a group of n takes draw
+    r * n + i of the group's sequence in replicate r, and rows are dealt in the order of their draws. They take
+    their numbers in two levels, so that a group isn't gathered in one task.
     """
-    group = [F.col(c) for c in by] or [F.lit(0)]
-    numbered = rows.withColumn("i", F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1).withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    key = F.xxhash64(F.lit(seed), F.col("replicate"), *by, F.col("i"))
-    dealt = numbered.select(*by, "replicate", *columns, (F.row_number().over(Window.partitionBy(*group, F.col("replicate")).orderBy(key, "i")) - 1).alias("i"))
-    return numbered.drop(*columns).join(dealt, [*by, "replicate", "i"]).select("replicate", *rows.columns)
+    placed = numbered(rows, by, [F.col(c) for c in order], "i")
+    seeded = seed_from(F.concat_ws(":", F.lit(seed), *(F.col(c).cast("string") for c in by)))
+    sizes = placed.groupBy(*by).agg(F.count("*").alias("_n")).withColumn("_seed", seeded)
+    spread = (placed.join(sizes, by) if by else placed.join(sizes, F.lit(True))).withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+    key = draw(F.col("_seed"), F.col("replicate") * F.col("_n") + F.col("i"))
+    keyed = spread.select(*by, "replicate", *columns, F.col("i").alias("_was"), key.alias("_key"))
+    dealt = numbered(keyed, [*by, "replicate"], [F.col("_key"), F.col("_was")], "i", "_key").select(*by, "replicate", "i", *columns)
+    return spread.drop(*columns, "_n", "_seed").join(dealt, [*by, "replicate", "i"]).select("replicate", *rows.columns)
 
 
 def control_verdict(tests: DataFrame, alpha: float = 0.05, pooled: float = 0.10, most: int = 4) -> DataFrame:

@@ -60,6 +60,7 @@ def both_ways(edges: DataFrame, weight: str) -> DataFrame:
     )
 
 
-def nodes(edges: DataFrame, ends: tuple[str, str] = ("source_id", "target_id")) -> DataFrame:
-    """Distinct ends of the edges."""
-    return edges.select(F.col(ends[0]).alias("node")).unionAll(edges.select(F.col(ends[1]).alias("node"))).distinct()
+def nodes(rows: DataFrame, entity: str, item: str) -> DataFrame:
+    """Entities that share an item with another one: the ends of all edges, found without making any."""
+    shared = rows.groupBy(item).agg(F.count_distinct(entity).alias("n")).where("n > 1").select(item)
+    return rows.join(shared, item, "left_semi").select(F.col(entity).alias("node")).distinct()

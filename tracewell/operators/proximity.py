@@ -44,10 +44,19 @@ def gap_columns(from_date: str, to_date: str) -> list[Column]:
     ]
 
 
-def committee_roles(bill_committees: DataFrame, memberships: DataFrame) -> DataFrame:
-    """(bill_id, member_id, member_committee_role): the highest role on a committee that handled the bill."""
-    pairs = bill_committees.select("bill_id", "committee_canonical").join(memberships.select("member_id", "committee_canonical", "role"), "committee_canonical")
-    return pairs.groupBy("bill_id", "member_id").agg(F.min_by("role", role_rank(F.col("role"))).alias("member_committee_role"))
+def committee_roles(bill_committees: DataFrame, memberships: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """(bill_id, member_id, member_committee_role): the highest role on a committee that handled the bill.
+
+    With pairs (bill_id, member_id) only those are looked up, so rows grow with the pairs; without,
+    every member of every committee of every bill is a row.
+    """
+    if pairs is None:
+        found = bill_committees.select("bill_id", "committee_canonical").join(memberships.select("member_id", "committee_canonical", "role"), "committee_canonical")
+    else:
+        asked = pairs.select("bill_id", "member_id").where("bill_id is not null").distinct()
+        handled = asked.join(bill_committees.select("bill_id", "committee_canonical"), "bill_id")
+        found = handled.join(memberships.select("member_id", "committee_canonical", "role"), ["member_id", "committee_canonical"])
+    return found.groupBy("bill_id", "member_id").agg(F.min_by("role", role_rank(F.col("role"))).alias("member_committee_role"))
 
 
 def committee_names(bill_committees: DataFrame) -> DataFrame:
@@ -56,21 +65,29 @@ def committee_names(bill_committees: DataFrame) -> DataFrame:
     return bill_committees.groupBy("bill_id").agg(names.alias("bill_committees"))
 
 
+def with_roles(votes: DataFrame, bill_committees: DataFrame, memberships: DataFrame) -> DataFrame:
+    """Votes with the voter's role on the bill's committees. Found on the votes, before any join multiplies them."""
+    roles = committee_roles(bill_committees, memberships, votes).withColumn("member_on_bill_committee", F.lit(True))
+    return votes.join(roles, ["bill_id", "member_id"], "left").withColumn("member_on_bill_committee", F.coalesce("member_on_bill_committee", F.lit(False)))
+
+
+def with_bills(rows: DataFrame, bills: DataFrame, bill_committees: DataFrame) -> DataFrame:
+    """Rows with a bill_id with its title, summary and committees."""
+    return rows.join(bills.select("bill_id", "bill_title", "bill_summary"), "bill_id", "left").join(committee_names(bill_committees), "bill_id", "left")
+
+
+def near_votes(trades: DataFrame, votes: DataFrame, members: DataFrame, window: int) -> DataFrame:
+    """Each trade with each vote of its member within the window, and the days between them."""
+    t = trades.join(members.select("member_id", F.col("name").alias("member_name")), "member_id")
+    return band_join(t, votes, ["member_id"], "tx_date", "vote_date", window).select("*", *gap_columns("tx_date", "vote_date"))
+
+
 def trades_near_votes(
     trades: DataFrame, votes: DataFrame, members: DataFrame, bills: DataFrame, bill_committees: DataFrame, memberships: DataFrame, window: int = 180
 ) -> DataFrame:
     """Each trade with each vote of its member within the window, with bill, committees and role."""
-    t = trades.join(members.select("member_id", F.col("name").alias("member_name")), "member_id")
-    pairs = band_join(t, votes, ["member_id"], "tx_date", "vote_date", window)
-    roles = committee_roles(bill_committees, memberships)
-    return (
-        pairs.join(bills.select("bill_id", "bill_title", "bill_summary"), "bill_id", "left")
-        .join(committee_names(bill_committees), "bill_id", "left")
-        .join(roles.withColumn("_on", F.lit(True)), ["bill_id", "member_id"], "left")
-        .withColumn("member_on_bill_committee", F.coalesce("_on", F.lit(False)))
-        .drop("_on")
-        .select("*", *gap_columns("tx_date", "vote_date"))
-    )
+    known = with_bills(with_roles(votes, bill_committees, memberships), bills, bill_committees)
+    return near_votes(trades, known, members, window)
 
 
 def is_discretionary(fund_words: tuple[str, ...] = FUND_WORDS) -> Column:
@@ -100,19 +117,33 @@ TRADE_KEY = ["filing_id", "tx_date", "tx_type", "asset", "ticker"]
 def cap_per_trade(near: DataFrame, window: int, closest: int = 6) -> DataFrame:
     """Of each trade's votes within the window the closest, and the closest with a committee; with the count of all.
 
-    The order is total: gap, then vote, band and holder.
+    The order is total: gap, then vote, band and holder. One sort gives both ranks: rows with a
+    committee rank by how many such rows came so far, the others after all of these.
     """
     key = Window.partitionBy(*TRADE_KEY)
-    tail = [F.col(c).asc_nulls_last() for c in ("vote_id", "amount_band", "holder")]
+    close = key.orderBy("days_abs", *(F.col(c).asc_nulls_last() for c in ("vote_id", "amount_band", "holder")))
+    on = F.col("member_on_bill_committee")
+    so_far = F.count_if(on).over(close.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
         near.where(F.col("days_abs") <= window)
+        .withColumn("rn_close", F.row_number().over(close))
+        .withColumn("_on", so_far)
         .withColumn("window_vote_count", F.count("*").over(key))
-        .withColumn("rn_close", F.row_number().over(key.orderBy(F.col("days_abs"), *tail)))
-        .withColumn("rn_cmte", F.row_number().over(key.orderBy(F.col("member_on_bill_committee").desc(), F.col("days_abs"), *tail)))
-        .where((F.col("rn_close") <= closest) | (F.col("member_on_bill_committee") & (F.col("rn_cmte") == 1)))
+        .withColumn("_all_on", F.count_if(on).over(key))
+        .withColumn("rn_cmte", F.when(on, F.col("_on")).otherwise(F.col("_all_on") + F.col("rn_close") - F.col("_on")).cast("int"))
+        .where((F.col("rn_close") <= closest) | (on & (F.col("rn_cmte") == 1)))
+        .drop("_on", "_all_on")
     )
 
 
+def capped_near_votes(
+    trades: DataFrame, votes: DataFrame, members: DataFrame, bills: DataFrame, bill_committees: DataFrame, memberships: DataFrame, window: int = 90, closest: int = 6
+) -> DataFrame:
+    """Near votes capped per trade; bills are joined to what the cap leaves."""
+    near = near_votes(trades, with_roles(votes, bill_committees, memberships), members, window)
+    return with_bills(cap_per_trade(near, window, closest), bills, bill_committees)
+
+
 def next_same_kind(events: DataFrame, by: list[str], date: str, is_trade: str, window: int) -> DataFrame:
     """For each trade row of one table of trades and votes the days to the next vote at or after it; only those within the window.
 

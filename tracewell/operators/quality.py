@@ -124,9 +124,21 @@ def top_keys(df: DataFrame, key: str, k: int = 10) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), F.col(key).asc_nulls_last()).limit(k)
 
 
-def crosswalk_conflicts(mapped: DataFrame, value: str, theme: str) -> DataFrame:
-    """Values with more than one theme."""
-    return mapped.groupBy(value).agg(F.count_distinct(theme).alias("themes")).where("themes > 1")
+def crosswalk_conflicts(mapped: DataFrame, value: str, theme: str, known: DataFrame) -> DataFrame:
+    """(value, problem): values with more than one theme, and values whose theme isn't among the known ones (a column of the same name)."""
+    several = mapped.groupBy(value).agg(F.count_distinct(theme).alias("themes")).where("themes > 1").select(value, F.lit("several themes").alias("problem"))
+    foreign = mapped.join(known.select(theme).distinct(), theme, "left_anti").select(value).distinct().withColumn("problem", F.lit("unknown theme"))
+    return several.unionAll(foreign)
+
+
+def repeated_prefixes(prefixes: DataFrame, prefix: str = "prefix") -> DataFrame:
+    """Prefixes that stand in the crosswalk more than once."""
+    return prefixes.groupBy(prefix).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def orphans(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Rows whose key, not null, the known table doesn't have."""
+    return rows.where(F.col(key).isNotNull()).join(known.select(key).distinct(), key, "left_anti")
 
 
 def require(report: DataFrame, condition: str, message: str) -> None:

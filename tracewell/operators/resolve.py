@@ -9,6 +9,18 @@ from pyspark.sql.window import Window
 from tracewell.functions.text import corporate_name, last_name, person_name, slug
 
 
+def _containing(whole: DataFrame, text: str, asked: DataFrame, part: Column, on: list[str]) -> DataFrame:
+    """Rows of whole joined to rows of asked whose part their text contains, joined by equality.
+
+    A text that contains a part contains its first three characters (all of it, if it is shorter): texts are
+    spread to their runs of up to three characters, and the part is looked for in candidates alone.
+    """
+    at = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
+    runs = F.array_distinct(F.flatten(F.transform(at, lambda i: F.array(*(F.substr(F.col(text), i, F.lit(n)) for n in (1, 2, 3))))))
+    a = asked.withColumn("_part", part).where("_part <> ''").withColumn("_run", F.substring("_part", 1, 3))
+    return whole.withColumn("_run", F.explode(runs)).join(a, [*on, "_run"]).where(F.contains(F.col(text), F.col("_part"))).drop("_run", "_part")
+
+
 def resolve_filers(filers: DataFrame, members: DataFrame) -> DataFrame:
     """(filer, state, district, member_id, confidence, method) for distinct filers, by state and last name.
 
@@ -16,8 +28,8 @@ def resolve_filers(filers: DataFrame, members: DataFrame) -> DataFrame:
     district: 0.95. Several otherwise: the one with the smallest id, 0.70. None: null.
     """
     f = filers.select("filer", "state", "district").distinct().withColumn("_last", last_name(F.col("filer")))
-    m = members.select(F.col("member_id").alias("_member"), F.col("state").alias("_state"), F.col("district").alias("_district"), F.lower("name").alias("_name"))
-    found = f.join(m, (F.col("state") == F.col("_state")) & F.contains(F.col("_name"), F.lower("_last")))
+    m = members.select(F.col("member_id").alias("_member"), "state", F.col("district").alias("_district"), F.lower("name").alias("_name"))
+    found = _containing(m, "_name", f, F.lower("_last"), ["state"])
     same = F.col("_district").eqNullSafe(F.col("district")) & F.col("district").isNotNull()
     best = found.groupBy("filer", "state", "district").agg(
         F.count("*").alias("n"), F.min("_member").alias("first"), F.count_if(same).alias("n_same"), F.min(F.when(same, F.col("_member"))).alias("same")
@@ -40,7 +52,7 @@ def resolve_senate_filers(filers: DataFrame, members: DataFrame) -> DataFrame:
     f = filers.select("first_name", "last_name").distinct()
     m = members.where("chamber = 'senate'").select(F.col("member_id").alias("_member"), F.lower("name").alias("_name"))
     token = F.lower(F.element_at(F.split(F.trim("first_name"), " "), 1))
-    found = f.join(m, F.contains(F.col("_name"), F.lower("last_name")))
+    found = _containing(m, "_name", f, F.lower("last_name"), [])
     narrow = F.contains(F.col("_name"), token)
     best = found.groupBy("first_name", "last_name").agg(
         F.count("*").alias("n"), F.min("_member").alias("first"), F.count_if(narrow).alias("n_narrow"), F.min(F.when(narrow, F.col("_member"))).alias("narrow")

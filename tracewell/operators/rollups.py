@@ -12,6 +12,21 @@ from .ordering import top_rows
 from .themes import longest_prefix
 
 
+#: The middle of each band of amounts.
+BAND_MIDPOINTS = {
+    "$1,001 - $15,000": 8_000,
+    "$15,001 - $50,000": 32_500,
+    "$50,001 - $100,000": 75_000,
+    "$100,001 - $250,000": 175_000,
+    "$250,001 - $500,000": 375_000,
+    "$500,001 - $1,000,000": 750_000,
+    "$1,000,001 - $5,000,000": 3_000_000,
+    "$5,000,001 - $25,000,000": 15_000_000,
+    "$25,000,001 - $50,000,000": 37_500_000,
+    "Over $50,000,000": 50_000_000,
+}
+
+
 def top_donors(donors: DataFrame) -> DataFrame:
     """(donor, sample_name, member_count, total_amount) over all members."""
     return donors.groupBy("donor").agg(F.min("donor_name").alias("sample_name"), F.count_distinct("member_id").alias("member_count"), F.sum("amount").alias("total_amount"))
@@ -61,18 +76,20 @@ def contract_theme_totals(contracts: DataFrame, prefixes: DataFrame) -> DataFram
     mapped = longest_prefix(contracts, "code", prefixes, "prefix", "theme")
     by_theme = contracts.join(mapped, "code").groupBy("district", "theme").agg(F.sum("amount").alias("total"))
     with_all = by_theme.withColumn("grand_total", F.sum("total").over(Window.partitionBy("district")))
-    return with_all.where(F.col("theme").isNotNull()).withColumn("roster_total", F.sum("total").over(Window.partitionBy("theme")))
+    roster = by_theme.where(F.col("theme").isNotNull()).groupBy("theme").agg(F.sum("total").alias("roster_total"))
+    return with_all.join(roster, "theme")
 
 
 def median_shares(totals: DataFrame, districts: DataFrame) -> DataFrame:
     """(theme, median_share) over all districts; a district without the theme has share 0.
 
-    The grid of districts and themes is small: themes are a curated table of a few dozen rows.
+    Districts without a theme are one row of share 0 that counts as often as there are such districts.
     """
-    shares = totals.select("district", "theme", (F.col("total") / F.col("grand_total")).alias("share"))
-    themes = F.broadcast(totals.select("theme").distinct().limit(1000))
-    grid = districts.select("district").distinct().join(themes)
-    return grid.join(shares, ["district", "theme"], "left").groupBy("theme").agg(F.median(F.coalesce("share", F.lit(0.0))).alias("median_share"))
+    shares = totals.select("theme", (F.col("total") / F.col("grand_total")).alias("share"), F.lit(1).cast("long").alias("times"))
+    everywhere = districts.agg(F.count_distinct("district").alias("n"))
+    absent = shares.groupBy("theme").agg(F.count("*").alias("held")).join(everywhere, F.lit(True))
+    zeros = absent.select("theme", F.lit(0.0).alias("share"), (F.col("n") - F.col("held")).alias("times")).where("times > 0")
+    return shares.unionAll(zeros).groupBy("theme").agg(F.percentile("share", F.lit(0.5), F.col("times")).alias("median_share"))
 
 
 def counts_per_key(base: DataFrame, key: str, **tables: DataFrame) -> DataFrame:
@@ -89,14 +106,32 @@ def data_through(key: str, **dated: tuple[DataFrame, str]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).groupBy(key).agg(F.max("_date").alias("data_through"))
 
 
-def activity_glance(trades: DataFrame, votes: DataFrame, midpoints: dict[str, float]) -> DataFrame:
-    """Per member: trades, volume at the middle of each band, distinct tickers, votes."""
-    middle = F.create_map(*(F.lit(x) for pair in midpoints.items() for x in pair))[F.col("amount_band")]
-    t = trades.groupBy("member_id").agg(
-        F.count("*").alias("trades"), F.sum(F.coalesce(middle, F.lit(0.0))).alias("volume"), F.count_distinct("ticker").alias("tickers")
-    )
-    v = votes.groupBy("member_id").agg(F.count("*").alias("votes"))
-    return t.join(v, "member_id", "full_outer").select("member_id", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("trades", "volume", "tickers", "votes")))
+def activity_glance(members: DataFrame, trades: DataFrame, votes: DataFrame, sponsored: DataFrame, donors: DataFrame, before: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Per member, of the cycle from start to before end: trades, volume at the middle of each band, distinct tickers, votes, and
+    trades within 14 days before a related vote; of all time: bills sponsored and the donor type that gave most.
+
+    A vote is related if the member's committee handled its bill or the bill names the ticker. Every
+    table is summed before it is joined.
+    """
+    in_cycle = lambda date: (F.col(date) >= start) & (F.col(date) < end)
+    middle = F.create_map(*(F.lit(x) for pair in BAND_MIDPOINTS.items() for x in pair))[F.col("amount_band")]
+    trade = F.struct("filing_id", F.coalesce("asset", F.lit("")), F.coalesce("ticker", F.lit("")))
+    related = before.where(in_cycle("tx_date") & (F.col("days_abs") <= 14) & (F.col("bill_mentions_ticker") | F.col("member_on_bill_committee")))
+    parts = [
+        trades.where(in_cycle("tx_date")).groupBy("member_id").agg(F.count("*").alias("trades"), F.sum(F.coalesce(middle, F.lit(0))).alias("volume"), F.count_distinct(F.nullif("ticker", F.lit(""))).alias("tickers")),
+        votes.where(in_cycle("vote_date")).groupBy("member_id").agg(F.count("*").alias("votes")),
+        sponsored.groupBy("member_id").agg(F.count("*").alias("bills_sponsored")),
+        related.groupBy("member_id").agg(F.count_distinct(trade).alias("related_trades")),
+    ]
+    by_type = donors.where("donor_type is not null").groupBy("member_id", "donor_type").agg(F.sum("amount").alias("total"))
+    top = by_type.groupBy("member_id").agg(F.min_by("donor_type", F.struct(-F.col("total"), F.col("donor_type"))).alias("top_donor_type"))
+    out = reduce(lambda a, b: a.join(b, "member_id", "left"), [*parts, top], members.select("member_id"))
+    return out.select("member_id", "top_donor_type", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("trades", "volume", "tickers", "votes", "bills_sponsored", "related_trades")))
+
+
+def recipient_sums(awards: DataFrame) -> DataFrame:
+    """(district, recipient_key, amount) over all awards."""
+    return awards.groupBy("district", "recipient_key").agg(F.sum("amount").alias("amount"))
 
 
 def portfolio(trades: DataFrame, k: int = 40) -> DataFrame:
@@ -170,8 +205,10 @@ def collapse_trades(capped: DataFrame, key: list[str], samples: int = 3) -> Data
     )
 
 
-def timeline(votes: DataFrame, trades: DataFrame) -> DataFrame:
-    """(member_id, event_date, kind, event_id, label): votes and trades as one stream."""
+def timeline(votes: DataFrame, trades: DataFrame, most_votes: int = 2000) -> DataFrame:
+    """(member_id, event_date, kind, event_id, label, place): a member's first ``most_votes`` votes and all its trades as one stream in the order of time."""
     v = votes.select("member_id", F.col("vote_date").alias("event_date"), F.lit("vote").alias("kind"), F.col("vote_id").cast("string").alias("event_id"), F.col("position").alias("label"))
     t = trades.select("member_id", F.col("tx_date").alias("event_date"), F.lit("trade").alias("kind"), F.col("filing_id").cast("string").alias("event_id"), F.col("tx_type").alias("label"))
-    return v.unionByName(t)
+    first = top_rows(v, ["member_id"], [F.col(c).asc_nulls_last() for c in ("event_date", "label", "event_id")], most_votes)
+    order = Window.partitionBy("member_id").orderBy("event_date", "kind", "event_id")  # a person's events
+    return first.unionByName(t).where("event_date is not null").withColumn("place", F.row_number().over(order))

@@ -44,24 +44,27 @@ BINDINGS: dict[str, str] = {
     "rules": """SELECT * FROM (VALUES ('Energy', 'ECONOMY', NULL), ('Tech', 'SMALL', NULL), ('Health', 'PROMO', NULL), ('Defense', 'MEDIUM', NULL),
         ('Finance', NULL, 'red%'), ('Media', NULL, '%gizmo%')) AS seed(theme, policy_area, subject_pattern)""",
     "sponsors": f"""SELECT DISTINCT s.s_nationkey AS member_id, {_BILL.format("p.p_partkey")} AS bill_id, p.p_name AS title
-        FROM {{lineitem}} l JOIN {{supplier}} s ON l.l_suppkey = s.s_suppkey JOIN {{part}} p ON l.l_partkey = p.p_partkey WHERE l.l_quantity > 45""",
-    "donors": f"""SELECT c.c_nationkey AS member_id, 'SUPPLIER ' || l.l_suppkey AS donor, MIN(s.s_name) AS donor_name, {_CENTS.format("l.l_extendedprice")} AS amount
+        FROM {{lineitem}} l JOIN {{supplier}} s ON l.l_suppkey = s.s_suppkey JOIN {{part}} p ON l.l_partkey = p.p_partkey""",
+    "donors": f"""SELECT c.c_nationkey AS member_id, 'SUPPLIER ' || l.l_suppkey AS donor, MIN(s.s_name) AS donor_name, CASE l.l_suppkey % 3 WHEN 0 THEN 'pac' WHEN 1 THEN 'individual' END AS donor_type, {_CENTS.format("l.l_extendedprice")} AS amount
         FROM {{lineitem}} l JOIN {{orders}} o ON l.l_orderkey = o.o_orderkey JOIN {{customer}} c ON o.o_custkey = c.c_custkey JOIN {{supplier}} s ON l.l_suppkey = s.s_suppkey
-        WHERE (l.l_suppkey * 7 + c.c_nationkey) % 5 < 2 GROUP BY c.c_nationkey, l.l_suppkey""",
+        GROUP BY c.c_nationkey, l.l_suppkey""",
     "donor_industry": f"""SELECT c.c_nationkey AS member_id, CAST(EXTRACT(YEAR FROM o.o_orderdate) AS INT) + CAST(EXTRACT(YEAR FROM o.o_orderdate) AS INT) % 2 AS cycle,
             c.c_mktsegment || ' industry' AS industry, {_CENTS.format("o.o_totalprice")} AS total,
             {_CENTS.format("CASE WHEN o.o_orderkey % 2 = 0 THEN o.o_totalprice ELSE 0 END")} AS individuals,
             {_CENTS.format("CASE WHEN o.o_orderkey % 2 = 1 THEN o.o_totalprice ELSE 0 END")} AS pacs, MIN(o.o_orderpriority) AS source
         FROM {{orders}} o JOIN {{customer}} c ON o.o_custkey = c.c_custkey GROUP BY 1, 2, 3""",
-    "industry_patterns": "SELECT * FROM (VALUES ('AUTO%', 'Energy'), ('build%', 'Defense'), ('%HOLD%', 'Tech'), ('H%', 'Tech'), ('MACH%', 'Health')) AS seed(industry_pattern, theme)",
-    "contracts": f"""SELECT s.s_nationkey AS district, CAST(EXTRACT(YEAR FROM l.l_shipdate) AS INT) AS cy, '3' || substr(p.p_brand, 7) || (p.p_partkey % 10) AS code, {_CENTS.format("l.l_extendedprice")} AS amount
+    "industry_patterns": "SELECT * FROM (VALUES ('AUTO%', 'Energy'), ('build%', 'Defense'), ('%HOLD%', 'Tech'), ('H%', 'Tech'), ('MACH%', 'Health'), ('%CHINERY%', 'Robots'), ('%NITURE%', 'Media')) AS seed(industry_pattern, theme)",
+    "contracts": f"""SELECT s.s_nationkey AS district, CAST(EXTRACT(YEAR FROM l.l_shipdate) AS INT) AS cy, CASE WHEN p.p_partkey % 3 = 0 THEN '3' || (1 + s.s_nationkey % 4) || '99' ELSE '3' || substr(p.p_brand, 7) || (p.p_partkey % 10) END AS code, {_CENTS.format("l.l_extendedprice")} AS amount
         FROM {{lineitem}} l JOIN {{supplier}} s ON l.l_suppkey = s.s_suppkey JOIN {{part}} p ON l.l_partkey = p.p_partkey GROUP BY 1, 2, 3""",
     "prefixes": "SELECT * FROM (VALUES ('31', 'Energy'), ('32', 'Tech'), ('317', 'Media'), ('3251', 'Health'), ('34', 'Defense')) AS seed(prefix, theme)",
-    "recipients": f"""SELECT c.c_nationkey AS district, 'r' || l.l_suppkey AS recipient_key, {_CENTS.format("l.l_extendedprice")} AS amount
-        FROM {{lineitem}} l JOIN {{orders}} o ON l.l_orderkey = o.o_orderkey JOIN {{customer}} c ON o.o_custkey = c.c_custkey
-        WHERE (l.l_suppkey * 7 + c.c_nationkey) % 5 = 0 OR l.l_suppkey % 10 = 0 GROUP BY 1, 2""",
-    "confirms": "SELECT 'r' || s_suppkey AS recipient_key, 'T' || (s_suppkey % 97) AS ticker FROM {supplier} WHERE s_suppkey % 3 < 2",
-    "traded": "SELECT m.state AS district, t.ticker, COUNT(*) AS n_trades FROM {trades} t JOIN {members} m ON t.member_id = m.member_id WHERE t.ticker IS NOT NULL AND t.filing_id % 4 = 0 GROUP BY 1, 2",
+    "awards": """SELECT c.c_nationkey AS district, 'r' || l.l_suppkey || '/' || (c.c_nationkey % 5) AS recipient_key, l.l_extendedprice AS amount
+        FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey JOIN {customer} c ON o.o_custkey = c.c_custkey""",
+    "recipients": f"SELECT district, recipient_key, {_CENTS.format('amount')} AS amount FROM {{awards}} GROUP BY 1, 2",
+    "confirms": """SELECT DISTINCT 'r' || s_suppkey || '/' || (n_nationkey % 5) AS recipient_key,
+            CASE WHEN s_suppkey % 20 = 0 THEN 'T95' WHEN s_suppkey % 10 = 0 THEN 'T96' ELSE 'T' || (s_suppkey % 19 * 5 + n_nationkey % 5) END AS ticker
+        FROM {supplier} JOIN {nation} ON (s_suppkey + n_nationkey % 5) % 3 < 2
+        UNION ALL SELECT 'r' || s_suppkey || '/9' AS recipient_key, 'T1' AS ticker FROM {supplier} WHERE s_suppkey % 7 = 0""",
+    "traded": "SELECT m.state AS district, t.ticker, COUNT(*) AS n_trades FROM {trades} t JOIN {members} m ON t.member_id = m.member_id WHERE t.ticker IS NOT NULL GROUP BY 1, 2",
     "spending": """SELECT c.c_nationkey AS member_id, CAST(EXTRACT(YEAR FROM o.o_orderdate) AS INT) + CAST(EXTRACT(YEAR FROM o.o_orderdate) AS INT) % 2 AS cycle,
         o.o_orderpriority AS committee, CASE o.o_orderstatus WHEN 'F' THEN 'S' ELSE 'O' END AS side, CAST(ROUND(o.o_totalprice) AS BIGINT) AS amount
         FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey""",

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tracewell.functions import rng, text
 from tracewell.operators import calibration, detectors, flatten, nullmodel, ordering, quality, resolve, rollups, themes
+from tracewell.scratch import staged
 
 from .queries import _MEDIANS, _TOTALS, before, donor_theme, eligible, instruments, nexus, query, sponsored_theme
 
@@ -25,7 +26,7 @@ _ALIGNED = f"""(SELECT * FROM (SELECT *, {_NAMED} AS ticker_named, {_SCORE.forma
 @query(f"""SELECT member_id, count(*) AS n_trades, count(*) FILTER (member_on_bill_committee) AS n_committee, count(*) FILTER (NOT member_on_bill_committee AND ticker_named) AS n_named,
     count(*) FILTER (days_before_vote = 0) AS n_same_day, least(1.0, max(score) / 100.0)::DOUBLE AS intensity, count(*) + count(DISTINCT vote_id) AS n_cited FROM {_ALIGNED} x GROUP BY 1""")
 def d01_trade_vote_alignment(t):
-    found = detectors.trade_vote_alignment(before(t))
+    found = detectors.trade_vote_alignment(before(t, 14))
     return found.select("member_id", "n_trades", "n_committee", "n_named", "n_same_day", "intensity", F.size("citing").cast("long").alias("n_cited"))
 
 
@@ -34,7 +35,7 @@ def d01_trade_vote_alignment(t):
     SELECT *, row_number() OVER (PARTITION BY member_id, filing_id, tx_date, tx_type, upper(coalesce(ticker, asset)) ORDER BY days_before_vote, vote_id) AS rn FROM before
     WHERE lower(holder) IN ('spouse', 'joint') AND member_on_bill_committee AND days_before_vote <= 14 AND upper(coalesce(ticker, '')) NOT IN ({_FUNDS})) r WHERE rn = 1 GROUP BY 1""")
 def d02_household_trade_timing(t):
-    found = detectors.household_trade_timing(before(t))
+    found = detectors.household_trade_timing(before(t, 14))
     return found.select("member_id", "n_trades", "n_spouse", "n_joint", F.round("intensity", 6).alias("intensity"))
 
 
@@ -51,11 +52,11 @@ def d03_donor_sector_alignment(t):
     SELECT *, total / grand_total AS share, row_number() OVER (PARTITION BY district ORDER BY total DESC, theme) AS rn FROM {_TOTALS} x WHERE theme IS NOT NULL) c
     JOIN {_MEDIANS} m ON m.theme = c.theme JOIN (SELECT *, row_number() OVER (PARTITION BY district ORDER BY n_trades DESC, theme) AS trn FROM (
       SELECT tr.district, i.theme, sum(tr.n_trades)::BIGINT AS n_trades FROM traded tr JOIN instrument_theme i USING (ticker) GROUP BY 1, 2) g) t ON t.district = c.district AND t.theme = c.theme
-    WHERE rn <= 3 AND share >= 0.2 AND share >= 1.0 * median_share AND trn <= 3 AND n_trades >= 3""")
+    WHERE rn <= 3 AND share >= 0.2 AND share >= 1.5 * median_share AND trn <= 3 AND n_trades >= 3""")
 def d04_contract_trade_alignment(t):
     totals = rollups.contract_theme_totals(t.contracts, t.prefixes)
     traded = t.traded.join(instruments(t), "ticker").groupBy("district", "theme").agg(F.sum("n_trades").alias("n_trades"))
-    found = detectors.contract_trade_alignment(totals, rollups.median_shares(totals, t.contracts), traded, fold=1.0)
+    found = detectors.contract_trade_alignment(totals, rollups.median_shares(totals, t.contracts), traded)
     return found.select("district", "theme", F.round("share", 6).alias("share"), F.round("median_share", 6).alias("median_share"), "n_trades")
 
 
@@ -78,13 +79,14 @@ _FINDINGS = f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY member
 
 @query(f"SELECT member_id, filing_id, vote_id, days_before_vote, score FROM {_FINDINGS} x")
 def w07_best_findings(t):
-    return detectors.best_findings(before(t)).select("member_id", "filing_id", "vote_id", "days_before_vote", "score")
+    return detectors.best_findings(before(t, 30)).select("member_id", "filing_id", "vote_id", "days_before_vote", "score")
 
 
 @query(f"""SELECT member_id, count(*) AS n, CASE WHEN bool_or(days_before_vote <= 3 AND member_on_bill_committee) OR count(*) FILTER (days_before_vote = 0) >= 3 THEN 'high'
-    WHEN bool_or(days_before_vote <= 3) OR bool_or(member_on_bill_committee) THEN 'medium' ELSE 'low' END AS level FROM {_FINDINGS} x GROUP BY 1""")
+    WHEN bool_or(days_before_vote <= 3) OR bool_or(member_on_bill_committee) THEN 'medium' ELSE 'low' END AS level FROM {_FINDINGS} x GROUP BY 1
+    UNION ALL SELECT member_id, 0, 'none' FROM members WHERE member_id NOT IN (SELECT member_id FROM {_FINDINGS} y)""")
 def d06_finding_level(t):
-    return detectors.finding_level(detectors.best_findings(before(t)))
+    return detectors.finding_level(detectors.best_findings(before(t, 30)), t.members)
 
 
 _DIRECT = r"""(SELECT r.*, m.member_id FROM lobby_roles r JOIN lobby_members m ON regexp_matches(r.role, '(?i)\b' || CASE m.chamber WHEN 'senate' THEN '(sen\.?|senator)'
@@ -112,54 +114,129 @@ def d07_revolving_door(t):
     return detectors.revolving_door(t.lobby_roles, t.lobby_members, t.lobby_keywords, 2024)
 
 
-@query("""SELECT member_id, n_trades, n_pairs, CASE WHEN n_trades < 5 THEN 'insufficient' WHEN n_trades < 10 THEN 'exploratory' ELSE 'ranked' END AS band, min_gap FROM (
-    SELECT member_id, count(DISTINCT filing_id) AS n_trades, count(*) AS n_pairs, min(days_before_vote) AS min_gap FROM nexus GROUP BY 1) g""")
-def d08_receipt_bands(t):
-    by = nexus(t).groupBy("member_id").agg(F.count_distinct("filing_id").alias("n_trades"), F.count("*").alias("n_pairs"), F.min("days_before_vote").alias("min_gap"))
-    return by.select("member_id", "n_trades", "n_pairs", detectors.power_band(F.col("n_trades")).alias("band"), "min_gap")
+_MASK = "4294967295::HUGEINT"
+
+
+def _seed_sql(s: str) -> str:
+    """FNV-1a of an ASCII expression as DuckDB SQL."""
+    codes = f"list_transform(string_split({s}, ''), lambda c: ascii(c)::HUGEINT)"
+    return f"list_reduce(list_prepend(2166136261::HUGEINT, {codes}), lambda h, c: (xor(h::BIGINT, c::BIGINT)::HUGEINT * 16777619) & {_MASK})"
+
+
+def _with_draw(source: str, seed: str, k: str) -> str:
+    """The rows of a source with draw k of a seed as u, as DuckDB SQL."""
+    return f"""(SELECT * EXCLUDE (a, t1, t2), (xor(t2, t2 >> 14) & 4294967295) / 4294967296.0::DOUBLE AS u FROM (
+        SELECT *, xor((t1 + ((xor(t1, t1 >> 7)::HUGEINT * (t1 | 61)::HUGEINT) & {_MASK})::BIGINT) & 4294967295, t1) AS t2 FROM (
+        SELECT *, ((xor(a, a >> 15)::HUGEINT * (a | 1)::HUGEINT) & {_MASK})::BIGINT AS t1 FROM (
+        SELECT *, (({seed} + ({k} + 1)::HUGEINT * 1831565813) & {_MASK})::BIGINT AS a FROM {source} s0) s1) s2) s3)"""
+
+
+def _calendar_sql(trades: str, votes: str, n_perm: int, seed: str) -> str:
+    """Drawn days (trades.*, perm, day) of trades (member_id, slot, n_trades, d) as DuckDB SQL; votes (member_id, d) widen the span."""
+    pools = f"""(SELECT member_id, list_filter(list_transform(range(0, date_diff('day', min(d), max(d)) + 1), lambda i: min(d) + i::INT), lambda x: isodow(x) < 6) AS pool,
+        any_value({_seed_sql(f"'{seed}:' || member_id")}) AS seed FROM (SELECT member_id, d FROM {trades} a UNION ALL SELECT member_id, d FROM {votes} b) c GROUP BY 1)"""
+    rows = f"(SELECT t.*, p.pool, p.seed, perm FROM {trades} t JOIN {pools} p USING (member_id), (SELECT unnest(range({n_perm})) AS perm) n WHERE len(p.pool) > 0)"
+    return f"(SELECT * EXCLUDE (pool, seed, u), pool[floor(u * len(pool))::INT + 1] AS day FROM {_with_draw(rows, 'seed', 'perm * n_trades + slot')} x)"
+
+
+_THEMED = """(SELECT t.member_id, t.tx_date AS d, concat_ws('|', t.tx_date::VARCHAR, t.tx_type, upper(coalesce(t.ticker, t.asset))) AS trade_id, i.theme,
+    row_number() OVER (PARTITION BY t.member_id ORDER BY t.tx_date, concat_ws('|', t.tx_date::VARCHAR, t.tx_type, upper(coalesce(t.ticker, t.asset))), t.filing_id) - 1 AS slot,
+    count(*) OVER (PARTITION BY t.member_id) AS n_trades FROM trades t JOIN instrument_theme i ON i.ticker = upper(t.ticker))"""
+_OBSERVED = "(SELECT member_id, concat_ws('|', tx_date::VARCHAR, tx_type, upper(ticker)) AS trade_id, min(days_before_vote) AS observed_gap FROM nexus GROUP BY 1, 2)"
+#: p of members with fewer than 50 trades, whose dates are drawn; shuffles have no SQL.
+_PAIR_P = f"""(SELECT member_id, trade_id, observed_gap, (1 + count(*) FILTER (hit)) / 101.0::DOUBLE AS p_pair FROM (
+    SELECT c.member_id, c.trade_id, o.observed_gap, c.perm, bool_or(v.d IS NOT NULL) AS hit FROM {_calendar_sql('themed', "(SELECT member_id, vote_date AS d FROM eligible)", 100, 'theme-gap')} c
+    JOIN {_OBSERVED} o ON o.member_id = c.member_id AND o.trade_id = c.trade_id
+    LEFT JOIN (SELECT DISTINCT member_id, theme, vote_date AS d FROM eligible) v ON v.member_id = c.member_id AND v.theme = c.theme AND date_diff('day', c.day, v.d) BETWEEN 0 AND o.observed_gap
+    WHERE c.n_trades < 50 GROUP BY 1, 2, 3, 4) h GROUP BY 1, 2, 3)"""
+
+
+def _trade_id() -> Column:
+    return F.concat_ws("|", F.col("tx_date").cast("string"), "tx_type", F.upper(detectors.instrument()))
 
 
 def _theme_trades(t) -> DataFrame:
-    rows = t.trades.join(instruments(t), "ticker").where("member_id % 5 = 0").select("member_id", "filing_id", "tx_date", "theme")
-    return rows.withColumn("slot", F.row_number().over(Window.partitionBy("member_id").orderBy("filing_id", "theme")) - 1)
+    rows = t.trades.join(instruments(t).select(F.col("ticker").alias("_of"), "theme"), F.upper("ticker") == F.col("_of")).select("member_id", "filing_id", "tx_date", "theme", _trade_id().alias("trade_id"))
+    return rows.withColumn("slot", F.row_number().over(Window.partitionBy("member_id").orderBy("tx_date", "trade_id", "filing_id")) - 1)
 
 
-@query()
+def _receipts(t) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nexus rows, the trades that map to a theme, and p of each observed pair."""
+    pairs = staged(nexus(t).withColumn("trade_id", F.concat_ws("|", F.col("tx_date").cast("string"), "tx_type", F.upper("ticker"))), "nexus")
+    trades, votes = staged(_theme_trades(t), "theme-trades"), staged(eligible(t), "eligible")
+    gaps = pairs.groupBy("member_id", "trade_id").agg(F.min("days_before_vote").alias("observed_gap"))
+    return pairs, trades, nullmodel.receipt_p_values(trades, votes, gaps, 100, "theme-gap")
+
+
+@query(f"WITH themed AS MATERIALIZED (SELECT * FROM {_THEMED} x) SELECT member_id, trade_id, observed_gap, round(p_pair, 6) AS p_pair FROM {_PAIR_P} p")
 def n06_pair_lower_tail(t):
-    """Receipts: the chance that a random date would come as near to a vote of the theme."""
-    return nullmodel.pair_lower_tail(_theme_trades(t), eligible(t), 100, "receipts")
+    """The chance that a random date would come as near to a vote of the trade's theme."""
+    return _receipts(t)[2].select("member_id", "trade_id", "observed_gap", F.round("p_pair", 6).alias("p_pair"))
+
 
+@query(f"""WITH themed AS MATERIALIZED (SELECT * FROM {_THEMED} x) SELECT *, row_number() OVER (PARTITION BY member_id ORDER BY CASE WHEN band = 'ranked' THEN coalesce(p_pair, 1) END NULLS FIRST, tx_date, trade_id, ticker, vote_id, theme) AS place FROM (
+    SELECT n.member_id, n.trade_id, n.tx_date, n.ticker, n.vote_id, n.theme, n.days_before_vote, coalesce(c.n, 0) AS trade_count, CASE WHEN coalesce(c.n, 0) < 5 THEN 'insufficient-data' WHEN c.n < 10 THEN 'low-power' ELSE 'ranked' END AS band,
+      CASE WHEN coalesce(c.n, 0) >= 5 THEN round(p.p_pair, 6) END AS p_pair FROM (SELECT *, concat_ws('|', tx_date::VARCHAR, tx_type, upper(ticker)) AS trade_id FROM nexus) n
+    LEFT JOIN (SELECT member_id, count(*) AS n FROM themed GROUP BY 1) c USING (member_id) LEFT JOIN {_PAIR_P} p ON p.member_id = n.member_id AND p.trade_id = n.trade_id) r""", dates=("tx_date",))
+def d08_receipts(t):
+    pairs, trades, p = _receipts(t)
+    found = detectors.theme_gap_receipts(pairs, trades, p.withColumn("p_pair", F.round("p_pair", 6)))
+    return found.select("member_id", "trade_id", "tx_date", "ticker", "vote_id", "theme", "days_before_vote", "trade_count", "band", "p_pair", "place")
 
-@query("""SELECT member_id, vote_id, vote_date, bool_or(member_on_bill_committee) AS committee FROM before GROUP BY 1, 2, 3""", dates=("vote_date",))
+
+def _substrate(t) -> tuple[DataFrame, DataFrame]:
+    """Trades and votes of the null models: pairs are made once, and so are both tables."""
+    pairs = before(t).select("member_id", "filing_id", "tx_date", "tx_type", "ticker", "asset", "vote_id", "vote_date", "member_on_bill_committee", "bill_mentions_ticker")
+    trades, votes = nullmodel.substrate(staged(pairs, "before"))
+    return staged(trades, "null-trades"), staged(votes, "null-votes")
+
+
+@query(f"""SELECT member_id, vote_id, vote_date, bool_or(member_on_bill_committee) AS committee, coalesce(string_agg(DISTINCT CASE WHEN {_NAMED} THEN upper(ticker) END, ',' ORDER BY CASE WHEN {_NAMED} THEN upper(ticker) END), '') AS named
+    FROM before GROUP BY 1, 2, 3""", dates=("vote_date",))
 def n01_substrate_votes(t):
     _, votes = nullmodel.substrate(before(t))
-    return votes.select("member_id", "vote_id", "vote_date", "committee")
+    return votes.select("member_id", "vote_id", "vote_date", "committee", F.array_join("named", ",").alias("named"))
 
 
 _TRADES = f"(SELECT DISTINCT member_id, filing_id, tx_date, tx_type, upper(coalesce(ticker, asset)) AS instrument FROM before WHERE upper(coalesce(ticker, '')) NOT IN ({_FUNDS}))"
 _NVOTES = f"(SELECT DISTINCT member_id, vote_date, member_on_bill_committee AS committee, CASE WHEN {_NAMED} THEN upper(ticker) END AS named FROM before)"
 
 
-@query(f"""SELECT t.member_id, count(*) AS n_trades, count(*) FILTER (EXISTS (SELECT 1 FROM {_NVOTES} v WHERE v.member_id = t.member_id
-    AND date_diff('day', t.tx_date, v.vote_date) BETWEEN 0 AND 14 AND (v.committee OR v.named = t.instrument))) AS observed FROM {_TRADES} t GROUP BY 1""")
+_OBSERVED_NEXUS = f"""(SELECT t.member_id, count(*) AS n_trades, count(*) FILTER (EXISTS (SELECT 1 FROM {_NVOTES} v WHERE v.member_id = t.member_id
+    AND date_diff('day', t.tx_date, v.vote_date) BETWEEN 0 AND 14 AND (v.committee OR v.named = t.instrument))) AS observed FROM {_TRADES} t GROUP BY 1)"""
+
+
+@query(f"SELECT * FROM {_OBSERVED_NEXUS} o")
 def n02_observed_nexus(t):
-    return nullmodel.observed_nexus(*nullmodel.substrate(before(t)))
+    return nullmodel.observed_nexus(*_substrate(t))
 
 
-@query()
+_SLOTTED = f"""WITH slotted AS MATERIALIZED (SELECT member_id, instrument, tx_date AS d, row_number() OVER (PARTITION BY member_id ORDER BY filing_id, tx_date, tx_type, instrument) - 1 AS slot,
+    count(*) OVER (PARTITION BY member_id) AS n_trades FROM {_TRADES} t), nvotes AS MATERIALIZED (SELECT *, vote_date AS d FROM {_NVOTES} v) """
+
+
+def _drawn_sql(n_perm: int, seed: str) -> str:
+    return f"""(SELECT member_id, perm, count(*) FILTER (hit) AS drawn FROM (SELECT c.member_id, c.perm, c.slot, bool_or(v.d IS NOT NULL) AS hit FROM {_calendar_sql('slotted', 'nvotes', n_perm, seed)} c
+        LEFT JOIN nvotes v ON v.member_id = c.member_id AND date_diff('day', c.day, v.d) BETWEEN 0 AND 14 AND (v.committee OR v.named = c.instrument) GROUP BY 1, 2, 3) h GROUP BY 1, 2)"""
+
+
+@query(_SLOTTED + f"SELECT * FROM {_drawn_sql(50, 'calendar')} x")
 def n03_calendar_null(t):
-    return nullmodel.calendar_null(*nullmodel.substrate(before(t)), 50, "calendar")
+    return nullmodel.calendar_null(*_substrate(t), 50, "calendar")
 
 
 @query()
 def n04_shuffle_null(t):
-    return nullmodel.shuffle_null(*nullmodel.substrate(before(t)), 50, "shuffle")
+    return nullmodel.shuffle_null(*_substrate(t), 50, "shuffle")
 
 
-@query()
+@query(_SLOTTED + f"""SELECT member_id, o.observed, count(*) AS n_perm, round(avg(drawn), 6) AS expected, round(stddev_pop(drawn), 6) AS sd, round(avg((drawn >= o.observed)::INT), 6) AS p_value,
+    round(CASE WHEN stddev_pop(drawn) = 0 THEN 0 ELSE (o.observed - avg(drawn)) / stddev_pop(drawn) END, 4) AS z_score FROM {_drawn_sql(100, 'nexus')} d JOIN {_OBSERVED_NEXUS} o USING (member_id) WHERE o.n_trades < 50 GROUP BY 1, 2""")
 def n05_nexus_test(t):
-    trades, votes = nullmodel.substrate(before(t))
-    return nullmodel.nexus_test(trades, votes, 100, "nexus")
+    """The SQL has the members with fewer than 50 trades, whose dates are drawn; shuffles have none."""
+    found = nullmodel.nexus_test(*_substrate(t), 100, "nexus")
+    rounded = (F.round("expected", 6).alias("expected"), F.round("sd", 6).alias("sd"), F.round("p_value", 6).alias("p_value"), F.round("z_score", 4).alias("z_score"))
+    return found.select("member_id", "observed", "n_perm", *rounded)
 
 
 def _pair_scores(t) -> DataFrame:
@@ -168,29 +245,63 @@ def _pair_scores(t) -> DataFrame:
     return dollars.join(traded, "ticker").groupBy("member_id", "district").agg(F.count("*").alias("hits"), F.sum("amount").alias("amount"))
 
 
-@query()
+_PAIR_SCORES = f"(SELECT t.district AS member_id, d.district, count(*) AS hits, sum(d.amount) AS amount FROM {_DOLLARS} d JOIN (SELECT DISTINCT district, ticker FROM traded) t ON t.ticker = d.ticker GROUP BY 1, 2)"
+
+
+@query(f"""SELECT perm, coalesce(sum(hits), 0)::BIGINT AS s1, round(coalesce(sum(amount), 0), 2) AS s2 FROM (SELECT d.perm, d.entity, n.n_nationkey AS district FROM (
+    SELECT *, row_number() OVER (PARTITION BY perm ORDER BY u, i) - 1 AS place FROM {_with_draw("(SELECT n_nationkey AS entity, i, perm FROM (SELECT n_nationkey, row_number() OVER (ORDER BY n_nationkey) - 1 AS i FROM nation) a, (SELECT unnest(range(200)) AS perm) b)", '7', 'perm * 25 + i')} x) d
+    JOIN (SELECT n_nationkey, row_number() OVER (ORDER BY n_nationkey) - 1 AS i FROM nation) n ON n.i = d.place) p LEFT JOIN {_PAIR_SCORES} s ON s.member_id = p.entity AND s.district = p.district GROUP BY 1""")
 def n07_pairing_null(t):
-    return nullmodel.pairing_null(_pair_scores(t), t.nation.select(F.col("n_nationkey").alias("entity")), 200, 7)
+    found = nullmodel.pairing_null(_pair_scores(t), t.nation.select(F.col("n_nationkey").alias("entity")), 200, 7)
+    return found.select("perm", "s1", F.round("s2", 2).alias("s2"))
 
 
-@query()
+def _scrambled_sql(source: str, by: str, columns: str, order: str, replicates: int, seed: str) -> str:
+    """Rows of a source with columns permuted within its groups, by replicate, as DuckDB SQL. by and columns: comma-separated names, by perhaps empty."""
+    part, key = (f"PARTITION BY {by}", f"{by}, ") if by else ("", "")
+    text = f"'{seed}'" + "".join(f" || ':' || {c}" for c in by.split(", ") if c)
+    placed = f"(SELECT *, row_number() OVER ({part} ORDER BY {order}) - 1 AS i, count(*) OVER ({part}) AS gn FROM {source} p0)"
+    drawn = _with_draw(f"(SELECT p.*, {_seed_sql(text)} AS seed, replicate FROM {placed} p, (SELECT unnest(range({replicates})) AS replicate) r)", "seed", "replicate * gn + i")
+    return f"""(SELECT x.* EXCLUDE ({columns}, i, gn, seed, u), {', '.join('y.' + c.strip() for c in columns.split(','))} FROM {drawn} x
+        JOIN (SELECT {key}replicate, {columns}, row_number() OVER (PARTITION BY {key}replicate ORDER BY u, i) - 1 AS i FROM {drawn} z) y USING ({key}replicate, i))"""
+
+
+@query(f"""WITH control AS MATERIALIZED (SELECT * FROM {_scrambled_sql('confirms', '', 'ticker', 'recipient_key', 20, 'confirms')} c)
+    SELECT replicate, count(*) AS s1, round(sum(amount), 2) AS s2 FROM (SELECT c.replicate, r.district, c.ticker, sum(r.amount) AS amount FROM recipients r JOIN control c USING (recipient_key) GROUP BY 1, 2, 3) d
+    JOIN (SELECT DISTINCT district, ticker FROM traded) t USING (district, ticker) GROUP BY 1""")
 def n08_scrambled_confirms(t):
     """The overlap with ticker identities permuted among confirmed recipients, by replicate."""
-    control = nullmodel.scrambled(t.confirms, [], ["ticker"], ["recipient_key"], 20, 3)
+    control = nullmodel.scrambled(t.confirms, [], ["ticker"], ["recipient_key"], 20, "confirms")
     dollars = t.recipients.join(control, "recipient_key").groupBy("replicate", "district", "ticker").agg(F.sum("amount").alias("amount"))
     both = dollars.join(t.traded.select("district", "ticker").distinct(), ["district", "ticker"])
     return both.groupBy("replicate").agg(F.count("*").alias("s1"), F.round(F.sum("amount"), 2).alias("s2"))
 
 
-@query("""SELECT count(*) FILTER (p < 0.05) / count(*)::DOUBLE AS pooled_rate, (SELECT max(h) FROM (SELECT c_custkey % 20 AS m, count(*) FILTER (c_nationkey / 25.0 < 0.05) AS h FROM customer GROUP BY 1) x) AS most_hits,
-    count(*) FILTER (p < 0.05) / count(*)::DOUBLE <= 0.1 AND (SELECT max(h) FROM (SELECT c_custkey % 20 AS m, count(*) FILTER (c_nationkey / 25.0 < 0.05) AS h FROM customer GROUP BY 1) x) <= 4 AS passed
-    FROM (SELECT c_nationkey / 25.0 AS p FROM customer) c""")
-def n09_control_verdict(t):
-    tests = t.customer.select((F.col("c_custkey") % 20).alias("member_id"), F.col("c_custkey").alias("replicate"), (F.col("c_nationkey") / 25).alias("p_value"))
-    return nullmodel.control_verdict(tests)
+def _control(t, replicates: int) -> tuple[DataFrame, DataFrame]:
+    """Trades and votes of each replicate, in which (committee, named tickers) are permuted among each member's votes; a replicate's member is a member of its own."""
+    trades, votes = _substrate(t)
+    control = staged(nullmodel.scrambled(votes, ["member_id"], ["committee", "named"], ["vote_date", "vote_id"], replicates, "votes"), "control")
+    as_one = lambda df: df.withColumn("member_id", F.concat_ws(":", "replicate", "member_id")).drop("replicate")
+    return staged(as_one(trades.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))), "control-trades"), as_one(control)
 
 
-_MASK = "4294967295::HUGEINT"
+_VOTES_SQL = f"""(SELECT member_id, vote_id, vote_date, bool_or(member_on_bill_committee) AS committee, list_sort(list(DISTINCT CASE WHEN {_NAMED} THEN upper(ticker) END) FILTER ({_NAMED})) AS named FROM before GROUP BY 1, 2, 3)"""
+_CONTROL_SQL = f"""WITH svotes AS MATERIALIZED (SELECT * FROM {_VOTES_SQL} v), control AS MATERIALIZED (SELECT * FROM {_scrambled_sql('svotes', 'member_id', 'committee, named', 'vote_date, vote_id', 3, 'votes')} c) """
+
+
+@query(_CONTROL_SQL + f"""SELECT r.replicate || ':' || t.member_id AS member_id, count(*) AS n_trades, count(*) FILTER (EXISTS (SELECT 1 FROM control v WHERE v.member_id = t.member_id AND v.replicate = r.replicate
+    AND date_diff('day', t.tx_date, v.vote_date) BETWEEN 0 AND 14 AND (v.committee OR list_contains(v.named, t.instrument)))) AS observed FROM {_TRADES} t, (SELECT unnest(range(3)) AS replicate) r GROUP BY 1""")
+def n08_scrambled_votes(t):
+    """The second control: vote attributes travel together to another vote of the member."""
+    return nullmodel.observed_nexus(*_control(t, 3))
+
+
+@query()
+def n09_control_verdict(t):
+    """How often controls, scored as the data are, come out as significant."""
+    tests = nullmodel.nexus_test(*_control(t, 5), 40, "control")
+    parts = F.split("member_id", ":")
+    return nullmodel.control_verdict(tests.select(parts[1].alias("member_id"), parts[0].alias("replicate"), "p_value"))
 
 
 @query(f"""SELECT c_custkey, ((t3 & {_MASK}) / 4294967296.0::DOUBLE)::DOUBLE AS drawn FROM (
@@ -240,14 +351,14 @@ def f02_skipped_members(t):
 
 
 def _filers(t) -> DataFrame:
-    return t.members.where("member_id % 3 = 0").select(
+    return t.members.select(
         F.concat(F.lit("Hon. Jane "), F.substring_index("name", "#", -1), F.lit(" Jr")).alias("filer"), F.col("state").alias("state"), F.when(F.col("member_id") % 2 == 0, F.col("district")).alias("district")
     )
 
 
 @query("""SELECT f.filer, f.state, f.district, CASE WHEN n > 1 AND n_same = 1 THEN same ELSE first END AS member_id,
     CASE WHEN n = 1 THEN 1.0 WHEN n > 1 AND n_same = 1 THEN 0.95 WHEN n > 1 THEN 0.7 END::DOUBLE AS confidence FROM (
-    SELECT DISTINCT 'Hon. Jane ' || split_part(name, '#', 2) || ' Jr' AS filer, state, CASE WHEN member_id % 2 = 0 THEN district END AS district, split_part(name, '#', 2) AS last FROM members WHERE member_id % 3 = 0) f
+    SELECT DISTINCT 'Hon. Jane ' || split_part(name, '#', 2) || ' Jr' AS filer, state, CASE WHEN member_id % 2 = 0 THEN district END AS district, split_part(name, '#', 2) AS last FROM members) f
     LEFT JOIN LATERAL (SELECT count(*) AS n, min(m.member_id) AS first, count(*) FILTER (m.district = f.district) AS n_same, min(m.member_id) FILTER (m.district = f.district) AS same
       FROM members m WHERE m.state = f.state AND contains(lower(m.name), lower(f.last))) c ON true""")
 def er01_resolve_filers(t):
@@ -346,9 +457,15 @@ def dq4_conformance(t):
     return rates
 
 
-@query("SELECT '$.k' AS path, count(*) AS docs, 'number' AS types, 0 AS numeric_strings FROM events")
+@query("""WITH good AS (SELECT * FROM part WHERE p_size <> 7) SELECT '$.name' AS path, count(*) AS docs, 'string' AS types, 0 AS numeric_strings FROM good UNION ALL SELECT '$.size.n', count(*), 'number', 0 FROM good
+    UNION ALL SELECT '$.tags[]', count(*), 'string', 0 FROM good UNION ALL SELECT '$.code', count(*), CASE WHEN count(*) FILTER (p_size % 3 = 1) > 0 THEN 'number,string' ELSE 'string' END, count(*) FILTER (p_size % 3 = 0) FROM good WHERE p_size % 3 < 2
+    UNION ALL SELECT '!', count(*), 'invalid', 0 FROM part WHERE p_size = 7 HAVING count(*) > 0""")
 def dq5_shape_profile(t):
-    return quality.shape_profile(t.events, "event_id", "props").select("path", "docs", "types", "numeric_strings")
+    """Documents of three nested shapes made from parts; those of size 7 aren't JSON."""
+    nested = [F.col("p_name").alias("name"), F.struct(F.col("p_size").alias("n")).alias("size"), F.split("p_name", " ").alias("tags")]
+    shape = F.when(F.col("p_size") == 7, "{broken").when(F.col("p_size") % 3 == 0, F.to_json(F.struct(*nested, F.col("p_size").cast("string").alias("code"))))
+    doc = shape.when(F.col("p_size") % 3 == 1, F.to_json(F.struct(*nested, F.col("p_size").alias("code")))).otherwise(F.to_json(F.struct(*nested)))
+    return quality.shape_profile(t.part.select("p_partkey", doc.alias("doc")), "p_partkey", "doc").select("path", "docs", "types", "numeric_strings")
 
 
 _TERMS = ["the", "que", "of the", "stupid"]
@@ -370,9 +487,13 @@ def dq9_release_verdict(t):
     return t.part.select("p_partkey", quality.release_verdict(checks, [F.col("p_size") > 5]).alias("verdict"))
 
 
-@query("SELECT industry, count(DISTINCT theme) AS themes FROM industry_theme GROUP BY 1 HAVING count(DISTINCT theme) > 1")
+@query("""SELECT industry AS item, 'several themes' AS problem FROM industry_theme GROUP BY 1 HAVING count(DISTINCT theme) > 1 UNION ALL SELECT DISTINCT industry, 'unknown theme' FROM industry_theme WHERE theme NOT IN (SELECT theme FROM sic_theme)
+    UNION ALL SELECT prefix, 'prefix stands ' || count(*) || ' times' FROM (SELECT prefix FROM prefixes UNION ALL SELECT DISTINCT substr(code, 1, 2) FROM contracts) p GROUP BY 1 HAVING count(*) > 1""")
 def dq10_crosswalk_conflicts(t):
-    return quality.crosswalk_conflicts(themes.industry_themes(t.donor_industry, t.industry_patterns), "industry", "theme")
+    found = quality.crosswalk_conflicts(themes.industry_themes(t.donor_industry, t.industry_patterns), "industry", "theme", t.sic_theme).toDF("item", "problem")
+    added = t.prefixes.select("prefix").unionAll(t.contracts.select(F.substring("code", 1, 2)).distinct())
+    twice = quality.repeated_prefixes(added).select("prefix", F.concat(F.lit("prefix stands "), "n", F.lit(" times")))
+    return found.unionAll(twice)
 
 
 @query("""SELECT avg(CASE WHEN v.bill_id IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS left_null_share, count(DISTINCT v.bill_id) AS left_keys, (SELECT avg(CASE WHEN bill_id IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE FROM sponsors) AS right_null_share,
@@ -454,12 +575,12 @@ def w12_busiest_kind(t):
 @query(f"""SELECT member_id, kind, n, array_to_string(labels[1:8], '|') AS labels, greatest(n - 8, 0) AS more FROM (
     SELECT member_id, 'trade' AS kind, count(*) AS n, list(tx_type || ' ' || coalesce(ticker, asset) || ' (' || tx_date || ')' ORDER BY tx_type || ' ' || coalesce(ticker, asset) || ' (' || tx_date || ')') AS labels FROM {_ALIGNED} x GROUP BY 1) g""")
 def a22_evidence_groups(t):
-    found = rollups.evidence_groups(detectors.trade_vote_alignment(before(t))).where("kind = 'trade'")
+    found = rollups.evidence_groups(detectors.trade_vote_alignment(before(t, 14))).where("kind = 'trade'")
     return found.select("member_id", "kind", (F.size("labels") + F.col("more")).cast("long").alias("n"), F.array_join("labels", "|").alias("labels"), "more")
 
 
 @query(f"""SELECT member_id, least(1.0, max(score) / 100.0)::DOUBLE AS intensity, CASE WHEN max(score) >= 85 THEN 'high' WHEN max(score) >= 70 THEN 'medium' ELSE 'low' END AS tier FROM {_ALIGNED} x GROUP BY 1
     ORDER BY intensity DESC, member_id LIMIT 12""")
 def w11_strongest_flags(t):
-    found = detectors.trade_vote_alignment(before(t)).select("member_id", "intensity", detectors.row_tier(F.round(F.col("intensity") * 100)).alias("tier"))
+    found = detectors.trade_vote_alignment(before(t, 14)).select("member_id", "intensity", detectors.row_tier(F.round(F.col("intensity") * 100)).alias("tier"))
     return ordering.first_rows(found, [F.col("intensity").desc_nulls_last(), F.col("member_id")], 12)

@@ -10,19 +10,16 @@ from tracewell.functions import rng, text
 from tracewell.operators import calibration, detectors, flatten, ordering, proximity, quality, resolve, rollups, themes
 from tracewell.sources import readers, sinks
 
-from .detection import _ALIGNED, _FUNDS, _MASK, _PRED
+from .detection import _ALIGNED, _FUNDS, _MASK, _PRED, _seed_sql
 from .queries import before, near, nexus, query
 
 
-@query("""SELECT vote_id, CASE WHEN member_id % 2 = 0 THEN bill_id ELSE '118-hr-' || (member_id + 1) END AS bill_id FROM votes""")
+@query("""SELECT vote_id, CASE WHEN member_id % 2 = 0 AND bill_id IS NOT NULL THEN bill_id ELSE '118-hr-' || (member_id + 1) END AS bill_id FROM votes""")
 def l08_vote_links(t):
     rows = t.votes.select(
         "vote_id", F.concat(F.lit("On Agreeing to H. R. "), F.col("member_id") + 1).alias("question"), F.lit("https://example.org/congress/votes/118-2024/h5").alias("source_url"), F.when(F.col("member_id") % 2 == 0, F.col("bill_id")).alias("bill_id"), "member_id"
     )
-    # votes that are linked keep their bill, those whose bill is null get one from the question
-    kept = rows.where("member_id % 2 = 1 or bill_id is not null")
-    null = rows.where("member_id % 2 = 0 and bill_id is null")
-    return flatten.link_votes(kept).select("vote_id", "bill_id").unionAll(null.select("vote_id", "bill_id"))
+    return flatten.link_votes(rows).select("vote_id", "bill_id")
 
 
 @query("SELECT p_partkey AS bill_id, p_name AS title, p_name || ' of ' || p_type || ' & more' AS text FROM part")
@@ -51,12 +48,13 @@ def l12_latest_activity(t):
 
 
 @query("""SELECT DISTINCT m.member_id, e.event_id, CASE event_type WHEN 'view' THEN 'Hearing' WHEN 'click' THEN 'Markup' WHEN 'error' THEN 'Meeting' ELSE 'Other' END AS kind
-    FROM events e JOIN memberships m ON m.committee_canonical = 'brand#' || (e.event_id % 25 + 1) OR m.committee_canonical = 'brand#' || (e.user_id % 25 + 1) WHERE m.member_id % 50 = 0""")
+    FROM events e JOIN memberships m ON m.member_id % 100 = e.event_id % 100 AND (m.committee_canonical = 'brand#' || (e.event_id % 25 + 1) OR m.committee_canonical = 'brand#' || (e.user_id % 25 + 1))""")
 def l16_relevant_meetings(t):
     title = F.when(F.col("event_type") == "view", "Full Hearing").when(F.col("event_type") == "click", "Markup of a bill").when(F.col("event_type") == "error", "Business meeting").otherwise("Briefing")
-    codes = F.array(F.concat(F.lit("BRAND#"), F.col("event_id") % 25 + 1), F.concat(F.lit("Brand#"), F.col("user_id") % 25 + 1))
+    sub = F.concat(F.lit("."), F.col("event_id") % 100)  # each committee has a hundred subcommittees
+    codes = F.array(F.concat(F.lit("BRAND#"), F.col("event_id") % 25 + 1, sub), F.concat(F.lit("Brand#"), F.col("user_id") % 25 + 1, sub))
     meetings = t.events.select("event_id", F.col("ts").cast("date").alias("date"), title.alias("title"), codes.alias("committees"))
-    mine = t.memberships.where("member_id % 50 = 0").select("member_id", F.col("committee_name").alias("committee_code"))
+    mine = t.memberships.select("member_id", F.concat("committee_name", F.lit("."), F.col("member_id") % 100).alias("committee_code"))
     return flatten.relevant_meetings(meetings, mine).select("member_id", "event_id", "kind")
 
 
@@ -96,12 +94,19 @@ def er11_newest_candidate(t):
     return resolve.newest_candidate(people, registry)
 
 
-@query("""SELECT 'Chuck Lee' || k AS query, CASE WHEN n = 1 THEN one END AS person_id, CASE WHEN n = 1 THEN 'ok' WHEN n > 1 THEN 'ambiguous' ELSE 'unresolved' END AS status FROM (
-    SELECT n_nationkey AS k, (SELECT count(*) FROM customer WHERE c_custkey % 40 = n_nationkey AND c_custkey < 60) AS n, (SELECT min(c_custkey) FROM customer WHERE c_custkey % 40 = n_nationkey AND c_custkey < 60) AS one FROM nation) x""")
+_SHARED_LAST = "CASE WHEN {0} % 4 = 1 THEN {0} - 1 ELSE {0} END"
+
+
+@query(f"""SELECT q AS query, CASE WHEN known AND n = 1 THEN one END AS person_id, CASE WHEN known AND n = 1 THEN 'ok' WHEN known THEN 'ambiguous' ELSE 'unresolved' END AS status FROM (
+    SELECT CASE c_custkey % 3 WHEN 0 THEN 'Chuck' WHEN 1 THEN 'Charles' ELSE 'Zed' END || ' Lee' || {_SHARED_LAST.format("c_custkey")} AS q, c_custkey % 3 < 2 AS known, {_SHARED_LAST.format("c_custkey")} AS k FROM customer) a
+    JOIN (SELECT {_SHARED_LAST.format("c_custkey")} AS k, count(*) AS n, min(c_custkey) AS one FROM customer GROUP BY 1) b USING (k)""")
 def er13_match_roster(t):
-    names = t.nation.select(F.concat(F.lit("Chuck Lee"), "n_nationkey").alias("query"))
-    roster = t.customer.where("c_custkey < 60").select(F.col("c_custkey").alias("person_id"), F.lit("Charles").alias("first"), F.concat(F.lit("Lee"), F.col("c_custkey") % 40).alias("last"))
-    return resolve.match_roster(names, roster, t.nation.limit(1).select(F.lit("chuck").alias("nickname"), F.lit("charles").alias("legal")))
+    """Two people of four share a last name, a third of the names asked for have another first name."""
+    k = F.col("c_custkey")
+    last = F.concat(F.lit("Lee"), F.when(k % 4 == 1, k - 1).otherwise(k))
+    names = t.customer.select(F.concat(F.when(k % 3 == 0, "Chuck").when(k % 3 == 1, "Charles").otherwise("Zed"), F.lit(" "), last).alias("query"))
+    roster = t.customer.select(k.alias("person_id"), F.lit("Charles").alias("first"), last.alias("last"))
+    return resolve.match_roster(names, roster, t.nation.select(F.lit("chuck").alias("nickname"), F.lit("charles").alias("legal")).distinct())
 
 
 @query("SELECT o_orderkey AS filing_id, l.vote_id FROM orders LEFT JOIN (SELECT member_id, max(vote_id) AS vote_id FROM votes GROUP BY 1) l ON l.member_id = o_custkey")
@@ -112,7 +117,7 @@ def j21_outer_enrichment(t):
 
 @query("SELECT recipient_key, ticker FROM confirms c WHERE NOT EXISTS (SELECT 1 FROM recipients r WHERE r.recipient_key = c.recipient_key)")
 def j19_referential_check(t):
-    return t.confirms.join(t.recipients, "recipient_key", "left_anti")
+    return quality.orphans(t.confirms, t.recipients, "recipient_key").select("recipient_key", "ticker")
 
 
 @query("SELECT filing_id FROM trades WHERE asset_type NOT IN ('GS', 'MF', 'EF', 'BA', 'CT', 'AB') AND NOT (asset_type IN ('OT', 'Stock') AND lower(asset) LIKE '%vanguard%')")
@@ -146,7 +151,7 @@ def p12_member_lookup(t):
     row_number() OVER (PARTITION BY filing_id, tx_date, tx_type, asset, ticker ORDER BY member_on_bill_committee DESC, days_abs, vote_id NULLS LAST, amount_band NULLS LAST, holder NULLS LAST) AS rn_cmte
     FROM before WHERE days_abs <= 90) r WHERE rn_close <= 6 OR (member_on_bill_committee AND rn_cmte = 1)""")
 def w02_capped_before_votes(t):
-    return proximity.cap_per_trade(before(t), 90).select("filing_id", "vote_id", "rn_close")
+    return proximity.cap_per_trade(before(t, 90), 90).select("filing_id", "vote_id", "rn_close")
 
 
 @query("SELECT member_id, filing_id, vote_id, theme, days_before_vote FROM nexus ORDER BY days_before_vote, member_id, tx_date DESC, vote_id, ticker, bill_id, filing_id LIMIT 500")
@@ -175,7 +180,7 @@ def s03_both_chambers(t):
 
 @query(f"SELECT member_id, CASE WHEN max(score) >= 85 THEN 'high' WHEN max(score) >= 70 THEN 'medium' ELSE 'low' END AS row_tier, CASE WHEN member_id % 3 = 0 THEN 'low' WHEN max(score) >= 85 THEN 'high' WHEN max(score) >= 70 THEN 'medium' ELSE 'low' END AS pattern_tier FROM {_ALIGNED} x GROUP BY 1")
 def d09_tiers(t):
-    by = detectors.aligned_trades(before(t)).groupBy("member_id").agg(F.max("score").alias("score"))
+    by = detectors.aligned_trades(before(t, 14)).groupBy("member_id").agg(F.max("score").alias("score"))
     p = F.when(F.col("member_id") % 3 == 0, 0.2).otherwise(0.01)
     return by.select("member_id", detectors.row_tier(F.col("score")).alias("row_tier"), detectors.pattern_tier(F.least(F.lit(100), F.col("score")) / 100, p).alias("pattern_tier"))
 
@@ -192,12 +197,6 @@ def f01_predictions(t):
     return calibration.predictions(t.votes, t.members).select("member_id", "model", F.round("p", 6).alias("p"))
 
 
-def _seed_sql(s: str) -> str:
-    """FNV-1a of an ASCII expression as DuckDB SQL."""
-    codes = f"list_transform(string_split({s}, ''), lambda c: ascii(c)::HUGEINT)"
-    return f"list_reduce(list_prepend(2166136261::HUGEINT, {codes}), lambda h, c: (xor(h::BIGINT, c::BIGINT)::HUGEINT * 16777619) & {_MASK})"
-
-
 def _draw_sql(seed: str, k: str) -> str:
     """Draw k of a seed as DuckDB SQL."""
     a = f"(({seed} + ({k} + 1)::HUGEINT * 1831565813) & {_MASK})::BIGINT"
@@ -221,11 +220,12 @@ def dq8_grounded(t):
     return t.part.select("p_partkey", F.coalesce(quality.grounded(claim, F.coalesce(facts, F.lit(""))), F.lit("")).alias("kept"))
 
 
-@query("SELECT count(*) FILTER (bill_id IS NOT NULL) / count(*)::DOUBLE >= 0.75 AS linked, (SELECT count(*) FROM confirms) > 0 AS confirmed, (SELECT count(DISTINCT district) FROM contracts) AS districts FROM votes")
+@query("SELECT count(*) FILTER (bill_id IS NOT NULL) / count(*)::DOUBLE >= 0.75 AS linked, (SELECT count(*) FROM confirms) > 0 AS confirmed, (SELECT count(DISTINCT district) FROM contracts) = (SELECT count(*) FROM nation) AS districts FROM votes")
 def dq11_gates(t):
     linked = t.votes.agg((F.count("bill_id") / F.count("*") >= 0.75).alias("linked"))
     confirmed = t.confirms.agg((F.count("*") > 0).alias("confirmed"))
-    return linked.join(confirmed, F.lit(True)).join(t.contracts.agg(F.count_distinct("district").alias("districts")), F.lit(True))
+    missing = t.nation.select(F.col("n_nationkey").alias("district")).join(t.contracts, "district", "left_anti")
+    return linked.join(confirmed, F.lit(True)).join(missing.agg((F.count("*") == 0).alias("districts")), F.lit(True))
 
 
 @query("""SELECT m.member_id, coalesce(a.n, 0) AS trades, coalesce(b.n, 0) AS votes, greatest(a.d, b.d) AS data_through FROM members m LEFT JOIN (SELECT member_id, count(*) AS n, max(tx_date) AS d FROM trades GROUP BY 1) a USING (member_id)
@@ -238,11 +238,51 @@ def snk3_manifest(t):
 @query("SELECT filing_id, vote_id, days_abs FROM near WHERE member_id = 3 AND days_abs <= 14")
 def e1_member_filter(t):
     """One member's near votes: the filter is pushed below the join."""
-    return near(t).where("member_id = 3 and days_abs <= 14").select("filing_id", "vote_id", "days_abs")
+    return near(t, 14).where("member_id = 3").select("filing_id", "vote_id", "days_abs")
 
 
-@query("SELECT member_id, 'Brand' || '' AS word, committees FROM (SELECT member_id, count(*) AS committees FROM memberships GROUP BY 1) x")
+@query(r"""SELECT p_partkey, array_to_string(list_filter(w, lambda x, i: list_position(w, x) = i)[1:8], ' ') AS words FROM (SELECT p_partkey, list_filter(string_split_regex(lower(array_to_string(
+    list_sort([p_name || ' and ' || p_type, 'Committee on ' || p_type, p_brand || ' services']), ' ')), '[^a-z0-9]+'), lambda x: length(x) >= 5 AND x NOT IN ('committee', 'small')) AS w FROM part) s""")
 def fn_committee_keywords(t):
-    by = t.memberships.groupBy("member_id").agg(F.collect_list("committee_name").alias("names"))
-    words = text.committee_keywords(F.col("names"), ("committee",))
-    return by.select("member_id", F.initcap(F.get(words, F.lit(0))).alias("word"), F.size("names").cast("long").alias("committees"))
+    names = F.array(F.concat("p_name", F.lit(" and "), "p_type"), F.concat(F.lit("Committee on "), "p_type"), F.concat("p_brand", F.lit(" services")))
+    return t.part.select("p_partkey", F.array_join(text.committee_keywords(names, ("committee", "small")), " ").alias("words"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 'yea' WHEN 1 THEN 'yea' WHEN 2 THEN 'yea' WHEN 3 THEN 'nay' WHEN 4 THEN 'nay' WHEN 5 THEN 'abstain' ELSE 'absent' END AS vote,
+    CASE p_size % 7 WHEN 0 THEN 'signed' WHEN 1 THEN 'signed' WHEN 2 THEN 'passed' WHEN 3 THEN 'failed' ELSE 'introduced' END AS status,
+    CASE p_size % 7 WHEN 0 THEN 'signed' WHEN 1 THEN 'signed' WHEN 2 THEN 'passed' WHEN 3 THEN 'failed' WHEN 4 THEN 'passed' WHEN 5 THEN 'failed' ELSE 'introduced' END AS researched,
+    CASE p_partkey % 5 WHEN 0 THEN 'spouse' WHEN 1 THEN 'joint' WHEN 2 THEN 'dependent-child' WHEN 3 THEN 'self' END AS holder,
+    CASE p_partkey % 5 WHEN 0 THEN 'purchase' WHEN 1 THEN 'sale' WHEN 2 THEN 'sale-partial' WHEN 3 THEN 'exchange' END AS kind,
+    CASE p_partkey % 4 WHEN 0 THEN 'spouse' WHEN 1 THEN 'dependent-child' WHEN 2 THEN 'joint' ELSE 'self' END AS owner,
+    CASE p_partkey % 4 WHEN 0 THEN 'sale-partial' WHEN 1 THEN 'sale' WHEN 2 THEN 'exchange' ELSE 'purchase' END AS said,
+    CASE WHEN n BETWEEN 1 AND 9 THEN 'Agriculture, Forestry & Fishing' WHEN n BETWEEN 10 AND 14 THEN 'Mining & Extraction' WHEN n BETWEEN 15 AND 17 THEN 'Construction' WHEN n BETWEEN 20 AND 39 THEN 'Manufacturing'
+      WHEN n BETWEEN 40 AND 49 THEN 'Transportation & Utilities' WHEN n IN (50, 51) THEN 'Wholesale Trade' WHEN n BETWEEN 52 AND 59 THEN 'Retail Trade' WHEN n BETWEEN 60 AND 67 THEN 'Finance, Insurance & Real Estate'
+      WHEN n BETWEEN 70 AND 89 THEN 'Services' WHEN n BETWEEN 91 AND 99 THEN 'Public Administration' END AS sector FROM (SELECT *, p_partkey % 100 AS n FROM part) p""")
+def fn_categories(t):
+    pick = lambda c, *said: F.get(F.array(*map(F.lit, said)), (c % len(said)).cast("int"))
+    k, size = F.col("p_partkey"), F.col("p_size")
+    votes = pick(k, "Yea", "yes", "AYE", "Nay", "no", "Present", "Not Voting", "Guilty")
+    actions = pick(size, "Became Public Law No: 1", "Signed by President.", "Passed House", "Motion REJECTED", "Agreed to in Senate", "Vetoed by governor", "Referred to committee")
+    return t.part.select(
+        "p_partkey", text.normalise_vote(votes).alias("vote"), text.bill_status(actions).alias("status"), text.researched_bill_status(actions).alias("researched"),
+        text.holder_code(pick(k, "SP", "JT", "DC", "", "??")).alias("holder"), text.transaction_code(pick(k, "P", "S", "S (partial)", "X", "Q")).alias("kind"),
+        text.owner(pick(k, "Spouse", "Dependent Child", "Joint", "Self")).alias("owner"), text.transaction_type(pick(k, "Sale (Partial)", "Sale (Full)", "Exchange", "Purchase")).alias("said"),
+        text.sic_group(F.concat(F.lpad((k % 100).cast("string"), 2, "0"), F.lit("12"))).alias("sector"),
+    )
+
+
+@query("""SELECT p_partkey, 'https://www.congress.gov/bill/118th-congress/' || CASE p_partkey % 9 WHEN 0 THEN 'house-bill' WHEN 1 THEN 'senate-bill' WHEN 2 THEN 'house-resolution' WHEN 3 THEN 'senate-resolution' WHEN 4 THEN 'house-joint-resolution'
+    WHEN 5 THEN 'senate-joint-resolution' WHEN 6 THEN 'house-concurrent-resolution' WHEN 7 THEN 'senate-concurrent-resolution' ELSE 'hamdt' END || '/' || p_partkey AS url,
+    CASE WHEN p_size % 3 < 2 THEN 'CA' END AS state, CASE p_size % 3 WHEN 0 THEN p_size::VARCHAR END AS district,
+    'DR ' || upper(p_name) || ' O NEIL' AS lobbyist, CASE WHEN p_partkey % 2 = 0 THEN p_type || ' affairs' END AS committee, 1990 + p_size + p_size % 2 AS cycle, (201 + p_size) // 2 + 1 AS congress,
+    CASE WHEN p_retailprice >= 1000000 THEN NULL WHEN p_retailprice >= 1000 THEN '$' || (floor(p_retailprice / 1000 + 0.5))::INT || 'K' ELSE '$' || (floor(p_retailprice + 0.5))::INT END AS money FROM (SELECT * REPLACE (lower(p_type) AS p_type) FROM part) p""")
+def fn_labels(t):
+    kinds = F.array(*map(F.lit, ("HR", "s", "hres", "sres", "hjres", "sjres", "hconres", "sconres", "hamdt")))
+    k, size = F.col("p_partkey"), F.col("p_size")
+    place = text.state_district(F.when(size % 3 == 0, F.concat(F.lit("CA"), size)).when(size % 3 == 1, "CA").otherwise("n/a"))
+    committee = F.when(k % 2 == 0, F.concat(F.lit("House Committee on the "), "p_type", F.lit(" affairs — Subcommittee"))).otherwise("the ")
+    return t.part.select(
+        "p_partkey", text.bill_source_url(F.lit(118), F.get(kinds, (k % 9).cast("int")), k).alias("url"), place["state"].alias("state"), place["district"].alias("district"),
+        text.lobbyist_canonical(F.concat(F.lit("Dr. "), "p_name", F.lit(" O'Neil, Jr."))).alias("lobbyist"), text.committee_canonical(committee).alias("committee"),
+        text.even_cycle(size + 1990).cast("int").alias("cycle"), text.congress_number(size + 1990).alias("congress"), text.money_label(F.col("p_retailprice")).alias("money"),
+    )

@@ -13,9 +13,9 @@ from .bindings import Tables, with_clause
 
 #: Views that several SQL texts share.
 SHARED = {
-    "roles": """SELECT bc.bill_id, mc.member_id, arg_min(mc.role, (CASE WHEN lower(mc.role) LIKE 'chair%' THEN '1' WHEN lower(mc.role) LIKE 'ranking%' THEN '2'
-        WHEN lower(mc.role) = 'member' THEN '3' ELSE '4' END) || '|' || mc.role) AS member_committee_role
-        FROM bill_committees bc JOIN memberships mc ON mc.committee_canonical = bc.committee_canonical GROUP BY 1, 2""",
+    "roles": """SELECT bill_id, member_id, role AS member_committee_role FROM (SELECT h.bill_id, s.member_id, s.role, row_number() OVER (PARTITION BY h.bill_id, s.member_id ORDER BY
+        lower(s.role) NOT LIKE 'chair%', lower(s.role) NOT LIKE 'ranking%', lower(s.role) <> 'member', s.role) AS nth
+        FROM bill_committees h JOIN memberships s USING (committee_canonical)) ranked WHERE nth = 1""",
     "near": """SELECT t.*, v.vote_id, v.vote_date, v.position, v.vote_question, v.bill_id, b.bill_title, b.bill_summary,
         r.member_id IS NOT NULL AS member_on_bill_committee, r.member_committee_role, date_diff('day', t.tx_date, v.vote_date) AS gap,
         abs(date_diff('day', t.tx_date, v.vote_date)) AS days_abs, greatest(0, date_diff('day', t.tx_date, v.vote_date)) AS days_before_vote
@@ -59,19 +59,20 @@ def query(sql: str | None = None, dates: tuple[str, ...] = ()):
     def take(f: Callable[[Tables], DataFrame]):
         QUERIES[f.__name__] = lambda spark, sf_dir: _dates_as_text(f(Tables(spark, sf_dir)))
         if sql:
+            own = f"SELECT * FROM ({sql}) own" if sql.startswith("WITH") else sql
             text = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in dates)
-            ORACLES[f.__name__] = with_clause(SHARED) + (f"SELECT * REPLACE ({text}) FROM ({sql}) result" if dates else sql)
+            ORACLES[f.__name__] = with_clause(SHARED) + (f"SELECT * REPLACE ({text}) FROM ({own}) result" if dates else own)
         return f
 
     return take
 
 
-def near(t: Tables) -> DataFrame:
-    return proximity.trades_near_votes(t.trades, t.votes, t.members, t.bills, t.bill_committees, t.memberships)
+def near(t: Tables, window: int = 180) -> DataFrame:
+    return proximity.trades_near_votes(t.trades, t.votes, t.members, t.bills, t.bill_committees, t.memberships, window)
 
 
-def before(t: Tables) -> DataFrame:
-    return proximity.trades_before_votes(t.trades, t.votes, t.members, t.bills, t.bill_committees, t.memberships)
+def before(t: Tables, window: int = 180) -> DataFrame:
+    return proximity.trades_before_votes(t.trades, t.votes, t.members, t.bills, t.bill_committees, t.memberships, window=window)
 
 
 def bill_theme(t: Tables) -> DataFrame:
@@ -117,7 +118,8 @@ def j01_trades_near_votes(t):
     FROM near WHERE days_abs <= 90 WINDOW w AS (PARTITION BY filing_id, tx_date, tx_type, asset, ticker)) ranked
     WHERE rn_close <= 6 OR (member_on_bill_committee AND rn_cmte = 1)""")
 def w01_capped_per_trade(t):
-    return proximity.cap_per_trade(near(t), 90).select("filing_id", "vote_id", "window_vote_count", "rn_close", "rn_cmte", "days_abs")
+    capped = proximity.capped_near_votes(t.trades, t.votes, t.members, t.bills, t.bill_committees, t.memberships, 90)
+    return capped.select("filing_id", "vote_id", "window_vote_count", "rn_close", "rn_cmte", "days_abs")
 
 
 @query("SELECT filing_id, vote_id, member_id, ticker, asset_type, days_before_vote, member_on_bill_committee, bill_mentions_ticker FROM before")
@@ -152,10 +154,12 @@ def j07_shared_donors(t):
     return pairs.shared_pairs(t.donors, "member_id", "donor", ["amount"]).select("subject_id", "peer_id", "donor", "subject_amount", "peer_amount")
 
 
-@query("""SELECT a.member_id AS subject_id, b.member_id AS peer_id, a.committee_name, a.role AS subject_role, b.role AS peer_role FROM memberships a JOIN memberships b
-    ON a.committee_name = b.committee_name AND a.member_id <> b.member_id WHERE a.role = 'Chair' AND b.role = 'Chair'""")
+@query("""SELECT a.member_id AS subject_id, b.member_id AS peer_id, a.committee_name || '.' || (a.member_id % 40) AS committee_name, a.role AS subject_role, b.role AS peer_role
+    FROM memberships a JOIN memberships b ON a.committee_name = b.committee_name AND a.member_id % 40 = b.member_id % 40 AND a.member_id <> b.member_id""")
 def j08_shared_committees(t):
-    return pairs.shared_pairs(t.memberships.where("role = 'Chair'"), "member_id", "committee_name", ["role"]).select("subject_id", "peer_id", "committee_name", "subject_role", "peer_role")
+    """Members of one subcommittee: each committee has forty."""
+    seats = t.memberships.select("member_id", F.concat("committee_name", F.lit("."), F.col("member_id") % 40).alias("committee_name"), "role")
+    return pairs.shared_pairs(seats, "member_id", "committee_name", ["role"]).select("subject_id", "peer_id", "committee_name", "subject_role", "peer_role")
 
 
 @query("""SELECT a.member_id AS subject_id, b.member_id AS peer_id, count(*) AS shared_count, round(sum(a.amount + b.amount), 2) AS combined_amount,
@@ -301,15 +305,20 @@ def a12_data_through(t):
     return rollups.data_through("member_id", trades=(t.trades, "tx_date"), votes=(t.votes, "vote_date"))
 
 
-#: The middle of each band of amounts.
-MIDPOINTS = {"$1,001 - $15,000": 8000.5, "$15,001 - $50,000": 32500.5, "$50,001 - $100,000": 75000.5}
+_CYCLE = ("1995-01-01", "1999-01-01")
 
 
-@query("""SELECT member_id, coalesce(trades, 0) AS trades, coalesce(volume, 0)::DOUBLE AS volume, coalesce(tickers, 0) AS tickers, coalesce(votes, 0) AS votes FROM
-    (SELECT member_id, count(*) AS trades, sum(CASE amount_band WHEN '$1,001 - $15,000' THEN 8000.5 WHEN '$15,001 - $50,000' THEN 32500.5 WHEN '$50,001 - $100,000' THEN 75000.5 ELSE 0 END) AS volume,
-      count(DISTINCT ticker) AS tickers FROM trades GROUP BY 1) a FULL JOIN (SELECT member_id, count(*) AS votes FROM votes GROUP BY 1) b USING (member_id)""")
+@query(f"""SELECT m.member_id, coalesce(a.trades, 0) AS trades, coalesce(volume, 0)::BIGINT AS volume, coalesce(tickers, 0) AS tickers, coalesce(v.votes, 0) AS votes, coalesce(b.n, 0) AS bills_sponsored, d.donor_type AS top_donor_type,
+    coalesce(r.n, 0) AS related_trades FROM members m
+    LEFT JOIN (SELECT member_id, count(*) AS trades, sum(CASE amount_band WHEN '$1,001 - $15,000' THEN 8000 WHEN '$15,001 - $50,000' THEN 32500 WHEN '$50,001 - $100,000' THEN 75000 ELSE 0 END) AS volume, count(DISTINCT ticker) AS tickers
+      FROM trades WHERE tx_date >= DATE '{_CYCLE[0]}' AND tx_date < DATE '{_CYCLE[1]}' GROUP BY 1) a USING (member_id)
+    LEFT JOIN (SELECT member_id, count(*) AS votes FROM votes WHERE vote_date >= DATE '{_CYCLE[0]}' AND vote_date < DATE '{_CYCLE[1]}' GROUP BY 1) v USING (member_id)
+    LEFT JOIN (SELECT member_id, count(*) AS n FROM sponsors GROUP BY 1) b USING (member_id)
+    LEFT JOIN (SELECT member_id, donor_type FROM (SELECT member_id, donor_type, row_number() OVER (PARTITION BY member_id ORDER BY sum(amount) DESC, donor_type) AS nth FROM donors WHERE donor_type IS NOT NULL GROUP BY 1, 2) x WHERE nth = 1) d USING (member_id)
+    LEFT JOIN (SELECT member_id, count(DISTINCT (filing_id, asset, coalesce(ticker, ''))) AS n FROM before WHERE tx_date >= DATE '{_CYCLE[0]}' AND tx_date < DATE '{_CYCLE[1]}' AND days_abs <= 14 AND (bill_mentions_ticker OR member_on_bill_committee) GROUP BY 1) r USING (member_id)""")
 def a13_activity_glance(t):
-    return rollups.activity_glance(t.trades, t.votes, MIDPOINTS).withColumn("volume", F.col("volume").cast("double"))
+    start, end = (F.lit(d).cast("date") for d in _CYCLE)
+    return rollups.activity_glance(t.members, t.trades, t.votes, t.sponsors, t.donors, before(t, 14), start, end)
 
 
 @query("SELECT member_id, position, count(*) AS n FROM votes GROUP BY 1, 2")
@@ -367,9 +376,9 @@ def a21_money_and_bills(t):
     return found.select("member_id", "theme", F.round("theme_total", 2).alias("theme_total"), F.round("share", 6).alias("share"), "bills", "cycles")
 
 
-@query("SELECT district, recipient_key, amount FROM recipients")
+@query("SELECT district, recipient_key, round(sum(amount), 2) AS amount FROM awards GROUP BY 1, 2")
 def a23_recipient_sums(t):
-    return t.recipients.groupBy("district", "recipient_key").agg(F.sum("amount").alias("amount"))
+    return rollups.recipient_sums(t.awards).withColumn("amount", F.round("amount", 2))
 
 
 @query("""SELECT district, count(*) AS recipients, count(*) FILTER (ticker IS NOT NULL) AS resolved, round(sum(CASE WHEN ticker IS NOT NULL THEN amount ELSE 0 END), 2) AS resolved_amount,
@@ -386,7 +395,7 @@ def a25_donor_count(t):
 
 @query("""SELECT filing_id, vote_id, days_abs FROM near WHERE days_abs <= 30 AND match_confidence >= 0.95 ORDER BY days_abs, tx_date DESC, filing_id, vote_id LIMIT 2000""")
 def w04_closest_trades(t):
-    rows = near(t).where("days_abs <= 30 and match_confidence >= 0.95")
+    rows = near(t, 30).where("days_abs <= 30 and match_confidence >= 0.95")
     return ordering.first_rows(rows, [F.col("days_abs"), F.col("tx_date").desc(), F.col("filing_id"), F.col("vote_id")], 2000).select("filing_id", "vote_id", "days_abs")
 
 
@@ -394,14 +403,14 @@ def w04_closest_trades(t):
     ORDER BY member_on_bill_committee DESC, days_before_vote, tx_date DESC, filing_id, vote_id LIMIT 2000""")
 def w03_corpus_feed(t):
     order = [F.col("member_on_bill_committee").desc(), F.col("days_before_vote"), F.col("tx_date").desc(), F.col("filing_id"), F.col("vote_id")]
-    return ordering.first_rows(before(t).where("days_before_vote <= 30"), order, 2000).select("filing_id", "vote_id", "days_before_vote", "member_on_bill_committee")
+    return ordering.first_rows(before(t, 30).where("days_before_vote <= 30"), order, 2000).select("filing_id", "vote_id", "days_before_vote", "member_on_bill_committee")
 
 
 @query("""SELECT filing_id, arg_min(vote_id, (days_abs, vote_id)) AS closest_vote, min(days_abs) AS closest_days,
     arg_min(vote_id, (days_abs, vote_id)) FILTER (member_on_bill_committee) AS closest_committee_vote, array_to_string((list(vote_id ORDER BY days_abs, vote_id))[1:3], '|') AS sample_votes, count(*) AS pairs
     FROM near WHERE days_abs <= 90 GROUP BY filing_id""")
 def w08_trade_collapse(t):
-    found = rollups.collapse_trades(near(t).where("days_abs <= 90"), ["filing_id"])
+    found = rollups.collapse_trades(near(t, 90), ["filing_id"])
     return found.withColumn("sample_votes", F.array_join("sample_votes", "|"))
 
 
@@ -424,7 +433,17 @@ def w13_top_donors_per_member(t):
     return ordering.top_rows(t.donors, ["member_id"], [F.col("amount").desc(), F.col("donor")], 15).select("member_id", "donor", "amount")
 
 
-@query("SELECT member_id, vote_date AS event_date, 'vote' AS kind, vote_id AS event_id, position AS label FROM votes UNION ALL SELECT member_id, tx_date, 'trade', filing_id::VARCHAR, tx_type FROM trades", dates=("event_date",))
+@query("SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY member_id ORDER BY holder = 'self', tx_date DESC, filing_id) AS place FROM (SELECT member_id, filing_id, tx_date, coalesce(ticker, asset) AS instrument, holder FROM trades) t) r WHERE place <= 500",
+       dates=("tx_date",))
+def w13_recent_trades(t):
+    order = [F.col("holder") == "self", F.col("tx_date").desc_nulls_last(), F.col("filing_id")]
+    rows = t.trades.select("member_id", "filing_id", "tx_date", F.coalesce("ticker", "asset").alias("instrument"), "holder")
+    return ordering.top_rows(rows, ["member_id"], order, 500, "place")
+
+
+@query("""SELECT *, row_number() OVER (PARTITION BY member_id ORDER BY event_date, kind, event_id) AS place FROM (SELECT member_id, vote_date AS event_date, 'vote' AS kind, vote_id AS event_id, position AS label FROM (
+      SELECT *, row_number() OVER (PARTITION BY member_id ORDER BY vote_date, position, vote_id) AS nth FROM votes) v WHERE nth <= 2000
+    UNION ALL SELECT member_id, tx_date, 'trade', filing_id::VARCHAR, tx_type FROM trades) x""", dates=("event_date",))
 def w15_timeline(t):
     return rollups.timeline(t.votes, t.trades)
 
@@ -443,7 +462,7 @@ def p09_period(t):
 
 @query(f"SELECT DISTINCT node FROM (SELECT source_id AS node FROM ({_NETWORK}) a UNION ALL SELECT target_id FROM ({_NETWORK}) b) x")
 def s05_network_nodes(t):
-    return pairs.nodes(pairs.co_participation(t.sponsors, "member_id", "bill_id", "title"))
+    return pairs.nodes(t.sponsors, "member_id", "bill_id")
 
 
 @query("""SELECT member_id, name, CASE WHEN member_id % 3 = 0 THEN 'NEW' ELSE party END AS party FROM members""")
@@ -481,9 +500,9 @@ def l05_keep_linkage(t):
     return merge.keep_linkage(new, t.votes, ["vote_id"], "bill_id")
 
 
-@query("SELECT filing_id, ticker FROM trades WHERE ticker IS NOT DISTINCT FROM 'T5'")
+@query("SELECT filing_id, member_id, ticker FROM trades WHERE ticker IS NOT DISTINCT FROM 'T5' OR member_id NOT IN (SELECT member_id FROM members WHERE party = 'BUILDING')")
 def l06_null_safe_delete(t):
-    return merge.delete_where_not(t.trades, "ticker", "T5").select("filing_id", "ticker")
+    return merge.delete_where_not(t.trades, "ticker", "T5", t.members.where("party = 'BUILDING'")).select("filing_id", "member_id", "ticker")
 
 
 @query("SELECT DISTINCT bill_id FROM votes v WHERE bill_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sponsors s WHERE s.bill_id = v.bill_id)")

@@ -15,8 +15,10 @@ _corrupt_record string"""
 SENATE_FILING = """filingId string, filer struct<firstName: string, lastName: string>, dateReceived string, ptrUrl string,
 transactions array<struct<transactionDate: string, owner: string, ticker: string, asset: string, assetType: string, type: string, amountBand: string, comment: string>>,
 _corrupt_record string"""
-LOBBYING_FILING = """filing_uuid string, filing_year int, filing_period string, registrant_name string, client_name string, posted_at string,
-lobbying_activities array<struct<issue: string, lobbyists: array<struct<lobbyist_id: string, name: string, position: string>>, entities: array<string>>>, _corrupt_record string"""
+LOBBYING_FILING = """filing_uuid string, filing_year int, filing_period string, filing_type string, registrant struct<name: string>, client struct<name: string>, income string, expenses string,
+dt_posted string, filing_document_url string, url string,
+lobbying_activities array<struct<general_issue_code: string, general_issue_code_display: string, government_entities: array<struct<name: string>>,
+lobbyists: array<struct<lobbyist: struct<id: bigint, first_name: string, middle_name: string, last_name: string>, covered_position: string, new: boolean>>>>, _corrupt_record string"""
 CONTRACT_ROLLUP = """spending_level string, district string, cy int, rows array<struct<code: string, name: string, amount: double>>, _corrupt_record string"""
 RECIPIENT_ROLLUP = """district string, cy int, rows array<struct<recipient_id: string, name: string, amount: double>>, _corrupt_record string"""
 MEMBER_DOCUMENT = """data struct<id: string,
@@ -28,6 +30,10 @@ terms array<struct<type: string, start: string, end: string, state: string, dist
 COMMITTEE = """code string, name string, subcommittees array<struct<code: string, name: string>>, _corrupt_record string"""
 
 
+_LOBBYISTS = "array<struct<lobbyist: struct<id: bigint, first_name: string, middle_name: string, last_name: string>, covered_position: string, new: boolean>>"
+_ACTIVITIES = f"array<struct<general_issue_code: string, general_issue_code_display: string, government_entities: array<struct<name: string>>, lobbyists: {_LOBBYISTS}>>"
+
+
 def read_json(spark: SparkSession, path: str, schema: str, whole_files: bool = True) -> tuple[DataFrame, DataFrame]:
     """(good, bad): parsed documents with the file they came from, and what doesn't parse with its text."""
     text = spark.read.text(path, wholetext=whole_files).select(F.input_file_name().alias("file"), "value")
@@ -66,6 +72,23 @@ def disclosures(house: DataFrame, senate: DataFrame) -> DataFrame:
     return house_transactions(house).unionByName(senate_transactions(senate))
 
 
+def lobbying_filings(saved: DataFrame) -> DataFrame:
+    """A row per filing: its own fields, and activities in the shape that ``flatten.lobbyists`` takes. Lobbyists without an id are left out."""
+    name = lambda p: F.array_join(F.filter(F.transform(F.array(p["first_name"], p["middle_name"], p["last_name"]), F.trim), lambda x: x.isNotNull() & (x != "")), " ")
+    person = lambda e: F.struct(e["lobbyist"]["id"].cast("string").alias("lobbyist_id"), name(e["lobbyist"]).alias("name"), F.trim(e["covered_position"]).alias("position"))
+    listed = lambda c: F.coalesce(c, F.array())
+    activity = lambda a: F.struct(
+        F.coalesce(a["general_issue_code_display"], a["general_issue_code"]).alias("issue"),
+        F.transform(F.filter(F.coalesce(a["lobbyists"], F.array().cast(_LOBBYISTS)), lambda e: e["lobbyist"]["id"].isNotNull()), person).alias("lobbyists"),
+        F.array_compact(listed(a["government_entities"]["name"]).cast("array<string>")).alias("entities"),
+    )
+    return saved.where("filing_uuid is not null").select(
+        F.col("filing_uuid").alias("filing_id"), "filing_year", "filing_period", "filing_type", F.col("registrant.name").alias("registrant_name"), F.col("client.name").alias("client_name"),
+        F.col("income").try_cast("double").alias("income"), F.col("expenses").try_cast("double").alias("expenses"), F.col("dt_posted").alias("posted_at"), F.col("filing_document_url").alias("filing_url"), F.col("url").alias("source_url"),
+        F.transform(F.coalesce("lobbying_activities", F.array().cast(_ACTIVITIES)), activity).alias("activities"),
+    )
+
+
 def contract_rows(rollups: DataFrame) -> DataFrame:
     """(district, cy, code, name, amount); a rollup that isn't of transactions fails the load."""
     level = F.assert_true(F.col("spending_level") == "transactions", F.lit("spending_level must be transactions"))

@@ -5,15 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def write_hits(scored_hits: DataFrame, path: str) -> None:
-    """Hits that are already scored, partitioned by pattern; a pattern that is in the batch replaces its old hits, others stay."""
-    scored_hits.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("pattern").parquet(path)
-
-
-def write_receipts(receipts: DataFrame, path: str) -> None:
-    """One JSON document per member."""
-    receipts.write.mode("overwrite").partitionBy("member_id").json(path)
+from tracewell.operators.merge import replace_scope
+from tracewell.scratch import staged
+
+#: Columns that scoring fills; null for hits of patterns that aren't scored.
+STATISTICS = ("null_model", "observed", "expected", "p_value", "z_score", "n_perm")
+
+
+def with_statistics(hits: DataFrame, scores: DataFrame) -> DataFrame:
+    """Hits with the statistics of their pattern and member, so that nothing is stored before it is scored."""
+    return hits.drop(*STATISTICS).join(scores.select("pattern", "member_id", *STATISTICS), ["pattern", "member_id"], "left")
+
+
+def write_hits(hits: DataFrame, scopes: DataFrame, path: str) -> None:
+    """Replace the stored hits of the scopes (pattern, member_id) that ran by those that they found, scored already.
+
+    A scope that found nothing is cleared; other members' hits of a pattern stay, and so do patterns
+    that didn't run. Only the folders of the scopes' patterns are written anew.
+    """
+    spark = hits.sparkSession
+    patterns = scopes.select("pattern").distinct()
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        old = spark.read.schema(hits.schema).parquet(path).join(patterns, "pattern", "left_semi")
+    else:
+        old = hits.limit(0)
+    merged = staged(replace_scope(old, hits, scopes, ["pattern", "member_id"]), "hits")
+    # a folder whose last hit goes would not be overwritten: it gets a row without a member, which is no hit
+    cleared = patterns.join(merged.select("pattern"), "pattern", "left_anti").select(*(F.col(c) if c == "pattern" else F.lit(None).cast(hits.schema[c].dataType).alias(c) for c in hits.columns))
+    both = merged.unionByName(cleared)
+    both.repartition("pattern", F.pmod(F.xxhash64("member_id"), F.lit(8))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("pattern").parquet(path)
+
+
+def read_hits(spark, path: str, schema) -> DataFrame:
+    """The stored hits."""
+    return spark.read.schema(schema).parquet(path).where("member_id is not null")
+
+
+def write_receipts(receipts: DataFrame, path: str, files: int | None = None) -> None:
+    """One JSON document a member and line, with the receipts in their order as an array; ranges of members make few files."""
+    whole = ["member_id", "trade_count", "band"]
+    rest = [c for c in receipts.columns if c not in (*whole, "place")]
+    docs = receipts.groupBy(*whole).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", *rest))), lambda r: F.struct(*(r[c].alias(c) for c in rest))).alias("receipts"))
+    ranged = docs.repartitionByRange(files, "member_id") if files else docs.repartitionByRange("member_id")
+    ranged.sortWithinPartitions("member_id").write.mode("overwrite").json(path)
 
 
 def manifest(counts: DataFrame, through: DataFrame, key: str = "member_id") -> DataFrame:
