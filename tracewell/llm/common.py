@@ -8,18 +8,23 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: The white space that separates words, as code points 0x20 and 0x09 to 0x0D.
 WHITE = " \t\n\x0b\x0c\r"
 #: The same as a regular expression for one word.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of text that a task works on at once: arrays over them stay in a core's cache, and little memory is taken at a time.
+SLICE = 1 << 18
+
 _LOCAL_BASE: list[str] = []
 
 
@@ -56,6 +61,61 @@ def discard(spark: SparkSession, *paths: str) -> None:
         at.getFileSystem(conf).delete(at, True)
 
 
+#: Groups of more rows than this, and than a hundred-thousandth of all, are hot: of these there are 100,000 at most.
+HOT_ROWS, HOT_GROUPS = 1_000, 100_000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """rows joined to groups, a row for each key, whose column ``size`` tells how many rows have the key; total: all rows.
+
+    Hot groups are broadcast, so that the rows of one stay where they are instead of meeting in a
+    task; their number is bounded, as each has more than a hundred-thousandth of all rows. rows
+    are read twice: pass a table that is written.
+    """
+    hot_from = max(HOT_ROWS, total // HOT_GROUPS)
+    hot = F.broadcast(groups.where(F.col(size) > hot_from))
+    rest = rows.join(hot.select(key), key, "left_anti").join(groups.where(F.col(size) <= hot_from), key)
+    return rows.join(hot, key).unionByName(rest)
+
+
+def top_k(rows: DataFrame, keys: list[str], k: int, bins: int = 1024, small: int = 20_000) -> DataFrame:
+    """The k rows with the largest first key, then the smallest of the other keys, exactly, without a global sort. Nulls are last.
+
+    Counts by bins of a key's range find the bin in which the k-th row lies; it is cut again until
+    it holds ``small`` rows at most, or rows that are alike in the key: these are cut by the next
+    key. Rows alike in all keys, more than ``small``, are dealt by a number of their own. Keys are
+    numbers; others end in a sort of the rows alike in the numbers before. rows are read several times.
+    """
+    n, left, sure, inside = rows.count(), k, [], rows
+    if k >= n or k <= 0:
+        return rows if k > 0 else rows.limit(0)
+    for nth, name in enumerate(keys):
+        if dict(rows.dtypes)[name] == "string":
+            break
+        value = F.col(name).cast("double") if nth == 0 else -F.col(name).cast("double")
+        value = F.coalesce(value, F.lit(float("-inf")))
+        lo, hi = inside.agg(F.min(value), F.max(value)).first()
+        while n > small and lo < hi:
+            width = max((hi - max(lo, -1e300)) / bins, 1e-300)
+            at = F.when(value <= lo, 0).otherwise(F.least(F.floor((value - max(lo, -1e300)) / width), F.lit(bins - 1)) + 1).cast("int")
+            found = inside.groupBy(at.alias("bin")).agg(F.count("*").alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")).collect()
+            for r in sorted(found, key=lambda r: -r["bin"]):
+                if r["n"] >= left:
+                    break
+                left -= r["n"]
+            sure.append(inside.where(value > r["hi"]))
+            inside, n, lo, hi = inside.where((value >= r["lo"]) & (value <= r["hi"])), r["n"], r["lo"], r["hi"]
+        if n <= small:
+            break
+    if n > small and "string" not in [dict(rows.dtypes)[name] for name in keys]:
+        numbered, _ = materialize(inside.withColumn("_own", F.monotonically_increasing_id()), "ties")
+        edge = top_k(numbered, ["_own"], left, bins, small).drop("_own")
+    else:
+        order = Window.partitionBy(F.lit(0)).orderBy(F.col(keys[0]).desc_nulls_last(), *(F.col(name).asc_nulls_last() for name in keys[1:]))
+        edge = inside.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= left).drop("_nth")
+    return reduce(DataFrame.unionAll, [*sure, edge])
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all else untouched; texts of ASCII alone take the fast way."""
     plain = F.octet_length(text) == F.char_length(text)
