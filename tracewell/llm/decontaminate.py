@@ -5,15 +5,21 @@ if a random bit of (word, j) says so. Two sequences at a small edit distance fal
 after each edit, so that their walks agree at most steps (Chakraborty, Goldenberg, Koucky 2016).
 A table samples some steps and hashes what the walk wrote there.
 
-An item shorter than the longest scale leaves a walk too few words: it would go on into what follows
-in a document and into padding in the item. Such an item is cut into one segment more than it may have
-edits, so that one segment at least stands unedited wherever the item does (pigeonhole), and is
-looked up by these segments: nothing is missed.
+Windows are as long as an item allows: of each scale those that end within the item, from each of
+its words on, so that a key never reads what follows the item in a document. ``walks`` repeats
+the embedding with other random bits until the recall at the most edits allowed is 0.95 or more
+for every length (``tests/llm/test_leaks.py`` measures it by length and number of edits).
+
+An item of fewer than ``shortest`` words leaves the walks too few steps: with as many edits as it may
+have no window of it may be clean. It is cut into one segment more than it may have edits, so
+that one segment at least stands unedited wherever the item does, and is looked up by these: the
+windows of such an item are its segments, and nothing is missed.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -22,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import mix64, span_hashes, text_slices, utf8_parts, word_spans
+from .common import SLICE, mix64, span_hashes, text_slices, utf8_parts, word_spans
 
 #: Bytes that are part of no word: ASCII but for letters and digits.
 _GAP = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
@@ -34,13 +40,14 @@ _FOLD[65:91] += 32
 class Params:
     """similarity: least 1 - distance / words of the item, distances counted in words.
     walks: embeddings with random bits of their own. scales: for each table the number of steps
-    that it samples from, one in each of ``sampled`` equal parts; an item is looked up from each of
-    its words on, so a short scale needs a few words without edits, a long one bridges edits."""
+    that it samples from, one in each of ``sampled`` equal parts; a short scale needs a few words
+    without edits, a long one bridges edits. shortest: items of so many words or more are looked up by walks."""
 
     similarity: float = 0.8
     walks: int = 2
     scales: tuple[int, ...] = (12, 14, 18, 32)
     sampled: int = 6
+    shortest: int = 14
     seed: int = 11
 
 
@@ -58,8 +65,8 @@ def _steps(p: Params) -> list[list[set[int]]]:
     return [[{int(rng.integers(lo, hi)) for lo, hi in zip(c[:-1], c[1:])} for c in cuts] for _ in range(p.walks)]
 
 
-def window_keys(words: np.ndarray, first: np.ndarray, p: Params):
-    """For each walk and table, the key of the window that starts at each word.
+def window_keys(words: np.ndarray, first: np.ndarray, p: Params, with_ends: bool = False):
+    """For each walk and table, the key of the window that starts at each word, and if asked for whether it ends within its row.
 
     first: the first word of each row (n + 1). Rows are padded with a sign on which a walk stays.
     """
@@ -74,6 +81,7 @@ def window_keys(words: np.ndarray, first: np.ndarray, p: Params):
         bits[~is_word] = 0
         at = places.copy()
         keys = [np.full(len(words), walk * 64 + t + 1, np.uint64) for t in range(len(tables))]
+        inside = [None] * len(tables)
         for j in range(max(p.scales)):
             used = [t for t, steps in enumerate(tables) if j in steps]
             if used:
@@ -82,9 +90,11 @@ def window_keys(words: np.ndarray, first: np.ndarray, p: Params):
                 wrote *= factor
                 for t in used:
                     keys[t] += wrote
+                    if with_ends and j == max(tables[t]):
+                        inside[t] = is_word.take(at, mode="clip")
             at += ((bits >> np.uint64(j)).astype(np.uint8) & np.uint8(1)).take(at, mode="clip")
         for t, key in enumerate(keys):
-            yield walk, t, key
+            yield key, inside[t]
 
 
 def segments(n: int, p: Params) -> list[tuple[int, int]]:
@@ -105,68 +115,103 @@ def run_keys(words: np.ndarray, longest: int):
         yield length, mix64(key ^ np.uint64(length))
 
 
+def _spans_of(group: np.ndarray, low: np.ndarray, high: np.ndarray, reach: np.ndarray | int) -> np.ndarray:
+    """For rows sorted by group, then low: which begin a span, if those of one group that lie within reach of each other are one."""
+    if not len(group):
+        return np.zeros(0, bool)
+    new = np.ones(len(group), bool)
+    new[1:] = group[1:] != group[:-1]
+    # the furthest end so far within the group: ends are made to grow from group to group
+    lift = np.cumsum(new) * (int(high.max()) - int(low.min()) + 2 * int(np.max(reach)) + 2)
+    furthest = np.maximum.accumulate(high + lift)
+    new[1:] |= (low + lift)[1:] > furthest[:-1] + np.broadcast_to(reach, len(group))[1:]
+    return new
+
+
 class Index:
-    """The items' word sequences and, by table, the keys of their windows. Small: it grows with the benchmark alone."""
+    """The items' word sequences and, by key, the items that have it and where. Small: it grows with a part of the benchmark alone."""
 
     def __init__(self, items: list[tuple[int, str]], p: Params):
         self.p, self.ids = p, [i for i, _ in items]
         self.words: list[np.ndarray] = []
-        keys, places, self.lengths = [], [], set()
+        keys, numbers, places, self.lengths = [], [], [], set()
         for k, (_, text) in enumerate(items):
             data = np.frombuffer((text or "").encode(), np.uint8)
             words, _ = words_of(data, np.array([0, len(data)]))
             self.words.append(words)
             n = len(words)
-            if n < max(p.scales):
+            if n < p.shortest:
                 of_length = dict(run_keys(words, n))
                 for start, length in segments(n, p):
                     self.lengths.add(length)
                     keys.append(of_length[length][start : start + 1])
-                    places.append(np.array([[k, start]]))
+                    places.append(np.array([start]))
+                    numbers.append(np.array([k]))
                 continue
-            for _, t, key in window_keys(words, np.array([0, n]), p):
-                # a window needs about half of the table's steps in words, or to start the item
-                whole = np.arange(n) + p.scales[t] * 3 // 4 <= n
-                whole[:1] = True
-                keys.append(key[whole])
-                places.append(np.stack([np.full(n, k), np.arange(n)], 1)[whole])
-        self.keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        self.places = np.concatenate(places) if places else np.zeros((0, 2), np.int64)
-        order = np.argsort(self.keys, kind="stable")
-        self.keys, self.places = self.keys[order], self.places[order]
+            for key, inside in window_keys(words, np.array([0, n]), p, with_ends=True):
+                keys.append(key[inside])
+                places.append(np.flatnonzero(inside))
+                numbers.append(np.full(int(inside.sum()), k))
+        empty = np.zeros(0, np.int64)
+        key, item, place = (np.concatenate(x) if x else empty for x in (keys, numbers, places))
+        order = np.lexsort((place, item, key))
+        key, item, place = key[order].astype(np.uint64), item[order], place[order]
+        # of an item's places with one key the first and the last
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (item[1:] != item[:-1])
+        starts = np.flatnonzero(new)
+        self.item, self.place, self.last = item[starts], place[starts], np.maximum.reduceat(place, starts) if len(starts) else empty
+        self.keys, self.of = np.unique(key[starts], return_index=True)
+        self.of = np.append(self.of, len(starts))
         self.sieve = np.zeros(1 << 22, bool)
         self.sieve[self.keys >> np.uint64(42)] = True
+        self.long = np.array([len(w) for w in self.words], np.int64)
+        self.most = np.array([_most(len(w), p) for w in self.words], np.int64)
 
-    def matches(self, data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int]]:
-        """(row, item number, distance) for each row and item within the distance."""
-        words, first = words_of(data, off)
-        rows = np.repeat(np.arange(len(off) - 1), np.diff(first))
-        found = []
+    def candidates(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """(row, item number, first and last word at which the item may start), at most one of a row and item within an item's length.
+
+        Places of one key in a row that follow each other closely are one before its items are looked
+        at, and so are those of one item: a text of one word again and again is one candidate for each item.
+        """
+        rows = np.repeat(np.arange(len(first) - 1), np.diff(first))
         left = np.repeat(first[1:], np.diff(first)) - np.arange(len(words))  # words to the row's end
-        walks = (key for _, _, key in window_keys(words, first, self.p))
+        walks = ((0, key) for key, _ in window_keys(words, first, self.p))
         runs = ((length, key) for length, key in run_keys(words, max(self.lengths, default=0)) if length in self.lengths)
-        for length, key in chain(((0, key) for key in walks), runs):
+        hits = []
+        for length, key in chain(walks, runs):
             at = np.flatnonzero(self.sieve[key >> np.uint64(42)])
-            low, high = np.searchsorted(self.keys, key[at]), np.searchsorted(self.keys, key[at], side="right")
-            n = high - low
-            n[left[at] < length] = 0  # a run ends within its row
-            at, low = np.repeat(at, n), np.repeat(low, n)
-            nth = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-            place = self.places[low + nth]
-            # where the item would start
-            found.append(np.stack([rows[at], place[:, 0], at - place[:, 1]], 1))
-        if not found:
-            return []
+            nth = np.searchsorted(self.keys, key[at])
+            held = (nth < len(self.keys)) & (left[at] >= length)  # a run ends within its row
+            at, nth = at[held], nth[held]
+            same = self.keys[nth] == key[at]
+            hits.append(np.stack([nth[same], at[same]], 1))
+        hit = np.concatenate(hits) if hits else np.zeros((0, 2), np.int64)
+        nth, at = hit[np.lexsort((hit[:, 1], hit[:, 0]))].T
+        row = rows[at]
+        reach = int(self.long.max(initial=0))
+        starts = np.flatnonzero(_spans_of(nth * len(first) + row, at, at, reach))
+        if not len(starts):
+            return np.zeros((0, 4), np.int64)
+        low, high, nth, row = at[starts], np.maximum.reduceat(at, starts), nth[starts], row[starts]
+        n = self.of[nth + 1] - self.of[nth]
+        held = np.repeat(self.of[nth] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        row, item, low, high = np.repeat(row, n), self.item[held], np.repeat(low, n) - self.last[held], np.repeat(high, n) - self.place[held]
+        order = np.lexsort((low, item, row))
+        row, item, low, high = row[order], item[order], low[order], high[order]
+        starts = np.flatnonzero(_spans_of(row * len(self.long) + item, low, high, self.long[item]))
+        return np.stack([row[starts], item[starts], low[starts], np.maximum.reduceat(high, starts)], 1)
+
+    def matches(self, data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int]]:
+        """(row, item number, distance) for each row and item within the distance."""
+        words, first = words_of(data, off)
         out: dict[tuple[int, int], int] = {}
-        checked: dict[tuple[int, int], int] = {}
-        for row, item, start in np.unique(np.concatenate(found), axis=0).tolist():
-            pattern = self.words[item]
-            most = _most(len(pattern), self.p)
-            if out.get((row, item)) == 0 or start <= checked.get((row, item), start - 1):
+        for row, item, low, high in self.candidates(words, first).tolist() if len(self.keys) else ():
+            most = int(self.most[item])
+            if out.get((row, item)) == 0:
                 continue
-            lo, hi = max(first[row], start - 2 * most), min(first[row + 1], start + len(pattern) + 3 * most + 1)
-            checked[row, item] = start + most
-            distance = substring_distance(pattern, words[lo:hi])
+            lo, hi = max(first[row], low - 2 * most), min(first[row + 1], high + len(self.words[item]) + 3 * most + 1)
+            distance = substring_distance(self.words[item], words[lo:hi])
             if distance <= most:
                 out[row, item] = min(distance, out.get((row, item), distance))
         return [(row, item, d) for (row, item), d in out.items()]
@@ -206,40 +251,41 @@ def contaminated(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     params: Params = Params(),
-    max_items: int = 100_000,
+    part_items: int = 100_000,
 ) -> DataFrame:
     """(id, item_id, distance, similarity, contaminated) for each row and item that its text holds.
 
     Words are runs of letters and digits, A-Z in lower case. A row holds an item if some run of
-    its words is within ``1 - similarity`` of the item's words in edit distance. The benchmark is
-    read by every task; a benchmark of more than ``max_items`` items must be passed in parts, and
-    is refused. Items without a word, null ones too, match nothing; null and empty texts hold
-    nothing; items shorter than the walks' scales are found by exact segments. Each row of a repeated document
-    yields its own matches. Works row by row on whole texts: nothing shuffles.
+    its words is within ``1 - similarity`` of the item's words in edit distance. Tasks read the
+    benchmark in parts of about ``part_items`` items, each in a pass over the documents: one pass for
+    any but the largest benchmarks. Items without a word, null ones too, match nothing; null and
+    empty texts hold nothing; repeated item ids are items of their own. Each row of a repeated
+    document yields its own matches. Works row by row on whole texts: nothing shuffles.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(item_id_col, item_text_col).where(F.col(item_text_col).isNotNull()).limit(max_items + 1).collect()
-    if len(items) > max_items:
-        raise ValueError(f"more than {max_items} items: pass the benchmark in parts")
-    index = Index([(r[0], r[1]) for r in items], params)
-    shared = spark.sparkContext.broadcast(index)
-    id_kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_id_col].dataType.simpleString()
+    items = benchmark.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
+    parts = max(1, -(-items.count() // part_items))
+    dealt = items.withColumn("_part", F.pmod(F.xxhash64("text"), F.lit(parts)).cast("int"))
+    found = [_pass(docs, dealt.where(F.col("_part") == k), id_col, text_col, params) for k in range(parts)]
+    return reduce(DataFrame.unionAll, found).withColumn("contaminated", F.lit(True))
+
+
+def _pass(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, params: Params) -> DataFrame:
+    """(id, item_id, distance, similarity) for a part of the benchmark, of a size that a task can read."""
+    index = Index([(r["item_id"], r["text"]) for r in items.collect()], params)
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+    id_kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
 
     def run(batches):
         own = shared.value
         for batch in batches:
-            for part in text_slices(batch, "text", 1 << 20):
+            for part in text_slices(batch, "text", SLICE):
                 got = own.matches(*utf8_parts(part.column(1)))
                 rows = pa.array([row for row, _, _ in got], pa.int64())
                 size = np.array([len(own.words[item]) for _, item, _ in got], float)
                 distance = np.array([d for _, _, d in got], np.int64)
-                items = pa.array([own.ids[item] for _, item, _ in got])
-                yield pa.record_batch(
-                    [part.column(0).take(rows), items.cast(ids_type) if len(got) else pa.array([], ids_type), pa.array(distance), pa.array(1 - distance / np.maximum(size, 1))],
-                    [id_col, "item_id", "distance", "similarity"],
-                )
+                ids = pa.array([own.ids[item] for _, item, _ in got], ids_type)
+                yield pa.record_batch([part.column(0).take(rows), ids, pa.array(distance), pa.array(1 - distance / np.maximum(size, 1))], [id_col, "item_id", "distance", "similarity"])
 
-    ids_type = to_arrow_type(benchmark.schema[item_id_col].dataType)
+    ids_type = to_arrow_type(items.schema["item_id"].dataType)
     texts = docs.select(F.col(id_col), F.col(text_col).alias("text"))
-    found = texts.mapInArrow(run, f"`{id_col}` {id_kind}, item_id {item_kind}, distance long, similarity double")
-    return found.withColumn("contaminated", F.lit(True))
+    return texts.mapInArrow(run, f"`{id_col}` {id_kind}, item_id {item_kind}, distance long, similarity double")
