@@ -6,6 +6,7 @@ executor can reach, so that a lost executor never loses a step that is already d
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from functools import reduce
@@ -116,6 +117,30 @@ def top_k(rows: DataFrame, keys: list[str], k: int, bins: int = 1024, small: int
     return reduce(DataFrame.unionAll, [*sure, edge])
 
 
+def _release() -> None:
+    """Give memory that is free back to the system: workers live on after their tasks, beside the JVM and other workers."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # other C libraries do so by themselves
+
+
+def tidy(run):
+    """A function over Arrow batches that gives free memory back every few batches and when it ends."""
+
+    def wrapped(batches):
+        try:
+            for n, batch in enumerate(run(batches), 1):
+                yield batch
+                if n % 32 == 0:
+                    _release()
+        finally:
+            _release()
+
+    return wrapped
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all else untouched; texts of ASCII alone take the fast way."""
     plain = F.octet_length(text) == F.char_length(text)
