@@ -1,9 +1,11 @@
 """Operators against brute force, exact round trips and held-out accuracy."""
 
+import math
 import os
 import random
 import re
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import duckdb
@@ -16,7 +18,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tracewell.llm import decontaminate, graph, pii, queries, resampling, simhash, tokens
+from tracewell.llm import common, decontaminate, graph, pii, queries, resampling, simhash, tokens, toxicity
 from tracewell.llm.common import span_hashes, text_slices, utf8_parts, word_spans
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -148,27 +150,6 @@ def test_substring_distance(pattern, text):
     assert decontaminate.substring_distance(np.array(pattern, np.uint64), np.array(text, np.uint64)) == edit_distance(pattern, text)
 
 
-def test_recall_of_edited_items(spark):
-    rng = random.Random(5)
-    vocabulary = [f"w{i}" for i in range(400)]
-    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(12, 60)))) for i in range(60)]
-    rows, want = [], set()
-    for i, text in items:
-        for k in range(5):
-            words = text.split()
-            for _ in range(int(len(words) * 0.2 * k / 4)):
-                at = rng.randrange(len(words))
-                words[at : at + rng.randint(0, 1)] = [rng.choice(vocabulary)] * rng.randint(0, 1)
-            body = rng.choices(vocabulary, k=80) + words + rng.choices(vocabulary, k=80)
-            rows.append((len(rows), " ".join(body)))
-            if edit_distance(text.split(), body) <= int(0.2 * len(text.split()) + 1e-9):
-                want.add((len(rows) - 1, i))
-    docs, bench = spark.createDataFrame(rows, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")
-    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in decontaminate.contaminated(docs, bench).collect()}
-    assert set(got) <= want | {k for k in got if edit_distance(items[k[1]][1].split(), rows[k[0]][1].split()) == got[k]}
-    assert len(set(got) & want) >= 0.95 * len(want)
-
-
 def test_leaks_of_the_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
@@ -241,10 +222,84 @@ def test_top_k_is_exact(spark):
     rows = [(i, rng.choice([1.0, 2.0, rng.gauss(0, 5)])) for i in range(3000)]
     df = spark.createDataFrame(rows, "id int, key double")
     for k in (0, 1, 700, 1500, 2999, 3000):
-        got = sorted(r["id"] for r in resampling.top_k(df, "key", "id", k, bins=8, small=50).collect())
+        got = sorted(r["id"] for r in common.top_k(df, ["key", "id"], k, bins=8, small=50).collect())
         assert got == sorted(i for i, _ in sorted(rows, key=lambda r: (-r[1], r[0]))[:k])
 
 
+def test_top_k_of_rows_that_are_alike(spark):
+    rows = [(None, 1.0)] * 100 + [(5, 1.0)] * 300 + [(7, 1.0)] * 300 + [(1, 0.5)] * 10 + [(9, None)] * 10
+    df = spark.createDataFrame(rows, "id int, key double")
+    for k in (1, 250, 450, 650, 705, 715):
+        got = Counter(r["id"] for r in common.top_k(df, ["key", "id"], k, bins=8, small=20).collect())
+        assert got == Counter(i for i, _ in sorted(rows, key=lambda r: (-(r[1] if r[1] is not None else -9), r[0] if r[0] is not None else 99))[:k])
+
+
+def plain_words(text):
+    return [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+
+
+def test_log_weights_are_those_of_counted_models(spark):
+    """Weights against counts by hand; a gram's bucket is what the operator gives it, told from texts of that gram alone."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choices(["aa", "b", "ccc", "é", "d"], k=rng.randint(0, 12))) for _ in range(60)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    target = {i for i in range(60) if i % 3 == 0}
+    ids = spark.createDataFrame([(i, True) for i in target], "id int, target boolean")
+
+    def bucket(gram):
+        rows, buckets = resampling.features(*utf8_parts(pa.array([b" ".join(gram).decode()])))
+        return int(buckets[-1])
+
+    grams = lambda t: [(w,) for w in t] + list(zip(t, t[1:]))
+    raw, good = Counter(), Counter()
+    for i, text in enumerate(texts):
+        own = [bucket(g) for g in grams(plain_words(text))]
+        raw.update(own)
+        good.update(own if i in target else [])
+    total = lambda c: sum(c.values()) + resampling.BUCKETS
+    ratio = lambda b: math.log((good[b] + 1) / total(good)) - math.log((raw[b] + 1) / total(raw))
+    ratios = resampling.log_ratios(docs, ids, "doc_id", "text", 1.0)
+    got = {r["id"]: r["log_weight"] for r in resampling.log_weights(docs, ratios, "doc_id", "text").collect()}
+    assert got == {i: pytest.approx(sum(ratio(bucket(g)) for g in grams(plain_words(t))), abs=1e-4) for i, t in enumerate(texts)}
+
+
+def test_sample_is_the_gumbel_top_k(spark):
+    rng = random.Random(13)
+    rows = [(i, " ".join(rng.choices("abcdefgh", k=8))) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id int, quality int")
+    kept = {r["doc_id"]: r["gumbel_key"] for r in resampling.resample(docs, labels).collect()}
+    every = {r["doc_id"]: r["gumbel_key"] for r in resampling.resample(docs, labels, share=1.0).collect()}
+    assert len(kept) == 125 and set(kept) == set(sorted(every, key=lambda i: (-every[i], i))[:125])
+    noise = np.array([r["gumbel_key"] - r["log_weight"] for r in resampling.resample(docs, labels, share=1.0).collect()])
+    assert abs(noise.mean() - 0.5772) < 0.2 and abs(noise.std() - 1.2825) < 0.25  # a standard Gumbel's
+
+
+def test_toxicity_counts_ratios_and_scores(spark):
+    """Counts, the choice of features and the scores against sets of n-grams by hand."""
+    texts = [("You FOOL go away", True), ("you fool, hush", True), ("fools! you fool", True), ("have a nice day", False), ("have a good day today", False), ("nice weather today", False), ("", False), ("né à Łódź", False)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id int, text string")
+    labels = spark.createDataFrame([(i, int(x)) for i, (_, x) in enumerate(texts)], "doc_id int, toxic int")
+    fold = lambda t: bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in t.encode())
+    held = [{(n, b[i : i + n]) for n in toxicity.SIZES for i in range(len(b) - n + 1)} for b in (fold(t) for t, _ in texts)]
+    counts = Counter((g, x) for own, (_, x) in zip(held, texts) for g in own)
+    rows = toxicity._counts(spark.createDataFrame([(t, x) for t, x in texts], "text string, label boolean")).collect()
+    assert Counter((r["pos"], r["neg"]) for r in rows) == Counter((counts[g, True], counts[g, False]) for g in set().union(*held))
+    model = toxicity.train(docs, labels, min_rows=2)
+    used = sum(counts[g, True] + counts[g, False] >= 2 for g in set().union(*held))
+    assert np.count_nonzero(model.weights) <= used and np.count_nonzero(model.weights) >= used // 2
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+
+    def feature(gram):
+        n, data = gram
+        return next(int(f[0]) for f, whole in toxicity.grams(np.frombuffer(data, np.uint8), np.array([0, len(data)])) if whole[0] and len(data) == n and int(whole.sum()) == 1)
+
+    for i, own in enumerate(held):
+        z = model.bias + sum(float(model.weights[f]) for f in {feature(g) for g in own})
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-5)
+    assert min(got[i] for i in range(3)) > max(got[i] for i in range(3, 8))
+
+
 def test_quality_sample_prefers_the_target(spark):
     rng = random.Random(7)
     good, bad = [f"good{i}" for i in range(50)], [f"bad{i}" for i in range(50)]
@@ -281,6 +336,22 @@ def test_sketches_estimate_similarity():
     assert (simhash.band_keys(same)[0] == simhash.band_keys(same)[1]).all() and len(set(simhash.band_keys(same)[0])) == simhash.BANDS
 
 
+def test_short_texts_with_one_shingle_in_common_share_no_band():
+    rng = random.Random(10)
+    sets = [np.array([7] + [rng.getrandbits(64) for _ in range(30)], np.uint64) for _ in range(200)]
+    keys = simhash.band_keys(np.stack([simhash.sketch(h) for h in sets]))
+    assert sum((keys[i] == keys[j]).any() for i, j in combinations(range(200), 2)) <= 5
+
+
+def test_alike_is_exact():
+    rng = random.Random(11)
+    sets = [np.unique(np.array(rng.sample(range(60), rng.randint(1, 50)), np.int64)) for _ in range(60)]
+    for similarity in (0.3, 0.5, 0.8):
+        got = simhash.alike(sets[:25], sets[25:], similarity)
+        want = [[len(set(a) & set(b)) * 10 >= similarity * 10 * len(set(a) | set(b)) - 1e-9 for b in map(list, sets[25:])] for a in map(list, sets[:25])]
+        assert got.tolist() == want
+
+
 def test_edited_copies_of_a_family_link(spark):
     rng = random.Random(9)
     word = lambda: "".join(rng.choices("abcdefghij", k=6))

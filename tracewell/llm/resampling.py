@@ -6,9 +6,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import materialize, mix64, span_hashes, text_slices, utf8_parts, word_spans
+from .common import SLICE, materialize, mix64, span_hashes, text_slices, tidy, top_k, utf8_parts, word_spans
 
 #: Words and word pairs are hashed to this many buckets.
 BUCKETS = 1 << 18
@@ -32,7 +31,7 @@ def log_ratios(docs: DataFrame, target_ids: DataFrame, id_col: str, text_col: st
     def run(batches):
         counts = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
-            for part in text_slices(batch, "text", 1 << 21):
+            for part in text_slices(batch, "text", 4 * SLICE):
                 rows, buckets = features(*utf8_parts(part.column(0)))
                 target = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
                 counts[0] += np.bincount(buckets, minlength=BUCKETS)
@@ -42,7 +41,7 @@ def log_ratios(docs: DataFrame, target_ids: DataFrame, id_col: str, text_col: st
             yield pa.record_batch([pa.array(at), pa.array(counts[0, at]), pa.array(counts[1, at])], ["bucket", "raw", "target"])
 
     texts = marked.select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    summed = texts.mapInArrow(run, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    summed = texts.mapInArrow(tidy(run), "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     got = summed.toArrow()  # a row for each bucket at most, whatever the corpus
     at = got["bucket"].to_numpy()
@@ -59,42 +58,12 @@ def log_weights(docs: DataFrame, ratios: np.ndarray, id_col: str, text_col: str)
     def run(batches):
         own = shared.value
         for batch in batches:
-            for part in text_slices(batch, "text", 1 << 21):
+            for part in text_slices(batch, "text", SLICE):
                 rows, buckets = features(*utf8_parts(part.column(1)))
                 yield pa.record_batch([part.column(0), pa.array(np.bincount(rows, own[buckets], minlength=part.num_rows))], ["id", "log_weight"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, log_weight double")
-
-
-def top_k(rows: DataFrame, key: str, tie: str, k: int, bins: int = 1024, small: int = 20_000) -> DataFrame:
-    """The k rows with the largest keys (then smallest ties), exactly, without a global sort.
-
-    Counts by bins of the key's range find the bin in which the k-th row lies; it is cut again
-    until it holds ``small`` rows at most, or keys that are all alike; only that bin is ordered.
-    """
-    n, lo, hi = rows.agg(F.count("*"), F.min(key), F.max(key)).first()
-    if k >= n or n == 0:
-        return rows
-    left = k
-    while True:
-        inside = rows.where((F.col(key) >= lo) & (F.col(key) <= hi))
-        width = (hi - lo) / bins
-        if n <= small or width <= 0 or lo + width == lo:
-            break
-        at = F.least(F.floor((F.col(key) - lo) / width), F.lit(bins - 1)).cast("int")
-        found = inside.groupBy(at.alias("bin")).agg(F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).collect()
-        for r in sorted(found, key=lambda r: -r["bin"]):
-            if r["n"] >= left:
-                break
-            left -= r["n"]
-        if (r["lo"], r["hi"]) == (lo, hi):
-            break
-        n, lo, hi = r["n"], r["lo"], r["hi"]
-    sure = rows.where(F.col(key) > hi)
-    order = Window.partitionBy(F.lit(0)).orderBy(F.desc(key), F.col(tie).asc_nulls_last())
-    edge = inside.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= left).drop("_nth")
-    return sure.unionAll(edge)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"id {kind}, log_weight double")
 
 
 def resample(
@@ -129,5 +98,5 @@ def resample(
     noisy = log_weights(docs, ratios, id_col, text_col).withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(u)))
     scored, _ = materialize(noisy, "log-weights")
     share = (good / n if n else 1.0) if share is None else share
-    took = top_k(scored, "gumbel_key", "id", round(share * scored.count()))
+    took = top_k(scored, ["gumbel_key", "id"], round(share * scored.count()))
     return took.select(F.col("id").alias(id_col), "log_weight", "gumbel_key", F.lit(True).alias("kept"))
