@@ -1,15 +1,21 @@
 """SimHash near-duplicates found through Golay-code fuzzy hashing.
 
-A fingerprint has 64 bits, and two that link differ in ``3`` or fewer. Cut each into two
-halves of 32 bits: by the pigeonhole principle one half has one error or none. A half is a
-segment of 23 bits and a tail of 9. Either the tail agrees and the segment has at most one
-error, or the segment agrees. For the first case the perfect binary Golay code [23, 12, 7]
-decodes the segment to the index of the nearest codeword (12 bits); a segment at the rim of its
-sphere, three errors away, also gets the five codewords at distance four. Two segments with one
-error between them then share an index (if their nearest codewords differ, both lie at their
-spheres' rims, and each one's codeword is at distance four of the other). So a fingerprint has
-at most 14 keys, links share one, and a join of equal keys with an exact count of differing
-bits finds every link and nothing else.
+A fingerprint has 64 bits, and two that link differ in ``3`` or fewer. Cut each into three
+segments: A and B of 23 bits, C of 18. The perfect binary Golay code [23, 12, 7] decodes A or B to
+the index of the nearest codeword (12 bits); a word at the rim of its sphere, three errors away,
+also gets the five codewords at distance four. Two words with one error between them then share
+an index (if their nearest codewords differ, both lie at their spheres' rims, and each one's
+codeword is at distance four of the other). Keys join two or three segments, so that each has 30
+bits or more and random fingerprints rarely meet. Where the three errors may be:
+
+  none in C: A or B has one at most: C and an index of A, or C and an index of B
+  two or three in C: one at most in A and B together: A and an index of B, or B and an index of A
+  one in C: half of C has none, and of A and B
+    one has none: A and the half of C, or B and the half of C
+    both have one: half of each has none: a half of A, of B and of C
+
+So a fingerprint has about 33 keys, links share one, and a join of equal keys with an exact count of
+differing bits finds every link and nothing else.
 
 Three differing bits reach pairs that share nearly all their shingles: at a Jaccard similarity of
 0.8 two fingerprints differ in about ten bits, too many for keys that are selective. Where a
@@ -28,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, mix64, text_slices
+from .common import discard, join_groups, materialize, mix64, text_slices, tidy
 from .graph import components
 
 #: The Golay code's generator polynomial x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
@@ -39,11 +45,13 @@ SEED = 42
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-#: Minima in a sketch, and the bands that give keys: each has so many minima.
-SKETCH, BANDS, ROWS = 256, 20, 6
-#: Sketches less similar than asked for by more than this are not held against each other exactly: six standard errors.
-MARGIN = 0.15
-_EMPTY = np.uint32(0xFFFFFFFF)
+#: Bands that give keys, minima in each of them, and minima in a sketch, each of a hash function of its own.
+BANDS, ROWS = 20, 6
+SKETCH = BANDS * ROWS
+#: Sketches less similar than asked for by more than this are not held against each other exactly: five standard errors.
+MARGIN = 0.18
+_DRAWN = np.random.default_rng(SEED)
+_FLIP, _FACTOR = _DRAWN.integers(0, 1 << 32, SKETCH, np.uint32), _DRAWN.integers(0, 1 << 31, SKETCH, np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def shingle_hashes(text: bytes, n: int) -> np.ndarray:
@@ -62,28 +70,25 @@ def fingerprint(text: bytes, n: int = 3) -> int:
 
 
 def sketch(h: np.ndarray) -> np.ndarray:
-    """The smallest hash, of 32 bits, in each of 256 classes of shingles; _EMPTY where a class has none."""
-    out = np.full(SKETCH, _EMPTY, np.uint32)
-    np.minimum.at(out, (h & np.uint64(SKETCH - 1)).astype(np.int64), np.minimum((h >> np.uint64(32)).astype(np.uint32), _EMPTY - np.uint32(1)))
+    """The smallest hash of a text's shingles under each of the functions; h isn't empty."""
+    low = (h >> np.uint64(32)).astype(np.uint32) ^ h.astype(np.uint32)
+    out = np.full(SKETCH, 0xFFFFFFFF, np.uint32)
+    for part in np.array_split(low, max(1, len(low) // 256)):
+        mixed = (part[:, None] ^ _FLIP) * _FACTOR
+        np.minimum(out, ((mixed ^ mixed >> np.uint32(15)) * _FACTOR[::-1]).min(0), out=out)
     return out
 
 
 def sketch_similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated Jaccard similarity of pairs of sketches, a pair a row; 0 if both are empty."""
-    held = (a != _EMPTY) | (b != _EMPTY)
-    return ((a == b) & held).sum(1) / np.maximum(held.sum(1), 1)
+    """Estimated Jaccard similarity of pairs of sketches, a pair a row."""
+    return (a == b).mean(1)
 
 
 def band_keys(sketches: np.ndarray) -> np.ndarray:
-    """A 64-bit key for each band of each sketch. An empty class borrows from the next one that isn't."""
-    n = len(sketches)
-    place = np.arange(SKETCH)
-    at = np.where(sketches != _EMPTY, place, 2 * SKETCH)
-    ahead = np.minimum.accumulate(np.hstack([at, at + SKETCH])[:, ::-1], axis=1)[:, ::-1][:, :SKETCH] % SKETCH
-    filled = np.take_along_axis(sketches, ahead, 1).astype(np.uint64) + ((ahead - place) % SKETCH).astype(np.uint64) * np.uint64(1 << 40)
-    keys = np.full((n, BANDS), np.arange(1, BANDS + 1), np.uint64)
+    """A 64-bit key for each band of each sketch."""
+    keys = np.full((len(sketches), BANDS), np.arange(1, BANDS + 1), np.uint64)
     for r in range(ROWS):
-        keys = mix64(keys * np.uint64(31) + filled[:, r : r + BANDS * ROWS : ROWS])
+        keys = mix64(keys * np.uint64(31) + sketches[:, r::ROWS].astype(np.uint64))
     return keys
 
 
@@ -119,7 +124,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(id_col, text_col, *[F.xxhash64(text_col).alias("_of")] * with_sketch)
-    return texts.mapInArrow(run, f"`{id_col}` {kind}, fp long" + ", node long, of long, sketch binary" * with_sketch)
+    return texts.mapInArrow(tidy(run), f"`{id_col}` {kind}, fp long" + ", node long, of long, sketch binary" * with_sketch)
 
 
 def shingle_sets(texts: DataFrame, n: int) -> DataFrame:
@@ -131,21 +136,84 @@ def shingle_sets(texts: DataFrame, n: int) -> DataFrame:
                 held = [np.unique(shingle_hashes(text.as_py(), n)).view(np.int64) for text in part.column(1).cast(pa.binary())]
                 yield pa.record_batch([part.column(0), pa.array(held, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    return texts.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
+    return texts.select("node", "text").mapInArrow(tidy(run), "node long, shingles array<long>")
 
 
-def similar_links(nodes: DataFrame, similarity: float, sets_of) -> DataFrame:
+def alike(a: list[np.ndarray], b: list[np.ndarray], similarity: float) -> np.ndarray:
+    """For each pair of two lists of sets (sorted arrays of distinct numbers) whether their Jaccard similarity reaches the one asked for.
+
+    As whole numbers of millionths, so that a similarity of exactly 0.8 counts.
+    """
+    sets, n = [*a, *b], len(a)
+    size = np.array([len(x) for x in sets], np.int64)
+    of, number = np.repeat(np.arange(len(sets)), size), np.unique(np.concatenate(sets), return_inverse=True)[1]
+    left, right = np.bincount(number[of < n], minlength=number.max() + 1), np.bincount(number[of >= n], minlength=number.max() + 1)
+    column = np.cumsum((left > 0) & (right > 0)) - 1  # others count for no pair
+    used = ((left > 0) & (right > 0))[number]
+    of, at = of[used], column[number[used]]
+    shared = np.zeros((n, len(b)), np.int64)
+    for lo in range(0, int(at.max(initial=-1)) + 1, 8192):
+        part = (at >= lo) & (at < lo + 8192)
+        held = np.zeros((len(sets), min(8192, int(at.max()) + 1 - lo)), np.float32)
+        held[of[part], at[part] - lo] = 1
+        shared += np.rint(held[:n] @ held[n:].T).astype(np.int64)
+    return shared * 1_000_000 >= (size[:n, None] + size[None, n:] - shared) * round(similarity * 1_000_000)
+
+
+def _block_links(rows: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) from rows (key, i, j, side, node, root, shingles): links between the sides of each block (key, i, j), of different roots.
+
+    Pairs are held against each other where the block is and never become rows; of the links of a
+    node those to one root are one.
+    """
+
+    def links(block):
+        side = block.column("side").to_numpy()
+        node, root = block.column("node").to_numpy(), block.column("root").to_numpy()
+        sets = [x.values.to_numpy() for x in block.column("shingles")]
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if not len(x) or not len(y):
+            return []
+        size, out = np.array([len(s) for s in sets]), []
+        parts = lambda of: np.split(of, np.flatnonzero(np.diff(np.cumsum(size[of]) // 1_000_000)) + 1)  # noqa: E731  of a million shingles or so, or of one set
+        for a in parts(x):
+            for b in parts(y):
+                at, to = np.nonzero(alike([sets[k] for k in a], [sets[k] for k in b], similarity) & (root[a][:, None] != root[b][None, :]))
+                if len(at):
+                    _, first = np.unique(np.stack([at, root[b[to]]]), axis=1, return_index=True)
+                    out.append((node[a[at[first]]], node[b[to[first]]]))
+        return out
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            keys = np.stack([held.column(c).to_numpy() for c in ("key", "i", "j")])
+            cut = np.append(0, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1)
+            for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                for a, b in links(held.slice(lo, hi - lo).combine_chunks()):
+                    yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
+            held = held.slice(int(cut[-1]))
+        for a, b in links(held.combine_chunks()) if held is not None and held.num_rows else ():
+            yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(tidy(run), "a long, b long")
+
+
+def similar_links(nodes: DataFrame, similarity: float, sets_of, block: int = 256) -> DataFrame:
     """(a, b) for nodes (node, sketch), nodes being distinct: links that join what all links within buckets join.
 
     First every node is held against a representative of each of its buckets: the node that meets
     most others over all its buckets, which in a family of edited copies is the one that they were
-    made from, and the smallest. Then all pairs of a bucket whose ends these links haven't joined
-    are held against each other, so that no pair is left out but those that are joined already. In
-    a bucket, members of its largest component never meet among themselves.
+    made from, and the smallest. Then the members of a bucket that these links haven't joined to
+    its largest component are held against all its members, in blocks of ``block`` by ``block``:
+    no pair is left out but those that are joined already, and none becomes a row unless it links.
 
-    Pairs whose sketches come near the similarity are decided by their sets of shingles, which
-    ``sets_of`` gives as (node, shingles) for a table of nodes.
+    Pairs are decided by their sets of shingles, which ``sets_of`` gives as (node, shingles) for a
+    table of nodes; in the first step, only those whose sketches come near the similarity.
     """
+    spark = nodes.sparkSession
 
     def keys(batches):
         for batch in batches:
@@ -163,19 +231,19 @@ def similar_links(nodes: DataFrame, similarity: float, sets_of) -> DataFrame:
     def verified(pairs):
         a, b = nodes.toDF("node", "_sa"), nodes.toDF("other", "_sb")
         both = pairs.join(a, "node").join(b, "other").select("node", "other", "_sa", "_sb")
-        likely, likely_path = materialize(both.mapInArrow(verify, "a long, b long"), "likely-links")
+        likely, likely_path = materialize(both.mapInArrow(tidy(verify), "a long, b long"), "likely-links")
         sets, sets_path = materialize(sets_of(likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()), "shingle-sets")
         exact = likely.join(sets.toDF("a", "_ha"), "a").join(sets.toDF("b", "_hb"), "b")
         shared = F.size(F.array_intersect("_ha", "_hb")).cast("long")
-        # as whole numbers, so that a similarity of exactly 0.8 counts
-        alike = shared * 1_000_000 >= (F.size("_ha") + F.size("_hb") - shared) * F.lit(round(similarity * 1_000_000)).cast("long")
-        links, _ = materialize(exact.where(alike).select("a", "b"), "similar-links")
-        discard(nodes.sparkSession, likely_path, sets_path)
+        same = shared * 1_000_000 >= (F.size("_ha") + F.size("_hb") - shared) * F.lit(round(similarity * 1_000_000)).cast("long")
+        links, _ = materialize(exact.where(same).select("a", "b"), "similar-links")
+        discard(spark, likely_path, sets_path)
         return links
 
-    keyed_nodes, path = materialize(nodes.select("node", "sketch").mapInArrow(keys, "key long, node long"), "sketch-keys")
-    shared = keyed_nodes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared, shared_path = materialize(keyed_nodes.join(shared, "key"), "shared-keys")
+    keyed_nodes, path = materialize(nodes.select("node", "sketch").mapInArrow(tidy(keys), "key long, node long"), "sketch-keys")
+    counts = keyed_nodes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared, shared_path = materialize(keyed_nodes.join(counts, "key"), "shared-keys")
+    discard(spark, path)
     degree = shared.groupBy("node").agg(F.sum("n").alias("degree"))
     ranked = shared.join(degree, "node").select("key", "node", F.struct(F.col("degree"), F.col("node")).alias("rank"))
     heads = ranked.groupBy("key").agg(F.max("rank")["node"].alias("hub"), F.min("node").alias("low"))
@@ -184,14 +252,20 @@ def similar_links(nodes: DataFrame, similarity: float, sets_of) -> DataFrame:
     first, first_path = components(star)
     roots = shared.join(first, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     labelled, labelled_path = materialize(roots, "sketch-labels")
-    of_key = labelled.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("most"), F.count("*").alias("roots"))
-    open_, open_path = materialize(labelled.join(of_key.where("roots > 1"), "key").select("key", "node", "root", "most"), "open-keys")
-    x, y = open_.where("root <> most").toDF("key", "node", "ra", "most"), open_.select("key", F.col("node").alias("other"), F.col("root").alias("rb"))
-    unlike = (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("most")) | (F.col("node") < F.col("other")))
-    rest = x.join(y, "key").where(unlike).select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other")).distinct()
-    found = star.unionAll(verified(rest))
-    discard(nodes.sparkSession, path, shared_path, first_path, labelled_path, open_path)
-    return found
+    discard(spark, shared_path, first_path)
+    by_root = labelled.groupBy("key", "root").agg(F.count("*").alias("n"))
+    of_key = by_root.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("roots")).where("roots > 1")
+    blocks = lambda n: F.ceil(n / block).cast("int")
+    of_key = of_key.select("key", F.col("most.root").alias("most"), blocks(F.col("n") - F.col("most.n")).alias("nx"), blocks(F.col("n")).alias("ny"))
+    open_, open_path = materialize(labelled.join(of_key, "key"), "open-keys")
+    sets, sets_path = materialize(sets_of(open_.select("node").distinct()), "shingle-sets")
+    dealt = lambda k, n: F.pmod(F.xxhash64(F.lit(k), F.col("node")), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    x = open_.where("root <> most").select("key", dealt(1, "nx").alias("i"), every("ny").alias("j"), F.lit(0).alias("side"), "node", "root")
+    y = open_.select("key", every("nx").alias("i"), dealt(2, "ny").alias("j"), F.lit(1).alias("side"), "node", "root")
+    more, _ = materialize(_block_links(x.unionAll(y).join(sets, "node").select("key", "i", "j", "side", "node", "root", "shingles"), similarity), "block-links")
+    discard(spark, labelled_path, open_path, sets_path)
+    return star.unionAll(more)
 
 
 def _golay_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -234,15 +308,30 @@ def golay_indices(words: np.ndarray) -> np.ndarray:
 
 
 def keys_of(fp: np.ndarray) -> np.ndarray:
-    """The keys of each fingerprint, padded with -1: of a half's segment and tail."""
+    """The keys of each fingerprint, padded with -1: a kind in the high bits, then the parts that it joins."""
     fp = fp.view(np.uint64)
+    part = lambda at, n: ((fp >> np.uint64(at)) & np.uint64((1 << n) - 1)).astype(np.int64)
+    a, b, c = part(0, 23), part(23, 23), part(46, 18)
+    near_a, near_b = golay_indices(a), golay_indices(b)
+    halves = [(x & 0xFFF, x >> 12) for x in (a, b)] + [(c & 0x1FF, c >> 9)]
     out = []
-    for half in range(2):
-        word = ((fp >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        segment, tail = word & 0x7FFFFF, word >> 23
-        near = golay_indices(segment)
-        out.append(np.where(near < 0, -1, (2 * half) << 32 | near << 9 | tail[:, None]))
-        out.append(((2 * half + 1) << 32 | segment)[:, None])
+
+    def add(*parts: tuple[np.ndarray, int], near: np.ndarray | None = None) -> None:
+        key = np.full(len(fp), len(out) + 1, np.int64)
+        for values, bits in parts:
+            key = key << bits | values
+        out.append(key[:, None] if near is None else np.where(near < 0, -1, key[:, None] << 12 | near))
+
+    add((c, 18), near=near_a)
+    add((c, 18), near=near_b)
+    add((a, 23), near=near_b)
+    add((b, 23), near=near_a)
+    for half in halves[2]:
+        add((a, 23), (half, 9))
+        add((b, 23), (half, 9))
+        for x in halves[0]:
+            for y in halves[1]:
+                add((x, 12), (y, 12), (half, 9))
     return np.hstack(out)
 
 
@@ -256,7 +345,7 @@ def keyed(prints: DataFrame) -> DataFrame:
             rows, cols = np.nonzero(keys >= 0)
             yield pa.record_batch([pa.array(keys[rows, cols]), pa.array(fp[rows])], ["key", "fp"])
 
-    return prints.select("fp").mapInArrow(run, "key long, fp long")
+    return prints.select("fp").mapInArrow(tidy(run), "key long, fp long")
 
 
 def link_components(prints: DataFrame, most_bits: int = 3) -> tuple[DataFrame, list[str]]:
@@ -324,7 +413,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         slim, _ = materialize(prints.select(id_col, "fp"), "fingerprints")
         discard(docs.sparkSession, prints_path, nodes_path, rooted_path)
         prints = slim
-    of_root = distinct.join(roots, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print, _ = materialize(roots.join(of_root, "root").select("fp", "component_id"), "components")
-    discard(docs.sparkSession, distinct_path)
-    return prints.join(by_print, "fp").select(id_col, "fp", "component_id")
+    of_root = distinct.join(roots, "fp").groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("prints"))
+    of_root, of_root_path = materialize(of_root, "of-root")
+    by_print = join_groups(roots, of_root, "root", "prints", roots.count()).select("fp", "component_id")
+    sizes = prints.groupBy("fp").agg(F.count("*").alias("rows"))
+    by_print, _ = materialize(by_print.join(sizes, "fp"), "components")
+    discard(docs.sparkSession, distinct_path, of_root_path)
+    return join_groups(prints, by_print, "fp", "rows", prints.count()).select(id_col, "fp", "component_id")
