@@ -7,6 +7,7 @@ executor can reach, so that a lost executor never loses a step that is already d
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 import uuid
 from functools import reduce
@@ -62,6 +63,12 @@ def discard(spark: SparkSession, *paths: str) -> None:
         at.getFileSystem(conf).delete(at, True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let the driver drop plans that nothing holds any more: Spark then deletes their shuffle files, which else lie on the executors' disks for long."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 #: Groups of more rows than this, and than a hundred-thousandth of all, are hot: of these there are 100,000 at most.
 HOT_ROWS, HOT_GROUPS = 1_000, 100_000
 

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, join_groups, materialize, mix64, text_slices, tidy
+from .common import discard, join_groups, materialize, mix64, sweep, text_slices, tidy
 from .graph import components
 
 #: The Golay code's generator polynomial x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
@@ -232,23 +232,26 @@ def similar_links(nodes: DataFrame, similarity: float, sets_of, block: int = 256
         a, b = nodes.toDF("node", "_sa"), nodes.toDF("other", "_sb")
         both = pairs.join(a, "node").join(b, "other").select("node", "other", "_sa", "_sb")
         likely, likely_path = materialize(both.mapInArrow(tidy(verify), "a long, b long"), "likely-links")
-        sets, sets_path = materialize(sets_of(likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()), "shingle-sets")
         exact = likely.join(sets.toDF("a", "_ha"), "a").join(sets.toDF("b", "_hb"), "b")
         shared = F.size(F.array_intersect("_ha", "_hb")).cast("long")
         same = shared * 1_000_000 >= (F.size("_ha") + F.size("_hb") - shared) * F.lit(round(similarity * 1_000_000)).cast("long")
         links, _ = materialize(exact.where(same).select("a", "b"), "similar-links")
-        discard(spark, likely_path, sets_path)
+        discard(spark, likely_path)
         return links
 
     keyed_nodes, path = materialize(nodes.select("node", "sketch").mapInArrow(tidy(keys), "key long, node long"), "sketch-keys")
     counts = keyed_nodes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared, shared_path = materialize(keyed_nodes.join(counts, "key"), "shared-keys")
     discard(spark, path)
+    # once for both steps, as every row's text shuffles for it
+    sets, sets_path = materialize(sets_of(shared.select("node").distinct()), "shingle-sets")
+    sweep(spark)
     degree = shared.groupBy("node").agg(F.sum("n").alias("degree"))
     ranked = shared.join(degree, "node").select("key", "node", F.struct(F.col("degree"), F.col("node")).alias("rank"))
     heads = ranked.groupBy("key").agg(F.max("rank")["node"].alias("hub"), F.min("node").alias("low"))
     pairs = shared.join(heads, "key").select("node", F.explode(F.array("hub", "low")).alias("other")).where("node <> other").distinct()
     star = verified(pairs)
+    sweep(spark)
     first, first_path = components(star)
     roots = shared.join(first, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     labelled, labelled_path = materialize(roots, "sketch-labels")
@@ -258,13 +261,13 @@ def similar_links(nodes: DataFrame, similarity: float, sets_of, block: int = 256
     blocks = lambda n: F.ceil(n / block).cast("int")
     of_key = of_key.select("key", F.col("most.root").alias("most"), blocks(F.col("n") - F.col("most.n")).alias("nx"), blocks(F.col("n")).alias("ny"))
     open_, open_path = materialize(labelled.join(of_key, "key"), "open-keys")
-    sets, sets_path = materialize(sets_of(open_.select("node").distinct()), "shingle-sets")
     dealt = lambda k, n: F.pmod(F.xxhash64(F.lit(k), F.col("node")), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     x = open_.where("root <> most").select("key", dealt(1, "nx").alias("i"), every("ny").alias("j"), F.lit(0).alias("side"), "node", "root")
     y = open_.select("key", every("nx").alias("i"), dealt(2, "ny").alias("j"), F.lit(1).alias("side"), "node", "root")
     more, _ = materialize(_block_links(x.unionAll(y).join(sets, "node").select("key", "i", "j", "side", "node", "root", "shingles"), similarity), "block-links")
     discard(spark, labelled_path, open_path, sets_path)
+    sweep(spark)
     return star.unionAll(more)
 
 
@@ -391,6 +394,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints, prints_path = materialize(fingerprints(docs, id_col, text_col, n, similarity is not None), "fingerprints")
     distinct, distinct_path = materialize(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct-fingerprints")
     roots, _ = link_components(distinct)
+    sweep(docs.sparkSession)
     if similarity is not None:
         # fingerprints are the nodes of all links; texts of one fingerprint link as they are
         nodes, nodes_path = materialize(prints.where("sketch is not null").groupBy("node").agg(F.first("sketch").alias("sketch"), F.min("of").alias("of")), "sketches")
