@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import SLICE, mix64, span_hashes, text_slices, utf8_parts, word_spans
+from .common import SLICE, mix64, span_hashes, text_slices, tidy, utf8_parts, word_spans
 
 #: Bytes that are part of no word: ASCII but for letters and digits.
 _GAP = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
@@ -288,4 +288,4 @@ def _pass(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, params:
 
     ids_type = to_arrow_type(items.schema["item_id"].dataType)
     texts = docs.select(F.col(id_col), F.col(text_col).alias("text"))
-    return texts.mapInArrow(run, f"`{id_col}` {id_kind}, item_id {item_kind}, distance long, similarity double")
+    return texts.mapInArrow(tidy(run), f"`{id_col}` {id_kind}, item_id {item_kind}, distance long, similarity double")

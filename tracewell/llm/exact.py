@@ -9,7 +9,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, join_groups, materialize, scratch_path
+from .common import discard, join_groups, materialize, scratch_path, tidy
 from .stores import open_store
 
 #: Bits of a block of the filter, which one row carries.
@@ -45,7 +45,7 @@ def _set_bits(hashed: DataFrame) -> DataFrame:
                 once, twice = [place[i:j].tobytes() for i, j in spans], [place[i:j][again[i:j]].tobytes() for i, j in spans]
                 yield pa.record_batch([pa.array([s] * len(spans), pa.int32()), pa.array([int(block[i]) for i, _ in spans], pa.int32()), pa.array(once, pa.binary()), pa.array(twice, pa.binary())], ["shard", "block", "once", "twice"])
 
-    return hashed.select("shard", "p0", "p1").mapInArrow(run, "shard int, block int, once binary, twice binary")
+    return hashed.select("shard", "p0", "p1").mapInArrow(tidy(run), "shard int, block int, once binary, twice binary")
 
 
 def _merge_block(key, pdf):
@@ -104,7 +104,7 @@ def maybe_repeated(rows: DataFrame, hash_col: str, size: tuple[int, int] | None
             yield pa.record_batch([*batch.columns[:-3], pa.array(ok)], [*batch.schema.names[:-3], "maybe"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return dealt.mapInArrow(test, f"{schema}, maybe boolean"), [dealt_path, filter_path]
+    return dealt.mapInArrow(tidy(test), f"{schema}, maybe boolean"), [dealt_path, filter_path]
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from .common import mix64, text_slices, utf8_parts
+from .common import SLICE, mix64, text_slices, tidy, utf8_parts
 from .stores import Staged, open_store, write_file
 
 #: Places of a worker's table of chunks, ids that it holds at most, and other chunks and pieces remembered beside it (of each
@@ -191,7 +191,7 @@ class _Encoder:
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
         texts = pc.fill_null(texts, "")
-        for part in text_slices(pa.record_batch([texts], ["text"]), "text", 1 << 20):
+        for part in text_slices(pa.record_batch([texts], ["text"]), "text", SLICE):
             ids, begin = self.encode_slice(part.column(0))
             for i, j in zip(begin[:-1].tolist(), begin[1:].tolist()):
                 yield ids[i:j].tobytes()
@@ -355,7 +355,7 @@ def write_tokens(
     store, at = open_store(path)
     store.create_dir(at)
     ranged = rows.repartitionByRange(shards, "id").sortWithinPartitions("id", "text")
-    placed = ranged.mapInArrow(encode, f"id {kind}, repetition long, shard int, offset long, count long")
+    placed = ranged.mapInArrow(tidy(encode), f"id {kind}, repetition long, shard int, offset long, count long")
     placed.write.parquet(f"{path}/places")
     placed = spark.read.schema(placed.schema).parquet(f"{path}/places")
     totals = placed.groupBy("shard").agg(F.count("*").alias("documents"), F.sum("count").alias("ids")).orderBy("shard").collect()
@@ -384,7 +384,7 @@ def _hashed(keys: DataFrame) -> DataFrame:
             yield pa.record_batch([*batch.columns, *both], [*batch.schema.names, "hash", "hash2"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema)
-    return keys.mapInArrow(run, f"{schema}, hash long, hash2 long")
+    return keys.mapInArrow(tidy(run), f"{schema}, hash long, hash2 long")
 
 
 def _hashes_of(pdf: pd.DataFrame) -> np.ndarray:
@@ -453,7 +453,7 @@ def read_tokens(places: DataFrame, path: str, digest_only: bool = True) -> DataF
     kind = places.schema["id"].dataType.simpleString()
     schema = f"id {kind}, repetition long, start long, n_tokens long, ids_crc32 long" + ("" if digest_only else ", ids binary")
     ordered = places.select("id", "repetition", "shard", "offset", "count").repartitionByRange("shard", "offset").sortWithinPartitions("shard", "offset")
-    return ordered.mapInArrow(read, schema)
+    return ordered.mapInArrow(tidy(read), schema)
 
 
 def keys_of(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
