@@ -34,8 +34,18 @@ class Staged:
         return self.out
 
     def __exit__(self, kind, *_):
+        if self.out is None:
+            return
         self.out.close()
+        self.out = None
         if kind is None:
             self.store.move(self.temporary, self.path)
         else:
             self.store.delete_file(self.temporary)
+
+
+def clear_strays(store: fs.FileSystem, folder: str) -> None:
+    """Delete what tasks that were lost left under temporary names."""
+    for info in store.get_file_info(fs.FileSelector(folder)):
+        if info.path.endswith(".tmp"):
+            store.delete_file(info.path)

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import materialize
-from .stores import Staged, open_store, write_file
+from .common import materialize, tidy
+from .stores import Staged, clear_strays, open_store, write_file
 
 #: Fixed value: names a revisit by equal payload, as the WARC 1.1 standard has it.
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -142,28 +142,33 @@ def write_warc(
                 staged.__exit__(None)
                 staged, number = None, number + 1
 
-        for batch in batches:
-            for page_id, kind, url, payload, h, refers_to, n in zip(*(c.to_pylist() for c in batch.columns)):
-                if page_id != current:
-                    current, plan, seen = page_id, {}, {}
-                if kind == 0:
-                    plan[bytes(h)] = (refers_to, n)
-                    continue
-                data = payload.encode()
-                own = hashlib.sha1(data).digest()
-                nth = seen[own] = seen.get(own, -1) + 1
-                to, _ = plan.get(own, (None, 0))
-                revisit = own in plan and (to != page_id or nth > 0)
-                packed = member(make_record(page_id, nth, url, data, to if revisit else None, date))
-                if staged is None:
-                    staged = Staged(store, f"{at}/part-{task:05d}-{number:05d}.warc.gz")
-                    files.append({"name": staged.path.rsplit("/", 1)[1], "records": 0, "bytes": 0, "first": json.dumps(page_id), "last": None})
-                staged.__enter__().write(packed)
-                files[-1]["records"] += 1
-                files[-1]["bytes"] += len(packed)
-                files[-1]["last"] = json.dumps(page_id)
-                if files[-1]["bytes"] >= roll_bytes:
-                    close()
+        try:
+            for batch in batches:
+                for page_id, kind, url, payload, h, refers_to, n in zip(*(c.to_pylist() for c in batch.columns)):
+                    if page_id != current:
+                        current, plan, seen = page_id, {}, {}
+                    if kind == 0:
+                        plan[bytes(h)] = (refers_to, n)
+                        continue
+                    data = payload.encode()
+                    own = hashlib.sha1(data).digest()
+                    nth = seen[own] = seen.get(own, -1) + 1
+                    to, _ = plan.get(own, (None, 0))
+                    revisit = own in plan and (to != page_id or nth > 0)
+                    packed = member(make_record(page_id, nth, url, data, to if revisit else None, date))
+                    if staged is None:
+                        staged = Staged(store, f"{at}/part-{task:05d}-{number:05d}.warc.gz")
+                        files.append({"name": staged.path.rsplit("/", 1)[1], "records": 0, "bytes": 0, "first": json.dumps(page_id), "last": None})
+                    staged.__enter__().write(packed)
+                    files[-1]["records"] += 1
+                    files[-1]["bytes"] += len(packed)
+                    files[-1]["last"] = json.dumps(page_id)
+                    if files[-1]["bytes"] >= roll_bytes:
+                        close()
+        except BaseException as why:
+            if staged is not None:
+                staged.__exit__(type(why))
+            raise
         close()
         if files:
             yield pa.RecordBatch.from_pylist(files, pa.schema([("name", pa.string()), ("records", pa.int64()), ("bytes", pa.int64()), ("first", pa.string()), ("last", pa.string())]))
@@ -171,8 +176,9 @@ def write_warc(
     store, at = open_store(path)
     store.create_dir(at)
     ranged = both.repartitionByRange(shards, "id").sortWithinPartitions("id", "kind", "url", "payload")
-    files = [r.asDict() for r in ranged.mapInArrow(write, "name string, records long, bytes long, first string, last string").collect()]
+    files = [r.asDict() for r in ranged.mapInArrow(tidy(write), "name string, records long, bytes long, first string, last string").collect()]
     files.sort(key=lambda f: f["name"])
+    clear_strays(store, at)
     write_file(store, f"{at}/MANIFEST.json", json.dumps(files).encode())
     return files
 
@@ -204,7 +210,7 @@ def read_warc(spark: SparkSession, path: str, id_type: str = "long", payload: bo
     ddl = f"page_id {id_type}, payload_bytes long, payload_digest string, record_type string, refers_to {id_type}" + (", url string, payload string" if payload else "")
     schema = to_arrow_schema(StructType.fromDDL(ddl))
     listed = spark.createDataFrame([(n,) for n in names], "name string").repartition(max(1, min(len(names), 10_000)))
-    return listed.mapInArrow(read, ddl)
+    return listed.mapInArrow(tidy(read), ddl)
 
 
 def _row(headers: dict[str, str], block: bytes, payload: bool) -> dict:
