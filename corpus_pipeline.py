@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.llm import decontaminate, mixing, simhash, tokens, toxicity
-from tracewell.llm.common import discard, materialize, scratch_path
+from tracewell.llm.common import discard, materialize, scratch_path, sweep
 from tracewell.llm.queries import END_ID, TOXIC, held_out, table, tokenizer_file
 
 
@@ -28,11 +28,18 @@ def _rows(docs: DataFrame) -> DataFrame:
     The stage before is written, or read here for the last time: its own keyed rows are deleted.
     """
     rows, path = materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
-    discard(docs.sparkSession, *_SPENT)
+    _drop_spent(docs.sparkSession)
     _SPENT[:] = [path]
     return rows
 
 
+def _drop_spent(spark: SparkSession) -> None:
+    """Delete what earlier stages needed: their keyed rows, and the shuffle files of their plans."""
+    discard(spark, *_SPENT)
+    _SPENT.clear()
+    sweep(spark)
+
+
 def _keep(rows: DataFrame, drop: DataFrame) -> DataFrame:
     """rows without those whose key drop has, and without the key; drop may hold keys more than once."""
     return rows.join(drop.select(ROW).distinct(), ROW, "left_anti").select([c for c in rows.columns if c != ROW])
@@ -77,6 +84,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, written and read back: doc_id, repetition, start, n_tokens, ids_crc32."""
+    _drop_spent(spark)
     path = scratch_path(spark, "tokens")
     tokens.write_tokens(docs, path, tokenizer_file(), END_ID)
     return tokens.read_tokens(tokens.locate(tokens.keys_of(docs), path), path).withColumnRenamed("id", "doc_id")
