@@ -58,6 +58,40 @@ def test_lines(docs, none):
     assert {r["n_dropped"] for r in lines.dedup_lines(docs, min_docs=1).where("doc_id = 8").collect()} == {3}
 
 
+def test_line_runs_merge_without_a_shuffle(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        runs = lines.LineRuns(spark, min_docs=3, fanout=2, buckets=5)
+        batch = lambda *counts: runs.dealt(spark.createDataFrame([(h, -h) for h, n in counts for _ in range(n)], "h1 long, h2 long"))
+        runs.add(batch((1, 3), (2, 1), (3, 2)))
+        fresh = runs.unsettled(batch((1, 5), (2, 2), (4, 1)))
+        assert sorted(tuple(r) for r in fresh.collect()) == [(2, -2, 2), (4, -4, 1)]
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        # the batch is dealt once; the run is read in its buckets
+        assert plan.count("Exchange") == 1 and plan.count("SortMergeJoin") == 1
+        runs.add(batch((1, 5), (2, 2), (4, 1)))
+        a, b = (lines.LineRuns(spark, 3, 9, 5) for _ in range(2))
+        a.add(batch((7, 1)))
+        b.add(batch((7, 2), (8, 1)))
+        both = lines.LineRuns.merged(a.tables()[0], b.tables()[0])
+        assert sorted(tuple(r) for r in both.collect()) == [(7, -7, 3), (8, -8, 1)] and "Exchange" not in both._jdf.queryExecution().executedPlan().toString()
+        assert [len(level) for level in runs.levels] == [0, 1]
+        assert sorted(r["h1"] for r in runs.frequent().collect()) == [1, 2]
+        again = lines.LineRuns.open(spark, runs.path)
+        again.add(batch((4, 2)))
+        assert sorted(r["h1"] for r in again.frequent().collect()) == [1, 2, 4]
+        for r in (again, a, b):
+            r.discard()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("dropped", [[], [0], [4], [0, 1, 2, 3, 4], [1, 3], [2]])
+def test_lines_without_some(spark, dropped):
+    df = spark.createDataFrame([(list("abcde"), dropped)], "lines array<string>, dropped array<int>")
+    assert df.select(lines.without(F.col("lines"), F.col("dropped")).alias("x")).first()["x"] == [c for i, c in enumerate("abcde") if i not in dropped]
+
+
 def test_simhash(docs, none):
     got = {}
     for r in simhash.near_duplicates(docs).collect():
@@ -90,8 +124,8 @@ def test_decontaminate(spark, docs, none):
     got = sorted((r["doc_id"], r["item_id"], r["distance"]) for r in decontaminate.contaminated(docs, items).collect())
     assert got == sorted([(d, i, 0) for d in (1, 2, 2) for i in (1, 5)])
     assert decontaminate.contaminated(none, items).count() == 0 and decontaminate.contaminated(docs, items.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        decontaminate.contaminated(docs, items, max_items=1)
+    parted = decontaminate.contaminated(docs, items, part_items=1)
+    assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in parted.collect()) == got
 
 
 def test_pii(docs, none):
@@ -114,13 +148,27 @@ def test_exact(docs, none):
     assert len(groups) == 6
 
 
-def test_bloom_lets_every_repeat_through(spark, monkeypatch):
+def test_bloom_lets_every_repeat_through(spark):
     rows = spark.range(4000).select(F.col("id"), F.sha2((F.col("id") % 3000).cast("string"), 256).alias("h"))
-    maybe = {r["id"] for r in exact.maybe_repeated(rows, "h").where("maybe").collect()}
-    assert set(range(1000)) | set(range(3000, 4000)) <= maybe and len(maybe) < 2300
-    monkeypatch.setattr(exact, "filter_bits", lambda rows: exact.BLOCK)
-    few = {r["id"] for r in exact.maybe_repeated(rows, "h").where("maybe").collect()}
-    assert set(range(1000)) | set(range(3000, 4000)) <= few
+    assert exact.filter_size(4000) == (1, 1 << 16) and exact.filter_size(10**9, 1 << 30) == (15, 1 << 30) and exact.filter_size(0)[0] == 1
+    sizes = {}
+    for size in (None, (1, exact.BLOCK), (3, exact.BLOCK), (1, exact.BLOCK * 4)):
+        found = exact.maybe_repeated(rows, "h", size)[0].cache()
+        maybe = {r["id"] for r in found.where("maybe").collect()}
+        assert set(range(1000)) | set(range(3000, 4000)) <= maybe and found.count() == 4000
+        sizes[size] = len(maybe)
+    assert sizes[(1, exact.BLOCK * 4)] < 2050 and sizes[(3, exact.BLOCK)] < 2100 and sizes[None] < 2300
+
+
+def test_hot_texts_are_joined_where_they_are(spark, monkeypatch):
+    from tracewell.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 50)
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 300, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 200)).alias("text"))
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exact.exact_duplicates(docs).collect()}
+    assert len(got) == 600 and all(got[i] == (299, 300, i == 299) for i in range(300))
+    same = lambda i: [j for j in range(300, 600) if j % 200 == i % 200]
+    assert all(got[i] == (max(same(i)), len(same(i)), i == max(same(i))) for i in range(300, 600))
 
 
 def test_tokens(spark, docs, none):

@@ -108,16 +108,14 @@ _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _KEY = f"translate(trim(line, {_WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _OP1 = f"""
-WITH parts AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
-  FROM documents),
+WITH rows AS (SELECT doc_id, row_number() OVER () AS row, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+parts AS (SELECT doc_id, row, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM rows),
 keyed AS (SELECT *, {_KEY} AS key FROM parts),
-frequent AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= {LINE_DOCS}),
+frequent AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT row) >= {LINE_DOCS}),
 marked AS (SELECT k.*, f.key IS NOT NULL AS dropped FROM keyed k LEFT JOIN frequent f USING (key))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
+FROM marked GROUP BY doc_id, row
 """
 
 _OP3 = r"""
