@@ -61,7 +61,7 @@ def test_lines(docs, none):
 def test_line_runs_merge_without_a_shuffle(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        runs = lines.LineRuns(spark, min_docs=3, fanout=2, buckets=5)
+        runs = lines.LineRuns(spark, min_docs=3, fanout=2, buckets=4)
         batch = lambda *counts: runs.dealt(spark.createDataFrame([(h, -h) for h, n in counts for _ in range(n)], "h1 long, h2 long"))
         runs.add(batch((1, 3), (2, 1), (3, 2)))
         fresh = runs.unsettled(batch((1, 5), (2, 2), (4, 1)))
@@ -70,7 +70,7 @@ def test_line_runs_merge_without_a_shuffle(spark):
         # the batch is dealt once; the run is read in its buckets
         assert plan.count("Exchange") == 1 and plan.count("SortMergeJoin") == 1
         runs.add(batch((1, 5), (2, 2), (4, 1)))
-        a, b = (lines.LineRuns(spark, 3, 9, 5) for _ in range(2))
+        a, b = (lines.LineRuns(spark, 3, 9, 4) for _ in range(2))
         a.add(batch((7, 1)))
         b.add(batch((7, 2), (8, 1)))
         both = lines.LineRuns.merged(a.tables()[0], b.tables()[0])

@@ -103,8 +103,8 @@ class LineRuns:
             level += 1
 
     def dealt(self, hashes: DataFrame) -> DataFrame:
-        """(h1, h2, n) from (h1, h2): counted, in the buckets of the runs."""
-        return hashes.repartition(self.buckets, "h1", "h2").groupBy("h1", "h2").agg(F.count("*").alias("n"))
+        """(h1, h2, n) from (h1, h2), counted where they are first; the one shuffle deals them to the runs' buckets if there are as many as shuffle partitions."""
+        return hashes.groupBy("h1", "h2").agg(F.count("*").alias("n"))
 
     def frequent(self) -> DataFrame:
         """Hashes found in ``min_docs`` documents or more, over all runs."""
