@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact, lines, mixing, pii, resampling, simhash, tokens, toxicity, warc
+from . import decontaminate, exact, lines, minhash, mixing, pii, resampling, simhash, tokens, toxicity, warc, whitening
 from .common import scratch_path
 
 #: Keys in at least this many documents lose their lines.
@@ -82,6 +82,15 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), k=8)
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+def op13_minhash_near_dedup(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), n=3, similarity=0.85)
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -100,6 +109,8 @@ def queries():
         "op8_token_output": op8_token_output,
         "op9_warc_archive": op9_warc_archive,
         "op10_toxicity": op10_toxicity,
+        "op11_embedding_whitening": op11_embedding_whitening,
+        "op13_minhash_near_dedup": op13_minhash_near_dedup,
         "pipeline": pipeline,
     }
 

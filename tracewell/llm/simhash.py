@@ -26,7 +26,9 @@ others are decided by the exact Jaccard similarity of their sets of shingles.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +94,17 @@ def band_keys(sketches: np.ndarray) -> np.ndarray:
     return keys
 
 
+class Banding(NamedTuple):
+    """How sketches make keys: a function from sketches to a row of keys each, the minima in a sketch, and how far below the similarity an estimate may lie."""
+
+    keys: Callable[[np.ndarray], np.ndarray]
+    width: int
+    margin: float
+
+
+PLAIN = Banding(band_keys, SKETCH, MARGIN)
+
+
 def _simhash(h: np.ndarray) -> int:
     if not len(h):
         return 0
@@ -175,9 +188,15 @@ def _block_links(rows: DataFrame, similarity: float) -> DataFrame:
         if not len(x) or not len(y):
             return []
         size, out = np.array([len(s) for s in sets]), []
-        parts = lambda of: np.split(of, np.flatnonzero(np.diff(np.cumsum(size[of]) // 1_000_000)) + 1)  # noqa: E731  of a million shingles or so, or of one set
+
+        def parts(of):  # by size, of 256 sets and a million shingles or so, or of one set
+            of = of[np.argsort(size[of], kind="stable")]
+            return np.split(of, np.flatnonzero(np.diff(np.cumsum(size[of]) // 1_000_000) | np.diff(np.arange(len(of)) // 256)) + 1)
+
         for a in parts(x):
             for b in parts(y):
+                if min(size[a[-1]], size[b[-1]]) < similarity * max(size[a[0]], size[b[0]]) - 1:
+                    continue  # the larger sets of one are too small for the smaller sets of the other
                 at, to = np.nonzero(alike([sets[k] for k in a], [sets[k] for k in b], similarity) & (root[a][:, None] != root[b][None, :]))
                 if len(at):
                     _, first = np.unique(np.stack([at, root[b[to]]]), axis=1, return_index=True)
@@ -201,14 +220,15 @@ def _block_links(rows: DataFrame, similarity: float) -> DataFrame:
     return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(tidy(run), "a long, b long")
 
 
-def similar_links(nodes: DataFrame, similarity: float, sets_of, block: int = 256) -> DataFrame:
+def similar_links(nodes: DataFrame, similarity: float, sets_of, banding: Banding = PLAIN, rows: int = 2048, shingles: int = 2_000_000) -> DataFrame:
     """(a, b) for nodes (node, sketch), nodes being distinct: links that join what all links within buckets join.
 
     First every node is held against a representative of each of its buckets: the node that meets
     most others over all its buckets, which in a family of edited copies is the one that they were
     made from, and the smallest. Then the members of a bucket that these links haven't joined to
-    its largest component are held against all its members, in blocks of ``block`` by ``block``:
-    no pair is left out but those that are joined already, and none becomes a row unless it links.
+    its largest component are held against all its members, in blocks whose sides hold ``rows``
+    members or ``shingles`` shingles at most on average: no pair is left out but those that are
+    joined already, and none becomes a row unless it links. Buckets of the same members are one.
 
     Pairs are decided by their sets of shingles, which ``sets_of`` gives as (node, shingles) for a
     table of nodes; in the first step, only those whose sketches come near the similarity.
@@ -218,15 +238,15 @@ def similar_links(nodes: DataFrame, similarity: float, sets_of, block: int = 256
     def keys(batches):
         for batch in batches:
             if batch.num_rows:
-                sketches = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, SKETCH)
-                k = band_keys(sketches).view(np.int64)
-                yield pa.record_batch([pa.array(k.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["key", "node"])
+                sketches = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, banding.width)
+                k = banding.keys(sketches).view(np.int64)
+                yield pa.record_batch([pa.array(k.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), k.shape[1]))], ["key", "node"])
 
     def verify(batches):
         for batch in batches:
             if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, SKETCH) for i in (2, 3))
-                yield batch.select([0, 1]).filter(pa.array(sketch_similarity(a, b) >= similarity - MARGIN))
+                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, banding.width) for i in (2, 3))
+                yield batch.select([0, 1]).filter(pa.array(sketch_similarity(a, b) >= similarity - banding.margin))
 
     def verified(pairs):
         a, b = nodes.toDF("node", "_sa"), nodes.toDF("other", "_sb")
@@ -256,10 +276,19 @@ def similar_links(nodes: DataFrame, similarity: float, sets_of, block: int = 256
     roots = shared.join(first, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     labelled, labelled_path = materialize(roots, "sketch-labels")
     discard(spark, shared_path, first_path)
-    by_root = labelled.groupBy("key", "root").agg(F.count("*").alias("n"))
-    of_key = by_root.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("roots")).where("roots > 1")
-    blocks = lambda n: F.ceil(n / block).cast("int")
-    of_key = of_key.select("key", F.col("most.root").alias("most"), blocks(F.col("n") - F.col("most.n")).alias("nx"), blocks(F.col("n")).alias("ny"))
+    sizes = sets.select("node", F.size("shingles").cast("long").alias("size"))
+    by_root = labelled.join(sizes, "node").groupBy("key", "root").agg(
+        F.count("*").alias("n"), F.sum("size").alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark")
+    )
+    of_key = by_root.groupBy("key").agg(
+        F.max(F.struct("n", "root", "size")).alias("most"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.sum("mark").alias("mark"), F.count("*").alias("roots")
+    )
+    # of buckets with the same members one
+    of_key = of_key.where("roots > 1").groupBy("n", "mark").agg(F.min(F.struct("key", "most", "size")).alias("one")).select("n", "one.*")
+    blocks = lambda n, size: F.ceil(F.greatest(n / rows, size / shingles)).cast("int")
+    of_key = of_key.select(
+        "key", F.col("most.root").alias("most"), blocks(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size")).alias("nx"), blocks(F.col("n"), F.col("size")).alias("ny")
+    )
     open_, open_path = materialize(labelled.join(of_key, "key"), "open-keys")
     dealt = lambda k, n: F.pmod(F.xxhash64(F.lit(k), F.col("node")), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
