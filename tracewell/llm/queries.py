@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact, lines, minhash, mixing, pii, resampling, simhash, tokens, toxicity, warc, whitening
+from . import collocations, decontaminate, exact, lines, minhash, mixing, pii, resampling, simhash, tokens, toxicity, warc, whitening
 from .common import scratch_path
 
 #: Keys in at least this many documents lose their lines.
@@ -16,6 +16,8 @@ END_ID = 2
 TOXIC = 0.7
 #: Labels are learned from rows whose CRC-32 of the id leaves another remainder than 1.
 FOLDS = 3
+#: Phrases that occur at least so often are candidates; so many of each language are reported.
+PHRASE_COUNT, PHRASES = 30, 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +89,10 @@ def op11_embedding_whitening(spark, sf_dir):
     return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
 
 
+def op12_phrase_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=PHRASE_COUNT, top=PHRASES)
+
+
 def op13_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), n=3, similarity=0.85)
 
@@ -110,6 +116,7 @@ def queries():
         "op9_warc_archive": op9_warc_archive,
         "op10_toxicity": op10_toxicity,
         "op11_embedding_whitening": op11_embedding_whitening,
+        "op12_phrase_collocations": op12_phrase_collocations,
         "op13_minhash_near_dedup": op13_minhash_near_dedup,
         "pipeline": pipeline,
     }
@@ -181,6 +188,34 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
 FROM h
 """
 
+_OP12 = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (
+  SELECT lang, k, phrase, count(*) AS f
+  FROM (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+        FROM w, (VALUES (1), (2), (3), (4)) lengths(k) WHERE len(ws) >= k)
+  GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM g WHERE k = 1 GROUP BY lang),
+t AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS ws FROM g WHERE f >= {PHRASE_COUNT}),
+c AS (
+  SELECT t.lang, t.phrase, t.f AS a, cut.cut, x.f AS l, y.f AS r, (2000000::HUGEINT * t.f) // (x.f::HUGEINT + y.f) AS score
+  FROM t, (VALUES (1), (2), (3)) cut(cut), t x, t y
+  WHERE cut.cut < t.k AND x.lang = t.lang AND y.lang = t.lang
+    AND x.phrase = array_to_string(t.ws[:cut.cut], ' ') AND y.phrase = array_to_string(t.ws[cut.cut + 1:], ' ')),
+b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+s AS (
+  SELECT t.lang, array_to_string(t.ws[i.i:i.i + w.w - 1], ' ') AS phrase, max(t.f) AS longer
+  FROM t, (VALUES (2), (3)) w(w), (VALUES (1), (2), (3)) i(i) WHERE w.w < t.k AND i.i + w.w - 1 <= t.k GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n.n, score::BIGINT AS score
+FROM b JOIN n ON n.lang = b.lang LEFT JOIN s ON s.lang = b.lang AND s.phrase = b.phrase
+WHERE s.longer IS NULL OR 100 * s.longer::HUGEINT < 80 * a::HUGEINT
+QUALIFY rank <= {PHRASES}
+"""
+
 
 def oracle_sql():
-    return {"op1_line_dedup": _OP1, "op3_source_mixing": _OP3, "op7_exact_dedup": _OP7, "op9_warc_archive": _OP9}
+    return {"op1_line_dedup": _OP1, "op3_source_mixing": _OP3, "op7_exact_dedup": _OP7, "op9_warc_archive": _OP9, "op12_phrase_collocations": _OP12}
