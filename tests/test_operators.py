@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracewell.functions import rng, text
-from tracewell.operators import calibration, detectors, flatten, merge, nullmodel, ordering, proximity, quality, resolve, rollups, themes
+from tracewell.operators import calibration, detectors, flatten, merge, nullmodel, ordering, pairs, proximity, quality, resolve, rollups, themes
 from tracewell.sources import readers, sinks
 from tracewell.streaming.proximity import near_votes_stream, write_near_votes
 
@@ -141,18 +141,90 @@ def test_aliases_and_ambiguity(spark):
 
 
 def test_roster_brand_and_registry(spark):
-    names = spark.createDataFrame([("Chuck Schumer",), ("Robert Smith",)], "query string")
-    roster = spark.createDataFrame([("c", "Charles", "Schumer"), ("a", "Robert", "Smith"), ("b", "Robert", "Smith")], "person_id string, first string, last string")
-    nick = spark.createDataFrame([("chuck", "charles")], "nickname string, legal string")
-    assert rows(resolve.match_roster(names, roster, nick)) == [("Chuck Schumer", "c", "ok"), ("Robert Smith", None, "ambiguous")]
+    asked = ["Chuck Schumer", "Robert Smith", "John Schultz", "Debbie Wasserman Schultz", "deborah wasserman schultz", "Schumer", "Bernie Sanders", "Bern Sanders", ""]
+    names = spark.createDataFrame([(q,) for q in asked], "query string")
+    people = [("c", "Charles Ellis", "Schumer"), ("a", "Robert", "Smith"), ("b", "Robert", "Smith"), ("d", "Debbie", "Wasserman Schultz"), ("s", "Bernard", "Sanders")]
+    roster = spark.createDataFrame(people, "person_id string, first string, last string")
+    got = {r["query"]: (r["person_id"], r["status"]) for r in resolve.match_roster(names, roster).collect()}
+    assert got == {
+        "Chuck Schumer": ("c", "ok"), "Robert Smith": (None, "ambiguous"), "John Schultz": (None, "unresolved"), "Debbie Wasserman Schultz": ("d", "ok"),
+        "deborah wasserman schultz": (None, "unresolved"), "Schumer": (None, "unresolved"), "Bernie Sanders": ("s", "ok"), "Bern Sanders": (None, "unresolved"), "": (None, "unresolved"),
+    }
+    loose = {r["query"]: (r["person_id"], r["status"]) for r in resolve.match_roster_loosely(names, roster).collect()}
+    assert loose["Bern Sanders"] == ("s", "ok") and loose["Debbie Wasserman Schultz"] == ("d", "ok") and loose["John Schultz"] == (None, "unresolved") and loose[""] == (None, "unresolved")
     assert value(spark, resolve.brand_contained(F.col("b"), F.col("n")), b="General Electric Co", n="Electric General Boats") is True
-    assert value(spark, resolve.accept_tier(F.col("n"), F.col("t")), n="Nice Inc", t="Nice Systems") == "accept" and value(spark, resolve.accept_tier(F.col("n"), F.col("t")), n="Nice Inc", t="Other") == "verify"
+    tier = lambda n, t: value(spark, resolve.accept_tier(F.col("n"), F.col("t")), n=n, t=t)
+    # alike without company words: one word is not enough
+    assert tier("FRONTIER TECHNOLOGY INC", "Frontier Group Holdings, Inc.") == "verify" and tier("NICE SYSTEMS INC", "NICE LTD") == "verify"
+    assert tier("Stryker Corporation", "STRYKER CORPORATION") == "accept" and tier("GENERAL ELECTRIC COMPANY", "General Electric Co") == "accept"
+    gone = resolve.split_tiers(spark.createDataFrame([("k", "GENERAL ELECTRIC COMPANY", None, "GE", "own-name")], "key string, name string, parent_name string, ticker string, basis string"), spark.createDataFrame([], "title string, ticker string, ordinal int"))
+    assert rows(gone.select("tier")) == [("verify",)]
     people = spark.createDataFrame([("c", "smith", "CA", "S")], "person_id string, last_name string, state string, office string")
     registry = spark.createDataFrame([("old", "smith", "CA", "S", D(2020, 1, 1)), ("new", "smith", "CA", "S", D(2022, 1, 1)), ("house", "smith", "CA", "H", D(2024, 1, 1))], "candidate_id string, last_name string, state string, office string, last_file_date date")
     assert rows(resolve.newest_candidate(people, registry)) == [("c", "new")]
-    senate = spark.createDataFrame([(1, "Ann Lee", "senate"), (2, "Bob Lee", "senate")], "member_id int, name string, chamber string")
-    filers = spark.createDataFrame([("Ann M.", "Lee"), ("Zoe", "Lee"), ("Al", "Nobody")], "first_name string, last_name string")
-    assert rows(resolve.resolve_senate_filers(filers, senate)) == [("Al", "Nobody", None, 0.0), ("Ann M.", "Lee", 1, 0.95), ("Zoe", "Lee", 1, 0.7)]
+    senate = spark.createDataFrame([(1, "Ann Lee", "senate"), (2, "Bob Lee", "senate"), (3, "Mitch McConnell", "senate"), (4, "Al Nobody", "house")], "member_id int, name string, chamber string")
+    filers = spark.createDataFrame([("Ann M.", "Lee"), ("Zoe", "Lee"), ("Al", "Nobody"), ("A. Mitchell", "McConnell, Jr."), ("", "Lee"), ("X", "3")], "first_name string, last_name string")
+    assert rows(resolve.resolve_senate_filers(filers, senate)) == [
+        ("", "Lee", 1, 0.7, "senate_lastname_ambiguous"), ("A. Mitchell", "McConnell, Jr.", 3, 1.0, "exact_senate_lastname"), ("Al", "Nobody", None, 0.0, "unmatched"),
+        ("Ann M.", "Lee", 1, 0.95, "senate_firstname_lastname"), ("X", "3", None, 0.0, "unmatched"), ("Zoe", "Lee", 1, 0.7, "senate_lastname_ambiguous"),
+    ]
+
+
+def test_contained_names_that_begin_alike(spark):
+    whole = spark.createDataFrame([(i, f"000{i:03d}") for i in range(300)] + [(900, "ab"), (901, None)], "id int, name string")
+    asked = spark.createDataFrame([("0007",), ("b",), ("ab",), ("zzz",), ("",), (None,), ("000299",), ("0002",)], "part string")
+    got = {(r["id"], r["part"]) for r in resolve.containing(whole, "name", asked, F.col("part"), []).collect()}
+    names, parts = [(r["id"], r["name"]) for r in whole.collect()], [r["part"] for r in asked.collect()]
+    assert got == {(i, p) for i, n in names for p in parts if n and p and p in n}
+
+
+def test_members_named_in_roles(spark):
+    said = {
+        "Rep. Jason T. Smith": {1, 4}, "Rep. Adam Smith": {2}, "Counsel to Rep. Smith": {1, 2, 4}, "Representative Smith": set(), "Sen Smith; staff": {3, 4}, "Senator Jason Lee Von Smith": {3, 4},
+        "Rep. Jason A B C Smith": set(), "CONGRESSWOMAN debbie WASSERMAN schultz, aide": {5}, "Rep. Wasserman Schultz": set(), "Rep. Schultz": {5}, "Rep. Smithson": set(), "Rep. Smith-Jones": {1, 2, 4},
+        "Congressman  O'Neil's office": {6}, "xRep. Smith": {1, 2, 4}, "Rep.Smith": set(), "Smith, Rep.": set(), "N/A": set(), "Rep. Jason 3 Smith": set(),
+    }
+    members = [(1, "Jason Smith", "house"), (2, "Adam Q. Smith, Jr.", "house"), (3, "Jason Smith", "senate"), (4, "Jason Smith", None), (5, "Debbie Wasserman Schultz", "house"), (6, "Pat O'Neil PhD", "house"), (7, "", "house")]
+    roles = spark.createDataFrame([(i, r) for i, r in enumerate(said)] + [(99, None)], "filing_id int, role string")
+    found = detectors.named_in_roles(roles, spark.createDataFrame(members, "member_id int, name string, chamber string"))
+    got = {r: set() for r in said}
+    for r in found.collect():
+        got[r["role"]].add(r["member_id"])
+    assert got == said
+
+
+def test_keywords_stand_within_words(spark):
+    roles = spark.createDataFrame([(1, "Staff, Cmte on Bioenergy"), (2, "CMTE ENERGY"), (3, "Energy desk"), (4, None), (5, "cmte"), (6, "Cmte on energ")], "filing_id int, role string")
+    keywords = spark.createDataFrame([(7, "energy"), (7, "bioen"), (8, "science"), (9, None)], "member_id int, keyword string")
+    assert rows(detectors.keyword_roles(roles, keywords).select("filing_id", "member_id")) == [(1, 7), (2, 7)]
+
+
+def test_latest_matching_filing_is_posted_last(spark):
+    filings = spark.createDataFrame([("b", 2024, D(2024, 5, 1)), ("a", 2024, D(2024, 5, 1)), ("c", 2024, None), ("d", 2023, D(2025, 1, 1))], "filing_id string, filing_year int, posted_at date")
+    assert [r["filing_id"] for r in filings.orderBy(*detectors.latest_filing_order()).collect()] == ["a", "b", "c", "d"]
+
+
+def test_conduits_and_money_passed_on(spark):
+    said = ["WINRED TECHNICAL SERVICES", "ActBlue Civics", "SMITH VICTORY FUND", "ANEDOT", "X ACTBLUE EMPLOYEE", "VICTORYLAND", "WINREDX"]
+    receipts = spark.createDataFrame([(1, n, 5.0, 2024, "pac", None) for n in said], "member_id int, name string, amount double, cycle int, donor_type string, date date")
+    assert rows(flatten.donor_rollup(receipts).select("donor")) == [("ANEDOT",), ("VICTORYLAND",), ("WINREDX",), ("X ACTBLUE EMPLOYEE",)]
+    passes = lambda n, m: value(spark, flatten.passthrough(F.col("n"), F.col("m")), n=n, m=m)
+    assert passes(" ActBlue ", None) and passes("x", "* Earmarked Through This Organization: y") and not passes("ACTBLUE CIVICS", "earmark of a conduit") and not passes(None, None)
+
+
+def test_money_labels(spark):
+    label = lambda v: value(spark, text.money_label(F.col("v")), v=v)
+    assert [label(v) for v in (1_200_000.0, 340_400.0, 1_500.0, 99.4, 999.5, 999_950.0, 0.0, -5_000.0)] == ["$1.20M", "$340.4K", "$1.5K", "$99", "$1.0K", "$1000.0K", "$0", "$-5000"]
+    assert [label(v) for v in (1_150.0, 1_250.0, 1_005_000.0, 1_015_000.0)] == ["$1.1K", "$1.3K", "$1.00M", "$1.01M"]  # as doubles 1.15, 1.005 and 1.015 lie below
+    null = spark.createDataFrame([(None,), (float("nan"),), (float("inf"),)], "v double").select(text.money_label(F.col("v")).alias("x"))
+    assert {r["x"] for r in null.collect()} == {"—"}
+
+
+def test_banned_terms_and_facts(spark):
+    docs = spark.createDataFrame([(1, "A firefighter, heroic; Hero! far-leftist"), (2, "radicalize claims to heroin"), (3, None)], "id int, body string")
+    assert rows(quality.banned_terms(docs, "id", "body")) == [(1, "far-left"), (1, "hero"), (2, "claims to")]
+    facts = spark.createDataFrame([(1, ["With their own", "Energy bill", " ", None, "The new act"], "bioenergy with their")], "id int, facts array<string>, corpus string")
+    assert rows(quality.split_facts(facts, "id", "facts", "corpus")) == [(1, ["Energy bill"], ["With their own", "The new act"])]
 
 
 def test_replace_scope_twice_is_once_and_clears(spark):
@@ -188,9 +260,10 @@ def test_flatten_edges(spark):
     assert rows(flatten.latest_summaries(s)) == [("b", "Title", "Title a&b c")]
     acts = spark.createDataFrame([("b", "c", None, D(2024, 5, 1)), ("b", "c", "named", D(2024, 1, 1))], "bill_id string, committee string, name string, date date")
     assert flatten.latest_activity(acts).first()["name"] == "named"
-    m = spark.createDataFrame([("e", D(2024, 1, 1), "Full Hearing", ["HSAG", "hsag"])], "event_id string, date date, title string, committees array<string>")
+    held = [("e", D(2024, 1, 1), "Full Hearing", "Meeting", ["HSAG", "hsag"]), ("f", D(2024, 1, 1), "Business meeting", "Briefing", ["HSAG"]), ("g", D(2024, 1, 1), None, "Meeting", ["HSAG"])]
+    m = spark.createDataFrame(held, "event_id string, date date, title string, type string, committees array<string>")
     mine = spark.createDataFrame([(1, "hsag")], "member_id int, committee_code string")
-    assert rows(flatten.relevant_meetings(m, mine)) == [(1, "e", D(2024, 1, 1), "Hearing")]
+    assert [(r["event_id"], r["kind"]) for r in flatten.relevant_meetings(m, mine).orderBy("event_id").collect()] == [("e", "Hearing"), ("f", "Other"), ("g", "Meeting")]
     f = spark.createDataFrame([("f", [("i", [("1", "n", "N/A")], ["x"])]), ("g", [("i", [("1", "n", "Aide")], ["x"])])], "filing_id string, activities array<struct<issue string, lobbyists array<struct<lobbyist_id string, name string, position string>>, entities array<string>>>")
     assert rows(flatten.with_usable_position(f).select("filing_id")) == [("g",)]
 
@@ -288,6 +361,44 @@ def test_hit_days(spark, days, window):
     assert got == plain_hits(days, 1, 30, window)
 
 
+@pytest.mark.parametrize("days,window", [([5], 0), ([5, 64, 65], 3), ([1, 2, 9, 130], 4), ([1, 30], 90), ([0], 5)])
+def test_hit_words(spark, days, window):
+    rows_ = spark.createDataFrame([("m", d, 1) for d in days] or [], "who string, day int, first int")
+    words = {r["who"]: r["words"] for r in nullmodel.hit_words(rows_, ["who"], window).collect()}
+    asked = spark.createDataFrame([(words.get("m"), at) for at in range(0, 140)], "words array<bigint>, at int").select(nullmodel.has_day(F.col("words"), F.col("at")).alias("x"))
+    assert [r["x"] for r in asked.collect()] == plain_hits([d for d in days if d >= 1], 1, 140, window)
+
+
+def test_weekdays_by_arithmetic(spark):
+    spans = [(first, first + n) for first in range(-3, 12) for n in range(0, 17)]
+    df = spark.createDataFrame(spans, "first int, last int").withColumn("n", nullmodel.weekdays_between(F.col("first"), F.col("last")))
+    df = df.withColumn("days", F.when(F.col("n") > 0, F.transform(F.sequence(F.lit(0), F.col("n").cast("int") - 1), lambda k: nullmodel.nth_weekday(F.col("first"), k))))
+    for r in df.collect():
+        want = [d for d in range(r["first"], r["last"] + 1) if (d + 3) % 7 < 5]
+        assert (r["n"], r["days"] or []) == (len(want), want)
+
+
+@pytest.mark.parametrize("heavy", [1, 3, 1000])
+def test_pairs_of_heavy_items(spark, heavy):
+    held = [(e, i, f"t{i}", float(e * 10 + i)) for e in range(12) for i in range(5) if (e * 7 + i * 3) % 4] + [(3, None, None, 1.0), (4, None, None, 1.0)]
+    df = spark.createDataFrame(held, "e int, i int, t string, a double")
+    both = [(x, y) for x in held for y in held if x[1] is not None and x[1] == y[1] and x[0] != y[0]]
+    assert rows(pairs.shared_pairs(df, "e", "i", ["a"], heavy=heavy)) == sorted(((x[0], x[1], x[3], y[0], y[3]) for x, y in both), key=str)
+    edges = {}
+    for x, y in both:
+        if x[0] < y[0]:
+            edges.setdefault((x[0], y[0]), []).append(x[1])
+    got = {(r["source_id"], r["target_id"]): (r["shared_items"], r["item_ids"]) for r in pairs.co_participation(df, "e", "i", "t", heavy=heavy).collect()}
+    assert got == {k: (len(v), sorted(v)) for k, v in edges.items()}
+    peers = {(r["subject_id"], r["peer_id"]): (r["shared_count"], r["combined_amount"]) for r in pairs.peers_of(df, "e", "i", "a", subject=F.col("e") < 4, heavy=heavy).collect()}
+    want = {}
+    for x, y in both:
+        if x[0] < 4:
+            n, s = want.get((x[0], y[0]), (0, 0.0))
+            want[x[0], y[0]] = (n + 1, s + x[3] + y[3])
+    assert peers == want
+
+
 def one_by_one(days, line):
     out = list(days)
     for n, i in enumerate(range(len(out) - 1, 0, -1)):

@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 
 #: Words that are no part of a donor's name.
 NAME_SUFFIXES = ("JR", "SR", "II", "III", "IV", "ESQ", "PHD", "MD")
+#: Words after a surname that are no part of it.
+SURNAME_SUFFIXES = ("JR", "SR", "II", "III", "IV", "ESQ", "PHD", "MD")
+#: Words that say nothing about a committee.
+COMMITTEE_STOP = ("committee", "subcommittee", "on", "and", "the", "of", "house", "senate", "select", "joint")
+#: What stands before and after a committee's own name.
+COMMITTEE_PATTERNS = (r"^(house|senate|joint)\s+committee\s+on\s+", r"^(house|senate|joint)\s+", r"\s+committee$", r"^the\s+")
 #: Words that are no part of a company's name, longest alternatives first where one begins another.
 CORPORATE_WORDS = (
     "INCORPORATED", "CORPORATION", "COMPANY", "CORP", "INC", "LLC", "LLP", "LP", "LTD", "CO", "PLC", "SA", "NV", "AG",
@@ -88,7 +94,7 @@ def person_name(raw: Column) -> Column:
 def committee_canonical(raw: Column) -> Column:
     """Parent committee without chamber, "committee on", suffix or article; null when nothing is left."""
     s = F.element_at(F.split(F.lower(raw), r"\s*[—-]\s+"), 1)
-    for pattern in (r"^(house|senate|joint)\s+committee\s+on\s+", r"^(house|senate|joint)\s+", r"\s+committee$", r"^the\s+"):
+    for pattern in COMMITTEE_PATTERNS:
         s = F.regexp_replace(s, pattern, "")
     return F.nullif(_squeeze(F.regexp_replace(s, "[.,]", " ")), F.lit(""))
 
@@ -106,6 +112,14 @@ def last_name(raw: Column) -> Column:
     return F.when(F.size(tokens) == 0, None).when(F.size(named) == 0, tokens[0]).otherwise(F.element_at(named, -1))
 
 
+def surname(raw: Column) -> Column:
+    """Last token of a name without its dots and commas; the one before if it is a generation or a degree and not alone; empty for an empty name."""
+    tokens = F.filter(F.split(F.trim(raw), r"\s+"), lambda t: t != "")
+    bare = lambda at: F.regexp_replace(F.try_element_at(tokens, F.lit(at)), "[.,]", "")
+    suffix = F.upper(bare(-1)).isin(*SURNAME_SUFFIXES) & (F.size(tokens) >= 2)
+    return F.when(F.size(tokens) == 0, "").when(suffix, bare(-2)).otherwise(bare(-1))
+
+
 def regex_escape(raw: Column) -> Column:
     """The text as a pattern that matches it literally."""
     return F.regexp_replace(raw, r"([.*+?^${}()|\[\]\\])", r"\\$1")
@@ -232,13 +246,28 @@ def recency_tier(year: Column, as_of_year: Column | int) -> Column:
     return F.when(age <= 1, "active").when(age <= 3, "recent").otherwise("historical")
 
 
+def _thirds(whole: Column, unit: int, digits: int) -> Column:
+    """whole / unit, of whole numbers, to some digits, as a text: rounded by the value of the quotient as a double.
+
+    A quotient that ends in 5 is a double just below, at or just above it; scaled by a power of two it is a
+    whole number, so that the comparison is exact.
+    """
+    step = unit // 10**digits
+    quotient = whole / F.lit(float(unit))
+    exact = lambda c: c.cast("decimal(38,0)")
+    scale = F.when(quotient < 1024, F.lit(2.0**52)).otherwise(F.lit(2.0**42))
+    below = exact((quotient * scale).cast("long")) * unit < exact(whole) * exact(scale.cast("long"))
+    tie = (whole % step == step // 2) & (quotient < 2.0**20)
+    parts = F.floor((whole + step // 2) / step).cast("long") - F.when(tie & below, 1).otherwise(0)
+    return F.concat(F.floor(parts / 10**digits).cast("string"), F.lit("."), F.lpad((parts % 10**digits).cast("string"), digits, "0"))
+
+
 def money_label(amount: Column) -> Column:
-    """$1.2M, $340K, $99."""
-    return (
-        F.when(amount >= 1e6, F.format_string("$%.1fM", amount / 1e6))
-        .when(amount >= 1e3, F.format_string("$%.0fK", amount / 1e3))
-        .otherwise(F.format_string("$%.0f", amount))
-    )
+    """$1.20M, $340.4K, $99: whole dollars first, halves up; a dash for no number."""
+    whole = F.floor(amount.cast("double") + 0.5).cast("long")
+    known = amount.isNotNull() & ~F.isnan(amount.cast("double")) & (F.abs(amount.cast("double")) != float("inf"))
+    label = F.when(whole >= 1_000_000, F.concat(F.lit("$"), _thirds(whole, 1_000_000, 2), F.lit("M"))).when(whole >= 1_000, F.concat(F.lit("$"), _thirds(whole, 1_000, 1), F.lit("K")))
+    return F.when(known, F.coalesce(label, F.concat(F.lit("$"), whole.cast("string")))).otherwise("—")
 
 
 def even_cycle(year: Column) -> Column:
@@ -250,8 +279,12 @@ def congress_number(year: Column) -> Column:
     return F.floor((year - 1789) / 2).cast("int") + 1
 
 
-def committee_keywords(names: Column, stop: tuple[str, ...], most: int = 8) -> Column:
-    """Up to ``most`` distinct tokens of five letters or more, in the order of the sorted names."""
-    tokens = F.split(F.regexp_replace(F.lower(F.array_join(F.array_sort(names), " ")), "[^a-z0-9]+", " "), " ")
-    long = F.filter(tokens, lambda t: (F.length(t) >= 5) & ~t.isin(*stop))
-    return F.slice(F.array_distinct(long), 1, most)
+def committee_keywords(names: Column, stop: tuple[str, ...] = COMMITTEE_STOP, most: int = 8) -> Column:
+    """Up to ``most`` distinct words of five letters or more, in the order of the sorted distinct names.
+
+    Words end at white space and commas; what isn't a letter a-z is then dropped from them, so that
+    a hyphen joins its two halves.
+    """
+    words = F.split(F.array_join(F.array_sort(F.array_distinct(names)), " "), r"[\s,]+")
+    letters = F.transform(words, lambda w: F.regexp_replace(F.lower(w), "[^a-z]", ""))
+    return F.slice(F.array_distinct(F.filter(letters, lambda w: (F.length(w) >= 5) & ~w.isin(*stop))), 1, most)

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tracewell.functions.text import recency_tier, regex_escape
+from tracewell.functions.text import recency_tier, surname
 
-from .ordering import top_rows
+from .ordering import first_rows, top_rows
+from .resolve import containing
 
 #: Funds that follow the whole market, by ticker.
 MARKET_FUNDS = (
@@ -22,6 +23,13 @@ WORD_TICKERS = (
     "ONE", "OUT", "ANY", "KEY", "MAIN", "WELL", "OPEN", "REAL", "FREE", "SAFE", "CARE", "LOVE", "LIFE", "PLAY", "HOPE", "NICE", "GOOD", "TRUE", "FUN",
 )
 WINDOW_DAYS = 14
+#: How the titles of each chamber's members end, in lower case.
+SENATE_TITLES, HOUSE_TITLES = r"sen\.?|senator", r"rep\.?|congressman|congresswoman"
+#: The sentences of findings.
+PLACED = "placed within 14 days before a vote on"
+ON_COMMITTEE = "%d where the member sat on a committee that handled the bill"
+NAMES_COMPANY = "%d where the bill text names the traded company"
+SAME_DAY = "%d on the same day as the vote"
 
 
 def no_market_fund(ticker: str = "ticker") -> Column:
@@ -46,10 +54,10 @@ def base_score(other: int = 60) -> Column:
     return F.when((days == 0) & on, 100).when(days == 0, 90).when((days <= 3) & on, 85).when(days <= 3, 80).when(on, 70).otherwise(other)
 
 
-def _hits(trades: DataFrame, pattern: str, **aggregates: Column) -> DataFrame:
-    """One row per member: the aggregates, cited trades and votes, dates in order."""
+def _hits(trades: DataFrame, pattern: str, said: tuple = (), **aggregates: Column) -> DataFrame:
+    """One row per member: the aggregates, cited trades and votes, dates in order. said: what a trade's label says before its date."""
     cite = lambda kind, i, label: F.struct(F.lit(kind).alias("kind"), F.col(i).cast("string").alias("id"), label.alias("label"))
-    trade = cite("trade", "filing_id", F.concat_ws(" ", "tx_type", instrument(), F.concat(F.lit("("), "tx_date", F.lit(")"))))
+    trade = cite("trade", "filing_id", F.concat_ws(" ", *(said or ("tx_type", instrument())), F.concat(F.lit("("), "tx_date", F.lit(")"))))
     vote = cite("vote", "vote_id", F.concat(F.lit("Vote "), "vote_date", F.lit(": "), F.coalesce("bill_title", "vote_question")))
     return trades.groupBy("member_id").agg(
         *(c.alias(name) for name, c in aggregates.items()),
@@ -82,12 +90,13 @@ def trade_vote_alignment(before: DataFrame) -> DataFrame:
         n_same_day=F.count_if(F.col("days_before_vote") == 0),
         intensity=F.least(F.lit(1.0), F.max("score") / 100),
     )
+    plural = F.when(F.col("n_trades") == 1, "").otherwise("s")
     parts = F.array_compact(
         F.array(
-            F.format_string("%d trade%s placed within 14 days before a vote on a related bill", "n_trades", F.when(F.col("n_trades") == 1, "").otherwise("s")),
-            F.when(F.col("n_committee") > 0, F.format_string("%d where the member sat on a committee that handled the bill", "n_committee")),
-            F.when(F.col("n_named") > 0, F.format_string("%d where the bill text names the traded company", "n_named")),
-            F.when(F.col("n_same_day") > 0, F.format_string("%d on the same day as the vote", "n_same_day")),
+            F.format_string(f"%d trade%s {PLACED} a related bill", "n_trades", plural),
+            F.when(F.col("n_committee") > 0, F.format_string(ON_COMMITTEE, "n_committee")),
+            F.when(F.col("n_named") > 0, F.format_string(NAMES_COMPANY, "n_named")),
+            F.when(F.col("n_same_day") > 0, F.format_string(SAME_DAY, "n_same_day")),
         )
     )
     return found.withColumn("finding", F.concat(F.array_join(parts, "; "), F.lit(".")))
@@ -102,6 +111,7 @@ def household_trade_timing(before: DataFrame) -> DataFrame:
     found = _hits(
         trades,
         "spousal-trade-timing",
+        said=(holder, "tx_type", instrument()),
         n_trades=F.count("*"),
         n_spouse=F.count_if(holder == "spouse"),
         n_joint=F.count_if(holder == "joint"),
@@ -109,7 +119,21 @@ def household_trade_timing(before: DataFrame) -> DataFrame:
         tightest=F.min("days_before_vote"),
     )
     closeness, volume = 1 - F.col("tightest") / WINDOW_DAYS, F.least(F.lit(1.0), F.col("n_trades") / 5)
-    return found.withColumn("intensity", F.least(F.lit(1.0), 0.5 + 0.3 * closeness + 0.2 * volume))
+    plural = F.when(F.col("n_trades") == 1, "").otherwise("s")
+    both, joint = (F.col("n_spouse") > 0) & (F.col("n_joint") > 0), F.col("n_joint") > 0
+    subject = (
+        F.when(both, F.format_string("%d household trade%s (%d spouse-held, %d jointly-held)", "n_trades", plural, "n_spouse", "n_joint"))
+        .when(joint, F.format_string("%d jointly-held trade%s", "n_trades", plural))
+        .otherwise(F.format_string("%d spouse-held trade%s", "n_trades", plural))
+    )
+    same = F.when(F.col("n_same_day") > 0, F.concat(F.lit("; "), F.format_string(SAME_DAY, "n_same_day"))).otherwise("")
+    finding = F.concat(subject, F.lit(f" {PLACED} a bill the member's committee handled"), same, F.lit("."))
+    return found.withColumn("intensity", F.least(F.lit(1.0), 0.5 + 0.3 * closeness + 0.2 * volume)).withColumn("finding", finding)
+
+
+def strongest_flags(hits: DataFrame, k: int = 12) -> DataFrame:
+    """The k hits (member_id, pattern, intensity, z_score, detected_at) that stand out most: by z, unknown ones last, then intensity, the latest, pattern and member."""
+    return first_rows(hits, [F.desc_nulls_last("z_score"), F.desc_nulls_last("intensity"), F.desc_nulls_last("detected_at"), F.asc("pattern"), F.asc("member_id")], k)
 
 
 def donor_sector_alignment(themes: DataFrame, sponsored: DataFrame, top: int = 3, least_share: float = 0.2, least_bills: int = 3) -> DataFrame:
@@ -178,22 +202,55 @@ def finding_level(findings: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def named_in_roles(roles: DataFrame, members: DataFrame) -> DataFrame:
-    """(role rows, member_id) where a role names a member: a title of the member's chamber, then the first name perhaps, then the last name.
+    """(role rows, member_id) where a role names a member (member_id, name, chamber).
+
+    A role names a member if a title of the member's chamber (any title for another chamber or
+    none) is followed by the surname, or by the member's own first name, two more words at most
+    and the surname: "Rep. Jason T. Smith" is Jason Smith, "Rep. Adam Smith" isn't.
 
-    A role is spread to its words and joined to last names by equality; the pattern is then held against candidates only.
+    Distinct roles are cut into words; each word after a title that may be a surname is a row, joined
+    to members by its leading letters and digits. No role is held against a member whose
+    surname it doesn't hold, and no pattern is made for a member.
     """
-    words = F.explode(F.array_distinct(F.split(F.regexp_replace(F.lower("role"), "[^a-z0-9']+", " "), " ")))
-    title = F.when(F.col("chamber") == "senate", r"(sen\.?|senator)").otherwise(r"(rep\.?|representative|congressman|congresswoman)")
-    pattern = F.concat(F.lit(r"(?i)\b"), title, F.lit(r"\s+("), regex_escape(F.col("first")), F.lit(r"\s+)?"), regex_escape(F.col("last")), F.lit(r"\b"))
-    m = members.select("member_id", F.lower("last").alias("_word"), pattern.alias("_pattern"))
-    return roles.withColumn("_word", words).join(m, "_word").where(F.regexp(F.col("role"), F.col("_pattern"))).drop("_word", "_pattern").distinct()
+    words = F.split(F.trim(F.regexp_replace("role", r"\s+", " ")), " ")
+    ends = lambda w, titles: F.lower(w).rlike(f"({titles})$")
+    texts = roles.where("role is not null").select("role").distinct().select("role", words.alias("_words"))
+    places = F.filter(F.sequence(F.lit(1), F.size("_words")), lambda i: ends(F.element_at("_words", i), f"{SENATE_TITLES}|{HOUSE_TITLES}"))
+    titled = texts.select("role", "_words", F.explode(places).alias("_at")).withColumn("_title", F.element_at("_words", F.col("_at")))
+    spread = titled.select("role", "_title", F.lower(F.try_element_at("_words", F.col("_at") + 1)).alias("_next"), F.slice("_words", F.col("_at") + 1, 4).alias("_after"))
+    each = spread.select("*", F.posexplode("_after").alias("_nth", "_word"))
+    middle = F.forall(F.slice("_after", 2, F.greatest(F.col("_nth") - 1, F.lit(0))), lambda w: w.rlike(r"^[A-Za-z][A-Za-z0-9_.\-]*$"))
+    each = each.where((F.col("_nth") == 0) | middle).select("role", "_title", "_next", "_nth", F.lower("_word").alias("_word"))
+    run = lambda c: F.regexp_extract(c, "^[a-z0-9_]*", 0)
+    m = members.select("member_id", "chamber", F.lower(surname(F.col("name"))).alias("_last"), F.lower(F.element_at(F.split(F.trim("name"), r"\s+"), 1)).alias("_first"))
+    pairs = each.withColumn("_run", run("_word")).join(m.where("_last <> ''").withColumn("_run", run("_last")), "_run")
+    of_senate, of_house = ends(F.col("_title"), SENATE_TITLES), ends(F.col("_title"), HOUSE_TITLES)
+    own_title = F.when(F.col("chamber") == "senate", of_senate).when(F.col("chamber") == "house", of_house).otherwise(True)
+    own_name = (F.col("_nth") == 0) | (F.col("_next") == F.col("_first"))
+    # the surname ends where a word ends
+    is_word = lambda c: c.rlike("^[A-Za-z0-9_]$")
+    after = F.substr("_word", F.length("_last") + 1, F.lit(1))
+    whole = F.startswith("_word", F.col("_last")) & (is_word(F.right("_last", F.lit(1))) != is_word(after))
+    found = pairs.where(own_title & own_name & whole).select("role", "member_id").distinct()
+    return roles.join(found, "role").select(*roles.columns, "member_id")
 
 
 def keyword_roles(roles: DataFrame, keywords: DataFrame) -> DataFrame:
-    """(role rows, member_id) where a role speaks of a committee and holds one of a member's keywords (member_id, keyword)."""
-    spoken = roles.where(F.contains(F.lower("role"), F.lit("cmte")))
-    words = F.explode(F.array_distinct(F.split(F.regexp_replace(F.lower("role"), "[^a-z0-9]+", " "), " ")))
-    return spoken.withColumn("keyword", words).join(keywords, "keyword").drop("keyword").distinct()
+    """(role rows, member_id) where a role speaks of a committee and one of a member's keywords (member_id, keyword) stands in it, within words too, in any case.
+
+    An inverted index of the distinct roles by runs of three letters; a keyword is looked up by its
+    rarest run and compared there alone.
+    """
+    texts = roles.where(F.contains(F.lower("role"), F.lit("cmte"))).select("role").distinct().withColumn("_text", F.lower("role"))
+    asked = keywords.where("keyword is not null").select(F.lower("keyword").alias("_asked")).distinct()
+    held = containing(texts, "_text", asked, F.col("_asked"), [])
+    found = held.select("role", "_asked").join(keywords.select("member_id", F.lower("keyword").alias("_asked")), "_asked").select("role", "member_id").distinct()
+    return roles.join(found, "role").select(*roles.columns, "member_id")
+
+
+def latest_filing_order() -> list[Column]:
+    """Latest first: by year, then the day it was posted, unknown days last; then the smaller id."""
+    return [F.col("filing_year").desc_nulls_last(), F.col("posted_at").desc_nulls_last(), F.col("filing_id").asc_nulls_last()]
 
 
 def revolving_door(roles: DataFrame, members: DataFrame, keywords: DataFrame, as_of_year: int) -> DataFrame:
@@ -201,7 +258,7 @@ def revolving_door(roles: DataFrame, members: DataFrame, keywords: DataFrame, as
     direct = named_in_roles(roles, members).withColumn("connection", F.lit("direct"))
     by_committee = keyword_roles(roles, keywords).withColumn("connection", F.lit("committee"))
     rest = by_committee.join(direct.select("member_id", "lobbyist_id").distinct(), ["member_id", "lobbyist_id"], "left_anti")
-    latest = top_rows(direct.unionByName(rest), ["member_id", "lobbyist_id"], [F.col("filing_year").desc(), F.col("filing_id").desc()], 1)
+    latest = top_rows(direct.unionByName(rest), ["member_id", "lobbyist_id"], latest_filing_order(), 1)
     return latest.select("member_id", "lobbyist_id", "connection", "filing_id", "filing_year", recency_tier(F.col("filing_year"), as_of_year).alias("tier"))
 
 

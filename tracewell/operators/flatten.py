@@ -10,8 +10,11 @@ from tracewell.functions.text import bill_reference, congress_from_url, strip_ht
 
 from .ordering import top_rows
 
-#: Names that pass other people's money on.
-CONDUITS = ("actblue", "winred", "anedot", "democracy engine")
+#: Patterns, in any case, of donors that pass other people's money on.
+CONDUITS = (r"^WINRED\b", r"^ACTBLUE\b", r"\bVICTORY\b")
+#: Names of funders that pass money on, and what a memo says of it.
+PASSTHROUGH_NAMES = ("ACTBLUE", "WINRED")
+PASSTHROUGH_MEMO = "earmarked through this organization"
 
 
 def link_votes(votes: DataFrame) -> DataFrame:
@@ -64,7 +67,7 @@ def latest_activity(activities: DataFrame) -> DataFrame:
 
 def donor_rollup(receipts: DataFrame, k: int = 100) -> DataFrame:
     """Each member's k largest donors: sums over cycles by upper-case name, without conduits and amounts of 0 or less."""
-    real = receipts.where(~F.lower("name").rlike("|".join(CONDUITS)) & (F.col("amount") > 0))
+    real = receipts.where(~F.col("name").rlike("(?i)" + "|".join(CONDUITS)) & (F.col("amount") > 0))
     rank = F.when(F.col("donor_type") == "individual", 1).otherwise(0)
     by = real.groupBy("member_id", F.upper("name").alias("donor")).agg(
         F.sum("amount").alias("amount"), F.sort_array(F.collect_set("cycle")).alias("cycles"), F.max("date").alias("last_date"), F.min_by("donor_type", F.struct(rank, "donor_type")).alias("donor_type")
@@ -78,12 +81,13 @@ def spending_aggregate(spending: DataFrame) -> DataFrame:
     return by.withColumn("side_total", F.sum("amount").over(Window.partitionBy("member_id", "cycle", "side")))
 
 
-def passthrough(name: Column, memo: Column, names: tuple[str, ...]) -> Column:
-    """A name of the set, or a memo about earmarks."""
-    return F.coalesce(F.lower(name).isin(*names) | F.lower(memo).rlike("earmark|conduit|attribution"), F.lit(False))
+def passthrough(name: Column, memo: Column, names: tuple[str, ...] = PASSTHROUGH_NAMES) -> Column:
+    """A name of the set, in any case, or a memo about earmarks."""
+    named = F.upper(F.trim(F.coalesce(name, F.lit("")))).isin(*names)
+    return named | F.contains(F.lower(F.coalesce(memo, F.lit(""))), F.lit(PASSTHROUGH_MEMO))
 
 
-def top_funders(funders: DataFrame, names: tuple[str, ...], k: int = 3) -> DataFrame:
+def top_funders(funders: DataFrame, names: tuple[str, ...] = PASSTHROUGH_NAMES, k: int = 3) -> DataFrame:
     """Each committee's k largest funders that only pass nothing on."""
     real = funders.where(~passthrough(F.col("name"), F.col("memo"), names))
     by = real.groupBy("committee", "name").agg(F.sum("amount").alias("amount"))
@@ -91,11 +95,14 @@ def top_funders(funders: DataFrame, names: tuple[str, ...], k: int = 3) -> DataF
 
 
 def relevant_meetings(meetings: DataFrame, memberships: DataFrame) -> DataFrame:
-    """(member_id, event_id, date, kind): meetings of a member's committees, each once."""
-    title = F.lower("title")
-    kind = F.when(title.contains("markup"), "Markup").when(title.contains("hearing"), "Hearing").when(title.contains("meeting"), "Meeting").otherwise("Other")
-    rows = meetings.select("event_id", "date", kind.alias("kind"), F.explode("committees").alias("code")).withColumn("code", F.lower("code"))
-    mine = memberships.select("member_id", F.lower("committee_code").alias("code"))
+    """(member_id, event_id, date, kind): meetings of a member's committees, each once.
+
+    meetings: event_id, date, title, type, committees. The kind is Markup or Hearing by the title, else Meeting if that is the record's type, else Other.
+    """
+    title = F.lower(F.coalesce("title", F.lit("")))
+    kind = F.when(title.contains("markup"), "Markup").when(title.contains("hearing"), "Hearing").when(F.col("type") == "Meeting", "Meeting").otherwise("Other")
+    rows = meetings.select("event_id", "date", kind.alias("kind"), F.explode(F.array_distinct(F.transform("committees", F.lower))).alias("code"))
+    mine = memberships.select("member_id", F.lower("committee_code").alias("code")).distinct()
     return rows.join(mine, "code").select("member_id", "event_id", "date", "kind").distinct()
 
 

@@ -49,42 +49,66 @@ def hit_days(days: Column, first: Column, last: Column, window: Column | int) ->
     return F.when(F.coalesce(F.size(days), F.lit(0)) > 0, some).otherwise(F.array_repeat(F.lit(False), whole(last - first + 1)))
 
 
+def hit_words(days: DataFrame, by: list[str], window: Column | int) -> DataFrame:
+    """(by, words) from rows (by, day, first): the days from ``first`` on that have one of the days on them or up to ``window`` days later.
+
+    Days are bits of whole numbers, 64 in each, so that seven years take 40 numbers. Bits are set
+    where rows are and combined before anything shuffles.
+    """
+    window = F.lit(window) if isinstance(window, int) else window
+    at = F.explode(F.sequence(F.greatest(F.col("day") - window - F.col("first"), F.lit(0)), F.col("day") - F.col("first")))
+    bits = days.where("day >= first").select(*by, at.alias("_at")).select(*by, F.floor(F.col("_at") / 64).cast("int").alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_at") % 64).cast("int")).alias("_bit"))
+    words = bits.groupBy(*by, "_word").agg(F.bit_or("_bit").alias("_bits")).groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_word", "_bits"))).alias("_held"))
+    dense = F.transform(F.sequence(F.lit(0), F.array_max(F.map_keys("_held"))), lambda w: F.coalesce(F.try_element_at("_held", w), F.lit(0).cast("long")))
+    return words.select(*by, dense.alias("words"))
+
+
+def has_day(words: Column, at: Column) -> Column:
+    """Whether the day so many days after the first is among the words' days; false where there are no words."""
+    word = F.get(words, F.floor(at / 64).cast("int"))
+    return F.coalesce(F.getbit(word, F.pmod(at, F.lit(64)).cast("int")) == 1, F.lit(False))
+
+
 def _spans(trades: DataFrame, votes: DataFrame) -> DataFrame:
     """(member_id, first, last): day numbers of each member's first and last trade or vote."""
     dates = trades.select("member_id", F.unix_date("tx_date").alias("d")).unionAll(votes.select("member_id", F.unix_date("vote_date").alias("d")))
     return dates.groupBy("member_id").agg(F.min("d").alias("first"), F.max("d").alias("last"))
 
 
-def _member_hits(trades: DataFrame, votes: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """(member_id, first, last, committee_on) and (member_id, instrument, named_on): the days that committee votes, and votes that name the ticker, make hits.
+def _member_hits(votes: DataFrame, spans: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """(member_id, committee_on) and (member_id, instrument, named_on): the days, as words from the member's first day on, that committee votes, and votes that name the ticker, make hits.
 
-    Found once for a member, and once for a ticker that a bill names, not for each trade. An
-    array is as long as the member's span of days.
+    Found once for a member, and once for a ticker that a bill names, not for each trade.
     """
-    day, spans = F.unix_date("vote_date"), _spans(trades, votes)
-    committee = votes.where("committee").groupBy("member_id").agg(F.array_sort(F.collect_set(day)).alias("days"))
-    by_member = spans.join(committee, "member_id", "left").select("member_id", "first", "last", hit_days(F.col("days"), F.col("first"), F.col("last"), window).alias("committee_on"))
-    by_ticker = votes.select("member_id", day.alias("day"), F.explode("named").alias("instrument")).groupBy("member_id", "instrument").agg(F.array_sort(F.collect_set("day")).alias("days"))
-    named = by_ticker.join(spans, "member_id").select("member_id", "instrument", hit_days(F.col("days"), F.col("first"), F.col("last"), window).alias("named_on"))
-    return by_member, named
-
-
-def _is_nexus(day: Column) -> Column:
-    """Whether a day is a hit, by the arrays of the trade's member and ticker."""
-    at = (day - F.col("first")).cast("int")
-    return F.coalesce(F.get("committee_on", at), F.lit(False)) | F.coalesce(F.get("named_on", at), F.lit(False))
+    dated = votes.select("member_id", F.unix_date("vote_date").alias("day"), "committee", "named").join(spans.select("member_id", "first"), "member_id")
+    committee = hit_words(dated.where("committee").select("member_id", "day", "first").distinct(), ["member_id"], window)
+    named = hit_words(dated.select("member_id", "day", "first", F.explode("named").alias("instrument")).distinct(), ["member_id", "instrument"], window)
+    return committee.withColumnRenamed("words", "committee_on"), named.withColumnRenamed("words", "named_on")
 
 
 def observed_nexus(trades: DataFrame, votes: DataFrame, window: int = NEXUS_DAYS) -> DataFrame:
     """(member_id, n_trades, observed): trades that a committee vote or a vote naming their ticker follows within the window, each once."""
-    by_member, named = _member_hits(trades, votes, window)
-    rows = trades.select("member_id", "instrument", "tx_date").join(by_member, "member_id").join(named, ["member_id", "instrument"], "left")
-    return rows.groupBy("member_id").agg(F.count("*").alias("n_trades"), F.count_if(_is_nexus(F.unix_date("tx_date"))).alias("observed"))
+    spans = _spans(trades, votes)
+    committee, named = _member_hits(votes, spans, window)
+    # days are looked up where they are joined; no row carries them on
+    at = F.unix_date("tx_date") - F.col("first")
+    rows = trades.select("member_id", "instrument", "tx_date").join(spans, "member_id").select("member_id", "instrument", at.alias("at"))
+    rows = rows.join(named, ["member_id", "instrument"], "left").select("member_id", "at", has_day(F.col("named_on"), F.col("at")).alias("hit"))
+    rows = rows.join(committee, "member_id", "left").select("member_id", (F.col("hit") | has_day(F.col("committee_on"), F.col("at"))).alias("hit"))
+    return rows.groupBy("member_id").agg(F.count("*").alias("n_trades"), F.count_if("hit").alias("observed"))
 
 
-def weekday_pool(first: Column, last: Column) -> Column:
-    """Days from Monday to Friday, as day numbers. Day 0 was a Thursday."""
-    return F.filter(F.sequence(first, last), lambda d: F.pmod(d + 3, F.lit(7)) < 5)
+def weekdays_between(first: Column, last: Column) -> Column:
+    """How many days from Monday to Friday there are from day number first to last. Day 0 was a Thursday."""
+    upto = lambda d: F.floor((d + 3) / 7) * 5 + F.least(F.pmod(d + 3, F.lit(7)) + 1, F.lit(5))
+    return upto(last) - upto(first - 1)
+
+
+def nth_weekday(first: Column, n: Column) -> Column:
+    """The day number of weekday n, from 0, on or after first."""
+    place = F.pmod(first + 3, F.lit(7))
+    start = first + F.when(place > 4, 7 - place).otherwise(0)
+    return start + n + 2 * F.floor((F.pmod(start + 3, F.lit(7)) + n) / 5)
 
 
 def _spread(rows: DataFrame, n_perm: int) -> DataFrame:
@@ -92,8 +116,8 @@ def _spread(rows: DataFrame, n_perm: int) -> DataFrame:
 
 
 def _drawn_day(slot: Column) -> Column:
-    """The day of the pool that the draw of a row's slot falls on."""
-    return F.get("pool", F.floor(draw(F.col("seed"), F.col("perm") * F.col("n_trades") + slot) * F.size("pool")).cast("int"))
+    """The weekday of the member's span that the draw of a row's slot falls on."""
+    return nth_weekday(F.col("first"), F.floor(draw(F.col("seed"), F.col("perm") * F.col("n_trades") + slot) * F.col("weekdays")))
 
 
 def _seeds(seed: str) -> Column:
@@ -101,22 +125,39 @@ def _seeds(seed: str) -> Column:
 
 
 def _pools(trades: DataFrame, spans: DataFrame, seed: str) -> DataFrame:
-    """(member_id, pool, n_trades, seed) of members whose span holds a weekday."""
-    pools = spans.select("member_id", weekday_pool(F.col("first"), F.col("last")).alias("pool"), _seeds(seed)).where(F.size("pool") > 0)
+    """(member_id, first, last, weekdays, n_trades, seed) of members whose span holds a weekday."""
+    pools = spans.select("member_id", "first", "last", weekdays_between(F.col("first"), F.col("last")).alias("weekdays"), _seeds(seed)).where("weekdays > 0")
     return pools.join(trades.groupBy("member_id").agg(F.count("*").alias("n_trades")), "member_id")
 
 
-def calendar_null(trades: DataFrame, votes: DataFrame, n_perm: int, seed: str, window: int = NEXUS_DAYS) -> DataFrame:
+def calendar_null(trades: DataFrame, votes: DataFrame, n_perm: int, seed: str, window: int = NEXUS_DAYS, block: int = 256) -> DataFrame:
     """(member_id, perm, drawn): each trade moved to a random weekday between the member's first and last date.
 
-    Trade i of permutation p takes draw p * T + i of the member's sequence. Which days are hits
-    is found before any draw, so a draw is a look into an array; trades are spread to permutations
-    in the task that holds them and counted there.
+    Trade i of permutation p takes draw p * T + i of the member's sequence, and falls on the k-th
+    weekday by arithmetic. Trades of instruments that no bill names differ in their slots alone, which
+    are 0 to T - 1: they need no rows, only blocks of slots, each with the member's days of
+    committee hits. Trades of named instruments add the draws that only the naming makes a hit.
     """
-    by_member, named = _member_hits(trades, votes, window)
-    rows = trades.select("member_id", "slot", "instrument").join(by_member.join(_pools(trades, by_member, seed), "member_id"), "member_id")
-    hits = rows.join(named, ["member_id", "instrument"], "left")
-    return _spread(hits, n_perm).groupBy("member_id", "perm").agg(F.count_if(_is_nexus(_drawn_day(F.col("slot")))).alias("drawn"))
+    spans = _spans(trades, votes)
+    committee, named = _member_hits(votes, spans, window)
+    pools = _pools(trades, spans, seed)
+    blocks = pools.withColumn("block", F.explode(F.sequence(F.lit(0), F.floor((F.col("n_trades") - 1) / block))))
+    # dealt, so that a member with many trades is drawn by many tasks
+    dealt = blocks.repartition("member_id", "block").join(committee, "member_id", "left")
+    slots = F.explode(F.sequence(F.col("block") * block, F.least(F.col("block") * block + block, F.col("n_trades")) - 1))
+    day = (_drawn_day(F.col("slot")) - F.col("first")).cast("int")
+    count = lambda rows, hit: _spread(rows, n_perm).groupBy("member_id", "perm").agg(F.count_if(hit).alias("drawn"))
+    all_slots = dealt.select("member_id", "first", "weekdays", "n_trades", "seed", "committee_on", slots.alias("slot"))
+    by_committee = count(all_slots, has_day(F.col("committee_on"), day))
+    only_named = named.join(committee, "member_id", "left").select("member_id", "instrument", _without(F.col("named_on"), F.col("committee_on")).alias("named_on"))
+    rows = trades.select("member_id", "instrument", "slot").join(named.select("member_id", "instrument"), ["member_id", "instrument"], "left_semi").join(pools, "member_id")
+    by_name = count(rows.join(only_named, ["member_id", "instrument"]), has_day(F.col("named_on"), day))
+    return by_committee.unionAll(by_name).groupBy("member_id", "perm").agg(F.sum("drawn").alias("drawn"))
+
+
+def _without(words: Column, others: Column) -> Column:
+    """The days of words that others doesn't have."""
+    return F.transform(words, lambda w, i: w.bitwiseAND(F.bitwise_not(F.coalesce(F.get(others, i), F.lit(0).cast("long")))))
 
 
 def _shuffles(days: np.ndarray, seed: int, first: int, last: int) -> np.ndarray:
@@ -168,17 +209,27 @@ def shuffled_dates(trades: DataFrame, n_perm: int, seed: str, block: int = 200)
 
 def shuffle_null(trades: DataFrame, votes: DataFrame, n_perm: int, seed: str, window: int = NEXUS_DAYS, block: int = 200) -> DataFrame:
     """(member_id, perm, drawn) with the member's own dates shuffled among its trades; counted where they are shuffled."""
-    by_member, named = _member_hits(trades, votes, window)
+    spans = _spans(trades, votes)
+    committee, named = _member_hits(votes, spans, window)
     marked = trades.join(named, ["member_id", "instrument"], "left")
 
+    def on(words, at):
+        held = words.values.to_numpy().view(np.uint64) if words.is_valid else np.zeros(0, np.uint64)
+        word = at >> 6
+        inside = (word >= 0) & (word < len(held))
+        out = np.zeros(at.shape, bool)
+        out[inside] = (held[word[inside]] >> (at[inside] & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+        return out
+
     def count(one, member, perms, moved):
         at = moved - one["first"].as_py()
-        hit = one["committee_on"].values.to_numpy(zero_copy_only=False)[at]
-        for slot, on in enumerate(one["named_on"].values):
-            if on.is_valid:
-                hit[:, slot] |= on.values.to_numpy(zero_copy_only=False)[at[:, slot]]
+        hit = on(one["committee_on"], at)
+        for slot, words in enumerate(one["named_on"].values):
+            if words.is_valid:
+                hit[:, slot] |= on(words, at[:, slot])
         return pa.record_batch([member.take(pa.array(np.zeros(len(perms), np.int64))), pa.array(perms, pa.int32()), pa.array(hit.sum(1), pa.int64())], ["member_id", "perm", "drawn"])
 
+    by_member = spans.select("member_id", "first").join(committee, "member_id", "left")
     return _shuffled(marked, by_member, {"named_on": F.col("named_on")}, n_perm, seed, block, count, "perm int, drawn long")
 
 
@@ -225,20 +276,22 @@ def pair_lower_tail(trades: DataFrame, theme_votes: DataFrame, n_perm: int, seed
     days = theme_votes.groupBy("member_id", "theme").agg(F.array_sort(F.collect_set(F.unix_date("vote_date"))).alias("days"))
     spans = _spans(trades, theme_votes)
     known = trades.join(observed, ["member_id", "trade_id"]).groupBy("member_id", "trade_id", "theme", "observed_gap").agg(F.array_sort(F.collect_list("slot")).alias("slots"))
-    on = hit_days(F.col("days"), F.col("first"), F.col("last"), F.col("observed_gap"))
-    rows = known.join(days, ["member_id", "theme"]).join(spans, "member_id").select("member_id", "trade_id", "slots", "observed_gap", "first", on.alias("hit_on"))
     if mode == "calendar":
+        # days of votes are joined last, so that no row carries days through a shuffle
+        on = hit_days(F.col("days"), F.col("first"), F.col("last"), F.col("observed_gap"))
+        rows = known.join(_pools(trades, spans, seed), "member_id").join(days, ["member_id", "theme"]).withColumn("hit_on", on).drop("days")
         hit = lambda slot: F.get("hit_on", (_drawn_day(slot) - F.col("first")).cast("int"))
         once = F.when(F.size("slots") == 1, hit(F.col("slots")[0])).otherwise(F.exists("slots", hit))
-        counted = _spread(rows.join(_pools(trades, spans, seed), "member_id"), n_perm).groupBy("member_id", "trade_id", "observed_gap").agg(F.count_if(once).alias("hits"))
+        counted = _spread(rows, n_perm).groupBy("member_id", "trade_id", "observed_gap").agg(F.count_if(once).alias("hits"))
     else:
-        held = rows.groupBy("member_id", "first").agg(F.collect_list(F.struct("trade_id", "observed_gap", "slots", "hit_on")).alias("held"))
+        held = known.join(days, ["member_id", "theme"]).groupBy("member_id").agg(F.collect_list(F.struct("trade_id", "observed_gap", "slots", "days")).alias("held"))
 
         def count(one, member, perms, moved):
-            at, sums = moved - one["first"].as_py(), []
-            asked = one["held"].values
-            for slots, on in zip(asked.field("slots").to_pylist(), asked.field("hit_on")):
-                sums.append(int(on.values.to_numpy(zero_copy_only=False)[at[:, slots]].any(1).sum()))
+            asked, sums = one["held"].values, []
+            for slots, gap, listed in zip(asked.field("slots").to_pylist(), asked.field("observed_gap").to_pylist(), asked.field("days")):
+                own, drawn = listed.values.to_numpy(), moved[:, slots]
+                after = np.append(own, np.iinfo(own.dtype).max)[np.searchsorted(own, drawn)]
+                sums.append(int((after - drawn <= gap).any(1).sum()))
             return pa.record_batch(
                 [member.take(pa.array(np.zeros(len(sums), np.int64))), asked.field("trade_id"), asked.field("observed_gap").cast(pa.int32()), pa.array(sums, pa.int64())], ["member_id", "trade_id", "observed_gap", "hits"]
             )

@@ -14,40 +14,72 @@ def drop_hubs(rows: DataFrame, shared: str, most: int | None) -> DataFrame:
     return rows.join(small, shared, "left_semi")
 
 
-def shared_pairs(rows: DataFrame, entity: str, shared: str, carry: list[str], max_degree: int | None = None) -> DataFrame:
+#: An item of more rows than this is heavy, or of more than a hundred-thousandth of all rows if that is more: so there are 100,000 heavy items at most.
+HEAVY, HEAVY_ITEMS = 4_096, 100_000
+
+
+def _blocks(rows: DataFrame, item: str, heavy: int | None) -> DataFrame:
+    """rows with ``_b``, the number of blocks that their item's rows are dealt to on each side: 1 but for heavy items. These are broadcast; their number is bounded."""
+    most = heavy or max(HEAVY, rows.count() // HEAVY_ITEMS)
+    sizes = rows.groupBy(item).agg(F.count("*").alias("_n")).where(F.col("_n") > most).select(item, F.ceil(F.col("_n") / most).cast("int").alias("_b"))
+    return rows.where(F.col(item).isNotNull()).join(F.broadcast(sizes), item, "left").withColumn("_b", F.coalesce("_b", F.lit(1)))
+
+
+def _meet(rows: DataFrame, entity: str, item: str, left: list[Column], right: list[Column], heavy: int | None) -> DataFrame:
+    """Pairs of rows of one item, with the left columns of one and the right columns of the other row, each pair both ways.
+
+    The rows of a heavy item are dealt to a grid: a row stands in one line of blocks as the left and
+    in one column as the right, and pairs meet in their block alone, about the square of ``heavy`` in each.
+    """
+    dealt = _blocks(rows, item, heavy)
+    at = lambda k: F.pmod(F.xxhash64(F.lit(k), F.col(entity)), F.col("_b")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("_b") - 1))
+    a = dealt.select(item, at(1).alias("_i"), every.alias("_j"), *left)
+    b = dealt.select(item, every.alias("_i"), at(2).alias("_j"), *right)
+    return a.join(b, [item, "_i", "_j"]).drop("_i", "_j")
+
+
+def shared_pairs(rows: DataFrame, entity: str, shared: str, carry: list[str], max_degree: int | None = None, heavy: int | None = None) -> DataFrame:
     """(subject, peer, shared, subject_* and peer_* of what is carried): each pair both ways, none with itself.
 
-    Null values are shared with nobody.
+    Null values are shared with nobody. A value that many share is spread over blocks (see ``_meet``).
     """
     kept = drop_hubs(rows, shared, max_degree)
-    a = kept.select(F.col(entity).alias("subject_id"), shared, *(F.col(c).alias(f"subject_{c}") for c in carry))
-    b = kept.select(F.col(entity).alias("peer_id"), shared, *(F.col(c).alias(f"peer_{c}") for c in carry))
-    return a.join(b, shared).where("subject_id <> peer_id")
+    side = lambda name: [F.col(entity).alias(f"{name}_id"), *(F.col(c).alias(f"{name}_{c}") for c in carry)]
+    return _meet(kept, entity, shared, side("subject"), side("peer"), heavy).where("subject_id <> peer_id").select(
+        "subject_id", shared, *(f"subject_{c}" for c in carry), "peer_id", *(f"peer_{c}" for c in carry)
+    )
 
 
-def peers_of(rows: DataFrame, entity: str, shared: str, amount: str, subject: Column | None = None) -> DataFrame:
+def peers_of(rows: DataFrame, entity: str, shared: str, amount: str, subject: Column | None = None, heavy: int | None = None) -> DataFrame:
     """(subject_id, peer_id, shared_count, combined_amount, shared values by combined amount, largest first).
 
-    A subject filter is applied before the join.
+    A subject filter is applied before the join. Sums are made in the blocks first.
     """
-    a = (rows if subject is None else rows.where(subject)).select(F.col(entity).alias("subject_id"), shared, F.col(amount).alias("_a"))
-    b = rows.select(F.col(entity).alias("peer_id"), shared, F.col(amount).alias("_b"))
-    pairs = a.join(b, shared).where("subject_id <> peer_id").withColumn("_sum", F.col("_a") + F.col("_b"))
+    marked = rows.withColumn("_asked", F.lit(True) if subject is None else F.coalesce(subject, F.lit(False)))
+    left = [F.when(F.col("_asked"), F.col(entity)).alias("subject_id"), F.col(amount).alias("_a"), F.col("_asked").alias("_own")]
+    pairs = _meet(marked, entity, shared, left, [F.col(entity).alias("peer_id"), F.col(amount).alias("_b2")], heavy)
+    pairs = pairs.where("_own and subject_id <> peer_id").withColumn("_sum", F.col("_a") + F.col("_b2"))
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("_sum")).alias("order"), F.col(shared).alias("value"))))
     return pairs.groupBy("subject_id", "peer_id").agg(
         F.count("*").alias("shared_count"), F.sum("_sum").alias("combined_amount"), F.transform(ordered, lambda x: x["value"]).alias("shared_values")
     )
 
 
-def co_participation(rows: DataFrame, entity: str, item: str, title: str) -> DataFrame:
-    """Undirected edges, smaller entity first: shared_items, item_ids and titles in the order of the ids."""
-    a = rows.select(F.col(entity).alias("source_id"), item, F.coalesce(title, F.lit("")).alias("_title"))
-    b = rows.select(F.col(entity).alias("target_id"), item)
+def co_participation(rows: DataFrame, entity: str, item: str, title: str, heavy: int | None = None) -> DataFrame:
+    """Undirected edges, smaller entity first: shared_items, item_ids and titles in the order of the ids.
+
+    An entity's rows of a heavy item stand in one of its parts; two parts meet in one block, so each pair is made once.
+    """
+    dealt = _blocks(rows, item, heavy).withColumn("_p", F.pmod(F.xxhash64(F.col(entity)), F.col("_b")).cast("int"))
+    a = dealt.select(F.col(entity).alias("_x"), item, F.coalesce(title, F.lit("")).alias("_tx"), F.col("_p").alias("_i"), F.explode(F.sequence(F.col("_p"), F.col("_b") - 1)).alias("_j"))
+    b = dealt.select(F.col(entity).alias("_y"), item, F.coalesce(title, F.lit("")).alias("_ty"), F.explode(F.sequence(F.lit(0), F.col("_p"))).alias("_i"), F.col("_p").alias("_j"))
+    met = a.join(b, [item, "_i", "_j"]).where("_x < _y or (_i < _j and _x > _y)")
+    # the title is that of the smaller entity's row
+    edges = met.select(F.least("_x", "_y").alias("source_id"), F.greatest("_x", "_y").alias("target_id"), item, F.when(F.col("_x") < F.col("_y"), F.col("_tx")).otherwise(F.col("_ty")).alias("_title"))
     ordered = F.array_sort(F.collect_list(F.struct(F.col(item).alias("id"), F.col("_title").alias("title"))))
     return (
-        a.join(b, item)
-        .where("source_id < target_id")
-        .groupBy("source_id", "target_id")
+        edges.groupBy("source_id", "target_id")
         .agg(F.count("*").alias("shared_items"), ordered.alias("_items"))
         .select("source_id", "target_id", "shared_items", F.col("_items.id").alias("item_ids"), F.col("_items.title").alias("titles"))
     )

@@ -111,6 +111,17 @@ def trades_before_votes(trades: DataFrame, votes: DataFrame, *others: DataFrame,
     return near.where("days_from_trade_to_vote >= 0").withColumn("bill_mentions_ticker", mentions(F.col("bill_summary"), F.col("ticker")))
 
 
+def mentioning_pairs(trades: DataFrame, votes: DataFrame, members: DataFrame, bills: DataFrame, bill_committees: DataFrame, memberships: DataFrame, window: int = 180) -> DataFrame:
+    """The pairs of ``trades_before_votes`` without bills and committees: what the null models read of them.
+
+    A bill's summary is joined to the votes, not to the pairs, and days after a vote are never joined.
+    """
+    known = with_roles(votes, bill_committees, memberships).join(bills.select("bill_id", "bill_summary"), "bill_id", "left")
+    t = trades.where(is_discretionary()).join(members.select("member_id"), "member_id")
+    pairs = band_join(t, known, ["member_id"], "tx_date", "vote_date", window, forward_only=True)
+    return pairs.withColumn("bill_mentions_ticker", mentions(F.col("bill_summary"), F.col("ticker"))).drop("bill_summary")
+
+
 TRADE_KEY = ["filing_id", "tx_date", "tx_type", "asset", "ticker"]
 
 

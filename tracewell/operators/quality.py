@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
-import json
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewell.scratch import staged
+
 from .ordering import top_rows
 
 
+#: Words without a neutral use, and loaded phrases.
+FORBIDDEN = (
+    "corrupt", "crooked", "dishonest", "liar", "traitor", "socialist", "fascist", "communist", "radical", "extremist", "fanatic", "hero", "maverick",
+    "crusader", "rammed through", "pushed through", "snuck in", "claims to", "pretends to", "far-left", "far-right", "ultra-left", "ultra-right",
+)
+#: Codes of states and territories that a profile may have.
+US_STATES = (
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL", "IN", "IA", "KS", "KY", "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ",
+    "NM", "NY", "NC", "ND", "OH", "OK", "OR", "PA", "RI", "SC", "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY", "DC", "US",
+)
+#: Words that ground no fact.
+STOP_WORDS = ("the", "a", "an", "and", "or", "of", "in", "on", "to", "for", "with", "is", "was", "by", "his", "her", "their")
+
+
 def rule(field: str, severity: str, message: str, broken: Column) -> Column:
     """The issue if the rule is broken, else null."""
     return F.when(broken, F.struct(F.lit(field).alias("field"), F.lit(severity).alias("severity"), F.lit(message).alias("message")))
@@ -22,6 +36,36 @@ def issues(rows: DataFrame, key: str, rules: list[Column]) -> DataFrame:
     return rows.select(key, F.inline(F.array_compact(F.array(*rules))))
 
 
+def profile_issues(profiles: DataFrame, key: str, today: Column) -> DataFrame:
+    """(key, field, severity, message): the rules for researched profiles.
+
+    profiles: key, bio, state, in_office (the field as JSON text), bills and votes (title, date,
+    confidence), donors (title, confidence); null lists are empty. Dates after today are critical, as
+    are a bio under 50 characters and an in_office that isn't a boolean.
+    """
+    issue = lambda field, severity, message: F.struct(field.alias("field"), F.lit(severity).alias("severity"), message.alias("message"))
+    listed = lambda c: F.coalesce(F.col(c), F.array().cast(dict(profiles.dtypes)[c]))
+    bio, state = F.coalesce("bio", F.lit("")), F.coalesce("state", F.lit(""))
+    given = F.trim("in_office")
+    kind = F.when(given.isNull(), "undefined").when(given.startswith('"'), "string").when(given.rlike("^[0-9-]"), "number").otherwise("object")
+    late = lambda c, name, field: F.transform(
+        F.filter(listed(c), lambda x: x["date"] > today),
+        lambda x: issue(F.concat(F.lit(f"data.{name}["), F.coalesce(x["title"], F.lit("undefined")), F.lit(f"].{field}")), "critical", F.concat(F.lit("Future date: "), x["date"].cast("string"))),
+    )
+    doubtful = lambda c: F.transform(
+        F.filter(listed(c), lambda x: x["confidence"] < 0.60),
+        lambda x: issue(F.lit("data"), "warning", F.concat(F.lit("Low confidence ("), x["confidence"].cast("string"), F.lit(") on: "), F.coalesce(x["title"], F.lit("undefined")))),
+    )
+    single = F.array(
+        F.when(F.length(bio) < 50, issue(F.lit("data.bio"), "critical", F.concat(F.lit("Bio too short: "), F.length(bio).cast("string"), F.lit(" chars (min 50)")))),
+        F.when((state != "") & ~F.upper(state).isin(*US_STATES), issue(F.lit("data.state"), "warning", F.concat(F.lit("Unrecognized state code: "), state))),
+        F.when(sum(F.size(listed(c)) for c in ("bills", "votes", "donors")) == 0, issue(F.lit("data"), "info", F.lit("bills, votes, and donors are all empty"))),
+        F.when(~F.coalesce(given.isin("true", "false"), F.lit(False)), issue(F.lit("data.inOffice"), "critical", F.concat(F.lit("inOffice must be boolean, got "), kind))),
+    )
+    found = F.concat(F.array_compact(single), late("bills", "bills", "introducedAt"), late("votes", "votes", "date"), *(doubtful(c) for c in ("bills", "votes", "donors")))
+    return profiles.select(key, F.inline(found))
+
+
 def quality_scores(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
     """(key, score, passed): 1 less 0.3 for each critical issue and 0.1 for each warning, not below 0; passed without critical ones."""
     n = found.groupBy(key).agg(F.count_if(F.col("severity") == "critical").alias("c"), F.count_if(F.col("severity") == "warning").alias("w"))
@@ -51,43 +95,39 @@ def conformance(docs: DataFrame, json_col: str, kind_col: str, required: dict[st
     return rates, rows.where("signature <> ''").groupBy(kind_col, "signature").agg(F.count("*").alias("n"))
 
 
-def _walk(value, path: str):
-    if isinstance(value, dict):
-        for k, v in value.items():
-            yield from _walk(v, f"{path}.{k}")
-    elif isinstance(value, list):
-        for v in value:
-            yield from _walk(v, f"{path}[]")
-    else:
-        kind = "null" if value is None else "boolean" if isinstance(value, bool) else "number" if isinstance(value, (int, float)) else "string"
-        numeric = kind == "string" and value.replace(".", "", 1).lstrip("-").isdigit()
-        yield path, kind, numeric, str(value)[:40]
-
-
 def shape_profile(docs: DataFrame, key: str, json_col: str) -> DataFrame:
-    """(path, docs, types, numeric_strings, sample): one row for each path of the JSON documents; text that isn't JSON has the path "!"."""
-
-    def profile(batches):
-        for pdf in batches:
-            out = []
-            for k, text in zip(pdf["k"], pdf["j"]):
-                try:
-                    found = list(_walk(json.loads(text), "$"))
-                except (TypeError, ValueError):
-                    found = [("!", "invalid", False, "")]
-                out += [(k, *f) for f in found]
-            yield pd.DataFrame(out, columns=["k", "path", "type", "numeric", "sample"])
-
-    rows = docs.select(F.col(key).cast("string").alias("k"), F.col(json_col).alias("j")).mapInPandas(profile, "k string, path string, type string, numeric boolean, sample string")
-    return rows.groupBy("path").agg(
+    """(path, docs, types, numeric_strings, sample): one row for each path of the JSON documents; text that isn't JSON, or names a field twice, has the path "!".
+
+    Documents are parsed to variants once and taken apart level by level, as many levels as the
+    deepest has, each written before the next; no Python touches a document. Empty objects and arrays have no path.
+    """
+    rows = docs.select(F.col(key).cast("string").alias("k"), F.try_parse_json(json_col).alias("v")).select("k", F.when(F.col("v").isNull(), "!").otherwise("$").alias("path"), "v")
+    leaf = lambda df: df.where(~F.col("kind").rlike("^(OBJECT|ARRAY)"))
+    found = []
+    while True:
+        kinds = rows.withColumn("kind", F.when(F.col("path") == "!", "INVALID").otherwise(F.schema_of_variant("v")))
+        level = staged(kinds.withColumn("said", F.variant_get("v", "$", "string")).select("k", "path", "kind", "v", "said"), "shapes")
+        found.append(leaf(level).select("k", "path", "kind", "said"))
+        nested = level.where(F.col("kind").rlike("^(OBJECT|ARRAY)"))
+        if nested.isEmpty():
+            break
+        inner = nested.lateralJoin(docs.sparkSession.tvf.variant_explode(F.col("v").outer()))
+        step = F.when(F.col("key").isNull(), "[]").otherwise(F.concat(F.lit("."), "key"))
+        rows = inner.select("k", F.concat("path", step).alias("path"), F.col("value").alias("v"))
+    numbers = "^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|FLOAT|DOUBLE)"
+    kind = F.when(F.col("kind") == "INVALID", "invalid").when(F.col("kind") == "VOID", "null").when(F.col("kind") == "BOOLEAN", "boolean").when(F.col("kind").rlike(numbers), "number").otherwise("string")
+    numeric = (kind == "string") & F.col("said").rlike(r"^-*(\d+\.?\d*|\.\d+)$")
+    leaves = reduce(DataFrame.unionAll, found).select("k", "path", kind.alias("type"), F.coalesce(numeric, F.lit(False)).alias("numeric"), F.substring(F.coalesce("said", F.lit("")), 1, 40).alias("sample"))
+    return leaves.groupBy("path").agg(
         F.count_distinct("k").alias("docs"), F.array_join(F.array_sort(F.collect_set("type")), ",").alias("types"), F.count_if("numeric").alias("numeric_strings"), F.min("sample").alias("sample")
     )
 
 
-def banned_terms(texts: DataFrame, key: str, text: str, terms: list[str]) -> DataFrame:
-    """(key, term): single words between boundaries of ASCII words, phrases anywhere, in any case."""
+def banned_terms(texts: DataFrame, key: str, text: str, terms: list[str] | tuple[str, ...] = FORBIDDEN) -> DataFrame:
+    """(key, term): single words between boundaries of ASCII words, phrases and hyphenated terms anywhere, in any case."""
     low = F.lower(text)
-    hit = lambda t: low.rlike(rf"(?<![a-z0-9_]){t.lower()}(?![a-z0-9_])") if " " not in t else F.contains(low, F.lit(t.lower()))
+    phrase = lambda t: " " in t or "-" in t
+    hit = lambda t: F.contains(low, F.lit(t.lower())) if phrase(t) else low.rlike(rf"(?<![a-z0-9_]){t.lower()}(?![a-z0-9_])")
     return texts.select(key, F.explode(F.array_compact(F.array(*(F.when(hit(t), F.lit(t)) for t in terms)))).alias("term"))
 
 
@@ -96,12 +136,23 @@ def replace_phrases(text: Column, phrases: list[tuple[str, str]]) -> Column:
     return reduce(lambda c, p: F.regexp_replace(c, f"(?i){p[0]}", p[1]), phrases, text)
 
 
-def grounded(text: Column, facts: Column, stop: tuple[str, ...] = ()) -> Column:
-    """Sentences of which some token of more than three letters, no stop word, stands in the facts."""
-    tokens = lambda s: F.filter(F.split(F.lower(s), "[^\\p{L}\\p{N}]+"), lambda t: (F.length(t) > 3) & ~t.isin(*stop or ("",)))
-    low = F.lower(facts)
-    sentences = F.filter(F.split(text, r"(?<=[.!?])\s+"), lambda s: F.exists(tokens(s), lambda t: F.contains(low, t)))
-    return F.array_join(sentences, " ")
+def is_grounded(fact: Column, corpus: Column, stop: tuple[str, ...] = STOP_WORDS) -> Column:
+    """Whether some token of a-z and 0-9 of more than three characters, no stop word, stands anywhere in the corpus, in any case."""
+    tokens = F.filter(F.split(F.lower(fact), "[^a-z0-9]+"), lambda t: (F.length(t) > 3) & ~t.isin(*stop))
+    low = F.lower(F.coalesce(corpus, F.lit("")))
+    return F.coalesce(F.exists(tokens, lambda t: F.contains(low, t)), F.lit(False))
+
+
+def split_facts(rows: DataFrame, key: str, facts: str, corpus: str, stop: tuple[str, ...] = STOP_WORDS) -> DataFrame:
+    """(key, key_facts, unverified): the facts, blank ones left out, in their order, that the corpus grounds, and the others."""
+    said = F.filter(F.coalesce(F.col(facts), F.array().cast("array<string>")), lambda f: f.isNotNull() & (F.trim(F.regexp_replace(f, r"\s+", " ")) != ""))
+    held = lambda f: is_grounded(f, F.col(corpus), stop)
+    return rows.select(key, F.filter(said, held).alias("key_facts"), F.filter(said, lambda f: ~held(f)).alias("unverified"))
+
+
+def grounded(text: Column, facts: Column, stop: tuple[str, ...] = STOP_WORDS) -> Column:
+    """Sentences that the facts ground."""
+    return F.array_join(F.filter(F.split(text, r"(?<=[.!?])\s+"), lambda s: is_grounded(s, facts, stop)), " ")
 
 
 def release_verdict(checks: list[Column], fatal: list[Column]) -> Column:

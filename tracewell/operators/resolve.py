@@ -8,17 +8,44 @@ from pyspark.sql.window import Window
 
 from tracewell.functions.text import corporate_name, last_name, person_name, slug
 
-
-def _containing(whole: DataFrame, text: str, asked: DataFrame, part: Column, on: list[str]) -> DataFrame:
+#: Nicknames and the legal first names that they stand for.
+NICKNAMES = {
+    "chuck": "charles",
+    "bernie": "bernard",
+    "dan": "daniel",
+    "don": "donald",
+    "bill": "william",
+    "bob": "robert",
+    "mike": "michael",
+    "jim": "james",
+    "joe": "joseph",
+    "tom": "thomas",
+    "ted": "edward",
+    "liz": "elizabeth",
+}
+
+
+def containing(whole: DataFrame, text: str, asked: DataFrame, part: Column, on: list[str], q: int = 3) -> DataFrame:
     """Rows of whole joined to rows of asked whose part their text contains, joined by equality.
 
-    A text that contains a part contains its first three characters (all of it, if it is shorter): texts are
-    spread to their runs of up to three characters, and the part is looked for in candidates alone.
+    Distinct texts are spread to their runs of q characters. A part of q or more is looked up by that
+    of its own runs that the fewest texts hold, a shorter one by itself among shorter runs; the part
+    is then looked for in candidates alone. Names that all begin alike don't meet in one key.
     """
-    at = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
-    runs = F.array_distinct(F.flatten(F.transform(at, lambda i: F.array(*(F.substr(F.col(text), i, F.lit(n)) for n in (1, 2, 3))))))
-    a = asked.withColumn("_part", part).where("_part <> ''").withColumn("_run", F.substring("_part", 1, 3))
-    return whole.withColumn("_run", F.explode(runs)).join(a, [*on, "_run"]).where(F.contains(F.col(text), F.col("_part"))).drop("_run", "_part")
+    texts = whole.select(F.col(text).alias("_text")).where("_text is not null").distinct()
+    at = lambda c: F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1)))
+    runs_of = lambda c, n: F.transform(at(c), lambda i: F.substr(F.col(c), i, F.lit(n)))
+    held = texts.select("_text", F.explode(F.array_distinct(F.concat(*(runs_of("_text", n) for n in range(1, q + 1))))).alias("_run"))
+    a = asked.withColumn("_part", part).where("_part <> ''")
+    parts = a.select("_part").distinct()
+    own = F.when(F.length("_part") < q, F.array("_part")).otherwise(F.filter(runs_of("_part", q), lambda r: F.length(r) == q))
+    counts = held.where(F.length("_run") <= q).groupBy("_run").agg(F.count("*").alias("_n"))
+    looked = parts.select("_part", F.explode(F.array_distinct(own)).alias("_run")).join(counts, "_run", "left")
+    # a run that no text holds says that the part is in none
+    rarest = looked.groupBy("_part").agg(F.min_by("_run", F.struct(F.coalesce("_n", F.lit(0)), F.col("_run"))).alias("_run"))
+    pairs = held.join(rarest, "_run").where(F.contains("_text", F.col("_part"))).select("_text", "_part")
+    found = whole.withColumn("_text", F.col(text)).join(pairs, "_text").join(a, [*on, "_part"])
+    return found.drop("_text", "_part")
 
 
 def resolve_filers(filers: DataFrame, members: DataFrame) -> DataFrame:
@@ -29,7 +56,7 @@ def resolve_filers(filers: DataFrame, members: DataFrame) -> DataFrame:
     """
     f = filers.select("filer", "state", "district").distinct().withColumn("_last", last_name(F.col("filer")))
     m = members.select(F.col("member_id").alias("_member"), "state", F.col("district").alias("_district"), F.lower("name").alias("_name"))
-    found = _containing(m, "_name", f, F.lower("_last"), ["state"])
+    found = containing(m, "_name", f, F.lower("_last"), ["state"])
     same = F.col("_district").eqNullSafe(F.col("district")) & F.col("district").isNotNull()
     best = found.groupBy("filer", "state", "district").agg(
         F.count("*").alias("n"), F.min("_member").alias("first"), F.count_if(same).alias("n_same"), F.min(F.when(same, F.col("_member"))).alias("same")
@@ -48,21 +75,29 @@ def resolve_filers(filers: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def resolve_senate_filers(filers: DataFrame, members: DataFrame) -> DataFrame:
-    """(first_name, last_name, member_id, confidence) by last name among senators; several are narrowed by the first name's first token; none: confidence 0."""
-    f = filers.select("first_name", "last_name").distinct()
+    """(first_name, last_name, member_id, confidence, method) by surname among senators.
+
+    Surnames are compared without what isn't a letter or space and without a generation at the end, in
+    any case. Several candidates are narrowed by the first name's first token; of those left the one with
+    the smallest id, at 0.70. None: confidence 0.
+    """
+    clean = F.trim(F.regexp_replace(F.trim(F.regexp_replace("last_name", r"[^a-zA-Z\s]", "")), r"(?i)\s+(jr|sr|ii|iii|iv|v)$", ""))
+    f = filers.select("first_name", "last_name").distinct().withColumn("_last", F.lower(clean))
     m = members.where("chamber = 'senate'").select(F.col("member_id").alias("_member"), F.lower("name").alias("_name"))
-    token = F.lower(F.element_at(F.split(F.trim("first_name"), " "), 1))
-    found = _containing(m, "_name", f, F.lower("last_name"), [])
-    narrow = F.contains(F.col("_name"), token)
+    token = F.lower(F.element_at(F.split(F.trim("first_name"), r"\s+"), 1))
+    found = containing(m, "_name", f, F.col("_last"), [])
+    narrow = F.contains(F.col("_name"), token) & (token != "")
     best = found.groupBy("first_name", "last_name").agg(
         F.count("*").alias("n"), F.min("_member").alias("first"), F.count_if(narrow).alias("n_narrow"), F.min(F.when(narrow, F.col("_member"))).alias("narrow")
     )
+    best = best.toDF("_f", "_l", "n", "first", "n_narrow", "narrow")
     one = (F.col("n") > 1) & (F.col("n_narrow") == 1)
-    return f.join(best, ["first_name", "last_name"], "left").select(
+    return f.join(best, F.expr("first_name <=> _f and last_name <=> _l"), "left").select(
         "first_name",
         "last_name",
         F.when(one, F.col("narrow")).otherwise(F.col("first")).alias("member_id"),
         F.when(F.col("n") == 1, 1.0).when(one, 0.95).when(F.col("n") > 1, 0.70).otherwise(0.0).alias("confidence"),
+        F.when(F.col("n") == 1, "exact_senate_lastname").when(one, "senate_firstname_lastname").when(F.col("n") > 1, "senate_lastname_ambiguous").otherwise("unmatched").alias("method"),
     )
 
 
@@ -119,10 +154,26 @@ def curation_list(recipients: DataFrame, titles: DataFrame, traded: DataFrame) -
     return match_tickers(one, titles).where(F.col("ticker").isNotNull()).join(traded.select("ticker").distinct(), "ticker", "left_semi")
 
 
+def loose_name(raw: Column) -> Column:
+    """Upper case letters and digits; company words stay."""
+    return F.trim(F.regexp_replace(F.regexp_replace(F.upper(raw), "[^A-Z0-9 ]", " "), r"\s+", " "))
+
+
 def accept_tier(name: Column, title: Column) -> Column:
-    """accept if the name is the title but for company words, or has two tokens or more without them; else verify."""
-    norm = corporate_name(name)
-    return F.when((norm == corporate_name(title)) | (F.size(F.split(norm, " ")) >= 2), "accept").otherwise("verify")
+    """accept if the name is the title but for case and punctuation, or has two tokens or more without company words; else verify, and always without a title.
+
+    Every matched name is the title without company words, so that says nothing: FRONTIER TECHNOLOGY
+    INC against Frontier Group Holdings, Inc. is to be verified.
+    """
+    tokens = F.filter(F.split(corporate_name(name), " "), lambda t: t != "")
+    return F.when(title.isNotNull() & ((loose_name(name) == loose_name(title)) | (F.size(tokens) >= 2)), "accept").otherwise("verify")
+
+
+def split_tiers(work: DataFrame, titles: DataFrame) -> DataFrame:
+    """The work list (key, name, parent_name, ticker, basis) with the issuer's title, the first by ordinal of its ticker, and the tier of the name that matched."""
+    first = titles.groupBy(F.upper("ticker").alias("ticker")).agg(F.min_by("title", "ordinal").alias("title"))
+    matched = F.when(F.col("basis") == "parent-name", F.col("parent_name")).otherwise(F.col("name"))
+    return work.join(first, "ticker", "left").select(*work.columns, "title", accept_tier(matched, F.col("title")).alias("tier"))
 
 
 def brand_contained(brand: Column, name: Column) -> Column:
@@ -148,16 +199,8 @@ def newest_candidate(people: DataFrame, registry: DataFrame) -> DataFrame:
     return found.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").select("person_id", "candidate_id")
 
 
-def match_roster(names: DataFrame, roster: DataFrame, nicknames: DataFrame) -> DataFrame:
-    """(query, person_id, status): last tokens are equal and first names are equal, by a legal name of a nickname, or by four letters; several people are ambiguous."""
-    q = names.withColumn("_norm", person_name(F.col("query"))).select(
-        "query", F.element_at(F.split("_norm", " "), 1).alias("_first"), F.element_at(F.split("_norm", " "), -1).alias("_last")
-    )
-    q = q.join(nicknames.select(F.col("nickname").alias("_first"), "legal"), "_first", "left")
-    r = roster.select("person_id", F.lower("first").alias("_rf"), F.element_at(F.split(F.lower("last"), " "), -1).alias("_last"))
-    four = F.substring("_first", 1, 4) == F.substring("_rf", 1, 4)
-    rank = F.when(F.col("_first") == F.col("_rf"), 1).when(F.col("legal") == F.col("_rf"), 2).when(four, 3)
-    found = q.join(r, "_last").withColumn("rank", rank).where("rank is not null")
+def _matched(names: DataFrame, found: DataFrame) -> DataFrame:
+    """(query, person_id, status) from candidates (query, person_id, rank): those of the best rank count, several of them are ambiguous."""
     best = found.groupBy("query").agg(F.min("rank").alias("rank"))
     top = found.join(best, ["query", "rank"]).groupBy("query").agg(F.count_distinct("person_id").alias("_n"), F.min("person_id").alias("_id"))
     return names.join(top, "query", "left").select(
@@ -165,6 +208,40 @@ def match_roster(names: DataFrame, roster: DataFrame, nicknames: DataFrame) -> D
     )
 
 
+def match_roster(names: DataFrame, roster: DataFrame, nicknames: dict[str, str] = NICKNAMES) -> DataFrame:
+    """(query, person_id, status) from roster (person_id, first, last): the query ends in the whole surname, which may have several words, and begins with the first name or a nickname of it.
+
+    A query is spread to its endings of one word, two words and so on, which join surnames by
+    equality; longer surnames go before shorter ones, given names before nicknames: "John Schultz" isn't
+    Wasserman Schultz. Only the first word of the roster's first name counts.
+    """
+    tokens = lambda c: F.filter(F.split(F.lower(F.trim(c)), r"\s+"), lambda t: t != "")
+    q = names.select("query", tokens("query").alias("_t"))
+    cut = F.filter(F.sequence(F.lit(1), F.greatest(F.size("_t") - 1, F.lit(1))), lambda n: n < F.size("_t"))
+    q = q.select("query", F.try_element_at("_t", F.lit(1)).alias("_first"), "_t", F.explode(cut).alias("_n"))
+    q = q.withColumn("_last", F.array_join(F.slice("_t", F.size("_t") - F.col("_n") + 1, F.col("_n")), " "))
+    r = roster.select("person_id", F.try_element_at(tokens("first"), F.lit(1)).alias("_rf"), F.array_join(tokens("last"), " ").alias("_last"))
+    legal = F.try_element_at(F.create_map(*(F.lit(x) for pair in nicknames.items() for x in pair)), F.col("_first")) if nicknames else F.lit(None)
+    named = F.when(F.col("_first") == F.col("_rf"), 0).when(legal == F.col("_rf"), 1)
+    found = q.join(r, "_last").withColumn("_how", named).where("_how is not null")
+    return _matched(names, found.select("query", "person_id", F.struct((-F.col("_n")).alias("n"), F.col("_how").alias("how")).alias("rank")))
+
+
+def match_roster_loosely(names: DataFrame, roster: DataFrame) -> DataFrame:
+    """As ``match_roster``, but the last word and the surname may contain one another, and first names begin alike: one with the other, or in four letters.
+
+    Equal surnames go before those that contain one another. The containing joins go by equality of rare runs of letters.
+    """
+    word = lambda n: F.lower(F.element_at(F.split(F.trim("query"), r"\s+"), n))
+    q = names.where(F.trim("query") != "").select("query", word(1).alias("_first"), word(-1).alias("_last"))
+    r = roster.select("person_id", F.lower(F.trim("first")).alias("_rf"), F.lower(F.trim("last")).alias("_rl")).where("_rl <> ''")
+    held = containing(r, "_rl", q, F.col("_last"), []).select("query", "person_id", "_first", "_last", "_rf", "_rl")
+    holds = containing(q, "_last", r, F.col("_rl"), []).select(held.columns)
+    begins = lambda a, b: F.startswith(F.col(a), F.col(b)) | F.startswith(F.col(a), F.substring(b, 1, 4))
+    found = held.unionAll(holds).where(begins("_rf", "_first") | begins("_first", "_rf"))
+    return _matched(names, found.select("query", "person_id", F.when(F.col("_last") == F.col("_rl"), 0).otherwise(1).alias("rank")))
+
+
 def fold_aliases(rows: DataFrame, alias_map: DataFrame, id_col: str) -> DataFrame:
     """Ids that stand for another one are replaced; rows that are then alike become one."""
     m = alias_map.select(F.col("alias_id").alias("_alias"), "main_id")

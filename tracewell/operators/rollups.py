@@ -181,14 +181,29 @@ def evidence_groups(hits: DataFrame, k: int = 8) -> DataFrame:
     return by.select("pattern", "member_id", "kind", F.slice("labels", 1, k).alias("labels"), F.greatest(F.size("labels") - k, F.lit(0)).alias("more"))
 
 
-def resolution_coverage(recipients: DataFrame) -> DataFrame:
-    """recipients (district, key, amount, ticker or null): resolved number, money and its share per district."""
-    known = F.col("ticker").isNotNull()
-    return recipients.groupBy("district").agg(
+def upper_tails(rows: DataFrame, value: str) -> DataFrame:
+    """(value, p_value) of each distinct value: the share of rows with as much or more. Rows are counted by value first; only distinct values are put in order."""
+    by = rows.groupBy(value).agg(F.count("*").alias("_n"))
+    upto = Window.orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return by.join(rows.agg(F.count("*").alias("_all")), F.lit(True)).select(value, (F.sum("_n").over(upto) / F.col("_all")).alias("p_value"))
+
+
+def resolution_coverage(recipients: DataFrame, traded: DataFrame, top: int = 15) -> DataFrame:
+    """recipients (district, recipient_key, amount, ticker or null) and traded (district, ticker): per district the resolved number, money and its share, what of it
+    the district's member traded, largest first, and the unresolved among the ``top`` largest recipients. Equal amounts go by key.
+    """
+    known, money = F.col("ticker").isNotNull(), lambda c: F.sum(F.when(c, F.col("amount")).otherwise(0.0))
+    mine = traded.where("ticker is not null").select("district", F.upper("ticker").alias("ticker"), F.lit(True).alias("_mine")).distinct()
+    place = F.row_number().over(Window.partitionBy("district").orderBy(F.desc_nulls_last("amount"), F.asc("recipient_key"), F.asc_nulls_last("ticker")))
+    rows = recipients.withColumn("ticker", F.upper("ticker")).join(mine, ["district", "ticker"], "left").withColumn("_place", place)
+    listed = lambda c, *fields: F.transform(F.array_sort(F.collect_list(F.when(c, F.struct("_place", *fields)))), lambda x: F.struct(*(x[f] for f in fields)))
+    return rows.groupBy("district").agg(
         F.count("*").alias("recipients"),
         F.count_if(known).alias("resolved"),
-        F.sum(F.when(known, F.col("amount")).otherwise(0.0)).alias("resolved_amount"),
-        (F.sum(F.when(known, F.col("amount")).otherwise(0.0)) / F.sum("amount")).alias("resolved_share"),
+        money(known).alias("resolved_amount"),
+        (money(known) / F.sum("amount")).alias("resolved_share"),
+        listed(F.col("_mine"), "recipient_key", "ticker", "amount").alias("overlap"),
+        listed(~known & (F.col("_place") <= top), "recipient_key", "amount").alias("unresolved_top"),
     )
 
 

@@ -68,12 +68,17 @@ BINDINGS: dict[str, str] = {
     "spending": """SELECT c.c_nationkey AS member_id, CAST(EXTRACT(YEAR FROM o.o_orderdate) AS INT) + CAST(EXTRACT(YEAR FROM o.o_orderdate) AS INT) % 2 AS cycle,
         o.o_orderpriority AS committee, CASE o.o_orderstatus WHEN 'F' THEN 'S' ELSE 'O' END AS side, CAST(ROUND(o.o_totalprice) AS BIGINT) AS amount
         FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey""",
-    "lobby_roles": """SELECT event_id AS filing_id, user_id AS lobbyist_id, CAST(2014 + event_id % 11 AS INT) AS filing_year,
-        CASE event_id % 4 WHEN 0 THEN 'Counsel, Rep. Ann Member' || (event_id % 37) WHEN 1 THEN 'Aide to Senator Member' || (event_id % 37)
-            WHEN 2 THEN 'Staff, House Cmte on ' || CASE event_id % 3 WHEN 0 THEN 'Widgets' WHEN 1 THEN 'Gizmos' ELSE 'Bolts' END ELSE 'N/A' END AS role FROM {events}""",
-    "lobby_members": """SELECT DISTINCT CAST(event_id % 37 AS BIGINT) AS member_id, 'Ann' AS first, 'Member' || (event_id % 37) AS last,
-        CASE WHEN event_id % 37 % 2 = 0 THEN 'house' ELSE 'senate' END AS chamber FROM {events}""",
-    "lobby_keywords": "SELECT DISTINCT CAST(event_id % 37 AS BIGINT) AS member_id, CASE event_id % 37 % 3 WHEN 0 THEN 'widgets' WHEN 1 THEN 'gizmos' ELSE 'energy' END AS keyword FROM {events}",
+    "lobby_roles": """SELECT event_id AS filing_id, user_id AS lobbyist_id, CAST(2014 + event_id % 11 AS INT) AS filing_year, CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS posted_at,
+        CASE event_id % 12 WHEN 0 THEN 'Counsel, Rep. Ann Member' || (event_id % 37) WHEN 1 THEN 'Aide to Senator Member' || (event_id % 37)
+            WHEN 2 THEN 'Staff, House Cmte on ' || CASE event_id % 5 WHEN 0 THEN 'Widgets' WHEN 1 THEN 'Bioenergy' ELSE 'Bolts' END WHEN 3 THEN 'N/A'
+            WHEN 4 THEN 'Chief of Staff,  Rep Ann  T. Member' || (event_id % 37) || ' (2015)' WHEN 5 THEN 'Rep. Adam Member' || (event_id % 37)
+            WHEN 6 THEN 'Sen. Ann Lee-Roe van Member' || (event_id % 37) || ', and CMTE staff: boltsmith' WHEN 7 THEN 'intern, CONGRESSWOMAN ann member' || (event_id % 37) || '; cmte on ENERGY'
+            WHEN 8 THEN 'Rep. Ann One Two Three Member' || (event_id % 37) WHEN 9 THEN 'Prep. Member' || (event_id % 37) || 's' WHEN 10 THEN NULL
+            ELSE 'ex-Senator Member' || (event_id % 37) || '-Smith' END AS role FROM {events}""",
+    "lobby_members": """SELECT DISTINCT CAST(event_id % 37 AS BIGINT) AS member_id, CASE event_id % 37 % 5 WHEN 0 THEN 'Ann Member' || (event_id % 37) WHEN 1 THEN 'Ann T. Member' || (event_id % 37) || ', Jr.'
+            WHEN 2 THEN 'Ann  Member' || (event_id % 37) || ' PhD' WHEN 3 THEN 'Member' || (event_id % 37) ELSE 'Zoe Member' || (event_id % 37) END AS name,
+        CASE event_id % 37 % 3 WHEN 0 THEN 'house' WHEN 1 THEN 'senate' END AS chamber FROM {events}""",
+    "lobby_keywords": "SELECT DISTINCT CAST(event_id % 37 AS BIGINT) AS member_id, CASE event_id % 37 % 3 WHEN 0 THEN 'widgets' WHEN 1 THEN 'bolts' ELSE 'energy' END AS keyword FROM {events}",
     "filings": """SELECT user_id AS filing_id, event_id, CAST(event_id % 5 AS INT) AS activity, event_type AS issue, CAST(event_id % 7 AS INT) AS lobbyist,
         CASE event_id % 3 WHEN 0 THEN 'N/A' WHEN 1 THEN ' ' ELSE 'Aide ' || (event_id % 9) END AS position, 'Entity ' || (event_id % 4) AS entity FROM {events}""",
 }

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tracewell.functions import rng, text
-from tracewell.operators import calibration, detectors, flatten, nullmodel, ordering, quality, resolve, rollups, themes
-from tracewell.scratch import staged
+from tracewell.operators import calibration, detectors, flatten, nullmodel, ordering, proximity, quality, resolve, rollups, themes
+from tracewell.scratch import discard, staged
 
 from .queries import _MEDIANS, _TOTALS, before, donor_theme, eligible, instruments, nexus, query, sponsored_theme
 
@@ -23,20 +23,43 @@ _ALIGNED = f"""(SELECT * FROM (SELECT *, {_NAMED} AS ticker_named, {_SCORE.forma
     FROM before WHERE days_before_vote <= 14 AND upper(coalesce(ticker, '')) NOT IN ({_FUNDS}) AND (member_on_bill_committee OR {_NAMED})) r WHERE rn = 1)"""
 
 
-@query(f"""SELECT member_id, count(*) AS n_trades, count(*) FILTER (member_on_bill_committee) AS n_committee, count(*) FILTER (NOT member_on_bill_committee AND ticker_named) AS n_named,
-    count(*) FILTER (days_before_vote = 0) AS n_same_day, least(1.0, max(score) / 100.0)::DOUBLE AS intensity, count(*) + count(DISTINCT vote_id) AS n_cited FROM {_ALIGNED} x GROUP BY 1""")
-def d01_trade_vote_alignment(t):
-    found = detectors.trade_vote_alignment(before(t, 14))
-    return found.select("member_id", "n_trades", "n_committee", "n_named", "n_same_day", "intensity", F.size("citing").cast("long").alias("n_cited"))
+def _cited(trade_label: str) -> str:
+    """The cited trades, votes and dates of a member's rows as texts, as DuckDB SQL."""
+    listed = lambda rows, kind: f"list_transform({rows}, lambda x: '{kind}:' || x.id || ':' || x.label)"
+    trades = f"list_sort(list({{'id': filing_id::VARCHAR, 'label': {trade_label}}}))"
+    votes = "list_sort(list(DISTINCT {'id': vote_id, 'label': 'Vote ' || vote_date || ': ' || coalesce(bill_title, vote_question)}))"
+    return f"""md5(array_to_string(list_concat({listed(trades, 'trade')}, {listed(votes, 'vote')}), '|')) AS citing,
+        array_to_string(list_sort(list_distinct(list_concat(list(tx_date::VARCHAR), list(vote_date::VARCHAR)))), ',') AS dates"""
+
+
+def _as_texts(found):
+    """Hits with what they cite as texts, to compare."""
+    citing = F.array_join(F.transform("citing", lambda x: F.concat_ws(":", x["kind"], x["id"], x["label"])), "|")
+    return found.withColumn("citing", F.md5(citing)).withColumn("dates", F.array_join(F.transform("dates", lambda d: d.cast("string")), ","))
 
 
-@query(f"""SELECT member_id, count(*) AS n_trades, count(*) FILTER (lower(holder) = 'spouse') AS n_spouse, count(*) FILTER (lower(holder) = 'joint') AS n_joint,
-    round(least(1.0, 0.5 + 0.3 * (1 - min(days_before_vote) / 14.0) + 0.2 * least(1.0, count(*) / 5.0)), 6)::DOUBLE AS intensity FROM (
-    SELECT *, row_number() OVER (PARTITION BY member_id, filing_id, tx_date, tx_type, upper(coalesce(ticker, asset)) ORDER BY days_before_vote, vote_id) AS rn FROM before
-    WHERE lower(holder) IN ('spouse', 'joint') AND member_on_bill_committee AND days_before_vote <= 14 AND upper(coalesce(ticker, '')) NOT IN ({_FUNDS})) r WHERE rn = 1 GROUP BY 1""")
+@query(f"""SELECT *, n_trades || ' trade' || CASE WHEN n_trades = 1 THEN '' ELSE 's' END || ' placed within 14 days before a vote on a related bill'
+      || CASE WHEN n_committee > 0 THEN '; ' || n_committee || ' where the member sat on a committee that handled the bill' ELSE '' END
+      || CASE WHEN n_named > 0 THEN '; ' || n_named || ' where the bill text names the traded company' ELSE '' END
+      || CASE WHEN n_same_day > 0 THEN '; ' || n_same_day || ' on the same day as the vote' ELSE '' END || '.' AS finding FROM (
+    SELECT member_id, count(*) AS n_trades, count(*) FILTER (member_on_bill_committee) AS n_committee, count(*) FILTER (NOT member_on_bill_committee AND ticker_named) AS n_named,
+      count(*) FILTER (days_before_vote = 0) AS n_same_day, least(1.0, max(score) / 100.0)::DOUBLE AS intensity, {_cited("tx_type || ' ' || coalesce(ticker, asset) || ' (' || tx_date || ')'")} FROM {_ALIGNED} x GROUP BY 1) g""")
+def d01_trade_vote_alignment(t):
+    found = _as_texts(detectors.trade_vote_alignment(before(t, 14)))
+    return found.select("member_id", "n_trades", "n_committee", "n_named", "n_same_day", "intensity", "citing", "dates", "finding")
+
+
+@query(f"""SELECT member_id, n_trades, n_spouse, n_joint, intensity, citing, dates,
+    CASE WHEN n_spouse > 0 AND n_joint > 0 THEN n_trades || ' household trade' || s || ' (' || n_spouse || ' spouse-held, ' || n_joint || ' jointly-held)'
+      WHEN n_joint > 0 THEN n_trades || ' jointly-held trade' || s ELSE n_trades || ' spouse-held trade' || s END
+      || ' placed within 14 days before a vote on a bill the member''s committee handled' || CASE WHEN n_same_day > 0 THEN '; ' || n_same_day || ' on the same day as the vote' ELSE '' END || '.' AS finding FROM (
+    SELECT member_id, count(*) AS n_trades, CASE WHEN count(*) = 1 THEN '' ELSE 's' END AS s, count(*) FILTER (lower(holder) = 'spouse') AS n_spouse, count(*) FILTER (lower(holder) = 'joint') AS n_joint, count(*) FILTER (days_before_vote = 0) AS n_same_day,
+      round(least(1.0, 0.5 + 0.3 * (1 - min(days_before_vote) / 14.0) + 0.2 * least(1.0, count(*) / 5.0)), 6)::DOUBLE AS intensity, {_cited("lower(holder) || ' ' || tx_type || ' ' || coalesce(ticker, asset) || ' (' || tx_date || ')'")} FROM (
+      SELECT *, row_number() OVER (PARTITION BY member_id, filing_id, tx_date, tx_type, upper(coalesce(ticker, asset)) ORDER BY days_before_vote, vote_id) AS rn FROM before
+      WHERE lower(holder) IN ('spouse', 'joint') AND member_on_bill_committee AND days_before_vote <= 14 AND upper(coalesce(ticker, '')) NOT IN ({_FUNDS})) r WHERE rn = 1 GROUP BY 1) g""")
 def d02_household_trade_timing(t):
-    found = detectors.household_trade_timing(before(t, 14))
-    return found.select("member_id", "n_trades", "n_spouse", "n_joint", F.round("intensity", 6).alias("intensity"))
+    found = _as_texts(detectors.household_trade_timing(before(t, 14)))
+    return found.select("member_id", "n_trades", "n_spouse", "n_joint", F.round("intensity", 6).alias("intensity"), "citing", "dates", "finding")
 
 
 @query("""SELECT d.member_id, d.theme, round(share, 6) AS share, n_bills, round(least(1.0, share + 0.1 * least(n_bills, 5)), 6)::DOUBLE AS intensity FROM (
@@ -89,8 +112,9 @@ def d06_finding_level(t):
     return detectors.finding_level(detectors.best_findings(before(t, 30)), t.members)
 
 
-_DIRECT = r"""(SELECT r.*, m.member_id FROM lobby_roles r JOIN lobby_members m ON regexp_matches(r.role, '(?i)\b' || CASE m.chamber WHEN 'senate' THEN '(sen\.?|senator)'
-    ELSE '(rep\.?|representative|congressman|congresswoman)' END || '\s+(' || m.first || '\s+)?' || m.last || '\b'))"""
+_TITLES = r"CASE m.chamber WHEN 'senate' THEN 'Sen\.?|Senator' WHEN 'house' THEN 'Rep\.?|Congressman|Congresswoman' ELSE 'Sen\.?|Senator|Rep\.?|Congressman|Congresswoman' END"
+_DIRECT = rf"""(SELECT r.*, m.member_id FROM lobby_roles r JOIN (SELECT *, 'Member' || member_id AS last, split_part(name, ' ', 1) AS first FROM lobby_members) m
+    ON regexp_matches(r.role, '(?i)(' || {_TITLES} || ')\s+(?:' || m.last || '|' || m.first || '(?:\s+[A-Z][\w\.\-]*){{0,2}}\s+' || m.last || ')\b'))"""
 
 
 @query(f"SELECT DISTINCT member_id, lobbyist_id, filing_id FROM {_DIRECT} d")
@@ -98,7 +122,7 @@ def j17_named_in_roles(t):
     return detectors.named_in_roles(t.lobby_roles, t.lobby_members).select("member_id", "lobbyist_id", "filing_id").distinct()
 
 
-_KEYWORD = "(SELECT DISTINCT r.*, k.member_id FROM lobby_roles r JOIN lobby_keywords k ON lower(r.role) LIKE '%cmte%' AND list_contains(string_split(lower(replace(r.role, ',', '')), ' '), k.keyword))"
+_KEYWORD = "(SELECT DISTINCT r.*, k.member_id FROM lobby_roles r JOIN lobby_keywords k ON r.role ILIKE '%cmte%' AND r.role ILIKE '%' || k.keyword || '%')"
 
 
 @query(f"SELECT DISTINCT member_id, lobbyist_id, filing_id FROM {_KEYWORD} k")
@@ -107,7 +131,7 @@ def j18_keyword_roles(t):
 
 
 @query(f"""SELECT member_id, lobbyist_id, connection, filing_id, filing_year, CASE WHEN 2024 - filing_year <= 1 THEN 'active' WHEN 2024 - filing_year <= 3 THEN 'recent' ELSE 'historical' END AS tier FROM (
-    SELECT *, row_number() OVER (PARTITION BY member_id, lobbyist_id ORDER BY filing_year DESC, filing_id DESC) AS rn FROM (
+    SELECT *, row_number() OVER (PARTITION BY member_id, lobbyist_id ORDER BY filing_year DESC, posted_at DESC NULLS LAST, filing_id) AS rn FROM (
       SELECT *, 'direct' AS connection FROM {_DIRECT} d UNION ALL SELECT *, 'committee' FROM {_KEYWORD} k
       WHERE NOT EXISTS (SELECT 1 FROM {_DIRECT} d2 WHERE d2.member_id = k.member_id AND d2.lobbyist_id = k.lobbyist_id)) u) r WHERE rn = 1""")
 def d07_revolving_door(t):
@@ -186,9 +210,13 @@ def d08_receipts(t):
 
 def _substrate(t) -> tuple[DataFrame, DataFrame]:
     """Trades and votes of the null models: pairs are made once, and so are both tables."""
-    pairs = before(t).select("member_id", "filing_id", "tx_date", "tx_type", "ticker", "asset", "vote_id", "vote_date", "member_on_bill_committee", "bill_mentions_ticker")
-    trades, votes = nullmodel.substrate(staged(pairs, "before"))
-    return staged(trades, "null-trades"), staged(votes, "null-votes")
+    pairs = proximity.mentioning_pairs(t.trades, t.votes, t.members, t.bills, t.bill_committees, t.memberships)
+    pairs = pairs.select("member_id", "filing_id", "tx_date", "tx_type", "ticker", "asset", "vote_id", "vote_date", "member_on_bill_committee", "bill_mentions_ticker")
+    pairs = staged(pairs, "before")
+    trades, votes = nullmodel.substrate(pairs)
+    both = staged(trades, "null-trades"), staged(votes, "null-votes")
+    discard(pairs)
+    return both
 
 
 @query(f"""SELECT member_id, vote_id, vote_date, bool_or(member_on_bill_committee) AS committee, coalesce(string_agg(DISTINCT CASE WHEN {_NAMED} THEN upper(ticker) END, ',' ORDER BY CASE WHEN {_NAMED} THEN upper(ticker) END), '') AS named
@@ -282,7 +310,9 @@ def _control(t, replicates: int) -> tuple[DataFrame, DataFrame]:
     trades, votes = _substrate(t)
     control = staged(nullmodel.scrambled(votes, ["member_id"], ["committee", "named"], ["vote_date", "vote_id"], replicates, "votes"), "control")
     as_one = lambda df: df.withColumn("member_id", F.concat_ws(":", "replicate", "member_id")).drop("replicate")
-    return staged(as_one(trades.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))), "control-trades"), as_one(control)
+    both = staged(as_one(trades.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))), "control-trades"), as_one(control)
+    discard(trades, votes)
+    return both
 
 
 _VOTES_SQL = f"""(SELECT member_id, vote_id, vote_date, bool_or(member_on_bill_committee) AS committee, list_sort(list(DISTINCT CASE WHEN {_NAMED} THEN upper(ticker) END) FILTER ({_NAMED})) AS named FROM before GROUP BY 1, 2, 3)"""
@@ -432,10 +462,26 @@ def _rules() -> list:
     ]
 
 
-@query("""SELECT filing_id, 'tx_date' AS field, 'critical' AS severity FROM trades WHERE tx_date > DATE '2001-01-01' UNION ALL SELECT filing_id, 'ticker', 'warning' FROM trades WHERE ticker IS NULL
-    UNION ALL SELECT filing_id, 'match_confidence', 'warning' FROM trades WHERE match_confidence < 0.9""")
+_PROFILE = """(SELECT c_custkey AS id, c_comment_like AS bio, state, in_office, bill_date, bill_confidence, vote_date, vote_confidence FROM (
+    SELECT c_custkey, repeat('x', CAST(c_custkey % 100 AS INT)) AS c_comment_like, CASE c_custkey % 4 WHEN 0 THEN 'ca' WHEN 1 THEN 'ZZ' WHEN 2 THEN NULL ELSE 'US' END AS state,
+      CASE c_custkey % 3 WHEN 0 THEN 'true' WHEN 1 THEN '"true"' END AS in_office, CASE WHEN c_custkey % 7 < 5 THEN CAST('2024-01-0' || (1 + c_custkey % 7) AS DATE) END AS bill_date,
+      CASE WHEN c_custkey % 5 > 0 THEN c_custkey % 5 * 0.2 END AS bill_confidence, CASE WHEN c_custkey % 7 < 3 THEN CAST('2024-01-0' || (2 + c_custkey % 6) AS DATE) END AS vote_date, 0.6 AS vote_confidence FROM customer) x)"""
+
+
+@query(f"""SELECT id, 'data.bio' AS field, 'critical' AS severity, 'Bio too short: ' || length(bio) || ' chars (min 50)' AS message FROM {_PROFILE} p WHERE length(bio) < 50
+    UNION ALL SELECT id, 'data.state', 'warning', 'Unrecognized state code: ' || state FROM {_PROFILE} p WHERE state = 'ZZ'
+    UNION ALL SELECT id, 'data', 'info', 'bills, votes, and donors are all empty' FROM {_PROFILE} p WHERE bill_date IS NULL AND vote_date IS NULL
+    UNION ALL SELECT id, 'data.bills[B' || id || '].introducedAt', 'critical', 'Future date: ' || bill_date FROM {_PROFILE} p WHERE bill_date > DATE '2024-01-03'
+    UNION ALL SELECT id, 'data.votes[V' || id || '].date', 'critical', 'Future date: ' || vote_date FROM {_PROFILE} p WHERE vote_date > DATE '2024-01-03'
+    UNION ALL SELECT id, 'data', 'warning', 'Low confidence (' || bill_confidence::DOUBLE || ') on: B' || id FROM {_PROFILE} p WHERE bill_date IS NOT NULL AND bill_confidence < 0.6
+    UNION ALL SELECT id, 'data.inOffice', 'critical', 'inOffice must be boolean, got ' || CASE WHEN in_office IS NULL THEN 'undefined' ELSE 'string' END FROM {_PROFILE} p WHERE in_office IS DISTINCT FROM 'true'""")
 def dq1_issues(t):
-    return quality.issues(t.trades, "filing_id", _rules()).select("filing_id", "field", "severity")
+    t.customer.createOrReplaceTempView("customer_of_profiles")
+    p = t.spark.sql(f"SELECT * FROM {_PROFILE.replace('FROM customer', 'FROM customer_of_profiles')}")
+    item = lambda name, title, date, confidence: F.when(F.col(date).isNotNull(), F.array(F.struct(F.concat(F.lit(title), "id").alias("title"), F.col(date).alias("date"), F.col(confidence).cast("double").alias("confidence")))).alias(name)
+    nobody = F.array().cast("array<struct<title: string, confidence: double>>").alias("donors")
+    profiles = p.select("id", "bio", "state", F.col("in_office"), item("bills", "B", "bill_date", "bill_confidence"), item("votes", "V", "vote_date", "vote_confidence"), nobody)
+    return quality.profile_issues(profiles, "id", F.lit("2024-01-03").cast("date"))
 
 
 @query("""SELECT filing_id, round(greatest(0, 1 - CASE WHEN tx_date > DATE '2001-01-01' THEN 0.3 ELSE 0 END - CASE WHEN ticker IS NULL THEN 0.1 ELSE 0 END - CASE WHEN match_confidence < 0.9 THEN 0.1 ELSE 0 END), 4)::DOUBLE AS score,
@@ -468,10 +514,10 @@ def dq5_shape_profile(t):
     return quality.shape_profile(t.part.select("p_partkey", doc.alias("doc")), "p_partkey", "doc").select("path", "docs", "types", "numeric_strings")
 
 
-_TERMS = ["the", "que", "of the", "stupid"]
+_TERMS = ["the", "que", "of the", "stupid", "al-", "radical"]
 
 
-@query(r"""SELECT doc_id, term FROM documents, (VALUES ('the', '\bthe\b'), ('que', '\bque\b'), ('of the', 'of the'), ('stupid', '\bstupid\b')) AS b(term, pattern) WHERE regexp_matches(lower(text), pattern)""")
+@query(r"""SELECT doc_id, term FROM documents, (VALUES ('the', '\bthe\b'), ('que', '\bque\b'), ('of the', 'of the'), ('stupid', '\bstupid\b'), ('al-', 'al-'), ('radical', '\bradical\b')) AS b(term, pattern) WHERE regexp_matches(lower(text), pattern)""")
 def dq6_banned_terms(t):
     return quality.banned_terms(t.documents, "doc_id", "text", _TERMS)
 
@@ -542,11 +588,15 @@ def l10_lobbyists(t):
     return flatten.lobbyists(nested).select("filing_id", F.col("lobbyist_id").cast("int").alias("lobbyist"), "issues", "position", "entities")
 
 
-@query("""SELECT member_id, donor, amount, n FROM (SELECT member_id, upper(committee) AS donor, sum(amount)::BIGINT AS amount, count(DISTINCT cycle) AS n, row_number() OVER (PARTITION BY member_id ORDER BY sum(amount) DESC, upper(committee)) AS rn
-    FROM spending WHERE amount > 0 GROUP BY 1, 2) r WHERE rn <= 3""")
+_DONOR = "CASE amount % 8 WHEN 0 THEN 'WinRed Technical Services' WHEN 1 THEN committee || ' Victory Fund' WHEN 2 THEN 'X ACTBLUE EMPLOYEE' WHEN 3 THEN 'ANEDOT' WHEN 4 THEN 'ActBlue' WHEN 5 THEN 'actbluecivics' ELSE committee END"
+
+
+@query(rf"""SELECT member_id, donor, amount, n FROM (SELECT member_id, upper(name) AS donor, sum(amount)::BIGINT AS amount, count(DISTINCT cycle) AS n, row_number() OVER (PARTITION BY member_id ORDER BY sum(amount) DESC, upper(name)) AS rn
+    FROM (SELECT *, {_DONOR} AS name FROM spending) d WHERE amount > 0 AND NOT regexp_matches(name, '(?i)^WINRED\b') AND NOT regexp_matches(name, '(?i)^ACTBLUE\b') AND NOT regexp_matches(name, '(?i)\bVICTORY\b') GROUP BY 1, 2) r WHERE rn <= 6""")
 def l13_donor_rollup(t):
-    receipts = t.spending.select("member_id", F.col("committee").alias("name"), "amount", "cycle", F.lit("pac").alias("donor_type"), F.lit(None).cast("date").alias("date"))
-    return flatten.donor_rollup(receipts, 3).select("member_id", "donor", "amount", F.size("cycles").cast("long").alias("n"))
+    """Conduits, their look-alikes and donors proper."""
+    receipts = t.spending.select("member_id", F.expr(_DONOR).alias("name"), "amount", "cycle", F.lit("pac").alias("donor_type"), F.lit(None).cast("date").alias("date"))
+    return flatten.donor_rollup(receipts, 6).select("member_id", "donor", "amount", F.size("cycles").cast("long").alias("n"))
 
 
 @query("""SELECT member_id, cycle, committee, side, sum(amount)::BIGINT AS amount, count(*) AS n, (sum(sum(amount)) OVER (PARTITION BY member_id, cycle, side))::BIGINT AS side_total FROM spending GROUP BY 1, 2, 3, 4""")
@@ -554,11 +604,16 @@ def l14_spending_aggregate(t):
     return flatten.spending_aggregate(t.spending)
 
 
-@query("""SELECT lower(committee_name) AS committee, name, amount FROM (SELECT committee AS committee_name, 'F' || member_id AS name, sum(amount)::BIGINT AS amount,
-    row_number() OVER (PARTITION BY committee ORDER BY sum(amount) DESC, 'F' || member_id) AS rn FROM spending WHERE member_id NOT IN (3, 4) AND member_id % 5 <> 0 GROUP BY 1, 2) r WHERE rn <= 3""")
+_FUNDER = "CASE member_id WHEN 3 THEN ' ActBlue ' WHEN 4 THEN 'winred' WHEN 6 THEN 'ACTBLUE PAC' ELSE 'F' || member_id END"
+_MEMO = "CASE member_id % 5 WHEN 0 THEN 'See: EARMARKED through this organization' WHEN 1 THEN 'Attribution to earmark conduit' END"
+
+
+@query(f"""SELECT committee, name, amount FROM (SELECT committee, {_FUNDER} AS name, sum(amount)::BIGINT AS amount, row_number() OVER (PARTITION BY committee ORDER BY sum(amount) DESC, {_FUNDER}) AS rn
+    FROM spending WHERE member_id NOT IN (3, 4) AND member_id % 5 <> 0 GROUP BY 1, 2) r WHERE rn <= 9""")
 def l15_top_funders(t):
-    funders = t.spending.select(F.lower("committee").alias("committee"), F.concat(F.lit("F"), "member_id").alias("name"), F.when(F.col("member_id") % 5 == 0, "Earmarked gift").alias("memo"), "amount")
-    return flatten.top_funders(funders, ("f3", "f4"))
+    """Names that pass money on, in any case, look-alikes of them, memos that say so and others that speak of earmarks."""
+    funders = t.spending.select("committee", F.expr(_FUNDER).alias("name"), F.expr(_MEMO).alias("memo"), "amount")
+    return flatten.top_funders(funders, k=9)
 
 
 @query("SELECT p_partkey AS bill_id, subject, policy_area FROM (SELECT p_partkey, unnest(CASE WHEN p_partkey % 3 = 0 THEN [p_type] ELSE string_split(p_name, ' ') END) AS subject, p_type AS policy_area FROM part) x")
@@ -579,8 +634,21 @@ def a22_evidence_groups(t):
     return found.select("member_id", "kind", (F.size("labels") + F.col("more")).cast("long").alias("n"), F.array_join("labels", "|").alias("labels"), "more")
 
 
-@query(f"""SELECT member_id, least(1.0, max(score) / 100.0)::DOUBLE AS intensity, CASE WHEN max(score) >= 85 THEN 'high' WHEN max(score) >= 70 THEN 'medium' ELSE 'low' END AS tier FROM {_ALIGNED} x GROUP BY 1
-    ORDER BY intensity DESC, member_id LIMIT 12""")
+_HIT = "least(1.0, max(score) / 100.0)::DOUBLE"
+
+
+@query(f"""SELECT member_id, pattern, intensity, z_score, detected_at FROM (
+    SELECT member_id, pattern, intensity, detected_at, CASE WHEN n_trades > 1 THEN round((n_trades - avg(n_trades) OVER (PARTITION BY pattern)) / nullif(stddev_pop(n_trades) OVER (PARTITION BY pattern), 0), 6) END AS z_score FROM (
+      SELECT member_id, 'trade-vote-alignment' AS pattern, {_HIT} AS intensity, count(*) AS n_trades, max(vote_date) AS detected_at FROM {_ALIGNED} x GROUP BY 1
+      UNION ALL SELECT member_id, 'spousal-trade-timing', round(least(1.0, 0.5 + 0.3 * (1 - min(days_before_vote) / 14.0) + 0.2 * least(1.0, count(*) / 5.0)), 6)::DOUBLE, count(*), max(vote_date) FROM (
+        SELECT *, row_number() OVER (PARTITION BY member_id, filing_id, tx_date, tx_type, upper(coalesce(ticker, asset)) ORDER BY days_before_vote, vote_id) AS rn FROM before
+        WHERE lower(holder) IN ('spouse', 'joint') AND member_on_bill_committee AND days_before_vote <= 14 AND upper(coalesce(ticker, '')) NOT IN ({_FUNDS})) r WHERE rn = 1 GROUP BY 1) h) z
+    ORDER BY z_score DESC NULLS LAST, intensity DESC, detected_at DESC, pattern, member_id LIMIT 12""", dates=("detected_at",))
 def w11_strongest_flags(t):
-    found = detectors.trade_vote_alignment(before(t, 14)).select("member_id", "intensity", detectors.row_tier(F.round(F.col("intensity") * 100)).alias("tier"))
-    return ordering.first_rows(found, [F.col("intensity").desc_nulls_last(), F.col("member_id")], 12)
+    """Hits of two patterns; z is how far a member's number of trades stands out among the pattern's, unknown for one trade."""
+    rows, by = before(t, 14), Window.partitionBy("pattern")
+    hits = [detectors.trade_vote_alignment(rows), detectors.household_trade_timing(rows).withColumn("intensity", F.round("intensity", 6))]
+    both = hits[0].select("member_id", "pattern", "intensity", "n_trades", "dates").unionByName(hits[1].select("member_id", "pattern", "intensity", "n_trades", "dates"))
+    z = (F.col("n_trades") - F.avg("n_trades").over(by)) / F.nullif(F.stddev_pop("n_trades").over(by), F.lit(0.0))
+    scored = both.withColumn("z_score", F.when(F.col("n_trades") > 1, F.round(z, 6))).withColumn("detected_at", F.array_max("dates"))
+    return detectors.strongest_flags(scored, 12).select("member_id", "pattern", "intensity", "z_score", "detected_at")

@@ -47,23 +47,35 @@ def l12_latest_activity(t):
     return flatten.latest_activity(rows.distinct())
 
 
-@query("""SELECT DISTINCT m.member_id, e.event_id, CASE event_type WHEN 'view' THEN 'Hearing' WHEN 'click' THEN 'Markup' WHEN 'error' THEN 'Meeting' ELSE 'Other' END AS kind
-    FROM events e JOIN memberships m ON m.member_id % 100 = e.event_id % 100 AND (m.committee_canonical = 'brand#' || (e.event_id % 25 + 1) OR m.committee_canonical = 'brand#' || (e.user_id % 25 + 1))""")
+_LETTERS = "translate(CAST({0} AS VARCHAR(20)), '0123456789', 'abcdefghij')"
+
+
+@query("""SELECT member_id, kind, count(*) AS n, min(event_id) AS first_event, sum(event_id)::BIGINT AS event_sum FROM (SELECT DISTINCT m.member_id, e.event_id,
+    CASE WHEN event_type = 'view' THEN 'Hearing' WHEN event_type = 'click' THEN 'Markup' WHEN e.event_id % 3 = 0 THEN 'Meeting' ELSE 'Other' END AS kind
+    FROM events e JOIN memberships m ON m.committee_canonical = 'brand#' || (e.event_id % 25 + 1) OR m.committee_canonical = 'brand#' || (e.user_id % 25 + 1)) x GROUP BY 1, 2""")
 def l16_relevant_meetings(t):
-    title = F.when(F.col("event_type") == "view", "Full Hearing").when(F.col("event_type") == "click", "Markup of a bill").when(F.col("event_type") == "error", "Business meeting").otherwise("Briefing")
-    sub = F.concat(F.lit("."), F.col("event_id") % 100)  # each committee has a hundred subcommittees
-    codes = F.array(F.concat(F.lit("BRAND#"), F.col("event_id") % 25 + 1, sub), F.concat(F.lit("Brand#"), F.col("user_id") % 25 + 1, sub))
-    meetings = t.events.select("event_id", F.col("ts").cast("date").alias("date"), title.alias("title"), codes.alias("committees"))
-    mine = t.memberships.select("member_id", F.concat("committee_name", F.lit("."), F.col("member_id") % 100).alias("committee_code"))
-    return flatten.relevant_meetings(meetings, mine).select("member_id", "event_id", "kind")
+    """All meetings of all members' committees, counted. Titles that speak of a meeting don't make one; the record's type does."""
+    title = F.when(F.col("event_type") == "view", "Full Hearing").when(F.col("event_type") == "click", "Markup of a bill, hearing to follow").when(F.col("event_type") == "error", "Business meeting")
+    codes = F.array(F.concat(F.lit("BRAND#"), F.col("event_id") % 25 + 1), F.concat(F.lit("Brand#"), F.col("user_id") % 25 + 1))
+    kind = F.when(F.col("event_id") % 3 == 0, "Meeting").otherwise("Hearing record")
+    meetings = t.events.select("event_id", F.col("ts").cast("date").alias("date"), title.alias("title"), kind.alias("type"), codes.alias("committees"))
+    found = flatten.relevant_meetings(meetings, t.memberships.select("member_id", F.col("committee_name").alias("committee_code")))
+    return found.groupBy("member_id", "kind").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"), F.sum("event_id").alias("event_sum"))
+
+
+_SENATOR = f"SELECT c_custkey AS member_id, CASE c_custkey % 12 WHEN 0 THEN 'Ann K' WHEN 4 THEN 'Bob K' ELSE 'Annette Q. K' END || {_LETTERS.format('c_custkey')} AS name FROM customer WHERE c_custkey % 4 = 0"
+_FILER = f"SELECT CASE c_custkey % 3 WHEN 0 THEN 'Ann Q.' WHEN 1 THEN ' bob ' ELSE '' END AS first_name, 'K' || {_LETTERS.format('c_custkey')} || CASE c_custkey % 5 WHEN 0 THEN ', Jr.' WHEN 1 THEN ' III' WHEN 2 THEN '''' ELSE '' END AS last_name, lower('K' || {_LETTERS.format('c_custkey')}) AS bare FROM customer"
 
 
-@query("""SELECT f.first_name, f.last_name, CASE WHEN n > 1 AND n_narrow = 1 THEN narrow ELSE first END AS member_id, CASE WHEN n = 1 THEN 1.0 WHEN n > 1 AND n_narrow = 1 THEN 0.95 WHEN n > 1 THEN 0.7 ELSE 0 END::DOUBLE AS confidence
-    FROM (SELECT DISTINCT 'Customer X' AS first_name, '000' || (c_custkey % 40) AS last_name FROM customer) f LEFT JOIN LATERAL (SELECT count(*) AS n, min(m.member_id) AS first, count(*) FILTER (contains(lower(m.name), 'customer')) AS n_narrow,
-      min(m.member_id) FILTER (contains(lower(m.name), 'customer')) AS narrow FROM members m WHERE m.chamber = 'senate' AND contains(lower(m.name), f.last_name)) c ON true""")
+@query(f"""SELECT first_name, last_name, CASE WHEN n > 1 AND n_narrow = 1 THEN narrow ELSE first END AS member_id, CASE WHEN n = 1 THEN 1.0 WHEN n > 1 AND n_narrow = 1 THEN 0.95 WHEN n > 1 THEN 0.7 ELSE 0 END::DOUBLE AS confidence,
+    CASE WHEN n = 1 THEN 'exact_senate_lastname' WHEN n > 1 AND n_narrow = 1 THEN 'senate_firstname_lastname' WHEN n > 1 THEN 'senate_lastname_ambiguous' ELSE 'unmatched' END AS method FROM (
+    SELECT f.first_name, f.last_name, count(m.member_id) AS n, min(m.member_id) AS first, count(m.member_id) FILTER (f.token <> '' AND contains(lower(m.name), f.token)) AS n_narrow, min(m.member_id) FILTER (f.token <> '' AND contains(lower(m.name), f.token)) AS narrow
+    FROM (SELECT DISTINCT *, lower(split_part(trim(first_name), ' ', 1)) AS token FROM ({_FILER}) x) f LEFT JOIN ({_SENATOR}) m ON contains(lower(m.name), f.bare) GROUP BY 1, 2) g""")
 def er02_resolve_senate(t):
-    filers = t.customer.select(F.lit("Customer X").alias("first_name"), F.concat(F.lit("000"), F.col("c_custkey") % 40).alias("last_name")).distinct()
-    return resolve.resolve_senate_filers(filers, t.members)
+    """Every customer files under a surname with a generation, an apostrophe or neither; many surnames contain another."""
+    t.customer.createOrReplaceTempView("customer_of_filers")
+    made = lambda sql: t.spark.sql(sql.replace("FROM customer", "FROM customer_of_filers"))
+    return resolve.resolve_senate_filers(made(_FILER).select("first_name", "last_name"), made(_SENATOR).withColumn("chamber", F.lit("senate")))
 
 
 @query("""SELECT 's' || s_suppkey AS key, 'T' || (s_suppkey % 31) AS ticker FROM supplier WHERE s_suppkey % 2 = 0 AND EXISTS (SELECT 1 FROM traded x WHERE x.ticker = 'T' || (s_suppkey % 31))""")
@@ -75,38 +87,56 @@ def er07_curation_list(t):
     return resolve.curation_list(recipients, titles, t.traded).select("key", "ticker")
 
 
-@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 OR s_suppkey % 2 = 0 THEN 'accept' ELSE 'verify' END AS tier, s_suppkey % 2 = 0 AS contained FROM supplier""")
+@query("""SELECT s_suppkey, CASE s_suppkey % 6 WHEN 0 THEN 'verify' WHEN 1 THEN 'accept' WHEN 2 THEN 'accept' WHEN 3 THEN 'verify' WHEN 4 THEN 'accept' ELSE 'verify' END AS tier, CASE WHEN s_suppkey % 6 < 5 THEN 'T' || s_suppkey END AS ticker, s_suppkey % 6 = 1 AS contained FROM supplier""")
 def er08_tiers_and_brands(t):
+    """Recipients matched to issuers: alike in one word only, in two, in all but punctuation; by a parent's name of one word and of two; not matched."""
     k = F.col("s_suppkey")
-    name = F.when(k % 2 == 0, F.concat(F.lit("Acme Works"), k)).otherwise(F.concat(F.lit("Firm"), k))
-    title = F.when(k % 3 == 0, F.concat(name, F.lit(" Inc"))).otherwise("Nothing")
-    return t.supplier.select("s_suppkey", resolve.accept_tier(name, title).alias("tier"), resolve.brand_contained(F.lit("ACME Corp"), name).alias("contained"))
+    pick = lambda *said: F.get(F.array(*said), (k % 6).cast("int"))
+    firm, two = F.concat(F.lit("Firm"), k), F.concat(F.lit("Acme Works"), k)
+    name = pick(F.concat(firm, F.lit(" Technology Inc")), F.concat(two, F.lit(" LLC")), F.concat(firm, F.lit(" Group, Inc.")), F.lit("Plant"), F.lit("Plant"), F.concat(firm, F.lit(" Inc")))
+    parent = pick(F.lit(None), F.lit(None), F.lit(None), F.concat(firm, F.lit(" Systems")), F.concat(two, F.lit(" Corp")), F.lit(None))
+    title = pick(F.concat(firm, F.lit(" Group Holdings, Inc.")), F.concat(two, F.lit(" Holdings")), F.concat(firm, F.lit(" GROUP INC")), F.concat(firm, F.lit(" Ltd")), F.concat(two, F.lit(" AG")), F.lit("Nothing"))
+    titles = t.supplier.where(k % 6 < 5).select(title.alias("title"), F.concat(F.lit("t"), k).alias("ticker"), k.alias("ordinal"))
+    work = resolve.match_tickers(t.supplier.select(k.alias("s_suppkey"), name.alias("name"), parent.alias("parent_name")), titles)
+    return resolve.split_tiers(work, titles).select("s_suppkey", "tier", "ticker", resolve.brand_contained(F.lit("ACME Corp"), F.col("name")).alias("contained"))
 
 
 @query("""SELECT person_id, candidate_id FROM (SELECT p.person_id, r.candidate_id, row_number() OVER (PARTITION BY p.person_id ORDER BY p.office = r.office DESC, r.last_file_date DESC, r.candidate_id) AS rn
     FROM (SELECT c_custkey AS person_id, c_mktsegment AS last_name, c_nationkey AS state, CASE WHEN c_custkey % 2 = 0 THEN 'H' ELSE 'S' END AS office FROM customer) p
-    JOIN (SELECT c.c_custkey AS candidate_id, c.c_mktsegment AS last_name, c.c_nationkey AS state, 'S' AS office, DATE '2024-01-01' - CAST(c.c_custkey % 100 AS INT) AS last_file_date FROM customer c WHERE c.c_custkey % 5 = 0) r USING (last_name, state)) x WHERE rn = 1""")
+    JOIN (SELECT c.c_custkey AS candidate_id, c.c_mktsegment AS last_name, c.c_nationkey AS state, 'S' AS office, DATE '2024-01-01' - CAST(c.c_custkey % 100 AS INT) AS last_file_date FROM customer c) r USING (last_name, state)) x WHERE rn = 1""")
 def er11_newest_candidate(t):
     k = F.col("c_custkey")
     people = t.customer.select(k.alias("person_id"), F.col("c_mktsegment").alias("last_name"), F.col("c_nationkey").alias("state"), F.when(k % 2 == 0, "H").otherwise("S").alias("office"))
     filed = F.date_sub(F.lit("2024-01-01").cast("date"), (k % 100).cast("int"))
-    registry = t.customer.where("c_custkey % 5 = 0").select(k.alias("candidate_id"), F.col("c_mktsegment").alias("last_name"), F.col("c_nationkey").alias("state"), F.lit("S").alias("office"), filed.alias("last_file_date"))
+    registry = t.customer.select(k.alias("candidate_id"), F.col("c_mktsegment").alias("last_name"), F.col("c_nationkey").alias("state"), F.lit("S").alias("office"), filed.alias("last_file_date"))
     return resolve.newest_candidate(people, registry)
 
 
-_SHARED_LAST = "CASE WHEN {0} % 4 = 1 THEN {0} - 1 ELSE {0} END"
+_PERSON = f"""SELECT c_custkey AS person_id, CASE c_custkey % 4 WHEN 0 THEN 'Charles' WHEN 1 THEN 'Debbie Ann' WHEN 2 THEN 'Robert' ELSE 'John' END AS first,
+    CASE WHEN c_custkey % 3 = 0 THEN 'Wasserman ' ELSE '' END || 'Sch' || {_LETTERS.format('CAST(floor(c_custkey / 6) AS BIGINT)')} AS last FROM customer"""
+_ASKED = f"""SELECT c_custkey AS id, CASE c_custkey % 5 WHEN 0 THEN 'Chuck' WHEN 1 THEN 'debbie' WHEN 2 THEN 'Bob Q.' WHEN 3 THEN 'John' ELSE 'Charl' END || ' ' || CASE WHEN c_custkey % 7 < 3 THEN 'Wasserman ' ELSE '' END || 'Sch' || {_LETTERS.format('CAST(floor(c_custkey / 6) AS BIGINT)')} AS query FROM customer"""
+_ROSTER = "CASE WHEN n = 1 THEN one END AS person_id, CASE WHEN n = 1 THEN 'ok' WHEN n > 1 THEN 'ambiguous' ELSE 'unresolved' END AS status"
 
 
-@query(f"""SELECT q AS query, CASE WHEN known AND n = 1 THEN one END AS person_id, CASE WHEN known AND n = 1 THEN 'ok' WHEN known THEN 'ambiguous' ELSE 'unresolved' END AS status FROM (
-    SELECT CASE c_custkey % 3 WHEN 0 THEN 'Chuck' WHEN 1 THEN 'Charles' ELSE 'Zed' END || ' Lee' || {_SHARED_LAST.format("c_custkey")} AS q, c_custkey % 3 < 2 AS known, {_SHARED_LAST.format("c_custkey")} AS k FROM customer) a
-    JOIN (SELECT {_SHARED_LAST.format("c_custkey")} AS k, count(*) AS n, min(c_custkey) AS one FROM customer GROUP BY 1) b USING (k)""")
+@query(f"""WITH held AS (SELECT q.query, p.person_id, rank() OVER (PARTITION BY q.query ORDER BY length(p.last) DESC, lower(split_part(q.query, ' ', 1)) <> lower(split_part(p.first, ' ', 1))) AS rank
+      FROM ({_ASKED}) q JOIN ({_PERSON}) p ON ends_with(lower(q.query), ' ' || lower(p.last)) AND lower(split_part(p.first, ' ', 1)) IN (
+        lower(split_part(q.query, ' ', 1)), CASE lower(split_part(q.query, ' ', 1)) WHEN 'chuck' THEN 'charles' WHEN 'bob' THEN 'robert' END))
+    SELECT query, {_ROSTER} FROM (SELECT q.query, count(DISTINCT h.person_id) AS n, min(h.person_id) AS one FROM (SELECT DISTINCT query FROM ({_ASKED}) a) q LEFT JOIN (SELECT * FROM held WHERE rank = 1) h USING (query) GROUP BY 1) x""")
 def er13_match_roster(t):
-    """Two people of four share a last name, a third of the names asked for have another first name."""
-    k = F.col("c_custkey")
-    last = F.concat(F.lit("Lee"), F.when(k % 4 == 1, k - 1).otherwise(k))
-    names = t.customer.select(F.concat(F.when(k % 3 == 0, "Chuck").when(k % 3 == 1, "Charles").otherwise("Zed"), F.lit(" "), last).alias("query"))
-    roster = t.customer.select(k.alias("person_id"), F.lit("Charles").alias("first"), last.alias("last"))
-    return resolve.match_roster(names, roster, t.nation.select(F.lit("chuck").alias("nickname"), F.lit("charles").alias("legal")).distinct())
+    """Surnames of one and of two words that end alike, nicknames, beginnings of first names."""
+    t.customer.createOrReplaceTempView("customer_of_roster")
+    made = lambda sql: t.spark.sql(sql.replace("FROM customer", "FROM customer_of_roster"))
+    return resolve.match_roster(made(_ASKED).select("query").distinct(), made(_PERSON))
+
+
+@query(f"""WITH q AS (SELECT DISTINCT query, lower(split_part(query, ' ', 1)) AS f, lower(list_last(string_split(query, ' '))) AS l FROM ({_ASKED}) a),
+    held AS (SELECT q.query, p.person_id, rank() OVER (PARTITION BY q.query ORDER BY p.l <> q.l) AS rank FROM q JOIN (SELECT person_id, lower(first) AS f, lower(last) AS l FROM ({_PERSON}) b) p
+      ON (contains(p.l, q.l) OR contains(q.l, p.l)) AND (starts_with(p.f, q.f) OR starts_with(q.f, p.f) OR starts_with(p.f, substr(q.f, 1, 4)) OR starts_with(q.f, substr(p.f, 1, 4))))
+    SELECT query, {_ROSTER} FROM (SELECT q.query, count(DISTINCT h.person_id) AS n, min(h.person_id) AS one FROM q LEFT JOIN (SELECT * FROM held WHERE rank = 1) h USING (query) GROUP BY 1) x""")
+def er13_match_roster_loosely(t):
+    t.customer.createOrReplaceTempView("customer_of_roster")
+    made = lambda sql: t.spark.sql(sql.replace("FROM customer", "FROM customer_of_roster"))
+    return resolve.match_roster_loosely(made(_ASKED).select("query").distinct(), made(_PERSON))
 
 
 @query("SELECT o_orderkey AS filing_id, l.vote_id FROM orders LEFT JOIN (SELECT member_id, max(vote_id) AS vote_id FROM votes GROUP BY 1) l ON l.member_id = o_custkey")
@@ -178,18 +208,23 @@ def s03_both_chambers(t):
     return both.select(F.col("filing_id").cast("long").alias("filing_id"), "tx_index", "filer", "tx_date", "filing_status")
 
 
-@query(f"SELECT member_id, CASE WHEN max(score) >= 85 THEN 'high' WHEN max(score) >= 70 THEN 'medium' ELSE 'low' END AS row_tier, CASE WHEN member_id % 3 = 0 THEN 'low' WHEN max(score) >= 85 THEN 'high' WHEN max(score) >= 70 THEN 'medium' ELSE 'low' END AS pattern_tier FROM {_ALIGNED} x GROUP BY 1")
+@query(f"""SELECT member_id, CASE WHEN score >= 85 THEN 'high' WHEN score >= 70 THEN 'medium' ELSE 'low' END AS row_tier, CASE WHEN p >= 0.05 THEN 'low' WHEN least(score, 100) >= 85 THEN 'high' WHEN least(score, 100) >= 70 THEN 'medium' ELSE 'low' END AS pattern_tier FROM (
+    SELECT member_id, max(score) AS score, cume_dist() OVER (ORDER BY count(*) DESC) AS p FROM {_ALIGNED} x GROUP BY 1) g""")
 def d09_tiers(t):
-    by = detectors.aligned_trades(before(t, 14)).groupBy("member_id").agg(F.max("score").alias("score"))
-    p = F.when(F.col("member_id") % 3 == 0, 0.2).otherwise(0.01)
-    return by.select("member_id", detectors.row_tier(F.col("score")).alias("row_tier"), detectors.pattern_tier(F.least(F.lit(100), F.col("score")) / 100, p).alias("pattern_tier"))
+    """p is the share of members with as many aligned trades or more."""
+    by = detectors.aligned_trades(before(t, 14)).groupBy("member_id").agg(F.max("score").alias("score"), F.count("*").alias("n"))
+    scored = by.join(rollups.upper_tails(by, "n"), "n")
+    return scored.select("member_id", detectors.row_tier(F.col("score")).alias("row_tier"), detectors.pattern_tier(F.least(F.lit(100), F.col("score")) / 100, F.col("p_value")).alias("pattern_tier"))
 
 
-@query("SELECT member_id, CASE WHEN member_id % 4 = 0 THEN 'unscored' WHEN member_id % 4 = 1 THEN 'about as often as chance' ELSE format('{:.1f}', count(*) / 2.0::DOUBLE) || ' times as often as chance' END AS statement FROM trades GROUP BY 1")
+@query("""SELECT member_id, CASE WHEN p IS NULL THEN 'unscored' WHEN p > 0.05 THEN 'about as often as chance' WHEN expected = 0 THEN 'never by chance' ELSE format('{:.1f}', floor(10 * n / expected + 0.5) / 10) || ' times as often as chance' END AS statement FROM (
+    SELECT member_id, n, avg(n) OVER () AS expected, CASE WHEN n > 1 THEN cume_dist() OVER (ORDER BY n DESC) END AS p FROM (SELECT member_id, count(*) AS n FROM trades GROUP BY 1) x) y""")
 def d10_statements(t):
-    n = t.trades.groupBy("member_id").agg(F.count("*").alias("observed"))
-    p = F.when(F.col("member_id") % 4 == 0, None).when(F.col("member_id") % 4 == 1, 0.5).otherwise(0.01)
-    return n.select("member_id", detectors.confidence_statement(F.col("observed"), F.lit(2.0), p).alias("statement"))
+    """Each member's number of trades against the mean; p is the share of members with as many or more, unknown for a single trade."""
+    n = t.trades.groupBy("member_id").agg(F.count("*").alias("n"))
+    scored = n.join(rollups.upper_tails(n, "n"), "n").join(n.agg(F.avg("n").alias("expected")), F.lit(True))
+    p = F.when(F.col("n") > 1, F.col("p_value"))
+    return scored.select("member_id", detectors.confidence_statement(F.col("n"), F.col("expected"), p).alias("statement"))
 
 
 @query(f"SELECT member_id, model, round(p, 6) AS p FROM {_PRED} x")
@@ -212,12 +247,17 @@ def n11_draw_layout(t):
     return rows.select("member_id", "perm", rng.draw(seed, F.col("perm") * F.col("n") + F.col("slot")).alias("drawn"), "slot")
 
 
-@query("SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'Fact about ' || split_part(p_name, ' ', 2) || 's.' ELSE '' END AS kept FROM part")
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'Fact about ' || split_part(p_name, ' ', 2) || 's.' ELSE '' END AS kept,
+    CASE WHEN p_partkey % 2 = 0 THEN 'Fact of ' || p_partkey || '|' ELSE '' END || upper(split_part(p_name, ' ', 1)) || 'ish' AS rest, CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 2 END AS unverified FROM part""")
 def dq8_grounded(t):
+    """Tokens that are parts of the corpus's words ground a fact; stop words of four letters and shorter tokens don't."""
     word = F.element_at(F.split("p_name", " "), 2)
-    claim = F.concat(F.lit("Fact about "), word, F.lit("s. Zzzz qqqq."))
-    facts = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("some fact")))
-    return t.part.select("p_partkey", F.coalesce(quality.grounded(claim, F.coalesce(facts, F.lit(""))), F.lit("")).alias("kept"))
+    claim = F.concat(F.lit("Fact about "), word, F.lit("s. With zzz qqqq their."))
+    corpus = F.concat(F.when(F.col("p_partkey") % 2 == 0, "some facts with theirs; ").otherwise("with theirs; "), F.lower(F.concat(F.element_at(F.split("p_name", " "), 1), F.lit("ishly"))))
+    facts = F.array(F.concat(F.lit("Fact of "), "p_partkey"), F.lit("  "), F.lit(None), F.concat(F.upper(F.element_at(F.split("p_name", " "), 1)), F.lit("ish")), F.lit("With their own"))
+    split = quality.split_facts(t.part.select("p_partkey", facts.alias("facts"), corpus.alias("corpus")), "p_partkey", "facts", "corpus")
+    sentences = t.part.select("p_partkey", F.coalesce(quality.grounded(claim, F.when(F.col("p_partkey") % 2 == 0, corpus).otherwise("")), F.lit("")).alias("kept"))
+    return sentences.join(split, "p_partkey").select("p_partkey", "kept", F.array_join("key_facts", "|").alias("rest"), F.size("unverified").alias("unverified"))
 
 
 @query("SELECT count(*) FILTER (bill_id IS NOT NULL) / count(*)::DOUBLE >= 0.75 AS linked, (SELECT count(*) FROM confirms) > 0 AS confirmed, (SELECT count(DISTINCT district) FROM contracts) = (SELECT count(*) FROM nation) AS districts FROM votes")
@@ -241,11 +281,12 @@ def e1_member_filter(t):
     return near(t, 14).where("member_id = 3").select("filing_id", "vote_id", "days_abs")
 
 
-@query(r"""SELECT p_partkey, array_to_string(list_filter(w, lambda x, i: list_position(w, x) = i)[1:8], ' ') AS words FROM (SELECT p_partkey, list_filter(string_split_regex(lower(array_to_string(
-    list_sort([p_name || ' and ' || p_type, 'Committee on ' || p_type, p_brand || ' services']), ' ')), '[^a-z0-9]+'), lambda x: length(x) >= 5 AND x NOT IN ('committee', 'small')) AS w FROM part) s""")
+@query(r"""SELECT p_partkey, array_to_string(list_filter(w, lambda x, i: list_position(w, x) = i)[1:8], ' ') AS words FROM (SELECT p_partkey, list_filter(list_transform(string_split_regex(array_to_string(
+    list_sort([p_name || ' and ' || p_type, 'Select Committee on ' || p_type, p_brand || ' Bio-energy, 4-H services2']), ' '), '[\s,]+'), lambda x: regexp_replace(lower(x), '[^a-z]', '', 'g')),
+    lambda x: length(x) >= 5 AND x NOT IN ('committee', 'subcommittee', 'house', 'senate', 'select', 'joint')) AS w FROM part) s""")
 def fn_committee_keywords(t):
-    names = F.array(F.concat("p_name", F.lit(" and "), "p_type"), F.concat(F.lit("Committee on "), "p_type"), F.concat("p_brand", F.lit(" services")))
-    return t.part.select("p_partkey", F.array_join(text.committee_keywords(names, ("committee", "small")), " ").alias("words"))
+    names = F.array(F.concat("p_name", F.lit(" and "), "p_type"), F.concat(F.lit("Select Committee on "), "p_type"), F.concat("p_brand", F.lit(" Bio-energy, 4-H services2")))
+    return t.part.select("p_partkey", F.array_join(text.committee_keywords(names), " ").alias("words"))
 
 
 @query("""SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 'yea' WHEN 1 THEN 'yea' WHEN 2 THEN 'yea' WHEN 3 THEN 'nay' WHEN 4 THEN 'nay' WHEN 5 THEN 'abstain' ELSE 'absent' END AS vote,
@@ -275,14 +316,20 @@ def fn_categories(t):
     WHEN 5 THEN 'senate-joint-resolution' WHEN 6 THEN 'house-concurrent-resolution' WHEN 7 THEN 'senate-concurrent-resolution' ELSE 'hamdt' END || '/' || p_partkey AS url,
     CASE WHEN p_size % 3 < 2 THEN 'CA' END AS state, CASE p_size % 3 WHEN 0 THEN p_size::VARCHAR END AS district,
     'DR ' || upper(p_name) || ' O NEIL' AS lobbyist, CASE WHEN p_partkey % 2 = 0 THEN p_type || ' affairs' END AS committee, 1990 + p_size + p_size % 2 AS cycle, (201 + p_size) // 2 + 1 AS congress,
-    CASE WHEN p_retailprice >= 1000000 THEN NULL WHEN p_retailprice >= 1000 THEN '$' || (floor(p_retailprice / 1000 + 0.5))::INT || 'K' ELSE '$' || (floor(p_retailprice + 0.5))::INT END AS money FROM (SELECT * REPLACE (lower(p_type) AS p_type) FROM part) p""")
+    CASE WHEN w IS NULL THEN '—' WHEN w >= 1000000 THEN '$' || (cents // 100) || '.' || lpad((cents % 100)::VARCHAR, 2, '0') || 'M' WHEN w >= 1000 THEN '$' || (tenths // 10) || '.' || (tenths % 10) || 'K' ELSE '$' || w END AS money,
+    CASE p_partkey % 5 WHEN 0 THEN 'SMITH' WHEN 1 THEN 'Smith' WHEN 2 THEN 'Jr' WHEN 3 THEN '' ELSE 'OBrien' END AS surname FROM (
+    SELECT *, replace(substr(m, 1, strpos(m, '.') + 2), '.', '')::BIGINT + (substr(m, strpos(m, '.') + 3, 1) >= '5')::INT AS cents, replace(substr(k, 1, strpos(k, '.') + 1), '.', '')::BIGINT + (substr(k, strpos(k, '.') + 2, 1) >= '5')::INT AS tenths FROM (
+    SELECT *, printf('%.60f', w / 1000000.0::DOUBLE) AS m, printf('%.60f', w / 1000.0::DOUBLE) AS k FROM (
+    SELECT * REPLACE (lower(p_type) AS p_type), CASE WHEN p_partkey % 11 > 0 THEN floor(p_retailprice * CASE p_partkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 50 ELSE 5000 END + 0.5)::BIGINT END AS w FROM part) a) b) p""")
 def fn_labels(t):
     kinds = F.array(*map(F.lit, ("HR", "s", "hres", "sres", "hjres", "sjres", "hconres", "sconres", "hamdt")))
     k, size = F.col("p_partkey"), F.col("p_size")
+    amount = F.when(k % 11 > 0, F.col("p_retailprice") * F.when(k % 3 == 0, 1).when(k % 3 == 1, 50).otherwise(5000))
+    full = F.array(*map(F.lit, ("Jo SMITH, Jr.", "J. Smith PHD", " Jr ", "", "A. O,Brien esq.")))
     place = text.state_district(F.when(size % 3 == 0, F.concat(F.lit("CA"), size)).when(size % 3 == 1, "CA").otherwise("n/a"))
     committee = F.when(k % 2 == 0, F.concat(F.lit("House Committee on the "), "p_type", F.lit(" affairs — Subcommittee"))).otherwise("the ")
     return t.part.select(
         "p_partkey", text.bill_source_url(F.lit(118), F.get(kinds, (k % 9).cast("int")), k).alias("url"), place["state"].alias("state"), place["district"].alias("district"),
         text.lobbyist_canonical(F.concat(F.lit("Dr. "), "p_name", F.lit(" O'Neil, Jr."))).alias("lobbyist"), text.committee_canonical(committee).alias("committee"),
-        text.even_cycle(size + 1990).cast("int").alias("cycle"), text.congress_number(size + 1990).alias("congress"), text.money_label(F.col("p_retailprice")).alias("money"),
+        text.even_cycle(size + 1990).cast("int").alias("cycle"), text.congress_number(size + 1990).alias("congress"), text.money_label(amount).alias("money"), text.surname(F.get(full, (k % 5).cast("int"))).alias("surname"),
     )

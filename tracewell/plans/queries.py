@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.operators import merge, ordering, pairs, proximity, resolve, rollups, themes
+from tracewell.operators import detectors, merge, ordering, pairs, proximity, resolve, rollups, themes
 
 from .bindings import Tables, with_clause
 
@@ -154,12 +154,10 @@ def j07_shared_donors(t):
     return pairs.shared_pairs(t.donors, "member_id", "donor", ["amount"]).select("subject_id", "peer_id", "donor", "subject_amount", "peer_amount")
 
 
-@query("""SELECT a.member_id AS subject_id, b.member_id AS peer_id, a.committee_name || '.' || (a.member_id % 40) AS committee_name, a.role AS subject_role, b.role AS peer_role
-    FROM memberships a JOIN memberships b ON a.committee_name = b.committee_name AND a.member_id % 40 = b.member_id % 40 AND a.member_id <> b.member_id""")
+@query("""SELECT a.member_id AS subject_id, b.member_id AS peer_id, a.committee_name, a.role AS subject_role, b.role AS peer_role
+    FROM memberships a JOIN memberships b ON a.committee_name = b.committee_name AND a.member_id <> b.member_id""")
 def j08_shared_committees(t):
-    """Members of one subcommittee: each committee has forty."""
-    seats = t.memberships.select("member_id", F.concat("committee_name", F.lit("."), F.col("member_id") % 40).alias("committee_name"), "role")
-    return pairs.shared_pairs(seats, "member_id", "committee_name", ["role"]).select("subject_id", "peer_id", "committee_name", "subject_role", "peer_role")
+    return pairs.shared_pairs(t.memberships, "member_id", "committee_name", ["role"]).select("subject_id", "peer_id", "committee_name", "subject_role", "peer_role")
 
 
 @query("""SELECT a.member_id AS subject_id, b.member_id AS peer_id, count(*) AS shared_count, round(sum(a.amount + b.amount), 2) AS combined_amount,
@@ -212,11 +210,11 @@ def w05_latest_filing(t):
     return ordering.top_rows(t.lobby_roles, ["lobbyist_id"], [F.col("filing_year").desc(), F.col("filing_id").desc()], 1).select("lobbyist_id", "filing_id", "filing_year", "role")
 
 
-@query("""SELECT lobbyist_id, filing_id, filing_year, role FROM (SELECT *, row_number() OVER (PARTITION BY lobbyist_id ORDER BY filing_year DESC, filing_id DESC) AS rn
-    FROM lobby_roles WHERE role LIKE '%Cmte%') r WHERE rn = 1""")
+@query("""SELECT lobbyist_id, filing_id, filing_year, role FROM (SELECT *, row_number() OVER (PARTITION BY lobbyist_id ORDER BY filing_year DESC, posted_at DESC NULLS LAST, filing_id) AS rn
+    FROM lobby_roles WHERE role ILIKE '%cmte%') r WHERE rn = 1""")
 def w06_latest_matching_filing(t):
-    rows = t.lobby_roles.where(F.contains("role", F.lit("Cmte")))
-    return ordering.top_rows(rows, ["lobbyist_id"], [F.col("filing_year").desc(), F.col("filing_id").desc()], 1).select("lobbyist_id", "filing_id", "filing_year", "role")
+    rows = t.lobby_roles.where(F.contains(F.lower("role"), F.lit("cmte")))
+    return ordering.top_rows(rows, ["lobbyist_id"], detectors.latest_filing_order(), 1).select("lobbyist_id", "filing_id", "filing_year", "role")
 
 
 @query("""SELECT filing_id, min(date_diff('day', i.tx_date, e.vote_date)) AS gap FROM (SELECT t.filing_id, t.member_id, t.tx_date, it.theme FROM trades t JOIN instrument_theme it ON it.ticker = t.ticker) i
@@ -382,10 +380,17 @@ def a23_recipient_sums(t):
 
 
 @query("""SELECT district, count(*) AS recipients, count(*) FILTER (ticker IS NOT NULL) AS resolved, round(sum(CASE WHEN ticker IS NOT NULL THEN amount ELSE 0 END), 2) AS resolved_amount,
-    round(sum(CASE WHEN ticker IS NOT NULL THEN amount ELSE 0 END) / sum(amount), 6) AS resolved_share FROM recipients LEFT JOIN confirms USING (recipient_key) GROUP BY 1""")
+    round(sum(CASE WHEN ticker IS NOT NULL THEN amount ELSE 0 END) / sum(amount), 6) AS resolved_share, count(*) FILTER (mine) AS n_overlap,
+    coalesce(string_agg(CASE WHEN mine THEN recipient_key || ' ' || ticker END, '|' ORDER BY place), '') AS overlap, coalesce(string_agg(CASE WHEN ticker IS NULL AND place <= 15 THEN recipient_key END, '|' ORDER BY place), '') AS unresolved_top FROM (
+      SELECT r.*, c.ticker, EXISTS (SELECT 1 FROM traded x WHERE x.district = r.district AND x.ticker = c.ticker) AS mine, row_number() OVER (PARTITION BY r.district ORDER BY r.amount DESC, r.recipient_key, c.ticker NULLS LAST) AS place
+      FROM recipients r LEFT JOIN confirms c USING (recipient_key)) p GROUP BY 1""")
 def a24_resolution_coverage(t):
-    found = rollups.resolution_coverage(t.recipients.join(t.confirms, "recipient_key", "left"))
-    return found.select("district", "recipients", "resolved", F.round("resolved_amount", 2).alias("resolved_amount"), F.round("resolved_share", 6).alias("resolved_share"))
+    found = rollups.resolution_coverage(t.recipients.join(t.confirms, "recipient_key", "left"), t.traded)
+    said = lambda c, *fields: F.array_join(F.transform(c, lambda x: F.concat_ws(" ", *(x[f] for f in fields))), "|").alias(c)
+    return found.select(
+        "district", "recipients", "resolved", F.round("resolved_amount", 2).alias("resolved_amount"), F.round("resolved_share", 6).alias("resolved_share"), F.size("overlap").cast("long").alias("n_overlap"),
+        said("overlap", "recipient_key", "ticker"), said("unresolved_top", "recipient_key"),
+    )
 
 
 @query("SELECT member_id, count(*) AS donors FROM donors GROUP BY 1")
@@ -505,9 +510,10 @@ def l06_null_safe_delete(t):
     return merge.delete_where_not(t.trades, "ticker", "T5", t.members.where("party = 'BUILDING'")).select("filing_id", "member_id", "ticker")
 
 
-@query("SELECT DISTINCT bill_id FROM votes v WHERE bill_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sponsors s WHERE s.bill_id = v.bill_id)")
+@query("SELECT DISTINCT bill_id FROM votes v WHERE bill_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sponsors s WHERE s.bill_id = v.bill_id AND s.member_id < 3)")
 def l07_work_list(t):
-    return merge.work_list(t.votes, t.sponsors, "bill_id")
+    """Bills voted on that the first nations' members didn't sponsor."""
+    return merge.work_list(t.votes, t.sponsors.where("member_id < 3"), "bill_id")
 
 
 @query("SELECT count(*) AS rows, count(*) FILTER (lower(committee_name) <> committee_name) AS changed FROM memberships")
