@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import rng, text
 from tracewell.operators import calibration, detectors, flatten, merge, nullmodel, ordering, pairs, proximity, quality, resolve, rollups, themes
-from tracewell.sources import readers, sinks
+from tracewell.sources import readers, sinks, stored
 from tracewell.streaming.proximity import near_votes_stream, write_near_votes
 
 D = dt.date
@@ -310,14 +310,14 @@ def test_sources_and_sinks(spark, tmp_path):
         readers.contract_rows(level).collect()
     hits = "pattern string, member_id int, finding string"
     write = lambda found, ran: sinks.write_hits(spark.createDataFrame(found, hits), spark.createDataFrame(ran, "pattern string, member_id int"), str(tmp_path / "hits"))
-    stored = lambda: rows(sinks.read_hits(spark, str(tmp_path / "hits"), hits).select("pattern", "member_id", "finding"))
+    found = lambda: rows(sinks.read_hits(spark, str(tmp_path / "hits"), hits).select("pattern", "member_id", "finding"))
     write([("p1", 1, "a"), ("p1", 2, "b"), ("p2", 2, "c")], [("p1", 1), ("p1", 2), ("p2", 2)])
     write([("p1", 1, "z")], [("p1", 1)])  # other members' hits stay
-    assert stored() == [("p1", 1, "z"), ("p1", 2, "b"), ("p2", 2, "c")]
+    assert found() == [("p1", 1, "z"), ("p1", 2, "b"), ("p2", 2, "c")]
     write([], [("p2", 2), ("p1", 2)])  # a scope that found nothing is cleared
-    assert stored() == [("p1", 1, "z")]
+    assert found() == [("p1", 1, "z")]
     write([("p1", 1, "z")], [("p1", 1)])  # twice is once
-    assert stored() == [("p1", 1, "z")]
+    assert found() == [("p1", 1, "z")]
     scored = spark.createDataFrame([("p1", 1, "m", 3, 1.5, 0.01, 2.0, 100)], "pattern string, member_id int, null_model string, observed int, expected double, p_value double, z_score double, n_perm int")
     full = sinks.with_statistics(sinks.with_statistics(spark.createDataFrame([("p1", 1, "z"), ("p9", 1, "y")], hits).withColumns({c: F.lit(None) for c in sinks.STATISTICS}), scored), scored)
     assert rows(full.select("pattern", "p_value")) == [("p1", 0.01), ("p9", None)]
@@ -327,6 +327,49 @@ def test_sources_and_sinks(spark, tmp_path):
     assert [[r["trade_id"] for r in d["receipts"]] for d in docs] == [["t1", "t2"], ["t3"]] and docs[0]["band"] == "ranked"
 
 
+def _files(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("part-*")}
+
+
+def test_a_small_load_writes_its_buckets_alone(spark, tmp_path):
+    hits = "pattern string, member_id int, finding string"
+    frame = lambda held: spark.createDataFrame(held, hits)
+    scopes = lambda held: spark.createDataFrame(held, "pattern string, member_id int")
+    everyone = [(p, m, f"{p}{m}") for p in ("p1", "p2") for m in range(40)]
+    sinks.write_hits(frame(everyone), scopes([r[:2] for r in everyone]), str(tmp_path / "hits"))
+    table, before = sinks.stored_hits(spark, str(tmp_path / "hits"), hits), _files(tmp_path / "hits/rows")
+    assert len(table.folders()) > 20 and rows(table.read()) == sorted(everyone, key=str)
+    assert sinks.write_hits(frame([("p1", 7, "new")]), scopes([("p1", 7)]), str(tmp_path / "hits")) == 2
+    after = _files(tmp_path / "hits/rows")
+    assert {f: after[f] for f in before} == before and len({f.split("/_bucket=")[1].split("/")[0] for f in set(after) - set(before)}) == 1
+    assert rows(table.read()) == sorted([r for r in everyone if r[:2] != ("p1", 7)] + [("p1", 7, "new")], key=str) and rows(table.read(1)) == sorted(everyone, key=str)
+    table.vacuum()
+    assert table.versions() == [2] and rows(table.read())[0][0] == "p1" and len(_files(tmp_path / "hits/rows")) < len(after)
+    with pytest.raises(ValueError):
+        table.replace_scope(frame([("p1", 8, "x")]), scopes([("p1", 7)]))
+
+
+def test_a_load_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    table = stored.StoredTable(spark, str(tmp_path / "t"), "k int, a string, b string", ["k"], 8)
+    frame = lambda held: spark.createDataFrame(held, "k int, a string, b string")
+    assert rows(table.read()) == []
+    table.upsert_replace(frame([(k, "a", "b") for k in range(20)]))
+    with monkeypatch.context() as m:
+        m.setattr(stored.StoredTable, "_commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            table.upsert_replace(frame([(3, "new", "new")]))
+    assert rows(table.read()) == sorted([(k, "a", "b") for k in range(20)], key=str)
+    table.upsert_update(frame([(3, "new", None), (30, "x", "y")]), ["a"], ["b"])
+    table.insert_if_absent(frame([(3, "no", "no"), (31, "z", "z")]))
+    assert rows(table.read().where("k in (3, 30, 31)")) == [(3, "new", "b"), (30, "x", "y"), (31, "z", "z")]
+    other = stored.StoredTable(spark, str(tmp_path / "t"), "k int, a string, b string", ["k"], 8)
+    held = other.folders()
+    with pytest.raises(stored.Conflict):
+        other._commit(table.versions()[-1], held)  # another load made it
+    table.load(frame([]), lambda old: old)  # nothing to do is a version too
+    assert table.read().count() == 22
+
+
 def test_lobbying_recipients_and_seeds(spark, tmp_path):
     person = lambda i, position: {"lobbyist": {"id": i, "first_name": "Ann", "middle_name": None, "last_name": "Lee"}, "covered_position": position, "new": True}
     filing = {"filing_uuid": "f", "filing_year": 2024, "registrant": {"name": "R"}, "client": {"name": "C"}, "income": "10.5", "expenses": None, "dt_posted": "2024-01-02",

@@ -11,7 +11,8 @@ from pyspark.sql.window import Window
 from .ordering import top_rows
 from .themes import longest_prefix
 
-
+#: How many rows a member's page lists of each kind.
+FACTS = {"donors": 10, "spending": 10, "positions": 100, "broke": 8, "trades": 20, "hits": 100}
 #: The middle of each band of amounts.
 BAND_MIDPOINTS = {
     "$1,001 - $15,000": 8_000,
@@ -181,6 +182,28 @@ def evidence_groups(hits: DataFrame, k: int = 8) -> DataFrame:
     return by.select("pattern", "member_id", "kind", F.slice("labels", 1, k).alias("labels"), F.greatest(F.size("labels") - k, F.lit(0)).alias("more"))
 
 
+def fact_sheet(donors: DataFrame, spending: DataFrame, votes: DataFrame, trades: DataFrame, hits: DataFrame, most: dict[str, int] = FACTS) -> DataFrame:
+    """(member_id, section, place, label, amount): the top lists of each member's page, in one table.
+
+    Money in: largest donors. Outside spending: largest sums. Positions: how often each was taken. Broke
+    with party: latest votes against it. Trades: latest ones. Hits: those that stand out most. Orders are total.
+    """
+    money = lambda c: F.col(c).cast("double").alias("amount")
+    voted = F.lower("position").isin("yea", "nay") & F.lower("party_position").isin("yea", "nay") & (F.lower("position") != F.lower("party_position"))
+    day = lambda c: F.col(c).cast("string")
+    lists = {
+        "donors": donors.select("member_id", F.concat_ws(" ", "donor", F.concat(F.lit("("), F.coalesce("donor_type", F.lit("?")), F.lit(")"))).alias("label"), money("amount"), F.lit("").alias("at")),
+        "spending": spending.select("member_id", F.concat_ws(" ", "side", "committee", F.col("cycle").cast("string")).alias("label"), money("amount"), F.lit("").alias("at")),
+        "positions": votes.groupBy("member_id", F.col("position").alias("label")).agg(F.count("*").cast("double").alias("amount")).withColumn("at", F.lit("")),
+        "broke": votes.where(voted).select("member_id", F.concat_ws(" ", day("vote_date"), "position", "vote_id").alias("label"), F.lit(None).cast("double").alias("amount"), day("vote_date").alias("at")),
+        "trades": trades.select("member_id", F.concat_ws(" ", day("tx_date"), "tx_type", "asset", "ticker", "amount_band", "holder", F.col("filing_id").cast("string")).alias("label"), F.lit(None).cast("double").alias("amount"), day("tx_date").alias("at")),
+        "hits": hits.select("member_id", F.concat_ws(" ", "pattern", "finding").alias("label"), F.coalesce("z_score", F.lit(float("-inf"))).alias("amount"), F.lpad(F.round(F.col("intensity") * 1e6).cast("long").cast("string"), 8, "0").alias("at")),
+    }
+    order = [F.desc_nulls_last("amount"), F.desc_nulls_last("at"), F.asc_nulls_last("label")]
+    ranked = [top_rows(rows.withColumn("section", F.lit(name)), ["member_id"], order, most[name], "place") for name, rows in lists.items()]
+    return reduce(DataFrame.unionByName, ranked).select("member_id", "section", "place", "label", F.when(F.col("amount") != float("-inf"), F.col("amount")).alias("amount"))
+
+
 def upper_tails(rows: DataFrame, value: str) -> DataFrame:
     """(value, p_value) of each distinct value: the share of rows with as much or more. Rows are counted by value first; only distinct values are put in order."""
     by = rows.groupBy(value).agg(F.count("*").alias("_n"))

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from tracewell.functions import rng, text
 from tracewell.operators import calibration, detectors, flatten, nullmodel, ordering, proximity, quality, resolve, rollups, themes
 from tracewell.scratch import discard, staged
+from tracewell.sources import sinks
 
 from .queries import _MEDIANS, _TOTALS, before, donor_theme, eligible, instruments, nexus, query, sponsored_theme
 
@@ -49,6 +50,14 @@ def d01_trade_vote_alignment(t):
     return found.select("member_id", "n_trades", "n_committee", "n_named", "n_same_day", "intensity", "citing", "dates", "finding")
 
 
+@query(f"""SELECT member_id, to_json(list_concat(list_transform(list_sort(list({{'id': filing_id::VARCHAR, 'label': tx_type || ' ' || coalesce(ticker, asset) || ' (' || tx_date || ')'}})), lambda x: {{'kind': 'trade', 'id': x.id, 'label': x.label}}),
+      list_transform(list_sort(list(DISTINCT {{'id': vote_id, 'label': 'Vote ' || vote_date || ': ' || coalesce(bill_title, vote_question)}})), lambda x: {{'kind': 'vote', 'id': x.id, 'label': x.label}})))::VARCHAR AS citing_json,
+    to_json(list_sort(list_distinct(list_concat(list(tx_date::VARCHAR), list(vote_date::VARCHAR)))))::VARCHAR AS dates_json FROM {_ALIGNED} x GROUP BY 1""")
+def snk1_encoded_hits(t):
+    """What hits cite and their dates as JSON texts, as they are stored."""
+    return sinks.encoded(detectors.trade_vote_alignment(before(t, 14))).select("member_id", "citing_json", "dates_json")
+
+
 @query(f"""SELECT member_id, n_trades, n_spouse, n_joint, intensity, citing, dates,
     CASE WHEN n_spouse > 0 AND n_joint > 0 THEN n_trades || ' household trade' || s || ' (' || n_spouse || ' spouse-held, ' || n_joint || ' jointly-held)'
       WHEN n_joint > 0 THEN n_trades || ' jointly-held trade' || s ELSE n_trades || ' spouse-held trade' || s END
@@ -167,7 +176,7 @@ _THEMED = """(SELECT t.member_id, t.tx_date AS d, concat_ws('|', t.tx_date::VARC
     row_number() OVER (PARTITION BY t.member_id ORDER BY t.tx_date, concat_ws('|', t.tx_date::VARCHAR, t.tx_type, upper(coalesce(t.ticker, t.asset))), t.filing_id) - 1 AS slot,
     count(*) OVER (PARTITION BY t.member_id) AS n_trades FROM trades t JOIN instrument_theme i ON i.ticker = upper(t.ticker))"""
 _OBSERVED = "(SELECT member_id, concat_ws('|', tx_date::VARCHAR, tx_type, upper(ticker)) AS trade_id, min(days_before_vote) AS observed_gap FROM nexus GROUP BY 1, 2)"
-#: p of members with fewer than 50 trades, whose dates are drawn; shuffles have no SQL.
+#: p of members with fewer than 50 trades, whose dates are drawn.
 _PAIR_P = f"""(SELECT member_id, trade_id, observed_gap, (1 + count(*) FILTER (hit)) / 101.0::DOUBLE AS p_pair FROM (
     SELECT c.member_id, c.trade_id, o.observed_gap, c.perm, bool_or(v.d IS NOT NULL) AS hit FROM {_calendar_sql('themed', "(SELECT member_id, vote_date AS d FROM eligible)", 100, 'theme-gap')} c
     JOIN {_OBSERVED} o ON o.member_id = c.member_id AND o.trade_id = c.trade_id
@@ -253,11 +262,53 @@ def n03_calendar_null(t):
     return nullmodel.calendar_null(*_substrate(t), 50, "calendar")
 
 
-@query()
+def _shuffled_sql(trades: str, n_perm: int, seed: str, having: str = "true") -> str:
+    """Rows (member_id, perm, arr) of members' days, in the order of their slots, shuffled swap by swap from the last place down; DuckDB SQL with a recursion over places.
+
+    trades: member_id, slot, d. having: which members, by n.
+    """
+    members = f"(SELECT member_id, list(d ORDER BY slot) AS days, count(*) AS n, any_value({_seed_sql(f"'{seed}:' || member_id")}) AS seed FROM {trades} t0 GROUP BY 1 HAVING {having})"
+    steps = f"(SELECT member_id, n, seed, perm, unnest(range(1, n)) AS i FROM {members} m0, (SELECT unnest(range({n_perm})) AS perm) p0)"
+    swap = "list_transform(s.arr, lambda x, k: CASE WHEN k = s.i + 1 THEN s.arr[d.j + 1] WHEN k = d.j + 1 THEN s.arr[s.i + 1] ELSE x END)"
+    return f"""(WITH RECURSIVE drawn AS MATERIALIZED (SELECT member_id, perm, i, floor(u * (i + 1))::BIGINT AS j FROM {_with_draw(steps, 'seed', 'perm * (n - 1) + (n - 1 - i)')} x),
+      swapped AS (SELECT member_id, perm, n - 1 AS i, days AS arr FROM {members} m, (SELECT unnest(range({n_perm})) AS perm) p
+        UNION ALL SELECT s.member_id, s.perm, s.i - 1, {swap} FROM swapped s JOIN drawn d ON d.member_id = s.member_id AND d.perm = s.perm AND d.i = s.i)
+      SELECT member_id, perm, arr FROM swapped WHERE i = 0)"""
+
+
+def _shuffle_drawn_sql(slotted: str, nvotes: str, n_perm: int, seed: str, having: str = "true") -> str:
+    """(member_id, perm, drawn) of shuffled dates as DuckDB SQL."""
+    moved = f"(SELECT x.member_id, x.perm, t.instrument, x.arr[t.slot + 1] AS day, t.slot FROM {_shuffled_sql(slotted, n_perm, seed, having)} x JOIN {slotted} t USING (member_id))"
+    return f"""(SELECT member_id, perm, count(*) FILTER (hit) AS drawn FROM (SELECT c.member_id, c.perm, c.slot, bool_or(v.d IS NOT NULL) AS hit FROM {moved} c
+        LEFT JOIN {nvotes} v ON v.member_id = c.member_id AND date_diff('day', c.day, v.d) BETWEEN 0 AND 14 AND (v.committee OR v.named = c.instrument) GROUP BY 1, 2, 3) h GROUP BY 1, 2)"""
+
+
+@query(_SLOTTED + f"SELECT * FROM {_shuffle_drawn_sql('slotted', 'nvotes', 50, 'shuffle')} x")
 def n04_shuffle_null(t):
     return nullmodel.shuffle_null(*_substrate(t), 50, "shuffle")
 
 
+#: Members joined to so many that each has 50 trades or more.
+_BUSY = "CAST(member_id % 25 AS BIGINT)"
+
+
+@query(f"""WITH slotted AS MATERIALIZED (SELECT member_id, instrument, tx_date AS d, row_number() OVER (PARTITION BY member_id ORDER BY filing_id, tx_date, tx_type, instrument) - 1 AS slot FROM (SELECT * REPLACE ({_BUSY} AS member_id) FROM {_TRADES} t) b),
+    nvotes AS MATERIALIZED (SELECT DISTINCT * REPLACE ({_BUSY} AS member_id), vote_date AS d FROM {_NVOTES} v),
+    observed AS (SELECT t.member_id, count(*) AS n_trades, count(*) FILTER (EXISTS (SELECT 1 FROM nvotes v WHERE v.member_id = t.member_id AND date_diff('day', t.d, v.d) BETWEEN 0 AND 14 AND (v.committee OR v.named = t.instrument))) AS observed FROM slotted t GROUP BY 1)
+    SELECT member_id, o.observed, count(*) AS n_perm, round(avg(drawn), 6) AS expected, round(stddev_pop(drawn), 6) AS sd, round(avg((drawn >= o.observed)::INT), 6) AS p_value
+    FROM {_shuffle_drawn_sql('slotted', 'nvotes', 5, 'busy', 'count(*) >= 50')} d JOIN observed o USING (member_id) GROUP BY 1, 2""")
+def n05_nexus_test_busy(t):
+    """The test of members with 50 trades or more, whose own dates are shuffled: many members' trades and votes put together."""
+    as_busy = lambda df: df.withColumn("member_id", F.expr(_BUSY))
+    trades, votes = (as_busy(df) for df in _substrate(t))
+    slot = F.row_number().over(Window.partitionBy("member_id").orderBy("filing_id", "tx_date", "tx_type", "instrument")) - 1
+    trades = staged(trades.withColumn("slot", slot), "busy-trades")
+    found = nullmodel.nexus_test(trades, votes, 5, "busy")
+    many = trades.groupBy("member_id").count().where("count >= 50").select("member_id")
+    rounded = (F.round("expected", 6).alias("expected"), F.round("sd", 6).alias("sd"), F.round("p_value", 6).alias("p_value"))
+    return found.join(many, "member_id").select("member_id", "observed", "n_perm", *rounded)
+
+
 @query(_SLOTTED + f"""SELECT member_id, o.observed, count(*) AS n_perm, round(avg(drawn), 6) AS expected, round(stddev_pop(drawn), 6) AS sd, round(avg((drawn >= o.observed)::INT), 6) AS p_value,
     round(CASE WHEN stddev_pop(drawn) = 0 THEN 0 ELSE (o.observed - avg(drawn)) / stddev_pop(drawn) END, 4) AS z_score FROM {_drawn_sql(100, 'nexus')} d JOIN {_OBSERVED_NEXUS} o USING (member_id) WHERE o.n_trades < 50 GROUP BY 1, 2""")
 def n05_nexus_test(t):

@@ -333,3 +333,22 @@ def fn_labels(t):
         text.lobbyist_canonical(F.concat(F.lit("Dr. "), "p_name", F.lit(" O'Neil, Jr."))).alias("lobbyist"), text.committee_canonical(committee).alias("committee"),
         text.even_cycle(size + 1990).cast("int").alias("cycle"), text.congress_number(size + 1990).alias("congress"), text.money_label(amount).alias("money"), text.surname(F.get(full, (k % 5).cast("int"))).alias("surname"),
     )
+
+
+_VOTED = "position IN ('yea', 'nay') AND party_position IN ('yea', 'nay') AND position <> party_position"
+_FACT = "SELECT member_id, '{0}' AS section, row_number() OVER (PARTITION BY member_id ORDER BY amount DESC NULLS LAST, day DESC, label) AS place, label, amount FROM ({1}) x QUALIFY place <= {2}"
+
+
+@query("SELECT member_id, section, place, label, round(CASE WHEN isfinite(amount) THEN amount END, 4) AS amount FROM (" + " UNION ALL ".join((
+    _FACT.format("donors", "SELECT member_id, donor || ' (' || coalesce(donor_type, '?') || ')' AS label, amount, '' AS day FROM donors", 10),
+    _FACT.format("spending", "SELECT member_id, side || ' ' || committee || ' ' || cycle AS label, amount::DOUBLE AS amount, '' AS day FROM spending", 10),
+    _FACT.format("positions", "SELECT member_id, position AS label, count(*)::DOUBLE AS amount, '' AS day FROM votes GROUP BY 1, 2", 100),
+    _FACT.format("broke", f"SELECT member_id, concat_ws(' ', vote_date::VARCHAR, position, vote_id) AS label, NULL::DOUBLE AS amount, vote_date::VARCHAR AS day FROM votes WHERE {_VOTED}", 8),
+    _FACT.format("trades", "SELECT member_id, concat_ws(' ', tx_date::VARCHAR, tx_type, asset, ticker, amount_band, holder, filing_id::VARCHAR) AS label, NULL::DOUBLE AS amount, tx_date::VARCHAR AS day FROM trades", 20),
+    _FACT.format("hits", f"SELECT member_id, 'p ' || n AS label, CASE WHEN n > 1 THEN n::DOUBLE ELSE '-inf'::DOUBLE END AS amount, lpad((100000 * least(100, score) // 10)::BIGINT::VARCHAR, 8, '0') AS day FROM (SELECT member_id, count(*) AS n, max(score) AS score FROM {_ALIGNED} a GROUP BY 1) g", 100),
+)) + ") u")
+def w13_fact_sheet(t):
+    """The top lists of every member's page. z of a hit is its number of trades here, unknown for one."""
+    by = detectors.trade_vote_alignment(before(t, 14)).select("member_id", F.lit("p").alias("pattern"), F.col("n_trades").cast("string").alias("finding"), "intensity", F.when(F.col("n_trades") > 1, F.col("n_trades").cast("double")).alias("z_score"))
+    found = rollups.fact_sheet(t.donors, t.spending, t.votes, t.trades, by)
+    return found.withColumn("amount", F.round("amount", 4))

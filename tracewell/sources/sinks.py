@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.operators.merge import replace_scope
-from tracewell.scratch import staged
+from .stored import StoredTable
 
 #: Columns that scoring fills; null for hits of patterns that aren't scored.
 STATISTICS = ("null_model", "observed", "expected", "p_value", "z_score", "n_perm")
@@ -17,29 +16,29 @@ def with_statistics(hits: DataFrame, scores: DataFrame) -> DataFrame:
     return hits.drop(*STATISTICS).join(scores.select("pattern", "member_id", *STATISTICS), ["pattern", "member_id"], "left")
 
 
-def write_hits(hits: DataFrame, scopes: DataFrame, path: str) -> None:
-    """Replace the stored hits of the scopes (pattern, member_id) that ran by those that they found, scored already.
+def stored_hits(spark, path: str, schema: str, buckets: int = 64) -> StoredTable:
+    """The table of hits, in buckets of pattern and member."""
+    return StoredTable(spark, path, schema, ["pattern", "member_id"], buckets)
+
+
+def write_hits(hits: DataFrame, scopes: DataFrame, path: str, buckets: int = 64) -> int:
+    """Replace the stored hits of the scopes (pattern, member_id) that ran by those that they found, scored already. Returns the version.
 
     A scope that found nothing is cleared; other members' hits of a pattern stay, and so do patterns
-    that didn't run. Only the folders of the scopes' patterns are written anew.
+    that didn't run. Only the buckets of the scopes are written anew.
     """
-    spark = hits.sparkSession
-    patterns = scopes.select("pattern").distinct()
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        old = spark.read.schema(hits.schema).parquet(path).join(patterns, "pattern", "left_semi")
-    else:
-        old = hits.limit(0)
-    merged = staged(replace_scope(old, hits, scopes, ["pattern", "member_id"]), "hits")
-    # a folder whose last hit goes would not be overwritten: it gets a row without a member, which is no hit
-    cleared = patterns.join(merged.select("pattern"), "pattern", "left_anti").select(*(F.col(c) if c == "pattern" else F.lit(None).cast(hits.schema[c].dataType).alias(c) for c in hits.columns))
-    both = merged.unionByName(cleared)
-    both.repartition("pattern", F.pmod(F.xxhash64("member_id"), F.lit(8))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("pattern").parquet(path)
-
-
-def read_hits(spark, path: str, schema) -> DataFrame:
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in hits.schema)
+    return stored_hits(hits.sparkSession, path, schema, buckets).replace_scope(hits, scopes)
+
+
+def read_hits(spark, path: str, schema: str, buckets: int = 64) -> DataFrame:
     """The stored hits."""
-    return spark.read.schema(schema).parquet(path).where("member_id is not null")
+    return stored_hits(spark, path, schema, buckets).read()
+
+
+def encoded(hits: DataFrame) -> DataFrame:
+    """Hits with what they cite and their dates as JSON texts, citing_json and dates_json, in place of the arrays."""
+    return hits.withColumn("citing_json", F.to_json("citing")).withColumn("dates_json", F.to_json(F.transform("dates", lambda d: d.cast("string")))).drop("citing", "dates")
 
 
 def write_receipts(receipts: DataFrame, path: str, files: int | None = None) -> None:
