@@ -374,3 +374,12 @@ def test_edited_copies_of_a_family_link(spark):
     by = {r["family"]: set(r["c"]) for r in got.groupBy("family").agg(F.collect_set("component_id").alias("c")).collect()}
     assert sum(len(c) - 1 for c in by.values()) <= 0.03 * len(rows)
     assert len(set().union(*by.values())) == sum(map(len, by.values()))
+
+
+def test_top_k_of_texts_that_many_rows_share(spark):
+    rng = random.Random(1)
+    for rows in ([(1.0, f"id{rng.randrange(50):03d}") for _ in range(900)], [(float(rng.randrange(3)), None if i % 7 == 0 else "same" if i % 2 else f"x{i}") for i in range(900)]):
+        df = spark.createDataFrame(rows, "key double, id string")
+        for k in (1, 37, 450, 899, 900):
+            got = sorted(((r["key"], r["id"]) for r in common.top_k(df, ["key", "id"], k, small=20).collect()), key=str)
+            assert got == sorted(sorted(rows, key=lambda r: (-r[0], r[1] is None, r[1] or ""))[:k], key=str)

@@ -12,6 +12,10 @@ shards' phrases that are frequent in the whole corpus come back to the shard, wh
 alone, as a frequent phrase has frequent parts. What a level's phrases don't cover leaves the
 shard's sequence. Nothing is kept of phrases that are rare everywhere, and no table is held whole
 by the driver or a task.
+
+Words travel as texts once. A frequent phrase gets a number, and longer phrases travel as two: that of
+the phrase without its last word, and that of the last word. Texts are put together at the end, for
+frequent phrases alone.
 """
 
 from __future__ import annotations
@@ -28,8 +32,8 @@ from pyspark.sql.window import Window
 
 from .common import discard, materialize, sweep, text_slices, tidy, utf8_parts, word_spans
 
-#: Bytes of text in a shard; a longer text is a shard of its own.
-SHARD = 16 << 20
+#: Bytes of text in a shard; a longer text is a shard of its own. What is left of a language at the end of a task joins that of its neighbours: so many tasks in all.
+SHARD, NEIGHBOURS = 8 << 20, 3
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -38,7 +42,9 @@ _ENDS_PIECE[[*b".,;:!?\n\x0b\x0c\r"]] = True
 _GAP[[*b" \t"]] = True
 _GAP |= _ENDS_PIECE
 
-_ROWS = "shard long, lang string, gram string, at long, n long, words array<string>, ids binary"
+#: Rows of shards: phrases (words by lang and gram, longer ones by prefix and word), and a sequence in each shard. spot: where a phrase stands, and how often, in one number.
+_WORDS = "shard long, lang string, gram string, spot long, ids binary"
+_PHRASES = "shard long, prefix long, word long, spot long, ids binary"
 
 
 def _ranges(start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -52,11 +58,14 @@ class _Sorted:
 
     def __init__(self, ids: np.ndarray, depth: int):
         self.ids, deep, key = ids, 1, ids.astype(np.int64)
-        while deep < depth:
+        while True:
+            # ranks of twice as many ids, until they are enough
             ahead = np.append(key[deep:], np.zeros(min(deep, len(key)), np.int64))
-            key = np.unique(key * (int(key.max(initial=0)) + 1) + ahead, return_inverse=True)[1]
-            deep *= 2
-        self.order = np.argsort(key, kind="stable")
+            key, deep = key * (int(key.max(initial=0)) + 1) + ahead, 2 * deep
+            if deep >= depth:
+                break
+            key = np.unique(key, return_inverse=True)[1]
+        self.order = np.argsort(key)
         self.rank = np.empty(len(ids), np.int64)
         self.rank[self.order] = np.arange(len(ids))
         self.before = ids[self.order - 1]  # the transform: the id before each place
@@ -81,19 +90,19 @@ class WordIndex:
         self.ids, self.depth = ids, depth
         self.forward, self.back = _Sorted(ids, depth), _Sorted(ids[::-1], depth)
 
-    def phrases(self, at: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(rows in the forward, rows in the backward index, counts) of the phrases at these places, each phrase once."""
+    def phrases(self, at: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(rows in the forward, rows in the backward index, counts, which of the places) of the phrases at these places, each phrase once."""
         low, n = self.forward.interval(at, words)
         low, first = np.unique(low, return_index=True)
         back, _ = self.back.interval(len(self.ids) - at[first] - words, words)
-        return low, back, n[first]
+        return low, back, n[first], first
 
     @staticmethod
     def _extend(through: _Sorted, low: np.ndarray, other: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Intervals narrowed by each id that the transform holds in them, ends of pieces left out: (low, other, count, which it came from)."""
         rows, of = _ranges(low, n)
         ids = through.before[rows].astype(np.int64)
-        order = np.argsort(of * (int(ids.max(initial=0)) + 1) + ids, kind="stable")
+        order = np.argsort(of * (int(ids.max(initial=0)) + 1) + ids)
         rows, of, ids = rows[order], of[order], ids[order]
         cut = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(ids, prepend=-1) != 0))
         count = np.diff(np.append(cut, len(of)))
@@ -117,17 +126,30 @@ class WordIndex:
         return self.forward.order[_ranges(low, n)[0]]
 
 
-def _table(shard: int, lang: str, grams: pa.Array, at: np.ndarray, n: np.ndarray, words: pa.Array | None, ids: np.ndarray | None, total: int = 0) -> pa.Table:
+def _pack(ids: np.ndarray, numbers: np.ndarray | None = None) -> bytes:
+    """A sequence and the numbers of its words, compressed: bytes of a place in the numbers stand together, as most of them are 0."""
+    numbers = np.zeros(0, np.int64) if numbers is None else numbers
+    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes() for x in (ids.astype("<i4"), numbers.astype("<i8"))]
+    head = np.array([len(ids), len(numbers)], "<i8").tobytes()
+    return head + pa.compress(planes[0] + planes[1], codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, m = np.frombuffer(data, "<i8", 2).tolist()
+    raw = np.frombuffer(pa.decompress(data[16:], decompressed_size=4 * n + 8 * m, codec="zstd", asbytes=True), np.uint8)
+    planes = lambda part, width, kind: np.ascontiguousarray(part.reshape(width, -1).T).view(kind).ravel() if len(part) else np.zeros(0, kind)
+    return planes(raw[: 4 * n], 4, "<i4"), planes(raw[4 * n :], 8, "<i8")
+
+
+def _table(shard: int, keys: dict[str, pa.Array], at: np.ndarray, n: np.ndarray, held: bytes | None, total: int = 0, whole: dict[str, str] = {}) -> pa.Table:
     """Rows of a shard: one for each phrase, and one with its sequence, if it is needed further."""
-    m, more = len(grams), words is not None
-    null = lambda kind: pa.nulls(m, kind)
-    held = [
-        pa.array([shard] * (m + more), pa.int64()), pa.array([lang] * (m + more), pa.string()), pa.concat_arrays([grams.cast(pa.string()), pa.nulls(more, pa.string())]),
-        pa.array(np.append(at, [0] * more), pa.int64()), pa.array(np.append(n, [total] * more), pa.int64()),
-        pa.concat_arrays([null(pa.list_(pa.string())), pa.array([words.to_pylist()] if more else [], pa.list_(pa.string()))]),
-        pa.concat_arrays([null(pa.binary()), pa.array([ids.astype("<i4").tobytes()] if more else [], pa.binary())]),
+    m, more = len(at), held is not None
+    last = lambda c, kind: pa.array([whole.get(c)] * more, kind)
+    columns = [
+        pa.array([shard] * (m + more), pa.int64()), *(pa.concat_arrays([k, last(c, k.type)]) for c, k in keys.items()),
+        pa.array(np.append(at + (n.astype(np.int64) << 32), [total] * more).astype(np.int64)), pa.array([None] * m + [held] * more, pa.binary()),
     ]
-    return pa.Table.from_arrays(held, ["shard", "lang", "gram", "at", "n", "words", "ids"])
+    return pa.Table.from_arrays(columns, ["shard", *keys, "spot", "ids"])
 
 
 def _words(part: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
@@ -153,21 +175,25 @@ def _first_level(docs: DataFrame, size: int) -> DataFrame:
         held: dict[str, list] = {}
         bytes_of: dict[str, int] = {}
 
-        def flush(lang):
+        def flush(lang, full):
             nonlocal made
             words = pa.chunked_array([w for w, _ in held[lang]]).combine_chunks()
             begins = np.concatenate([b for _, b in held.pop(lang)])
             bytes_of.pop(lang)
             coded = words.dictionary_encode()
-            vocabulary, codes = coded.dictionary, coded.indices.to_numpy()
+            # words in their order, so that neighbouring phrases begin alike
+            order = pc.sort_indices(coded.dictionary).to_numpy()
+            place_of = np.empty(len(order), np.int64)
+            place_of[order] = np.arange(len(order))
+            vocabulary, codes = coded.dictionary.take(pa.array(order)), place_of[coded.indices.to_numpy()]
             place = np.arange(len(codes)) + np.cumsum(begins)
             ids = np.zeros(len(codes) + int(begins.sum()) + 1, np.int32)
-            ids[place] = codes + 1
+            ids[place] = codes + 1  # 0 ends a piece
             first = np.zeros(len(vocabulary), np.int64)
             first[codes[::-1]] = place[::-1]
-            shard, made = (TaskContext.get().partitionId() << 32) + made, made + 1
-            text = vocabulary.cast(pa.large_string())
-            return _table(shard, lang, text, first, np.bincount(codes, minlength=len(vocabulary)), text, ids, len(codes)).to_batches()
+            shard, made = (TaskContext.get().partitionId() << 32) + (made << 1) + full, made + 1
+            keys = {"lang": pa.array([lang] * len(vocabulary), pa.string()), "gram": vocabulary.cast(pa.string())}
+            return _table(shard, keys, first, np.bincount(codes, minlength=len(vocabulary)), _pack(ids), len(codes), {"lang": lang}).to_batches()
 
         for batch in batches:
             for part in text_slices(batch, batch.schema.names[1], min(size, 1 << 20)):
@@ -180,36 +206,60 @@ def _first_level(docs: DataFrame, size: int) -> DataFrame:
                         held.setdefault(lang, []).append((words.filter(pa.array(own)), begins[own]))
                         bytes_of[lang] = bytes_of.get(lang, 0) + int(sizes[of == k].sum())
                 for lang in [x for x, n in bytes_of.items() if n >= size]:
-                    yield from flush(lang)
-                while sum(bytes_of.values()) > 2 * size:  # many languages
-                    yield from flush(max(bytes_of, key=bytes_of.get))
+                    yield from flush(lang, True)
+                while sum(bytes_of.values()) > 4 * size:  # many languages
+                    yield from flush(max(bytes_of, key=bytes_of.get), True)
         for lang in list(held):
-            yield from flush(lang)
+            yield from flush(lang, False)
+
+    return docs.mapInArrow(tidy(run), _WORDS)
 
-    return docs.mapInArrow(tidy(run), _ROWS)
+
+def _joined(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The sequences of shards as one of frequent words alone, and the numbers of its words."""
+    shards, at, named = right.column("shard").to_numpy(), right.column("at").to_numpy(), right.column("number").to_numpy()
+    parts = [np.array([-1])]
+    for shard, held in sorted(zip(left.column("shard").to_pylist(), left.column("ids").to_pylist())):
+        ids, _ = _unpack(held)
+        own, number_of = shards == shard, np.full(int(ids.max(initial=0)) + 1, -1)
+        number_of[ids[at[own]]] = named[own]
+        parts += [number_of[ids], np.array([-1])]
+    numbers = np.concatenate(parts)
+    ends = numbers < 0
+    numbers = numbers[~(ends & np.append(False, ends[:-1]))]  # one end of a piece between
+    return np.unique(numbers, return_inverse=True)[::-1]
 
 
 def _next_level(shards: DataFrame, frequent: DataFrame, words: int, last: bool) -> DataFrame:
-    """Rows of all shards with their phrases of so many words, from the frequent ones (shard, at) of a word less."""
+    """Rows of all shards with their phrases of so many words, from the frequent ones (shard, spot, number) of a word less.
+
+    Before phrases of two, what was left at the end of neighbouring tasks becomes one shard for each language.
+    """
 
     def extend(left: pa.Table, right: pa.Table) -> pa.Table:
+        keys = lambda prefix, word: {"prefix": pa.array(prefix, pa.int64()), "word": pa.array(word, pa.int64())}
+        none = np.zeros(0, np.int64)
         if not left.num_rows or not right.num_rows:
-            return _table(0, "", pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.int64), None, None)
-        left = left.combine_chunks()
-        ids, vocabulary = np.frombuffer(left.column("ids")[0].as_py(), "<i4"), left.column("words").chunk(0).flatten()
-        shard, lang = left.column("shard")[0].as_py(), left.column("lang")[0].as_py()
-        at = right.column("at").to_numpy()
+            return _table(0, keys(none, none), none, none, None)
+        if words == 2:
+            ids, numbers = _joined(left, right)
+            at = np.unique(ids, return_index=True)[1][1:]
+            named = numbers[ids[at]]
+        else:
+            ids, numbers = _unpack(left.column("ids")[0].as_py())
+            at, named = right.column("at").to_numpy(), right.column("number").to_numpy()
         index = WordIndex(ids, words)
-        low, back, n = index.phrases(at, words - 1)
+        low, back, n, first = index.phrases(at, words - 1)
         known = np.zeros(len(ids), bool)  # rows of the forward index whose phrase is frequent
         known[_ranges(low, n)[0]] = True
-        low, _, n, _ = index.extend_right(low, back, n)
+        low, _, n, of = index.extend_right(low, back, n)
         begin = index.forward.order[low]
         rest = known[index.forward.rank[begin + 1]]  # without its first word it is frequent too
-        low, n, begin = low[rest], n[rest], begin[rest]
-        grams = pc.binary_join_element_wise(*(vocabulary.take(pa.array(ids[begin + k] - 1)) for k in range(words)), " ") if len(low) else pa.array([], pa.string())
+        low, n, begin, of = low[rest], n[rest], begin[rest], of[rest]
+        named = keys(named[first][of], numbers[ids[begin + words - 1]])
+        shard = min(left.column("shard").to_pylist())
         if last or not len(low):
-            return _table(shard, lang, grams, begin, n, None, None)
+            return _table(shard, named, begin, n, None)
         # only what these phrases cover stays, with one end of a piece between
         cover = np.zeros(len(ids) + words, bool)
         starts = index.places(low, n)
@@ -219,36 +269,63 @@ def _next_level(shards: DataFrame, frequent: DataFrame, words: int, last: bool)
         stays = cover | np.append(True, cover[:-1])
         place = np.cumsum(stays) - 1
         kept = np.append(np.where(cover, ids, 0)[stays], 0)
-        used, new = np.unique(kept[kept > 0], return_inverse=True)
-        kept[kept > 0] = new + 1
-        return _table(shard, lang, grams, place[begin], n, vocabulary.take(pa.array(used - 1)), kept)
-
-    rows = shards.where("ids is not null").select("shard", "lang", "words", "ids")
-    return rows.groupBy("shard").cogroup(frequent.select("shard", "at").groupBy("shard")).applyInArrow(extend, _ROWS)
+        used, new = np.unique(kept, return_inverse=True)
+        if used[0]:  # 0 keeps its meaning
+            used, new = np.append(0, used), new + 1
+        return _table(shard, named, place[begin], n, _pack(new, numbers[used]))
+
+    by = ["shard"]
+    if words == 2:
+        by, task = ["lang", "_group"], F.shiftright("shard", 32)
+        group = F.when(F.col("shard").bitwiseAND(1) == 1, F.col("shard")).otherwise(-1 - F.floor(task / NEIGHBOURS))
+        shards, frequent = shards.withColumn("_group", group), frequent.withColumn("_group", group)
+    rows = shards.where("ids is not null").select(*by, *{"shard"} - {*by}, "ids")
+    at = F.col("spot").bitwiseAND((1 << 32) - 1).alias("at")
+    picked = frequent.select(*by, *{"shard"} - {*by}, at, "number")
+    return rows.groupBy(*by).cogroup(picked.groupBy(*by)).applyInArrow(extend, _PHRASES)
 
 
 def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = 30, most_words: int = 4, size: int = SHARD) -> tuple[DataFrame, list[DataFrame]]:
     """(lang, n), the number of all words of each language, and for each length from 1 the phrases (lang, gram, f) that occur ``least`` times or more."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    rows, path = materialize(_first_level(texts, size), "words")
-    words, _ = materialize(rows.where("ids is not null").groupBy("lang").agg(F.sum("n").alias("n")), "languages")
-    out = []
+    rows, path = materialize(_first_level(texts, size), "words", "zstd")
+    words, _ = materialize(rows.where("ids is not null").groupBy("lang").agg(F.sum("spot").alias("n")), "languages")
+    out, key = [], ["lang", "gram"]
     for length in range(1, most_words + 1):
-        own = Window.partitionBy("lang", "gram")
-        # a row a shard at most for each phrase
-        summed = rows.where("gram is not null").select("shard", "lang", "gram", "at", F.sum("n").over(own).alias("f"), (F.col("shard") == F.min("shard").over(own)).alias("one"))
-        frequent, _ = materialize(summed.where(F.col("f") >= least), f"phrases-{length}")
-        out.append(frequent.where("one").select("lang", "gram", "f"))
+        frequent, frequent_path = materialize(_frequent(rows.where(F.col(key[1]).isNotNull()), key, least), f"phrases-{length}", "zstd")
+        out.append(_named(frequent.where("one"), out))
+        sweep(spark)
         if length < most_words:
-            rows, new = materialize(_next_level(rows, frequent, length + 1, length + 1 == most_words), "phrases")
+            rows, new = materialize(_next_level(rows, frequent, length + 1, length + 1 == most_words), "phrases", "zstd")
             discard(spark, path)
-            path = new
+            path, key = new, ["prefix", "word"]
+        discard(spark, frequent_path)
+        sweep(spark)
     discard(spark, path)
-    sweep(spark)
     return words, out
 
 
+def _frequent(grams: DataFrame, key: list[str], least: int) -> DataFrame:
+    """(shard, key, spot, f, number, one): the rows of phrases that occur ``least`` times or more in all shards, with that sum and a number for the phrase; one of each phrase's rows is marked.
+
+    A phrase has a row a shard at most. Rows are dealt by phrase; words are put in order by a hash
+    first, made after they are dealt, as texts are slow to compare. A phrase's number is the least of those of its rows.
+    """
+    dealt = grams.select("shard", *key, "spot").repartition(*key).withColumn("_h", F.xxhash64(*key)).withColumn("_nth", F.monotonically_increasing_id())
+    own = Window.partitionBy("_h", *key)
+    summed = dealt.select("shard", *key, "spot", F.sum(F.shiftright("spot", 32)).over(own).alias("f"), F.min("_nth").over(own).alias("number"), "_nth")
+    return summed.where(F.col("f") >= least).select("shard", *key, "spot", "f", "number", (F.col("_nth") == F.col("number")).alias("one"))
+
+
+def _named(phrases: DataFrame, before: list[DataFrame]) -> DataFrame:
+    """(number, lang, gram, f) of phrases, written: a text is that of its prefix and that of its last word, which have their texts already."""
+    if before:
+        prefix, word = before[-1].select(F.col("number").alias("prefix"), "lang", F.col("gram").alias("_begin")), before[0].select(F.col("number").alias("word"), F.col("gram").alias("_end"))
+        phrases = phrases.join(prefix, "prefix").join(word, "word").withColumn("gram", F.concat_ws(" ", "_begin", "_end"))
+    return materialize(phrases.select("number", "lang", "gram", "f"), "named-phrases")[0]
+
+
 def _part(first: int, words: int, of: int):
     """words words of a phrase of ``of`` words, from the one numbered first on."""
     return F.substring_index(F.substring_index("gram", " ", first + words), " ", -words) if first + words < of else F.substring_index("gram", " ", -words)
@@ -266,6 +343,7 @@ def collocations(
     """
     words, levels = phrase_counts(docs, lang_col, text_col, least, most_words, size)
     union = lambda parts: reduce(DataFrame.unionAll, parts)
+    levels = [level.drop("number") for level in levels]
     parts_of = union(levels[:-1])
     cuts = union([
         level.select("lang", "gram", F.col("f").alias("a"), F.lit(k).alias("k"), _part(0, k, m).alias("first"), _part(k, m - k, m).alias("rest"))

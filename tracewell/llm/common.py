@@ -48,10 +48,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_base(spark)}/tracewell/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """Write df to the shared folder and read it back: cuts its lineage, survives lost executors."""
+def materialize(df: DataFrame, label: str, codec: str | None = None) -> tuple[DataFrame, str]:
+    """Write df to the shared folder and read it back: cuts its lineage, survives lost executors. codec: another than the session's."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
@@ -66,6 +66,7 @@ def discard(spark: SparkSession, *paths: str) -> None:
 def sweep(spark: SparkSession) -> None:
     """Let the driver drop plans that nothing holds any more: Spark then deletes their shuffle files, which else lie on the executors' disks for long."""
     gc.collect()
+    _release()
     spark._jvm.System.gc()
 
 
@@ -92,14 +93,19 @@ def top_k(rows: DataFrame, keys: list[str], k: int, bins: int = 1024, small: int
     Counts by bins of a key's range find the bin in which the k-th row lies; it is cut again until
     it holds ``small`` rows at most, or rows that are alike in the key: these are cut by the next
     key. Rows alike in all keys, more than ``small``, are dealt by a number of their own. Keys are
-    numbers; others end in a sort of the rows alike in the numbers before. rows are read several times.
+    numbers, or texts, which are cut by ranges instead. rows are read several times.
     """
     n, left, sure, inside = rows.count(), k, [], rows
     if k >= n or k <= 0:
         return rows if k > 0 else rows.limit(0)
     for nth, name in enumerate(keys):
         if dict(rows.dtypes)[name] == "string":
-            break
+            if n > small:
+                passed, inside, n, left = _cut_by_text(inside, name, left, nth == 0)
+                sure += passed
+            if n <= small:
+                break
+            continue
         value = F.col(name).cast("double") if nth == 0 else -F.col(name).cast("double")
         value = F.coalesce(value, F.lit(float("-inf")))
         lo, hi = inside.agg(F.min(value), F.max(value)).first()
@@ -115,7 +121,7 @@ def top_k(rows: DataFrame, keys: list[str], k: int, bins: int = 1024, small: int
             inside, n, lo, hi = inside.where((value >= r["lo"]) & (value <= r["hi"])), r["n"], r["lo"], r["hi"]
         if n <= small:
             break
-    if n > small and "string" not in [dict(rows.dtypes)[name] for name in keys]:
+    if n > small:
         numbered, _ = materialize(inside.withColumn("_own", F.monotonically_increasing_id()), "ties")
         edge = top_k(numbered, ["_own"], left, bins, small).drop("_own")
     else:
@@ -124,6 +130,28 @@ def top_k(rows: DataFrame, keys: list[str], k: int, bins: int = 1024, small: int
     return reduce(DataFrame.unionAll, [*sure, edge])
 
 
+def _cut_by_text(rows: DataFrame, name: str, left: int, falling: bool) -> tuple[list[DataFrame], DataFrame, int, int]:
+    """Rows sure to be among the first ``left`` in the order of a text, the rows of one range, or of one text, that the last of these is in, their number, and how many of them."""
+    # only the first key falls
+    order = F.col(name).desc_nulls_last() if falling else F.col(name).asc_nulls_last()
+    dealt, _ = materialize(rows.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "text-ranges")
+    sure: list[DataFrame] = []
+    for column in ("_range", name):
+        groups = dealt.groupBy(column).agg(F.count("*").alias("n"))
+        if column == name:
+            place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(order))  # the texts of one range
+            groups = groups.select(F.col(name).alias("_text"), "n").withColumnRenamed("_text", name).withColumn("_place", place)
+        else:
+            groups = groups.withColumn("_place", F.col("_range"))
+        upto = groups.withColumn("_before", F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("_place")) - F.col("n"))
+        edge = upto.where((F.col("_before") < left) & (F.col("_before") + F.col("n") >= left)).first()
+        before = upto.where(F.col("_place") < edge["_place"]).select(F.col(column).alias("_group"))
+        sure.append(dealt.join(before, dealt[column].eqNullSafe(F.col("_group")), "left_semi").select(rows.columns))
+        dealt = dealt.where(F.col(column).eqNullSafe(F.lit(edge[column])))
+        left -= edge["_before"]
+    return sure, dealt.select(rows.columns), edge["n"], left
+
+
 def _release() -> None:
     """Give memory that is free back to the system: workers live on after their tasks, beside the JVM and other workers."""
     pa.default_memory_pool().release_unused()
