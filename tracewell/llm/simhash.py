@@ -173,6 +173,47 @@ def alike(a: list[np.ndarray], b: list[np.ndarray], similarity: float) -> np.nda
     return shared * 1_000_000 >= (size[:n, None] + size[None, n:] - shared) * round(similarity * 1_000_000)
 
 
+def _of_blocks(rows: DataFrame, found, schema: str) -> DataFrame:
+    """What ``found`` makes of each block: a table of the rows (key, i, j, side, node, root, ...) that share (key, i, j)."""
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            keys = np.stack([held.column(c).to_numpy() for c in ("key", "i", "j")])
+            cut = np.append(0, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1)
+            for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                yield from found(held.slice(lo, hi - lo).combine_chunks())
+            held = held.slice(int(cut[-1]))
+        if held is not None and held.num_rows:
+            yield from found(held.combine_chunks())
+
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(tidy(run), schema)
+
+
+def _likely_in_block(rows: DataFrame, similarity: float, banding: Banding) -> DataFrame:
+    """Rows (key, i, j, side, node, root) of those of (..., sketch) that some row of the block's other side, of another root, may be similar to."""
+
+    def likely(block):
+        side, root = block.column("side").to_numpy(), block.column("root").to_numpy()
+        sketches = np.frombuffer(b"".join(block.column("sketch").to_pylist()), np.uint32).reshape(-1, banding.width)
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        least, keep = (similarity - banding.margin) * banding.width, np.zeros(len(side), bool)
+        for a in np.array_split(x, -(-len(x) // 256) or 1):
+            for b in np.array_split(y, -(-len(y) // 256) or 1):
+                if len(a) and len(b):
+                    same = np.zeros((len(a), len(b)), np.uint16)
+                    for k in range(banding.width):
+                        same += sketches[a, k][:, None] == sketches[b, k][None, :]
+                    pairs = (same >= least) & (root[a][:, None] != root[b][None, :])
+                    keep[a] |= pairs.any(1)
+                    keep[b] |= pairs.any(0)
+        return block.select(["key", "i", "j", "side", "node", "root"]).filter(pa.array(keep)).to_batches()
+
+    return _of_blocks(rows, likely, "key long, i int, j int, side int, node long, root long")
+
+
 def _block_links(rows: DataFrame, similarity: float) -> DataFrame:
     """(a, b) from rows (key, i, j, side, node, root, shingles): links between the sides of each block (key, i, j), of different roots.
 
@@ -186,8 +227,8 @@ def _block_links(rows: DataFrame, similarity: float) -> DataFrame:
         sets = [x.values.to_numpy() for x in block.column("shingles")]
         x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         if not len(x) or not len(y):
-            return []
-        size, out = np.array([len(s) for s in sets]), []
+            return
+        size = np.array([len(s) for s in sets])
 
         def parts(of):  # by size, of 256 sets and a million shingles or so, or of one set
             of = of[np.argsort(size[of], kind="stable")]
@@ -200,24 +241,9 @@ def _block_links(rows: DataFrame, similarity: float) -> DataFrame:
                 at, to = np.nonzero(alike([sets[k] for k in a], [sets[k] for k in b], similarity) & (root[a][:, None] != root[b][None, :]))
                 if len(at):
                     _, first = np.unique(np.stack([at, root[b[to]]]), axis=1, return_index=True)
-                    out.append((node[a[at[first]]], node[b[to[first]]]))
-        return out
-
-    def run(batches):
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            keys = np.stack([held.column(c).to_numpy() for c in ("key", "i", "j")])
-            cut = np.append(0, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1)
-            for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
-                for a, b in links(held.slice(lo, hi - lo).combine_chunks()):
-                    yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
-            held = held.slice(int(cut[-1]))
-        for a, b in links(held.combine_chunks()) if held is not None and held.num_rows else ():
-            yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
+                    yield pa.record_batch([pa.array(node[a[at[first]]]), pa.array(node[b[to[first]]])], ["a", "b"])
 
-    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(tidy(run), "a long, b long")
+    return _of_blocks(rows, links, "a long, b long")
 
 
 def similar_links(nodes: DataFrame, similarity: float, sets_of, banding: Banding = PLAIN, rows: int = 2048, shingles: int = 2_000_000) -> DataFrame:
@@ -231,7 +257,7 @@ def similar_links(nodes: DataFrame, similarity: float, sets_of, banding: Banding
     joined already, and none becomes a row unless it links. Buckets of the same members are one.
 
     Pairs are decided by their sets of shingles, which ``sets_of`` gives as (node, shingles) for a
-    table of nodes; in the first step, only those whose sketches come near the similarity.
+    table of nodes; only those whose sketches come near the similarity.
     """
     spark = nodes.sparkSession
 
@@ -294,7 +320,12 @@ def similar_links(nodes: DataFrame, similarity: float, sets_of, banding: Banding
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     x = open_.where("root <> most").select("key", dealt(1, "nx").alias("i"), every("ny").alias("j"), F.lit(0).alias("side"), "node", "root")
     y = open_.select("key", every("nx").alias("i"), dealt(2, "ny").alias("j"), F.lit(1).alias("side"), "node", "root")
-    more, _ = materialize(_block_links(x.unionAll(y).join(sets, "node").select("key", "i", "j", "side", "node", "root", "shingles"), similarity), "block-links")
+    # sketches go first: sets travel only to where a pair may be similar
+    all_rows = x.unionAll(y).join(nodes.select("node", "sketch"), "node").select("key", "i", "j", "side", "node", "root", "sketch")
+    likely, likely_path = materialize(_likely_in_block(all_rows, similarity, banding), "likely-in-block")
+    sweep(spark)
+    more, _ = materialize(_block_links(likely.join(sets, "node").select("key", "i", "j", "side", "node", "root", "shingles"), similarity), "block-links")
+    discard(spark, likely_path)
     discard(spark, labelled_path, open_path, sets_path)
     sweep(spark)
     return star.unionAll(more)
