@@ -36,3 +36,22 @@ def test_repeated_and_null_ids_drop_row_by_row(spark, tmp_path):
     spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     docs = frame(spark, [(None, leak, "a"), (None, other, "a"), (1, leak, "a"), (1, same, "a")], tmp_path / "more.parquet")
     assert sorted(r["text"] for r in corpus_pipeline.remove_leaks(spark, docs, str(tmp_path)).collect()) == sorted([other, same])
+
+
+def test_clashing_names_and_interleaved_calls(spark, tmp_path):
+    leak = " ".join(f"leak{k}" for k in range(30))
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    tables = []
+    for n in range(2):
+        held = [(k, f"t{n} {k} {FILL}", "en", "a", 1, f"r{k}", f"c{k}", k) for k in range(5)] + [(9, leak, "en", "a", 1, "r", "c", 9)]
+        spark.createDataFrame(held, f"{SCHEMA}, _row string, _copies string, item_id long").write.parquet(str(tmp_path / f"d{n}.parquet"))
+        tables.append(spark.read.parquet(str(tmp_path / f"d{n}.parquet")))
+    # results of one table are read after the stage has run on another
+    first, second = (corpus_pipeline.remove_leaks(spark, docs, str(tmp_path)) for docs in tables)
+    for n, left in enumerate((first, second)):
+        assert left.columns == tables[n].columns
+        assert sorted((r["doc_id"], r["_row"], r["_copies"], r["item_id"], r["text"][:2]) for r in left.collect()) == [(k, f"r{k}", f"c{k}", k, f"t{n}") for k in range(5)]
+    mixed = corpus_pipeline.mix_sources(spark, tables[0], str(tmp_path))
+    assert mixed.columns == tables[0].columns and {r["_copies"] for r in mixed.collect()} <= {f"c{k}" for k in range(5)} | {"c"}
+    left = corpus_pipeline.remove_near_duplicates(spark, tables[0], str(tmp_path))
+    assert left.columns == tables[0].columns and "r" in {r["_row"] for r in left.collect()}

@@ -167,6 +167,10 @@ class Index:
         self.sieve[self.keys >> np.uint64(42)] = True
         self.long = np.array([len(w) for w in self.words], np.int64)
         self.most = np.array([_most(len(w), p) for w in self.words], np.int64)
+        # the words of short items side by side
+        self.padded = np.zeros((len(self.words), p.shortest), np.uint64)
+        for k in np.flatnonzero(self.long <= p.shortest).tolist():
+            self.padded[k, : self.long[k]] = self.words[k]
 
     def candidates(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
         """(row, item number, first and last word at which the item may start), at most one of a row and item within an item's length.
@@ -202,15 +206,38 @@ class Index:
         starts = np.flatnonzero(_spans_of(row * len(self.long) + item, low, high, self.long[item]))
         return np.stack([row[starts], item[starts], low[starts], np.maximum.reduceat(high, starts)], 1)
 
+    def holds_words(self, words: np.ndarray, item: np.ndarray, lo: np.ndarray, hi: np.ndarray, widest: int = 64) -> np.ndarray:
+        """For candidates whether the words from lo to hi may hold the item: all but as many of its words as may be edited stand there.
+
+        An edit takes one word of the item at most, so nothing is lost. Held against whole arrays of
+        candidates with narrow windows, as common words of short items make many of them; the others may hold it.
+        """
+        may = np.ones(len(item), bool)
+        narrow = np.flatnonzero((hi - lo <= widest) & (self.long[item] <= self.padded.shape[1]))
+        for at in np.array_split(narrow, -(-len(narrow) // 8192) or 1):
+            if len(at):
+                reach = np.arange(int((hi - lo)[at].max()))
+                inside = lo[at, None] + reach < hi[at, None]
+                near = np.where(inside, words.take(lo[at, None] + reach, mode="clip"), 0)
+                wanted, found = self.padded[item[at]], np.zeros(len(at), np.int64)
+                for k in range(wanted.shape[1]):
+                    found += ((near == wanted[:, k, None]) & inside).any(1) & (k < self.long[item[at]])
+                may[at] = found >= self.long[item[at]] - self.most[item[at]]
+        return may
+
     def matches(self, data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int]]:
         """(row, item number, distance) for each row and item within the distance."""
         words, first = words_of(data, off)
         out: dict[tuple[int, int], int] = {}
-        for row, item, low, high in self.candidates(words, first).tolist() if len(self.keys) else ():
+        found = self.candidates(words, first) if len(self.keys) else np.zeros((0, 4), np.int64)
+        row, item, low, high = found.T
+        lo = np.maximum(first[row], low - 2 * self.most[item])
+        hi = np.minimum(first[row + 1], high + self.long[item] + 3 * self.most[item] + 1)
+        may = self.holds_words(words, item, lo, hi)
+        for row, item, lo, hi in np.stack([row, item, lo, hi], 1)[may].tolist():
             most = int(self.most[item])
             if out.get((row, item)) == 0:
                 continue
-            lo, hi = max(first[row], low - 2 * most), min(first[row + 1], high + len(self.words[item]) + 3 * most + 1)
             distance = substring_distance(self.words[item], words[lo:hi])
             if distance <= most:
                 out[row, item] = min(distance, out.get((row, item), distance))

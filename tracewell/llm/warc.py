@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import materialize, tidy
+from .common import join_groups, materialize, tidy
 from .stores import Staged, clear_strays, open_store, write_file
 
 #: Fixed value: names a revisit by equal payload, as the WARC 1.1 standard has it.
@@ -95,9 +95,11 @@ def find_revisits(hashed: DataFrame, min_revisit_bytes: int) -> DataFrame:
     """
     own = hashed.where(F.col("bytes") >= min_revisit_bytes).groupBy("h", "bytes", "id").agg(F.count("*").alias("rows"))
     own, _ = materialize(own, "payload-groups")
-    first = own.groupBy("h", "bytes").agg(F.max("id").alias("first"), F.sum("rows").alias("all")).where("all > 1").drop("all")
+    first = own.groupBy("h").agg(F.max("id").alias("first"), F.sum("rows").alias("all"), F.count("*").alias("ids")).where("all > 1").drop("all")
+    first, _ = materialize(first, "payload-responses")
     n = F.col("rows") - F.col("id").eqNullSafe(F.col("first")).cast("int")
-    return own.join(first, ["h", "bytes"]).select("id", "h", F.col("first").alias("refers_to"), n.alias("n")).where("n > 0")
+    # a hot payload's response goes to where its rows are
+    return join_groups(own, first, "h", "ids", own.count()).select("id", "h", F.col("first").alias("refers_to"), n.alias("n")).where("n > 0")
 
 
 def write_warc(
