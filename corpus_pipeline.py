@@ -6,6 +6,7 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,43 +15,41 @@ from tracewell.llm.common import discard, materialize, scratch_path, sweep
 from tracewell.llm.queries import END_ID, TOXIC, held_out, table, tokenizer_file
 
 
-#: Name of the key that tells a stage's rows apart; ids may be null or repeated.
-ROW = "_row"
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that docs doesn't have, in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
-#: Where the keyed rows of the stage before lie.
-_SPENT: list[str] = []
+def _rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a key of each row, the same in every later read; and the key's name. Ids may be null or repeated.
 
-
-def _rows(docs: DataFrame) -> DataFrame:
-    """docs with a key of each row, written once, so that every later read sees the same keys.
-
-    The stage before is written, or read here for the last time: its own keyed rows are deleted.
+    A row read from files is known by its file's name and its place in it, so nothing is copied; other tables are written once.
     """
-    rows, path = materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
-    _drop_spent(docs.sparkSession)
-    _SPENT[:] = [path]
-    return rows
-
-
-def _drop_spent(spark: SparkSession) -> None:
-    """Delete what earlier stages needed: their keyed rows, and the shuffle files of their plans."""
-    discard(spark, *_SPENT)
-    _SPENT.clear()
-    sweep(spark)
+    row = _free(docs, "_row")
+    try:
+        place = F.concat_ws("#", F.col("_metadata.file_name"), F.col("_metadata.row_index").cast("string"))
+        return docs.select(place.alias(row), "*"), row
+    except AnalysisException:
+        rows, _ = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+        return rows, row
 
 
-def _keep(rows: DataFrame, drop: DataFrame) -> DataFrame:
+def _keep(rows: DataFrame, drop: DataFrame, row: str) -> DataFrame:
     """rows without those whose key drop has, and without the key; drop may hold keys more than once."""
-    return rows.join(drop.select(ROW).distinct(), ROW, "left_anti").select([c for c in rows.columns if c != ROW])
+    return rows.join(drop.select(row).distinct(), row, "left_anti").select([F.col(f"`{c}`") for c in rows.columns if c != row])
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below the threshold."""
-    rows = _rows(docs)
+    rows, row = _rows(docs)
     model = toxicity.train(rows, table(spark, sf_dir, "labels").where(~held_out()))
-    bad, _ = materialize(toxicity.score(rows, model, id_col=ROW).where(F.col("score") >= TOXIC), "toxic")
-    return _keep(rows, bad)
+    bad, _ = materialize(toxicity.score(rows, model, id_col=row).where(F.col("score") >= TOXIC), "toxic")
+    del model
+    sweep(spark)
+    return _keep(rows, bad, row)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,32 +58,37 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Shingles take five words. Links are those of fingerprints at 3 or fewer differing bits, and of
     sets of shingles with a similarity of 0.8 or more. Of rows with one id one stays.
     """
-    rows = _rows(docs)
-    found, _ = materialize(simhash.near_duplicates(rows, id_col=ROW, n=5, most_bits=3, similarity=0.8), "groups")
-    known = found.join(rows.select(ROW, "doc_id"), ROW)
-    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(ROW)))[ROW]
-    kept, _ = materialize(known.groupBy("component_id").agg(first.alias(ROW)).select(ROW), "kept")
-    return rows.join(kept, ROW, "left_semi").select(docs.columns)
+    rows, row = _rows(docs)
+    found, found_path = materialize(simhash.near_duplicates(rows, id_col=row, n=5, most_bits=3, similarity=0.8), "groups")
+    sweep(spark)
+    known = found.join(rows.select(row, "doc_id"), row)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row")))["row"]
+    kept, _ = materialize(known.groupBy("component_id").agg(first.alias(row)).select(row), "kept")
+    discard(spark, found_path)
+    return rows.join(kept, row, "left_semi").select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
-    rows = _rows(docs)
-    found, _ = materialize(decontaminate.contaminated(rows, table(spark, sf_dir, "benchmark"), id_col=ROW), "leaks")
-    return _keep(rows, found)
+    rows, row = _rows(docs)
+    found, _ = materialize(decontaminate.contaminated(rows, table(spark, sf_dir, "benchmark"), id_col=row), "leaks")
+    return _keep(rows, found, row)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: repeated for repeated epochs, gone if not taken."""
-    rows = _rows(docs)
-    took, _ = materialize(mixing.mix(rows, row_col=ROW).where("copies > 0").select(ROW, "copies"), "mix")
-    often = rows.join(took, ROW)
-    return often.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy")).select(docs.columns)
+    rows, row = _rows(docs)
+    sweep(spark)
+    took, _ = materialize(mixing.mix(rows, row_col=row).where("copies > 0").select(row, "copies"), "mix")
+    copies = _free(rows, "_copies")
+    often = rows.join(took.withColumnRenamed("copies", copies), row)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return often.select(*columns, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))).alias(copies)).select(columns)
 
 
 def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, written and read back: doc_id, repetition, start, n_tokens, ids_crc32."""
-    _drop_spent(spark)
+    sweep(spark)
     path = scratch_path(spark, "tokens")
     tokens.write_tokens(docs, path, tokenizer_file(), END_ID)
     return tokens.read_tokens(tokens.locate(tokens.keys_of(docs), path), path).withColumnRenamed("id", "doc_id")
@@ -104,7 +108,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; the last one's rows."""
-    docs = table(spark, sf_dir, "documents")
+    docs, path = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs, _ = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs, new = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(spark, *([path] if path else []))  # what the stage before wrote is read no more
+        sweep(spark)
+        path = new
     return STAGES[-1][1](spark, docs, sf_dir)
