@@ -542,3 +542,14 @@ def test_stream_of_trades(spark, tmp_path):
     pairs = near_votes_stream(spark.readStream.schema("member_id int, tx_date date").parquet(str(tmp_path / "in")), votes)
     write_near_votes(pairs, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
     assert rows(spark.read.parquet(str(tmp_path / "out")).select("days_from_trade_to_vote")) == [(8,)]
+
+
+def test_control_verdict(spark):
+    def verdict(p_values):
+        tests = spark.createDataFrame([(m, r, p) for m, held in p_values.items() for r, p in enumerate(held)], "member_id int, replicate int, p_value double")
+        return rows(nullmodel.control_verdict(tests))
+
+    assert verdict({1: [0.04, 0.05, 0.5, 0.9, 1.0], 2: [0.2] * 5}) == [(0.1, 1, True)]  # 0.05 itself is no hit; a tenth is low enough
+    assert verdict({1: [0.01, 0.04, 0.5, 0.9, 1.0], 2: [0.2] * 5}) == [(0.2, 2, False)]
+    assert verdict({1: [0.01] * 5 + [0.5] * 5, 2: [0.5] * 90}) == [(0.05, 5, False)]  # a member may have four
+    assert verdict({1: [0.01] * 4 + [0.5] * 6, 2: [0.5] * 90}) == [(0.04, 4, True)]
