@@ -37,9 +37,17 @@ def _rows(docs: DataFrame) -> tuple[DataFrame, str]:
         return rows, row
 
 
+#: At most so many keys, of some 80 bytes each, are sent to where the rows are; more are joined by a shuffle.
+SENT_KEYS = 200_000
+
+
 def _keep(rows: DataFrame, drop: DataFrame, row: str) -> DataFrame:
-    """rows without those whose key drop has, and without the key; drop may hold keys more than once."""
-    return rows.join(drop.select(row).distinct(), row, "left_anti").select([F.col(f"`{c}`") for c in rows.columns if c != row])
+    """rows without those whose key drop has, and without the key; drop, a written table, may hold keys more than once.
+
+    Few keys go to the rows, so that no text moves because of them.
+    """
+    keys = drop.select(row).distinct()
+    return rows.join(F.broadcast(keys) if drop.count() <= SENT_KEYS else keys, row, "left_anti").select([F.col(f"`{c}`") for c in rows.columns if c != row])
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
