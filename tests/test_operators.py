@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import rng, text
 from tracewell.operators import calibration, detectors, flatten, merge, nullmodel, ordering, pairs, proximity, quality, resolve, rollups, themes
+from tracewell.plans.registry import queries_and_oracles
 from tracewell.sources import readers, sinks, stored
 from tracewell.streaming.proximity import near_votes_stream, write_near_votes
 
 D = dt.date
+QUERIES, ORACLES = queries_and_oracles()
 
 
 def rows(df):
@@ -553,3 +555,24 @@ def test_control_verdict(spark):
     assert verdict({1: [0.01, 0.04, 0.5, 0.9, 1.0], 2: [0.2] * 5}) == [(0.2, 2, False)]
     assert verdict({1: [0.01] * 5 + [0.5] * 5, 2: [0.5] * 90}) == [(0.05, 5, False)]  # a member may have four
     assert verdict({1: [0.01] * 4 + [0.5] * 6, 2: [0.5] * 90}) == [(0.04, 4, True)]
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def planned(df):
+    """The physical plan as it is before any stage has run: what sizes are taken for."""
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["er01_resolve_filers", "er02_resolve_senate", "er13_match_roster_loosely"])
+def test_spread_runs_are_never_broadcast(spark, name):
+    assert "BroadcastHashJoin" not in planned(QUERIES[name](spark, SF))
+
+
+def test_parts_of_every_length_are_found(spark):
+    names = ["ab" * n for n in (1, 2, 5, 20, 40)] + ["xyz", "x", ""]
+    whole = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id int, name string")
+    asked = spark.createDataFrame([(p,) for p in ("a", "ba", "bab", "abab", "yz", "ba" * 9, "ab" * 33, "q", "xyzx")], "part string")
+    got = {(r["id"], r["part"]) for r in resolve.containing(whole, "name", asked, F.col("part"), []).collect()}
+    assert got == {(i, p["part"]) for i, n in enumerate(names) for p in asked.collect() if p["part"] in n}

@@ -25,26 +25,33 @@ NICKNAMES = {
 }
 
 
-def containing(whole: DataFrame, text: str, asked: DataFrame, part: Column, on: list[str], q: int = 3) -> DataFrame:
+#: Lengths of the runs of characters that parts are looked up by.
+RUNS = (64, 32, 16, 8, 4, 2, 1)
+
+
+def containing(whole: DataFrame, text: str, asked: DataFrame, part: Column, on: list[str]) -> DataFrame:
     """Rows of whole joined to rows of asked whose part their text contains, joined by equality.
 
-    Distinct texts are spread to their runs of q characters. A part of q or more is looked up by that
-    of its own runs that the fewest texts hold, a shorter one by itself among shorter runs; the part
-    is then looked for in candidates alone. Names that all begin alike don't meet in one key.
+    A part is looked up by its runs of the greatest power of two that it is long enough for, so that a run
+    is half of it at least, and of these by the one that the fewest texts hold; distinct texts are spread to their
+    runs of the lengths in use. The part is then looked for in candidates alone. Names that all begin alike
+    don't meet in one key. Spread tables are many times what Spark takes them for: they are merged, never broadcast.
     """
     texts = whole.select(F.col(text).alias("_text")).where("_text is not null").distinct()
-    at = lambda c: F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1)))
-    runs_of = lambda c, n: F.transform(at(c), lambda i: F.substr(F.col(c), i, F.lit(n)))
-    held = texts.select("_text", F.explode(F.array_distinct(F.concat(*(runs_of("_text", n) for n in range(1, q + 1))))).alias("_run"))
     a = asked.withColumn("_part", part).where("_part <> ''")
-    parts = a.select("_part").distinct()
-    own = F.when(F.length("_part") < q, F.array("_part")).otherwise(F.filter(runs_of("_part", q), lambda r: F.length(r) == q))
-    counts = held.where(F.length("_run") <= q).groupBy("_run").agg(F.count("*").alias("_n"))
-    looked = parts.select("_part", F.explode(F.array_distinct(own)).alias("_run")).join(counts, "_run", "left")
+    size = F.coalesce(*(F.when(F.length("_part") >= n, n) for n in RUNS))
+    parts = a.select("_part").distinct().withColumn("_size", size)
+    # runs are known by a hash: equal hashes of others only add candidates
+    runs_of = lambda c, n: F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.xxhash64(F.substr(F.col(c), i, n)))
+    used = parts.agg(F.collect_set("_size").alias("_sizes"))
+    sized = texts.join(used, F.lit(True)).select("_text", F.explode("_sizes").alias("_size")).where(F.length("_text") >= F.col("_size"))
+    held = sized.select("_text", F.explode(F.array_distinct(runs_of("_text", F.col("_size")))).alias("_run"))
+    counts = held.groupBy("_run").agg(F.count("*").alias("_n"))
+    looked = parts.select("_part", F.explode(F.array_distinct(runs_of("_part", F.col("_size")))).alias("_run")).join(counts.hint("merge"), "_run", "left")
     # a run that no text holds says that the part is in none
     rarest = looked.groupBy("_part").agg(F.min_by("_run", F.struct(F.coalesce("_n", F.lit(0)), F.col("_run"))).alias("_run"))
-    pairs = held.join(rarest, "_run").where(F.contains("_text", F.col("_part"))).select("_text", "_part")
-    found = whole.withColumn("_text", F.col(text)).join(pairs, "_text").join(a, [*on, "_part"])
+    pairs = held.hint("merge").join(rarest, "_run").where(F.contains("_text", F.col("_part"))).select("_text", "_part")
+    found = whole.withColumn("_text", F.col(text)).hint("merge").join(pairs, "_text").join(a.hint("merge"), [*on, "_part"])
     return found.drop("_text", "_part")
 
 
@@ -201,10 +208,11 @@ def newest_candidate(people: DataFrame, registry: DataFrame) -> DataFrame:
 
 def _matched(names: DataFrame, found: DataFrame) -> DataFrame:
     """(query, person_id, status) from candidates (query, person_id, rank): those of the best rank count, several of them are ambiguous."""
-    best = found.groupBy("query").agg(F.min("rank").alias("rank"))
-    top = found.join(best, ["query", "rank"]).groupBy("query").agg(F.count_distinct("person_id").alias("_n"), F.min("person_id").alias("_id"))
+    by = found.groupBy("query", "rank").agg(F.min("person_id").alias("_id"), F.max("person_id").alias("_other"))
+    top = by.groupBy("query").agg(F.min_by(F.struct("_id", "_other"), "rank").alias("_top"))
+    one = F.col("_top._id") == F.col("_top._other")
     return names.join(top, "query", "left").select(
-        "query", F.when(F.col("_n") == 1, F.col("_id")).alias("person_id"), F.when(F.col("_n") == 1, "ok").when(F.col("_n") > 1, "ambiguous").otherwise("unresolved").alias("status")
+        "query", F.when(one, F.col("_top._id")).alias("person_id"), F.when(one, "ok").when(F.col("_top._id").isNotNull(), "ambiguous").otherwise("unresolved").alias("status")
     )
 
 
