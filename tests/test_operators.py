@@ -576,3 +576,13 @@ def test_parts_of_every_length_are_found(spark):
     asked = spark.createDataFrame([(p,) for p in ("a", "ba", "bab", "abab", "yz", "ba" * 9, "ab" * 33, "q", "xyzx")], "part string")
     got = {(r["id"], r["part"]) for r in resolve.containing(whole, "name", asked, F.col("part"), []).collect()}
     assert got == {(i, p["part"]) for i, n in enumerate(names) for p in asked.collect() if p["part"] in n}
+
+
+def test_newest_candidate_is_found_before_people_meet_filings(spark):
+    people = spark.createDataFrame([("a", "Lee", "CA", "S"), ("b", "Lee", "CA", None), ("c", "Lee", "CA", "P"), ("a", "Ng", "NY", "H")], "person_id string, last_name string, state string, office string")
+    filings = [("Lee", "CA", "S", "old", D(2020, 1, 1)), ("Lee", "CA", "S", "s", D(2021, 1, 1)), ("Lee", "CA", "H", "h", D(2022, 1, 1)), ("Lee", "CA", None, "n", D(2023, 1, 1)), ("Ng", "NY", "H", "ng", None)]
+    registry = spark.createDataFrame(filings, "last_name string, state string, office string, candidate_id string, last_file_date date")
+    found = resolve.newest_candidate(people, registry)
+    assert rows(found) == [("a", "s"), ("b", "n"), ("c", "h")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2 and plan.rindex("Window [") > plan.index("Join Inner")

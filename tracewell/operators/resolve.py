@@ -200,9 +200,12 @@ def assemble_verdicts(work: DataFrame, verdicts: DataFrame, key: str = "key") ->
 
 def newest_candidate(people: DataFrame, registry: DataFrame) -> DataFrame:
     """(person_id, candidate_id): newest filing of the same last name, state and office, else of the same name and state."""
-    strict = F.col("r.office") == F.col("p.office")
-    found = people.alias("p").join(registry.alias("r"), ["last_name", "state"])
-    order = Window.partitionBy("person_id").orderBy(strict.desc(), F.col("last_file_date").desc_nulls_last(), F.col("candidate_id"))
+    newest = [F.col("last_file_date").desc_nulls_last(), F.col("candidate_id")]
+    first = Window.partitionBy("last_name", "state", "office").orderBy(*newest)
+    # of a name, state and office only the newest filing can be anybody's
+    best = registry.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
+    found = people.alias("p").join(best.alias("r"), ["last_name", "state"])
+    order = Window.partitionBy("person_id").orderBy((F.col("r.office") == F.col("p.office")).desc(), *newest)
     return found.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").select("person_id", "candidate_id")
 
 
