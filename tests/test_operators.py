@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -586,3 +587,15 @@ def test_newest_candidate_is_found_before_people_meet_filings(spark):
     assert rows(found) == [("a", "s"), ("b", "n"), ("c", "h")]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window [") == 2 and plan.rindex("Window [") > plan.index("Join Inner")
+
+
+def test_names_and_labels_are_those_of_the_sql(spark, tmp_path):
+    amounts = (999.49, 999.5, 999.77, 999999.5, 1e6, -999.6, None, float("nan"), float("inf"))
+    named = [(i, f'O\'Neil "{i}" Sr.' if i else None, 1, a, "X") for i, a in enumerate(amounts)]
+    spark.createDataFrame(named, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    con = duckdb.connect()
+    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "conversations"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'" if name == "customer" else f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    found = QUERIES["fn_names"](spark, str(tmp_path)).select("c_custkey", "donor", "slug", "money")
+    assert rows(found) == sorted(con.sql(f"SELECT c_custkey, donor, slug, money FROM ({ORACLES['fn_names']})").fetchall(), key=str)
+    assert [r["money"] for r in found.orderBy("c_custkey").collect()] == ["$", "K", "K", "M", "M", "$", "$", "$", "$"]

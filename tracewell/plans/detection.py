@@ -609,8 +609,9 @@ def fn_strip_html(t):
     return t.pages.select("page_id", F.md5(text.strip_html(F.col("html"))).alias("digest"))
 
 
-@query(r"""SELECT c_custkey, trim(regexp_replace(regexp_replace(regexp_replace(upper('Dr. ' || c_name || ', Jr.'), '\b(JR|SR|II|III|IV|ESQ|PHD|MD)\b\.?', '', 'g'), '[.,]', ' ', 'g'), '\s+', ' ', 'g')) AS donor,
-    trim(regexp_replace(lower(c_name), '[^a-z0-9]+', '-', 'g'), '-') AS slug, CASE WHEN c_acctbal >= 1000000 THEN 'M' WHEN c_acctbal >= 1000 THEN 'K' ELSE '$' END AS money FROM customer""")
+@query(r"""SELECT c_custkey, trim(regexp_replace(regexp_replace(regexp_replace(upper(coalesce('Dr. ' || c_name || ', Jr.', '')), '\b(JR|SR|II|III|IV|ESQ|PHD|MD)\b\.?', '', 'g'), '[.,]', ' ', 'g'), '\s+', ' ', 'g')) AS donor,
+    trim(regexp_replace(regexp_replace(lower(c_name), '[''"]', '', 'g'), '[^a-z0-9]+', '-', 'g'), '-') AS slug,
+    CASE WHEN NOT isfinite(c_acctbal) THEN '$' WHEN floor(c_acctbal + 0.5) >= 1000000 THEN 'M' WHEN floor(c_acctbal + 0.5) >= 1000 THEN 'K' ELSE '$' END AS money FROM customer""")
 def fn_names(t):
     label = text.money_label(F.col("c_acctbal"))
     money = F.when(label.endswith("M"), "M").when(label.endswith("K"), "K").otherwise("$")
