@@ -589,6 +589,15 @@ def test_newest_candidate_is_found_before_people_meet_filings(spark):
     assert plan.count("Window [") == 2 and plan.rindex("Window [") > plan.index("Join Inner")
 
 
+def test_meetings_are_counted_without_a_row_for_each_member_and_meeting(spark):
+    held = [(1, None, "Markup", "x", ["A", "b"]), (1, None, "Markup", "x", ["C"]), (1, D(2024, 1, 1), "Markup", "x", ["C"]), (2, None, None, "Meeting", ["a", "A", None]), (3, None, "Full hearing", None, ["c"]), (4, None, None, None, [])]
+    meetings = spark.createDataFrame(held, "event_id long, date date, title string, type string, committees array<string>")
+    memberships = spark.createDataFrame([(m, c) for m, own in enumerate(("ab", "BA", "c", "abc", "z", ["a", "a", None])) for c in own], "member_id long, committee_code string")
+    got = flatten.meeting_counts(meetings, memberships)
+    plain = flatten.relevant_meetings(meetings, memberships).groupBy("member_id", "kind").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"), F.sum("event_id").alias("event_sum"))
+    assert rows(got) == rows(plain) and len(rows(got)) == 11
+
+
 def test_names_and_labels_are_those_of_the_sql(spark, tmp_path):
     amounts = (999.49, 999.5, 999.77, 999999.5, 1e6, -999.6, None, float("nan"), float("inf"))
     named = [(i, f'O\'Neil "{i}" Sr.' if i else None, 1, a, "X") for i, a in enumerate(amounts)]

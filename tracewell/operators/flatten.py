@@ -94,18 +94,41 @@ def top_funders(funders: DataFrame, names: tuple[str, ...] = PASSTHROUGH_NAMES,
     return top_rows(by, ["committee"], [F.col("amount").desc(), F.col("name")], k)
 
 
+def _meetings(meetings: DataFrame) -> DataFrame:
+    """(event_id, date, kind, codes): the kind is Markup or Hearing by the title, else Meeting if that is the record's type, else Other; codes in lower case."""
+    title = F.lower(F.coalesce("title", F.lit("")))
+    kind = F.when(title.contains("markup"), "Markup").when(title.contains("hearing"), "Hearing").when(F.col("type") == "Meeting", "Meeting").otherwise("Other")
+    return meetings.select("event_id", "date", kind.alias("kind"), F.array_distinct(F.transform("committees", F.lower)).alias("codes"))
+
+
 def relevant_meetings(meetings: DataFrame, memberships: DataFrame) -> DataFrame:
     """(member_id, event_id, date, kind): meetings of a member's committees, each once.
 
-    meetings: event_id, date, title, type, committees. The kind is Markup or Hearing by the title, else Meeting if that is the record's type, else Other.
+    meetings: event_id, date, title, type, committees.
     """
-    title = F.lower(F.coalesce("title", F.lit("")))
-    kind = F.when(title.contains("markup"), "Markup").when(title.contains("hearing"), "Hearing").when(F.col("type") == "Meeting", "Meeting").otherwise("Other")
-    rows = meetings.select("event_id", "date", kind.alias("kind"), F.explode(F.array_distinct(F.transform("committees", F.lower))).alias("code"))
+    rows = _meetings(meetings).select("event_id", "date", "kind", F.explode("codes").alias("code"))
     mine = memberships.select("member_id", F.lower("committee_code").alias("code")).distinct()
     return rows.join(mine, "code").select("member_id", "event_id", "date", "kind").distinct()
 
 
+def meeting_counts(meetings: DataFrame, memberships: DataFrame) -> DataFrame:
+    """(member_id, kind, n, first_event, event_sum) of ``relevant_meetings`` without making a row for each member and meeting.
+
+    Meetings of the same committees and kind are summed to one row, and members of the same
+    committees are one class; classes meet the sums, once for each that they share a committee with.
+    """
+    spread = _meetings(meetings).select("event_id", "date", "kind", F.explode("codes").alias("code"))
+    # rows of one meeting are one meeting of all their committees
+    whole = spread.where("code is not null").groupBy("event_id", "date", "kind").agg(F.array_sort(F.collect_set("code")).alias("codes"))
+    summed = whole.groupBy("codes", "kind").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"), F.sum("event_id").alias("event_sum"))
+    members = memberships.where("committee_code is not null").groupBy("member_id").agg(F.array_sort(F.collect_set(F.lower("committee_code"))).alias("own"))
+    asked = members.select("own").distinct().withColumn("code", F.explode("own"))
+    met = asked.join(summed.withColumn("code", F.explode("codes")), "code").select("own", "codes", "kind", "n", "first_event", "event_sum").distinct()
+    by = met.groupBy("own", "kind").agg(F.sum("n").alias("n"), F.min("first_event").alias("first_event"), F.sum("event_sum").alias("event_sum"))
+    # Spark takes the members for as small as their compressed file; they aren't to be broadcast
+    return members.hint("merge").join(by, "own").select("member_id", "kind", "n", "first_event", "event_sum")
+
+
 def subjects_or_area(bills: DataFrame) -> DataFrame:
     """(bill_id, subject, policy_area): a row for each subject, or one with the policy area for bills without any."""
     listed = F.when(F.coalesce(F.size("subjects"), F.lit(0)) <= 0, F.array("policy_area")).otherwise(F.col("subjects"))
