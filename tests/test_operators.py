@@ -608,3 +608,16 @@ def test_names_and_labels_are_those_of_the_sql(spark, tmp_path):
     found = QUERIES["fn_names"](spark, str(tmp_path)).select("c_custkey", "donor", "slug", "money")
     assert rows(found) == sorted(con.sql(f"SELECT c_custkey, donor, slug, money FROM ({ORACLES['fn_names']})").fetchall(), key=str)
     assert [r["money"] for r in found.orderBy("c_custkey").collect()] == ["$", "K", "K", "M", "M", "$", "$", "$", "$"]
+
+
+def test_links_of_classes_are_all_links(spark):
+    seats = spark.createDataFrame([(m, c, r) for m, own in enumerate([["aX", "bY"], ["bY", "aX"], ["aX"], ["aX", "aX"], ["c"], ["aZ", None], [None], ["aX"]]) for o in own for c, r in [(o and o[0], o and o[1:])]], "member long, shared string, role string")
+    plain = pairs.shared_pairs(seats, "member", "shared", ["role"])
+    found = pairs.shared_classes(seats, "member", "shared", ["role"])
+    of = found.where("kind = 'member'").select(F.col("subject_id").alias("m"), F.col("peer_id").alias("c"))
+    whole = plain.join(of.toDF("subject_id", "s"), "subject_id").join(of.toDF("peer_id", "p"), "peer_id").groupBy("s", "p", "shared", "subject_role", "peer_role").agg(F.count("*").alias("n"))
+    assert rows(found.where("kind = 'link'").select("subject_id", "peer_id", "shared", "subject_role", "peer_role", "n")) == rows(whole)
+    links = {r["subject_id"]: r["count"] for r in plain.groupBy("subject_id").count().collect()}
+    got = found.where("kind = 'member'").collect()
+    assert {r["subject_id"]: r["n"] for r in got} == {m: links.get(m, 0) for m in (0, 1, 2, 3, 4, 5, 7)}
+    assert [r["peer_id"] for r in sorted(got)] == [0, 0, 2, 3, 4, 5, 2]
