@@ -621,3 +621,15 @@ def test_links_of_classes_are_all_links(spark):
     got = found.where("kind = 'member'").collect()
     assert {r["subject_id"]: r["n"] for r in got} == {m: links.get(m, 0) for m in (0, 1, 2, 3, 4, 5, 7)}
     assert [r["peer_id"] for r in sorted(got)] == [0, 0, 2, 3, 4, 5, 2]
+
+
+def test_roles_of_classes_are_all_roles(spark):
+    bills = spark.createDataFrame([("b1", "a"), ("b2", "a"), ("b2", "a"), ("b3", "a"), ("b3", "c"), ("b4", "z"), ("b5", None)], "bill_id string, committee_canonical string")
+    seats = spark.createDataFrame([(1, "a", "Member"), (1, "c", "Chair"), (2, "c", "Chair"), (2, "a", "Member"), (3, "a", "Ranking Member"), (4, "y", "Chair")], "member_id long, committee_canonical string, role string")
+    found = proximity.committee_role_classes(bills, seats)
+    of = lambda k: found.where(f"kind = '{k}'").select(f"{k}_id", F.col("class_id").alias(f"{k}_class"), F.col("n"))
+    role = found.where("kind = 'role'").select(F.col("bill_id").alias("bill_class"), F.col("member_id").cast("string").alias("member_class"), "member_committee_role", F.col("n").alias("held"))
+    whole = role.join(of("bill").drop("n"), "bill_class").join(of("member").drop("n"), "member_class")
+    assert rows(whole.select("bill_id", "member_id", "member_committee_role")) == rows(proximity.committee_roles(bills, seats))
+    assert role.agg(F.sum("held")).first()[0] == whole.count() == 9
+    assert rows(of("bill").drop("bill_class")) == [("b1", 3), ("b2", 3), ("b3", 3), ("b4", 0)] and rows(of("member").drop("member_class")) == [(1, 3), (2, 3), (3, 3), (4, 0)]
