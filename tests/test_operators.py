@@ -633,3 +633,13 @@ def test_roles_of_classes_are_all_roles(spark):
     assert rows(whole.select("bill_id", "member_id", "member_committee_role")) == rows(proximity.committee_roles(bills, seats))
     assert role.agg(F.sum("held")).first()[0] == whole.count() == 9
     assert rows(of("bill").drop("bill_class")) == [("b1", 3), ("b2", 3), ("b3", 3), ("b4", 0)] and rows(of("member").drop("member_class")) == [(1, 3), (2, 3), (3, 3), (4, 0)]
+
+
+def test_shuffled_trades_carry_no_days_of_their_instrument(spark):
+    trades = spark.createDataFrame([(1, 10 + i, D(2024, 1, 1 + i), "buy", "AB"[i % 2], i) for i in range(6)], "member_id long, filing_id long, tx_date date, tx_type string, instrument string, slot int")
+    votes = spark.createDataFrame([(1, "v", D(2024, 1, 3), False, ["A"])], "member_id long, vote_id string, vote_date date, committee boolean, named array<string>")
+    found = nullmodel.shuffle_null(trades, votes, 4, "s", window=0)
+    assert ".named_on AS named_on" not in found._jdf.queryExecution().analyzed().toString()
+    moved = nullmodel.shuffled_dates(trades, 4, "s").collect()
+    want = [(1, p, sum(r["perm"] == p and r["slot"] % 2 == 0 and dt.date(1970, 1, 1) + dt.timedelta(days=r["day"]) == D(2024, 1, 3) for r in moved)) for p in range(4)]
+    assert rows(found) == want

@@ -211,7 +211,10 @@ def shuffle_null(trades: DataFrame, votes: DataFrame, n_perm: int, seed: str, wi
     """(member_id, perm, drawn) with the member's own dates shuffled among its trades; counted where they are shuffled."""
     spans = _spans(trades, votes)
     committee, named = _member_hits(votes, spans, window)
-    marked = trades.join(named, ["member_id", "instrument"], "left")
+    # a trade carries the number of its instrument alone; the instrument's days stand once with the member
+    numbers = named.withColumn("nth", F.row_number().over(Window.partitionBy("member_id").orderBy("instrument")) - 1)
+    marked = trades.join(numbers.drop("named_on"), ["member_id", "instrument"], "left")
+    listed = numbers.groupBy("member_id").agg(F.array_sort(F.collect_list(F.struct("nth", "named_on"))).alias("_l")).select("member_id", F.col("_l.named_on").alias("named"))
 
     def on(words, at):
         held = words.values.to_numpy().view(np.uint64) if words.is_valid else np.zeros(0, np.uint64)
@@ -224,13 +227,14 @@ def shuffle_null(trades: DataFrame, votes: DataFrame, n_perm: int, seed: str, wi
     def count(one, member, perms, moved):
         at = moved - one["first"].as_py()
         hit = on(one["committee_on"], at)
-        for slot, words in enumerate(one["named_on"].values):
-            if words.is_valid:
-                hit[:, slot] |= on(words, at[:, slot])
+        of = one["nth"].values.fill_null(-1).to_numpy()
+        for nth, words in enumerate(one["named"].values if one["named"].is_valid else ()):
+            slots = np.flatnonzero(of == nth)
+            hit[:, slots] |= on(words, at[:, slots])
         return pa.record_batch([member.take(pa.array(np.zeros(len(perms), np.int64))), pa.array(perms, pa.int32()), pa.array(hit.sum(1), pa.int64())], ["member_id", "perm", "drawn"])
 
-    by_member = spans.select("member_id", "first").join(committee, "member_id", "left")
-    return _shuffled(marked, by_member, {"named_on": F.col("named_on")}, n_perm, seed, block, count, "perm int, drawn long")
+    by_member = spans.select("member_id", "first").join(committee, "member_id", "left").join(listed, "member_id", "left")
+    return _shuffled(marked, by_member, {"nth": F.col("nth")}, n_perm, seed, block, count, "perm int, drawn long")
 
 
 def summary(observed: DataFrame, drawn: DataFrame, by: list[str]) -> DataFrame:
