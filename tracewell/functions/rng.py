@@ -41,9 +41,9 @@ def seed_from(text: Column) -> Column:
     return F.aggregate(codes, start, lambda h, c: _times(h.bitwiseXOR(c), F.lit(HASH_FACTOR).cast("long")))
 
 
-def draws(seed: int, n: int) -> np.ndarray:
-    """The first n draws of a sequence at once, for tasks that shuffle arrays and for tests."""
-    a = (np.uint64(seed & MASK) + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(STEP)).astype(np.uint32)
+def draws(seed: int | np.ndarray, n: int) -> np.ndarray:
+    """The first n draws of a sequence at once, for tasks that shuffle arrays and for tests. Of several seeds: a row each."""
+    a = (np.asarray(seed & MASK, np.uint64)[..., None] + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(STEP)).astype(np.uint32)
     t = (a ^ a >> np.uint32(15)) * (a | np.uint32(1))
     t = (t + (t ^ t >> np.uint32(7)) * (t | np.uint32(61))) ^ t
     return (t ^ t >> np.uint32(14)) / 4294967296

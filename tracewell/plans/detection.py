@@ -218,14 +218,8 @@ def d08_receipts(t):
 
 
 def _substrate(t) -> tuple[DataFrame, DataFrame]:
-    """Trades and votes of the null models: pairs are made once, and so are both tables."""
-    pairs = proximity.mentioning_pairs(t.trades, t.votes, t.members, t.bills, t.bill_committees, t.memberships)
-    pairs = pairs.select("member_id", "filing_id", "tx_date", "tx_type", "ticker", "asset", "vote_id", "vote_date", "member_on_bill_committee", "bill_mentions_ticker")
-    pairs = staged(pairs, "before")
-    trades, votes = nullmodel.substrate(pairs)
-    both = staged(trades, "null-trades"), staged(votes, "null-votes")
-    discard(pairs)
-    return both
+    """Trades and votes of the null models, both staged."""
+    return nullmodel.near_substrate(t.trades, t.votes, t.members, t.bills, t.bill_committees, t.memberships)
 
 
 @query(f"""SELECT member_id, vote_id, vote_date, bool_or(member_on_bill_committee) AS committee, coalesce(string_agg(DISTINCT CASE WHEN {_NAMED} THEN upper(ticker) END, ',' ORDER BY CASE WHEN {_NAMED} THEN upper(ticker) END), '') AS named
