@@ -5,9 +5,10 @@ import datetime
 import numpy as np
 import pytest
 
-from tracewell.operators import nullmodel
+from tracewell.operators import nullmodel, themes
 from tracewell.plans.bindings import Tables
-from tracewell.plans.queries import before
+from tracewell.plans.queries import before, bill_theme, eligible, instruments, nexus
+from tracewell.scratch import staged
 
 SF = "/root/testdata/sf0.001"
 
@@ -70,3 +71,22 @@ def test_scrambled_in_one_shuffle_and_in_two_levels(spark, monkeypatch):
     want = rows(one)
     monkeypatch.setattr(nullmodel, "WINDOW_ROWS", 5)
     assert rows(nullmodel.scrambled(data, ["k"], ["v"], ["i"], 3, "s").select(*one.columns)) == want and len(want) == 36
+
+
+def test_nexus_pairs_trades_with_votes_of_their_theme_alone(spark):
+    """With staged votes neither bills nor the votes' own tables are read again, and the rows are those of all pairs, filtered."""
+    t = Tables(spark, SF)
+    found = nexus(t, staged(eligible(t), "eligible"))
+    names = {f.rsplit("/", 1)[-1] for f in found.inputFiles()}
+    assert not names & {"lineitem.parquet", "part.parquet"}
+    want = themes.theme_nexus(before(t), instruments(t), bill_theme(t)).select(*found.columns).distinct()
+    assert rows(found) == rows(want) and found.count() > 10
+
+
+def test_pair_tail_has_days_as_bits(spark):
+    day = datetime.date(2024, 1, 1)
+    trades = spark.createDataFrame([(1, i, f"t{i}", day + datetime.timedelta(9 * i), "Tech") for i in range(6)], "member_id int, slot int, trade_id string, tx_date date, theme string")
+    votes = spark.createDataFrame([(1, "Tech", day + datetime.timedelta(30))], "member_id int, theme string, vote_date date")
+    p = nullmodel.pair_lower_tail(trades, votes, 20, "a", nullmodel.observed_gaps(trades, votes))
+    said = p._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_repeat" not in said and "bit_or" in said and p.count() == 4

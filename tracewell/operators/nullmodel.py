@@ -374,12 +374,15 @@ def pair_lower_tail(trades: DataFrame, theme_votes: DataFrame, n_perm: int, seed
     spans = _spans(trades, theme_votes)
     known = trades.join(observed, ["member_id", "trade_id"]).groupBy("member_id", "trade_id", "theme", "observed_gap").agg(F.array_sort(F.collect_list("slot")).alias("slots"))
     if mode == "calendar":
-        # days of votes are joined last, so that no row carries days through a shuffle
-        on = hit_days(F.col("days"), F.col("first"), F.col("last"), F.col("observed_gap"))
-        rows = known.join(_pools(spans.join(trades.groupBy("member_id").agg(F.count("*").alias("n_trades")), "member_id"), seed), "member_id").join(days, ["member_id", "theme"]).withColumn("hit_on", on).drop("days")
-        hit = lambda slot: F.get("hit_on", (_drawn_day(slot) - F.col("first")).cast("int"))
+        # a trade's own days, as bits, are made where its theme's days are joined; no row carries days through a shuffle
+        by = ["member_id", "theme", "trade_id", "observed_gap", "slots", "first", "weekdays", "n_trades", "seed"]
+        pools = _pools(spans.join(trades.groupBy("member_id").agg(F.count("*").alias("n_trades")), "member_id"), seed)
+        rows = known.join(pools, "member_id").join(days, ["member_id", "theme"]).select(*by, F.explode("days").alias("day"))
+        near = hit_words(rows, by, F.col("observed_gap"))
+        hit = lambda slot: has_day(F.col("words"), (_drawn_day(slot) - F.col("first")).cast("int"))
         once = F.when(F.size("slots") == 1, hit(F.col("slots")[0])).otherwise(F.exists("slots", hit))
-        counted = _spread(rows, n_perm).groupBy("member_id", "trade_id", "observed_gap").agg(F.count_if(once).alias("hits"))
+        dealt = near.repartition(_tasks(trades, n_perm), "member_id", "trade_id")
+        counted = _spread(dealt, n_perm).groupBy("member_id", "trade_id", "observed_gap").agg(F.count_if(once).alias("hits"))
     else:
         held = known.join(days, ["member_id", "theme"]).groupBy("member_id").agg(F.collect_list(F.struct("trade_id", "observed_gap", "slots", "days")).alias("held"))
 

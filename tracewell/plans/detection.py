@@ -195,8 +195,8 @@ def _theme_trades(t) -> DataFrame:
 
 def _receipts(t) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Nexus rows, the trades that map to a theme, and p of each observed pair."""
-    pairs = staged(nexus(t).withColumn("trade_id", F.concat_ws("|", F.col("tx_date").cast("string"), "tx_type", F.upper("ticker"))), "nexus")
     trades, votes = staged(_theme_trades(t), "theme-trades"), staged(eligible(t), "eligible")
+    pairs = staged(nexus(t, votes).withColumn("trade_id", F.concat_ws("|", F.col("tx_date").cast("string"), "tx_type", F.upper("ticker"))), "nexus")
     gaps = pairs.groupBy("member_id", "trade_id").agg(F.min("days_before_vote").alias("observed_gap"))
     return pairs, trades, nullmodel.receipt_p_values(trades, votes, gaps, 100, "theme-gap")
 
