@@ -380,9 +380,15 @@ def pair_lower_tail(trades: DataFrame, theme_votes: DataFrame, n_perm: int, seed
         rows = known.join(pools, "member_id").join(days, ["member_id", "theme"]).select(*by, F.explode("days").alias("day"))
         near = hit_words(rows, by, F.col("observed_gap"))
         hit = lambda slot: has_day(F.col("words"), (_drawn_day(slot) - F.col("first")).cast("int"))
-        once = F.when(F.size("slots") == 1, hit(F.col("slots")[0])).otherwise(F.exists("slots", hit))
-        dealt = near.repartition(_tasks(trades, n_perm), "member_id", "trade_id")
-        counted = _spread(dealt, n_perm).groupBy("member_id", "trade_id", "observed_gap").agg(F.count_if(once).alias("hits"))
+        # staged, so that the many trades of one slot are counted by plain columns, without the functions that several slots need
+        near = staged(near, "near-days")
+        tasks = _tasks(trades, n_perm)
+
+        def count(rows: DataFrame, once: Column) -> DataFrame:
+            return _spread(rows.repartition(tasks, "member_id", "trade_id"), n_perm).groupBy("member_id", "trade_id", "observed_gap").agg(F.count_if(once).alias("hits"))
+
+        single = near.where(F.size("slots") == 1).withColumn("slot", F.col("slots")[0]).drop("slots")
+        counted = count(single, hit(F.col("slot"))).unionAll(count(near.where(F.size("slots") > 1), F.exists("slots", hit)))
     else:
         held = known.join(days, ["member_id", "theme"]).groupBy("member_id").agg(F.collect_list(F.struct("trade_id", "observed_gap", "slots", "days")).alias("held"))
 
