@@ -446,21 +446,34 @@ def scrambled(rows: DataFrame, by: list[str], columns: list[str], order: list[st
         return _scrambled_in_place(rows, by, columns, order, replicates, seeded)
     if by:
         large = large.select(*(F.col(c).alias(f"_{c}") for c in by))
-        same = F.lit(True)
-        for c in by:
-            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        same = _null_safe(by)
         small = _scrambled_in_place(rows.join(large, same, "left_anti"), by, columns, order, replicates, seeded)
         rows = rows.join(large, same, "left_semi")
-    placed = numbered(rows, by, [F.col(c) for c in order], "i")
-    sizes = sizes.withColumn("_seed", seeded)
-    spread = (placed.join(sizes, by) if by else placed.join(sizes, F.lit(True))).withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    key = draw(F.col("_seed"), F.col("replicate") * F.col("_n") + F.col("i"))
-    keyed = spread.select(*by, "replicate", *columns, F.col("i").alias("_was"), key.alias("_key"))
-    dealt = numbered(keyed, [*by, "replicate"], [F.col("_key"), F.col("_was")], "i", "_key").select(*by, "replicate", "i", *columns)
-    found = spread.drop(*columns, "_n", "_seed").join(dealt, [*by, "replicate", "i"]).select("replicate", *rows.columns)
+    placed = staged(numbered(rows, by, [F.col(c) for c in order], "_nth"), "scrambled-rows")
+    of = [F.col(c).alias(f"_{c}") for c in by]
+    known = placed.groupBy(*by).agg(F.count("*").alias("_n")).select(*of, "_n", seeded.alias("_seed"))
+    tasks = 1 + placed.count() * replicates // TASK_SCRAMBLED
+    spread = _spread(placed.join(known, _null_safe(by)).select(*by, *columns, "_nth", "_n", "_seed").repartition(tasks, *by, "_nth"), replicates).withColumnRenamed("perm", "replicate")
+    key = draw(F.col("_seed"), F.col("replicate") * F.col("_n") + F.col("_nth"))
+    keyed = spread.select(*by, "replicate", *columns, F.col("_nth").alias("_was"), key.alias("_key"))
+    dealt = numbered(keyed, [*by, "replicate"], [F.col("_key"), F.col("_was")], "_nth", "_key")
+    # what a row is given in all replicates comes to it at once, so that only the tuples are multiplied before they move
+    given = dealt.groupBy(*by, "_nth").agg(F.collect_list(F.struct("replicate", *columns)).alias("_given")).select(*of, F.col("_nth").alias("__nth"), "_given")
+    met = placed.drop(*columns).join(given, _null_safe([*by, "_nth"]))
+    found = met.select(*(c for c in rows.columns if c not in columns), F.inline("_given")).select("replicate", *rows.columns)
     return found.unionByName(small) if by else found
 
 
+def _null_safe(names: list[str]) -> Column:
+    """Columns equal those of the other side, whose names begin with _; nulls equal nulls."""
+    same = F.lit(True)
+    for c in names:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return same
+
+
+#: Rows of replicates that a task draws for.
+TASK_SCRAMBLED = 500_000
 #: Groups of more rows are numbered in two levels.
 WINDOW_ROWS = 100_000
 
