@@ -63,6 +63,7 @@ def _hits(trades: DataFrame, pattern: str, said: tuple = (), **aggregates: Colum
         *(c.alias(name) for name, c in aggregates.items()),
         F.concat(F.array_sort(F.collect_list(trade)), F.array_sort(F.collect_set(vote))).alias("citing"),
         F.array_sort(F.array_union(F.collect_set("tx_date"), F.collect_set("vote_date"))).alias("dates"),
+        F.greatest(F.max("tx_date"), F.max("vote_date")).alias("detected_at"),
     ).withColumn("pattern", F.lit(pattern))
 
 
@@ -78,6 +79,13 @@ def aligned_trades(before: DataFrame) -> DataFrame:
     return scored.withColumn("_nth", F.row_number().over(best)).where("_nth = 1").drop("_nth")
 
 
+def related(before: DataFrame) -> DataFrame:
+    """The rows that the detectors of trades shortly before a vote read: few, so that several detectors can share them staged."""
+    rows = before.where((F.col("days_before_vote") <= WINDOW_DAYS) & no_market_fund() & (F.col("member_on_bill_committee") | F.col("bill_mentions_ticker")))
+    trade, vote = ("member_id", "filing_id", "tx_date", "tx_type", "ticker", "asset", "holder"), ("vote_id", "vote_date", "vote_question", "bill_title")
+    return rows.select(*trade, *vote, "days_before_vote", "member_on_bill_committee", "bill_mentions_ticker")
+
+
 def trade_vote_alignment(before: DataFrame) -> DataFrame:
     """Hits of trades within 14 days before a related vote."""
     on = F.col("member_on_bill_committee")
@@ -131,6 +139,13 @@ def household_trade_timing(before: DataFrame) -> DataFrame:
     return found.withColumn("intensity", F.least(F.lit(1.0), 0.5 + 0.3 * closeness + 0.2 * volume)).withColumn("finding", finding)
 
 
+def with_z_scores(hits: DataFrame) -> DataFrame:
+    """hits with z_score: how far a member's number of trades stands out among the pattern's, unknown for one trade. A pattern's hits are never gathered; pass them staged."""
+    stats = hits.groupBy(F.col("pattern").alias("_of")).agg(F.avg("n_trades").alias("_mean"), F.stddev_pop("n_trades").alias("_sd"))
+    z = (F.col("n_trades") - F.col("_mean")) / F.nullif(F.col("_sd"), F.lit(0.0))
+    return hits.join(F.broadcast(stats), F.col("pattern").eqNullSafe(F.col("_of"))).withColumn("z_score", F.when(F.col("n_trades") > 1, F.round(z, 6))).drop("_of", "_mean", "_sd")
+
+
 def strongest_flags(hits: DataFrame, k: int = 12) -> DataFrame:
     """The k hits (member_id, pattern, intensity, z_score, detected_at) that stand out most: by z, unknown ones last, then intensity, the latest, pattern and member."""
     return first_rows(hits, [F.desc_nulls_last("z_score"), F.desc_nulls_last("intensity"), F.desc_nulls_last("detected_at"), F.asc("pattern"), F.asc("member_id")], k)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -692,9 +694,8 @@ _HIT = "least(1.0, max(score) / 100.0)::DOUBLE"
     ORDER BY z_score DESC NULLS LAST, intensity DESC, detected_at DESC, pattern, member_id LIMIT 12""", dates=("detected_at",))
 def w11_strongest_flags(t):
     """Hits of two patterns; z is how far a member's number of trades stands out among the pattern's, unknown for one trade."""
-    rows, by = before(t, 14), Window.partitionBy("pattern")
+    rows = staged(detectors.related(before(t, 14)), "related")
     hits = [detectors.trade_vote_alignment(rows), detectors.household_trade_timing(rows).withColumn("intensity", F.round("intensity", 6))]
-    both = hits[0].select("member_id", "pattern", "intensity", "n_trades", "dates").unionByName(hits[1].select("member_id", "pattern", "intensity", "n_trades", "dates"))
-    z = (F.col("n_trades") - F.avg("n_trades").over(by)) / F.nullif(F.stddev_pop("n_trades").over(by), F.lit(0.0))
-    scored = both.withColumn("z_score", F.when(F.col("n_trades") > 1, F.round(z, 6))).withColumn("detected_at", F.array_max("dates"))
+    both = reduce(DataFrame.unionByName, (h.select("member_id", "pattern", "intensity", "n_trades", "detected_at") for h in hits))
+    scored = detectors.with_z_scores(staged(both, "hits"))
     return detectors.strongest_flags(scored, 12).select("member_id", "pattern", "intensity", "z_score", "detected_at")
